@@ -1,0 +1,25 @@
+import pytest
+
+from cambio.session import build_session
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "cambio-tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """The rows of a DataFrame as sorted tuples."""
+    return lambda frame: sorted((tuple(r) for r in frame.collect()), key=repr)
