@@ -67,7 +67,7 @@ def upsert(
         ]
     )
 
-    present = target.select(*keys).dropna(how="any")
+    present = target.select(*keys)  # Catalyst drops its NULL keys: they cannot match
     if broadcast_source:
         present = present.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
     present = present.distinct()

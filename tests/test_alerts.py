@@ -1,0 +1,89 @@
+"""Latest price and threshold alerts."""
+
+from datetime import date
+
+import pytest
+
+from cambio.functions.text import price_text, threshold_text
+from cambio.operators.alerts import alert_messages, alerts
+from cambio.operators.latest import latest_price, latest_prices
+from cambio.schemas import QUOTES_TABLE, RULE_SCHEMA, default_rules
+from pyspark.sql import functions as F
+
+DAY = date(2024, 1, 1)
+
+
+def quotes(spark, *data):
+    return spark.createDataFrame(list(data), QUOTES_TABLE.schema)
+
+
+def test_latest_order(spark, rows):
+    table = quotes(
+        spark,
+        (1, 1, 10.0, None, date(2024, 1, 1)),
+        (1, 1, 20.0, None, date(2024, 1, 3)),
+        (1, 2, 1.0, None, date(2024, 1, 3)),
+        (1, 2, 2.0, None, None),  # NULL date sorts first
+        (2, 1, None, None, DAY),
+        (2, 1, 5.0, None, DAY),  # the tie goes to the higher price
+        (2, 1, 4.0, None, DAY),
+    )
+    assert [r.p_compra for r in latest_price(table, 1, 1).collect()] == [20.0]
+    assert [r.p_compra for r in latest_price(table, 1, 2).collect()] == [2.0]
+    assert latest_price(table, 9, 9).count() == 0
+    assert rows(latest_prices(table).select("cripto_id", "broker_id", "p_compra")) == [
+        (1, 1, 20.0),
+        (1, 2, 2.0),
+        (2, 1, 5.0),
+    ]
+
+
+def test_latest_plans(spark, tmp_path):
+    quotes(spark, (1, 1, 10.0, None, DAY)).write.parquet(str(tmp_path / "q"))
+    table = spark.read.parquet(str(tmp_path / "q"))
+    one = latest_price(table, 1, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in one and "EqualTo(cripto_id,1)" in one
+    every = latest_prices(table)._jdf.queryExecution().executedPlan().toString()
+    assert every.index("Final") < every.index("Exchange") < every.index("Partial")
+
+
+@pytest.mark.parametrize(
+    "price, raised",
+    [(50000.0, False), (50000.01, True), (None, False), (float("nan"), False), (49999.99, False), (12000000.0, True)],
+)
+def test_threshold_is_strict(spark, price, raised):
+    got = alerts(quotes(spark, (1, 1, price, None, DAY), (1, 2, 90000.0, None, DAY)), default_rules(spark, "desk"))
+    assert got.count() == int(raised)
+
+
+def test_no_quote_no_alert(spark):
+    assert alerts(quotes(spark), default_rules(spark, "desk")).count() == 0
+
+
+def test_message(spark):
+    raised = alerts(quotes(spark, (1, 1, 50000.01, None, DAY)), default_rules(spark, "desk@example.org"))
+    row = alert_messages(raised).first()
+    assert row.recipient == "desk@example.org"
+    assert row.subject == "Alerta: Precio de Bitcoin superó los $50,000"
+    assert row.body == "El precio de compra actual de Bitcoin es 50000.01. ¡Supera los $50,000!"
+
+
+def test_several_rules_for_one_pair(spark, rows):
+    rules = spark.createDataFrame(
+        [(1, 1, 10.0, "A", "x"), (1, 1, 20.0, "A", "y"), (1, 1, 30.0, "A", "z"), (2, 1, 0.0, "B", "x")], RULE_SCHEMA
+    )
+    got = alerts(quotes(spark, (1, 1, 25.0, None, DAY), (1, 1, 99.0, None, date(2023, 1, 1))), rules)
+    assert rows(got.select("threshold", "p_compra")) == [(10.0, 25.0), (20.0, 25.0)]
+
+
+@pytest.mark.parametrize(
+    "price", [0.1, 1.005, 63251.4, 50000.0, 9999999.99, 1e7, 12000000.0, 12345678.9, 123456789.125, 1e15, 7.25e15, -2e7]
+)
+def test_price_text_equals_the_shortest_decimal(spark, price):
+    frame = spark.createDataFrame([(price,)], "p double")
+    assert frame.select(price_text(F.col("p"))).first()[0] == repr(price)
+
+
+@pytest.mark.parametrize("threshold, text", [(50000.0, "50,000"), (99.5, "99.50"), (1234567.0, "1,234,567")])
+def test_threshold_text(spark, threshold, text):
+    assert spark.createDataFrame([(threshold,)], "t double").select(threshold_text(F.col("t"))).first()[0] == text

@@ -1,0 +1,170 @@
+"""The whole load, as a batch and as a stream."""
+
+import json
+import random
+from datetime import date, datetime
+
+import pytest
+from pyspark.errors import PySparkException
+
+from cambio.operators.upsert import AmbiguousMerge
+from cambio.plans.daily import EveryPollFailed, Warehouse, run_daily_load
+from cambio.schemas import BROKERS, COINS, DOCUMENT_SCHEMA, RULE_SCHEMA, default_rules, local_relation
+from cambio.sources.landing import land_documents, stream_documents
+from cambio.streaming.incremental import load_batch, run_available
+
+D1, D2, D3 = datetime(2024, 1, 1, 9), datetime(2024, 1, 2, 9), datetime(2024, 1, 3, 9)
+
+
+def epoch(moment):
+    return int((moment - datetime(1970, 1, 1)).total_seconds())
+
+
+def body(moment, **prices):
+    return json.dumps({b: {"totalAsk": p, "totalBid": p and p - 1, "time": epoch(moment)} for b, p in prices.items()})
+
+
+def documents(spark, poll, **bodies):
+    rows = [(poll, coin, 200 if text is not None else 500, text or "down") for coin, text in bodies.items()]
+    return spark.createDataFrame(rows, DOCUMENT_SCHEMA)
+
+
+def state(warehouse):
+    return {
+        name: sorted((tuple(r) for r in table.read().collect()), key=repr)
+        for name, table in [("q", warehouse.quotes), ("c", warehouse.coins), ("b", warehouse.brokers)]
+    }
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_three_days(spark, tmp_path, parts):
+    w = Warehouse(spark, str(tmp_path / "w"), parts)
+    rules = default_rules(spark, "desk")
+    quote_day = datetime(2023, 12, 31, 23)
+    got = run_daily_load(w, documents(spark, D1, btc=body(quote_day, binancep2p=49000.0, fiwind=2.0)), D1, rules=rules)
+    assert got.count() == 0
+    # a pair's first row carries the load date
+    assert state(w)["q"] == [(1, 1, 49000.0, 48999.0, D1.date()), (1, 2, 2.0, 1.0, D1.date())]
+    got = run_daily_load(
+        w, documents(spark, D2, btc=body(D1, binancep2p=50000.5, nobody=1.0), eth=None, dai=body(D1, fluyez=1.0)), D2,
+        rules=rules,
+    )
+    assert [r.body for r in got.collect()] == [
+        "El precio de compra actual de Bitcoin es 50000.5. ¡Supera los $50,000!"
+    ]
+    # matched: the quote's date; missing from the poll: unchanged; new: the load date
+    assert state(w)["q"] == [
+        (1, 1, 50000.5, 49999.5, D1.date()),
+        (1, 2, 2.0, 1.0, D1.date()),
+        (3, 10, 1.0, 0.0, D2.date()),
+    ]
+    assert state(w)["c"] == [(i, n, D2) for i, n in COINS]
+    assert state(w)["b"] == sorted([(i, n, D2) for i, n in BROKERS], key=repr)
+    failed = spark.read.parquet(w.report("failed_polls", "20240102T090000000000"))
+    assert [(r.cripto_name, r.status) for r in failed.collect()] == [("eth", 500)]
+
+
+def test_rerun_is_idempotent(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    docs = documents(spark, D2, btc=body(D1, binancep2p=60000.0), eth=body(D1, fiwind=3.0))
+    run_daily_load(w, docs, D2, rules=default_rules(spark, "x"))
+    first = state(w)
+    run_daily_load(w, docs, D2, rules=default_rules(spark, "x"))
+    second = state(w)
+    run_daily_load(w, docs, D2, rules=default_rules(spark, "x"))
+    assert state(w) == second
+    assert {k: first[k] for k in "cb"} == {k: second[k] for k in "cb"}
+    # the pairs were inserted by the first run and matched by the second
+    assert [(*r[:4], D1.date()) for r in first["q"]] == second["q"]
+
+
+def test_every_poll_failed(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    with pytest.raises(EveryPollFailed):
+        run_daily_load(w, documents(spark, D1, btc=None, eth=None), D1)
+    assert w.quotes.version == 0 and w.coins.version == 0
+
+
+@pytest.mark.parametrize(
+    "bad, error",
+    [
+        ("not json", PySparkException),
+        ('{"fiwind":{"totalBid":1}}', PySparkException),
+        ('{"fiwind":{"totalAsk":NaN}}', PySparkException),
+    ],
+)
+def test_bad_documents_change_nothing(spark, tmp_path, bad, error):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    run_daily_load(w, documents(spark, D1, btc=body(D1, fiwind=1.0)), D1)
+    before = state(w)
+    with pytest.raises(error):
+        run_daily_load(w, documents(spark, D2, btc=bad, eth=body(D2, fiwind=5.0)), D2, rejects=False)
+    assert state(w) == before
+
+
+def test_two_rows_for_a_pair_change_nothing(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    twice = documents(spark, D1, btc=body(D1, fiwind=1.0)).union(documents(spark, D1, btc=body(D1, fiwind=2.0)))
+    with pytest.raises(AmbiguousMerge):
+        run_daily_load(w, twice, D1)
+    assert w.quotes.version == 0
+    same = documents(spark, D1, btc=body(D1, fiwind=1.0))
+    run_daily_load(w, same.union(same), D1)  # exact copies are fine
+    assert w.quotes.read().count() == 1
+
+
+def random_polls(seed, polls=6):
+    r = random.Random(seed)
+    for day in range(1, polls + 1):
+        poll = datetime(2024, 1, day, 9)
+        bodies = {}
+        for _, coin in COINS[: 3 if day > 2 else 2]:
+            if r.random() < 0.2:
+                bodies[coin] = None
+                continue
+            names = r.sample([n for _, n in BROKERS], r.randint(0, 5)) + ["stranger"]
+            bodies[coin] = body(datetime(2024, 1, day, r.randint(0, 8)), **{n: round(r.uniform(1, 9), 2) for n in names})
+        yield poll, bodies
+
+
+@pytest.mark.parametrize("seed, cuts", [(1, [6]), (2, [2, 5, 6]), (3, [1, 2, 3, 4, 5, 6])])
+def test_stream_equals_batches_in_order(spark, tmp_path, seed, cuts):
+    batch, stream = Warehouse(spark, str(tmp_path / "b"), 2), Warehouse(spark, str(tmp_path / "s"), 2)
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "cp")
+    polls = list(random_polls(seed))
+    for poll, bodies in polls:
+        try:
+            run_daily_load(batch, documents(spark, poll, **bodies), poll, rejects=False)
+        except EveryPollFailed:
+            pass
+    done = 0
+    for cut in cuts:
+        for poll, bodies in polls[done:cut]:
+            land_documents(documents(spark, poll, **bodies), landing)
+        done = cut
+        assert run_available(stream, stream_documents(spark, landing), checkpoint) == 1
+    assert state(stream) == state(batch)
+    assert run_available(stream, stream_documents(spark, landing), checkpoint) == 0
+    assert state(stream) == state(batch)
+
+
+def test_redelivered_batch_is_skipped(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    docs = documents(spark, D2, btc=body(D1, binancep2p=60000.0))
+    rules = local_relation(spark, [(1, 1, 50000.0, "Bitcoin", "x")], RULE_SCHEMA)
+    load_batch(w, docs, ("s", 0), rules=rules)
+    before, versions = state(w), w.quotes.version
+    assert before["q"] == [(1, 1, 60000.0, 59999.0, D2.date())]
+    load_batch(w, docs, ("s", 0), rules=rules)
+    assert state(w) == before and w.quotes.version == versions
+    assert spark.read.parquet(w.report("alerts", "s-000000000")).count() == 1
+    load_batch(w, docs, ("s", 1))
+    assert state(w)["q"] == [(1, 1, 60000.0, 59999.0, date(2024, 1, 1))]
+
+
+def test_stream_poll_with_two_rows_for_a_pair_fails(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    twice = documents(spark, D1, btc=body(D1, fiwind=1.0)).union(documents(spark, D1, btc=body(D1, fiwind=2.0)))
+    with pytest.raises(AmbiguousMerge):
+        load_batch(w, twice, ("s", 0))
+    assert w.quotes.version == 0
