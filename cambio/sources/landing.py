@@ -41,8 +41,12 @@ def stream_document_files(spark: SparkSession, path: str, max_files_per_trigger:
 
 
 def land_documents(documents: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append envelope rows to the landing folder, one sub-folder per poll so that readers can prune by poll."""
-    documents.select(*DOCUMENT_SCHEMA.fieldNames()).write.mode("append").partitionBy("poll_ts").format(fmt).save(path)
+    """Append envelope rows to the landing folder, one sub-folder per poll so that readers can prune by poll.
+
+    ``rebalance`` brings a poll's rows together into files of even size; adaptive execution splits a poll that is large.
+    """
+    rows = documents.select(*DOCUMENT_SCHEMA.fieldNames()).hint("rebalance", F.col("poll_ts"))
+    rows.write.mode("append").partitionBy("poll_ts").format(fmt).save(path)
 
 
 def documents_of_poll(documents: DataFrame, poll_ts: datetime) -> DataFrame:
