@@ -30,29 +30,49 @@ def broker_entries(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     ).select(*carry, "cripto", F.col("entry.key").alias("broker"), F.col("entry.value").alias("quote"))
 
 
-def unpivot_quotes(
-    documents: DataFrame, carry: Sequence[str] = (), extra_fields: Sequence[str] = ()
-) -> DataFrame:
-    """Quote rows ``(*carry, cripto, broker, ask, totalAsk, bid, totalBid, time, *extra_fields)``.
+def decode_entries(documents: DataFrame, carry: Sequence[str] = (), extra_fields: Sequence[str] = ()) -> DataFrame:
+    """Every entry decoded: ``(*carry, cripto, broker, ask, totalAsk, bid, totalBid, time, *extra_fields, rejected)``.
 
-    A field a broker does not report is NULL. Extra fields are kept as text.
+    A field a broker does not report is NULL; extra fields are kept as text. ``rejected`` holds the raw text of an entry
+    that is no object (``null`` for a JSON null), and is NULL for a quote.
     """
-    objects = broker_entries(documents, carry).where(is_object(F.col("quote")))
     fields = [*QUOTE_FIELDS, *extra_fields]
     ddl = ", ".join(f"`{name}` string" for name in fields)
-    decoded = objects.select(*carry, "cripto", "broker", F.from_json("quote", ddl).alias("q"))
+    quote = F.col("quote")
+    decoded = broker_entries(documents, carry).select(
+        *carry,
+        "cripto",
+        "broker",
+        F.when(is_object(quote), F.from_json(quote, ddl)).alias("q"),
+        F.when(~is_object(quote), F.coalesce(quote, F.lit("null"))).alias("rejected"),
+    )
     return decoded.select(
         *carry,
         "cripto",
         "broker",
         *[strict_double(F.col(f"q.{name}"), name).alias(name) for name in QUOTE_FIELDS],
         *[F.col(f"q.`{name}`").alias(name) for name in extra_fields],
+        "rejected",
     )
 
 
+def accepted_quotes(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("rejected").isNull()).drop("rejected")
+
+
+def rejected_entries(entries: DataFrame) -> DataFrame:
+    names = [c for c in entries.columns if c not in QUOTE_FIELDS and c != "rejected"]
+    return entries.where(F.col("rejected").isNotNull()).select(*names, F.col("rejected").alias("quote"))
+
+
+def unpivot_quotes(documents: DataFrame, carry: Sequence[str] = (), extra_fields: Sequence[str] = ()) -> DataFrame:
+    """Quote rows ``(*carry, cripto, broker, ask, totalAsk, bid, totalBid, time, *extra_fields)``."""
+    return accepted_quotes(decode_entries(documents, carry, extra_fields))
+
+
 def rejected_quotes(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Brokers whose value is not an object: reported here, absent from :func:`unpivot_quotes`."""
-    return broker_entries(documents, carry).where(~is_object(F.col("quote")))
+    """Brokers whose value is not an object, ``(*carry, cripto, broker, quote)``; absent from :func:`unpivot_quotes`."""
+    return rejected_entries(decode_entries(documents, carry))
 
 
 def tag_source(quotes: DataFrame, coin: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,10 +22,33 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+@dataclass(frozen=True)
+class SourceFacts:
+    """What a merge needs to know about its source: the row count, and the table parts the rows fall into."""
+
+    rows: int
+    parts: tuple[int, ...]
+
+
+def inspect_source(source: DataFrame, keys: Sequence[str], part: Column | None = None) -> SourceFacts:
+    """Count the source, check that no key repeats, and find the parts it touches, in one job over the key columns.
+
+    One row reaches the driver; its list of parts is bounded by the number of parts the table has.
+    """
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    facts = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+        F.collect_set(F.lit(0) if part is None else part).alias("parts"),
+    ).first()
+    if facts.most > 1:
+        example = duplicate_keys(source, keys).first().asDict()
+        raise AmbiguousMerge(f"the merge source has several rows for one key, such as {example}")
+    return SourceFacts(facts.rows, tuple(sorted(facts.parts)))
+
+
 def require_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    example = duplicate_keys(source, keys).take(1)
-    if example:
-        raise AmbiguousMerge(f"the merge source has several rows for one key, such as {example[0].asDict()}")
+    inspect_source(source, keys)
 
 
 def fits_broadcast(rows: int | None, row_bytes: int) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -10,13 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cambio.operators.alerts import alert_messages, alerts
-from cambio.operators.documents import rejected_quotes, split_by_status
-from cambio.operators.upsert import fits_broadcast, require_unique_keys
+from cambio.operators.documents import (
+    accepted_quotes,
+    decode_entries,
+    rejected_entries,
+    split_by_status,
+    unpivot_quotes,
+)
+from cambio.operators.upsert import fits_broadcast, inspect_source
 from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
-from cambio.plans.normalize import quotes_from_documents
+from cambio.plans.normalize import normalize_quotes
 from cambio.schemas import (
     BROKERS_TABLE,
     COINS_TABLE,
+    QUOTE_FIELDS,
     QUOTES_TABLE,
     STG_BROKERS,
     STG_COINS,
@@ -69,20 +77,20 @@ def load_quotes(
     run_ts: datetime | None = None,
     batch: tuple[str, int] | None = None,
 ) -> int:
-    """Stage normalized quotes, merge them, commit. Only the table parts the quotes fall into are read and rewritten."""
+    """Stage normalized quotes, merge them, commit; returns the new version."""
     staged = replace_staging(rows, STG_QUOTES, warehouse.staging(STG_QUOTES))
-    require_unique_keys(staged, QUOTE_KEYS)
-    return merge_staged_quotes(warehouse, staged, batch, run_ts=run_ts)
+    return merge_staged_quotes(warehouse, staged, STG_QUOTES, batch, run_ts=run_ts)
 
 
 def merge_staged_quotes(
-    warehouse: Warehouse, staged: DataFrame, batch: tuple[str, int] | None = None, **options
+    warehouse: Warehouse, staged: DataFrame, spec: TableSpec, batch: tuple[str, int] | None = None, **options
 ) -> int:
+    """Merge staged quotes and commit. Only the table parts they fall into are read and rewritten."""
     table = warehouse.quotes
-    touched = table.touched_parts(staged)
-    small = fits_broadcast(staged.count(), STG_QUOTES.row_bytes)
-    merged = merge_quotes(table.read(parts=touched), staged, broadcast_source=small, **options)
-    return table.commit(merged, parts=touched, batch=batch)
+    facts = inspect_source(staged, QUOTE_KEYS, table.part_of())
+    small = fits_broadcast(facts.rows, spec.row_bytes)
+    merged = merge_quotes(table.read(parts=facts.parts), staged, broadcast_source=small, **options)
+    return table.commit(merged, parts=facts.parts, batch=batch)
 
 
 def load_coins(
@@ -101,8 +109,7 @@ def load_brokers(
 
 def _load_dimension(table, warehouse, spec, rows, key, merge, run_ts, batch) -> int:
     staged = replace_staging(rows.select(*spec.columns), spec, warehouse.staging(spec))
-    require_unique_keys(staged, [key])
-    small = fits_broadcast(staged.count(), spec.row_bytes)
+    small = fits_broadcast(inspect_source(staged, [key]).rows, spec.row_bytes)
     return table.commit(merge(table.read(), staged, run_ts, broadcast_source=small), batch=batch)
 
 
@@ -116,11 +123,22 @@ def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
     return warehouse.spark.read.parquet(path)
 
 
-def report_rejects(warehouse: Warehouse, documents: DataFrame, run: str) -> None:
-    """Write what the load leaves out: failed polls, and brokers without a quote object."""
-    answered, failed = split_by_status(documents)
+def report_failed_polls(warehouse: Warehouse, documents: DataFrame, run: str) -> None:
+    _, failed = split_by_status(documents)
     load(failed.select("poll_ts", "cripto_name", "status"), warehouse.report("failed_polls", run), "replace")
-    load(rejected_quotes(answered, ["poll_ts"]), warehouse.report("rejected_quotes", run), "replace")
+
+
+def decode_reporting(warehouse: Warehouse, answered: DataFrame, run: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Quote rows of the answered documents; entries that are no quote are written to a report.
+
+    The documents are read and parsed once, into a columnar table that both the report and the load read. The report's
+    filter skips that table's row groups without rejects by their statistics.
+    """
+    path = f"{warehouse.root}/decoded"
+    load(decode_entries(answered, ["poll_ts"]), path, "replace")
+    entries = warehouse.spark.read.parquet(path)
+    load(rejected_entries(entries), warehouse.report("rejected_quotes", run), "replace")
+    return accepted_quotes(entries).select(*carry, "cripto", "broker", *QUOTE_FIELDS)
 
 
 def run_daily_load(
@@ -134,7 +152,8 @@ def run_daily_load(
 ) -> DataFrame | None:
     """One poll's documents through the whole chain; returns the alert rows when rules are given.
 
-    Every table commits on its own, facts first. ``rejects=False`` saves the second read of the documents.
+    Every table commits on its own, facts first. ``rejects=False`` writes no reports of what was left out, and goes from
+    the documents to staging in one lazy plan.
     """
     spark = configure(warehouse.spark)
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -144,10 +163,11 @@ def run_daily_load(
 
     answered, _ = split_by_status(documents)
     if rejects:
-        report_rejects(warehouse, documents, run)
+        report_failed_polls(warehouse, documents, run)
     if answered.select(F.lit(1)).isEmpty():
         raise EveryPollFailed("every poll of this run failed; nothing was loaded")
-    load_quotes(warehouse, quotes_from_documents(answered, coins, brokers), run_ts)
+    quotes = decode_reporting(warehouse, answered, run) if rejects else unpivot_quotes(answered)
+    load_quotes(warehouse, normalize_quotes(quotes, coins, brokers), run_ts)
     load_coins(warehouse, coins, run_ts)
     load_brokers(warehouse, brokers, run_ts)
     return raise_alerts(warehouse, rules, run) if rules is not None else None

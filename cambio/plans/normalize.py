@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from cambio.operators.documents import unpivot_quotes
 from cambio.operators.quotes import (
     convert_time,
     distinct_rows,
@@ -24,10 +23,3 @@ def normalize_quotes(
     renamed = rename_quotes(quotes)
     resolved = lookup_broker(lookup_coin(renamed, coins), brokers)
     return distinct_rows(convert_time(project_quotes(resolved, carry)))
-
-
-def quotes_from_documents(
-    documents: DataFrame, coins: DataFrame, brokers: DataFrame, carry: Sequence[str] = ()
-) -> DataFrame:
-    """Staging rows of answered documents."""
-    return normalize_quotes(unpivot_quotes(documents, carry), coins, brokers, carry)

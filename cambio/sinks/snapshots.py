@@ -52,17 +52,11 @@ class SnapshotTable:
         return self._commit(self.version).get("parts", self._new_parts)
 
     def part_of(self) -> Column:
-        """The part a row belongs to."""
+        """The part a row belongs to; an expression over the distribution columns."""
         if self.parts == 1:
             return F.lit(0)
         return F.pmod(F.hash(*self.spec.distribute_by), F.lit(self.parts))
 
-    def touched_parts(self, rows: DataFrame) -> list[int]:
-        """The parts some rows fall into; the result is bounded by the number of parts, not by the rows."""
-        if self.parts == 1:
-            return [0]
-        return [row.part for row in rows.select(self.part_of().alias("part")).distinct().collect()]
-
     # writing
 
     def commit(

@@ -10,14 +10,15 @@ from cambio.operators.documents import split_by_status
 from cambio.operators.upsert import require_unique_keys
 from cambio.plans.daily import (
     Warehouse,
+    decode_reporting,
     load_brokers,
     load_coins,
     merge_staged_quotes,
     raise_alerts,
-    report_rejects,
+    report_failed_polls,
 )
 from cambio.plans.merges import QUOTE_KEYS
-from cambio.plans.normalize import quotes_from_documents
+from cambio.plans.normalize import normalize_quotes
 from cambio.schemas import STG_QUOTES, TableSpec, broker_dimension, coin_dimension
 from cambio.session import configure
 from cambio.sinks.load import replace_staging
@@ -75,16 +76,17 @@ def load_batch(
     run = f"{batch[0]}-{batch[1]:09d}"
 
     answered, _ = split_by_status(documents)
-    report_rejects(warehouse, documents, run)
+    report_failed_polls(warehouse, documents, run)
     last_poll = answered.agg(F.max("poll_ts")).first()[0]
     if last_poll is None:
         return
     if not warehouse.quotes.has_batch(*batch):
-        rows = quotes_from_documents(answered, coins, brokers, carry=["poll_ts"])
+        quotes = decode_reporting(warehouse, answered, run, carry=["poll_ts"])
+        rows = normalize_quotes(quotes, coins, brokers, carry=["poll_ts"])
         staged = replace_staging(rows, STG_POLLS, warehouse.staging(STG_POLLS))
         require_unique_keys(staged, ["poll_ts", *QUOTE_KEYS])
         collapsed = replace_staging(collapse_polls(staged), STG_COLLAPSED, warehouse.staging(STG_COLLAPSED))
-        merge_staged_quotes(warehouse, collapsed, batch, inserted_date=F.col("inserted_date"))
+        merge_staged_quotes(warehouse, collapsed, STG_COLLAPSED, batch, inserted_date=F.col("inserted_date"))
     if not warehouse.coins.has_batch(*batch):
         load_coins(warehouse, coins, last_poll, batch)
     if not warehouse.brokers.has_batch(*batch):

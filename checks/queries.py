@@ -23,7 +23,7 @@ from cambio.operators.quotes import (
     project_quotes,
     rename_quotes,
 )
-from cambio.operators.upsert import fits_broadcast, require_unique_keys
+from cambio.operators.upsert import fits_broadcast, inspect_source
 from cambio.plans.daily import Warehouse, load_quotes, run_daily_load
 from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
 from cambio.plans.normalize import normalize_quotes
@@ -41,7 +41,7 @@ from cambio.schemas import (
 from cambio.session import configure, work_dir
 from cambio.sinks.catalog import define_tables
 from cambio.sinks.load import append_staging, replace_staging
-from cambio.sources.landing import land_documents, read_documents, stream_documents
+from cambio.sources.landing import documents_of_poll, land_documents, read_documents, stream_documents
 from cambio.streaming.incremental import run_available
 from checks.fixtures import (
     BASELINE_TS,
@@ -218,8 +218,7 @@ def constraint_violations(t: Fixtures) -> DataFrame:
 
 def _staged(t: Fixtures, rows: DataFrame) -> tuple[DataFrame, bool]:
     staged = replace_staging(rows, STG_QUOTES, work_dir(t.spark, "staging"))
-    require_unique_keys(staged, QUOTE_KEYS)
-    return staged, fits_broadcast(staged.count(), STG_QUOTES.row_bytes)
+    return staged, fits_broadcast(inspect_source(staged, QUOTE_KEYS).rows, STG_QUOTES.row_bytes)
 
 
 @query
@@ -376,11 +375,12 @@ def alert_messages_desk(t: Fixtures) -> DataFrame:
 
 
 def _daily(t: Fixtures) -> tuple[Warehouse, DataFrame]:
-    warehouse = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
-    feed = t.desk()
+    warehouse, landing = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS), work_dir(t.spark, "landing")
+    feed, rules = t.desk(), default_rules(t.spark, RECIPIENT).unionAll(_desk_rules(t))
     for side, run_ts in (("baseline", BASELINE_TS), ("poll", RUN_TS)):
-        docs = documents(picked_events(feed, side), load_time(run_ts))
-        messages = run_daily_load(warehouse, docs, run_ts, rules=default_rules(t.spark, RECIPIENT).unionAll(_desk_rules(t)))
+        land_documents(documents(picked_events(feed, side), load_time(run_ts)), landing)
+        poll = documents_of_poll(read_documents(t.spark, landing), run_ts)
+        messages = run_daily_load(warehouse, poll, run_ts, rules=rules)
     return warehouse, messages
 
 

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cambio.functions.times import epoch_to_timestamp, load_date, load_time
@@ -46,6 +47,7 @@ def test_lookup_of_a_literal_dimension_is_a_broadcast(spark):
         (0.0, datetime(1970, 1, 1)),
         (-1.0, datetime(1969, 12, 31, 23, 59, 59)),
         (None, None),
+        (float("nan"), None),
     ],
 )
 def test_epoch(spark, seconds, expected):
@@ -58,6 +60,12 @@ def test_epoch(spark, seconds, expected):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_epoch_in_milliseconds_fails(spark):
+    frame = spark.createDataFrame([(1.7e12,)], "s double")
+    with pytest.raises(PySparkException, match="out of range"):
+        frame.select(epoch_to_timestamp(F.col("s"))).collect()
+
+
 def test_load_time_is_fixed_when_built(spark):
     at = datetime(2024, 2, 1, 23, 59, 59, 5)
     row = spark.range(1).select(load_time(at).alias("t"), load_date(at).alias("d"), load_time(None).alias("now")).first()

@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from cambio.operators.constraints import enforce, violations
+from cambio.operators.upsert import inspect_source
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
 from cambio.sinks.catalog import define_tables
 from cambio.sinks.load import append_staging, jdbc_options, load, read_staging, replace_staging, truncate_staging
@@ -114,7 +115,7 @@ def test_snapshot_versions(spark, tmp_path, rows, parts):
 def test_commit_of_some_parts_keeps_the_others(spark, tmp_path, rows):
     table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=8)
     table.commit(quotes(spark, *[(i, 1, 0.0, None, DAY) for i in range(40)]))
-    touched = table.touched_parts(quotes(spark, (5, 1, 1.0, None, DAY)))
+    touched = inspect_source(quotes(spark, (5, 1, 1.0, None, DAY)), ["cripto_id"], table.part_of()).parts
     assert len(touched) == 1
     part = table.read(parts=touched)
     assert 0 < part.count() < 40
