@@ -63,6 +63,7 @@ def upsert(
     matched: Mapping[str, Column],
     inserted: Mapping[str, Column],
     broadcast_source: bool = False,
+    cluster_inserts: Column | None = None,
 ) -> DataFrame:
     """Target after the merge, in the target's columns and types.
 
@@ -74,6 +75,9 @@ def upsert(
     the keys already present by a broadcast semi join. Otherwise both sides are shuffled on the keys. That plan uses a
     left join for the updates, not a full outer one, because adaptive execution can then split a target partition that a
     hot or NULL key has swollen; and the keys compared for the inserts are made distinct first, map-side.
+
+    ``cluster_inserts``, an expression over the target's columns, brings the inserted rows together before a write that
+    splits them by it; otherwise every task would write a sliver of every partition. The kept rows stay where they are.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     hint = F.broadcast if broadcast_source else (lambda frame: frame)
@@ -102,6 +106,8 @@ def upsert(
             for c in target.columns
         ]
     )
+    if cluster_inserts is not None:
+        new = new.withColumn("_cluster", cluster_inserts).hint("rebalance", F.col("_cluster")).drop("_cluster")
     return kept.unionByName(new)
 
 

@@ -46,11 +46,21 @@ class EveryPollFailed(RuntimeError):
 
 @dataclass
 class Warehouse:
-    """Where the tables lie. ``parts`` splits the fact table, see :class:`SnapshotTable`."""
+    """Where the tables lie.
+
+    ``parts`` splits the fact table, see :class:`SnapshotTable`; ``keep_versions`` limits the versions a load leaves
+    behind (default: all stay readable).
+    """
 
     spark: SparkSession
     root: str
     parts: int = 1
+    keep_versions: int | None = None
+
+    def committed(self, table: SnapshotTable, version: int) -> int:
+        if self.keep_versions:
+            table.expire(self.keep_versions)
+        return version
 
     def staging(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.name}"
@@ -87,10 +97,12 @@ def merge_staged_quotes(
 ) -> int:
     """Merge staged quotes and commit. Only the table parts they fall into are read and rewritten."""
     table = warehouse.quotes
-    facts = inspect_source(staged, QUOTE_KEYS, table.part_of())
+    part = table.part_of()
+    facts = inspect_source(staged, QUOTE_KEYS, part)
     small = fits_broadcast(facts.rows, spec.row_bytes)
-    merged = merge_quotes(table.read(parts=facts.parts), staged, broadcast_source=small, **options)
-    return table.commit(merged, parts=facts.parts, batch=batch)
+    target = table.read(parts=facts.parts)
+    merged = merge_quotes(target, staged, broadcast_source=small, cluster_inserts=part, **options)
+    return warehouse.committed(table, table.commit(merged, parts=facts.parts, batch=batch))
 
 
 def load_coins(
@@ -110,7 +122,8 @@ def load_brokers(
 def _load_dimension(table, warehouse, spec, rows, key, merge, run_ts, batch) -> int:
     staged = replace_staging(rows.select(*spec.columns), spec, warehouse.staging(spec))
     small = fits_broadcast(inspect_source(staged, [key]).rows, spec.row_bytes)
-    return table.commit(merge(table.read(), staged, run_ts, broadcast_source=small), batch=batch)
+    merged = merge(table.read(), staged, run_ts, broadcast_source=small)
+    return warehouse.committed(table, table.commit(merged, batch=batch))
 
 
 def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
@@ -119,8 +132,9 @@ def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
     The rows of one run replace each other, so a repeated run delivers nothing twice.
     """
     path = warehouse.report("alerts", run)
-    load(alert_messages(alerts(warehouse.quotes.read(), rules)), path, if_exists="replace")
-    return warehouse.spark.read.parquet(path)
+    messages = alert_messages(alerts(warehouse.quotes.read(), rules))
+    load(messages, path, if_exists="replace")
+    return warehouse.spark.read.schema(messages.schema).parquet(path)
 
 
 def report_failed_polls(warehouse: Warehouse, documents: DataFrame, run: str) -> None:
@@ -135,8 +149,9 @@ def decode_reporting(warehouse: Warehouse, answered: DataFrame, run: str, carry:
     filter skips that table's row groups without rejects by their statistics.
     """
     path = f"{warehouse.root}/decoded"
-    load(decode_entries(answered, ["poll_ts"]), path, "replace")
-    entries = warehouse.spark.read.parquet(path)
+    decoded = decode_entries(answered, ["poll_ts"])
+    load(decoded, path, "replace")
+    entries = warehouse.spark.read.schema(decoded.schema).parquet(path)
     load(rejected_entries(entries), warehouse.report("rejected_quotes", run), "replace")
     return accepted_quotes(entries).select(*carry, "cripto", "broker", *QUOTE_FIELDS)
 

@@ -96,8 +96,8 @@ class SnapshotTable:
         """Forget all but the newest ``keep`` versions and delete the data folders no kept version names."""
         versions = self.versions()
         gone, kept = versions[:-keep], versions[-keep:]
-        live = {folder.split("/")[0] for v in kept for folder in self._commit(v)["folders"].values()}
-        dead = {folder.split("/")[0] for v in gone for folder in self._commit(v)["folders"].values()} - live
+        live = {folder for v in kept for folder in self._commit(v)["folders"].values()}
+        dead = {folder for v in gone for folder in self._commit(v)["folders"].values()} - live
         fs = self._file_system()
         for version in gone:
             fs.delete(self._hadoop_path(f"_commits/{version:012d}.json"), False)

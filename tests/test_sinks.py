@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cambio.operators.constraints import enforce, violations
 from cambio.operators.upsert import inspect_source
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
+from cambio.plans.daily import Warehouse, load_quotes, merge_staged_quotes
 from cambio.sinks.catalog import define_tables
 from cambio.sinks.load import append_staging, jdbc_options, load, read_staging, replace_staging, truncate_staging
 from cambio.sinks.snapshots import SnapshotTable
@@ -127,6 +128,27 @@ def test_commit_of_some_parts_keeps_the_others(spark, tmp_path, rows):
     assert table.read().count() == 40
 
 
+def test_an_initial_load_writes_few_files(spark, tmp_path):
+    """Many staged tasks into many parts: the inserted rows are brought together first."""
+    source = spark.range(0, 2000, 1, 16).selectExpr(
+        "cast(id as int) cripto_id", "1 broker_id", "1d p_compra", "1d p_venta", "timestamp_ntz'2024-01-01 00:00:00' fecha_cotizacion"
+    )
+    w = Warehouse(spark, str(tmp_path / "w"), parts=8)
+    source.write.parquet(str(tmp_path / "s"))
+    merge_staged_quotes(w, spark.read.parquet(str(tmp_path / "s")), STG_QUOTES)
+    files = list((tmp_path / "w").rglob("part-*.parquet"))
+    assert w.quotes.read().count() == 2000 and len(files) == 8
+
+
+def test_kept_versions(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"), keep_versions=2)
+    for day in range(4):
+        load_quotes(w, staged(spark, (1, 1, float(day), None, T1)), T1)
+    assert w.quotes.versions() == [3, 4]
+    assert len(list((tmp_path / "w" / "cotizaciones").glob("data-*"))) == 2
+    assert [w.quotes.read(version=v).first().p_compra for v in (3, 4)] == [2.0, 3.0]
+
+
 def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
     table.commit(quotes(spark, (1, 1, 1.0, None, DAY)))
