@@ -7,7 +7,7 @@ from datetime import datetime
 
 from cambio.plans.daily import Warehouse, run_daily_load
 from cambio.schemas import default_rules
-from cambio.session import build_session
+from cambio.session import build_session, shuffle_settings
 from cambio.sinks.catalog import define_tables
 from cambio.sources.landing import documents_of_poll, read_documents, stream_documents
 from cambio.sources.poll_api import poll_to_landing
@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--warehouse", required=True)
         command.add_argument("--parts", type=int, default=64, help="parts of the quotes table, fixed by its first load")
         command.add_argument("--keep-versions", type=int)
+        command.add_argument("--shuffle-gb", type=float, help="largest expected shuffle; sizes its partitions")
         command.add_argument("--alert-to", help="recipient of the default alert rule")
         if name == "daily":
             command.add_argument("--poll-ts", type=datetime.fromisoformat, required=True)
@@ -44,7 +45,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = build_session(f"cambio-{args.command}")
+    sized = shuffle_settings(args.shuffle_gb) if getattr(args, "shuffle_gb", None) else {}
+    spark = build_session(f"cambio-{args.command}", **sized)
     if args.command == "define":
         define_tables(spark, args.database, args.buckets, args.reset)
         return

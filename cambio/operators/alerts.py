@@ -9,15 +9,20 @@ from cambio.functions.text import alert_body, alert_subject
 from cambio.operators.latest import PAIR, latest_prices
 
 
-def alerts(quotes: DataFrame, rules: DataFrame) -> DataFrame:
+def alerts(quotes: DataFrame, rules: DataFrame, broadcast_rules: bool = False) -> DataFrame:
     """Rules whose pair's latest price is strictly above the threshold, with that price.
 
-    Only pairs under a rule are ranked. A missing pair, a NULL or a NaN price raises no alert.
+    A missing pair, a NULL or a NaN price raises no alert. With ``broadcast_rules`` (for a counted, bounded number of
+    them) quotes of pairs under no rule are dropped before they are ranked. Without it every pair is ranked first: a
+    shuffled filter would bring all rows of a hot pair into one task, while the ranking sends one row per pair and task.
     """
-    watched = quotes.select(*PAIR, "p_compra", "fecha_cotizacion").join(rules.select(*PAIR), list(PAIR), "left_semi")
-    priced = latest_prices(watched).select(*PAIR, "p_compra")
+    candidates = quotes.select(*PAIR, "p_compra", "fecha_cotizacion")
+    if broadcast_rules:
+        rules = F.broadcast(rules)
+        candidates = candidates.join(F.broadcast(rules.select(*PAIR)), list(PAIR), "left_semi")
+    priced = latest_prices(candidates).select(*PAIR, "p_compra")
     above = (F.col("p_compra") > F.col("threshold")) & ~F.isnan("p_compra")
-    return rules.join(priced, list(PAIR), "inner").where(above)
+    return priced.join(rules, list(PAIR), "inner").where(above).select(*rules.columns, "p_compra")
 
 
 def alert_messages(raised: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from cambio.schemas import (
     COINS_TABLE,
     QUOTE_FIELDS,
     QUOTES_TABLE,
+    RULE_BYTES,
     STG_BROKERS,
     STG_COINS,
     STG_QUOTES,
@@ -132,7 +133,8 @@ def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
     The rows of one run replace each other, so a repeated run delivers nothing twice.
     """
     path = warehouse.report("alerts", run)
-    messages = alert_messages(alerts(warehouse.quotes.read(), rules))
+    few = fits_broadcast(rules.count(), RULE_BYTES)
+    messages = alert_messages(alerts(warehouse.quotes.read(), rules, broadcast_rules=few))
     load(messages, path, if_exists="replace")
     return warehouse.spark.read.schema(messages.schema).parquet(path)
 

@@ -174,6 +174,9 @@ RULE_SCHEMA = T.StructType(
     ]
 )
 
+#: Assumed width of a rule when deciding on a broadcast: three numbers and two names.
+RULE_BYTES = 3 * 16 + 2 * (NAME_BYTES + 16)
+
 _ARROW = {
     T.IntegerType(): pa.int32(),
     T.StringType(): pa.string(),

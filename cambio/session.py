@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -31,6 +32,19 @@ def build_session(app: str = "cambio", master: str | None = None, **settings: st
     return configure(builder.getOrCreate())
 
 
+def shuffle_settings(shuffle_gb: float) -> dict[str, str]:
+    """Settings for shuffles of up to this size: enough initial partitions to hold about 128 MB each.
+
+    Adaptive execution merges what turns out smaller, so an estimate on the high side costs little.
+    """
+    partitions = max(200, math.ceil(shuffle_gb * 1024 / 128))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.files.maxPartitionBytes": "128MB",
+    }
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, uniquely named folder on the storage every executor can reach (``spark.checkpoint.dir``).
 

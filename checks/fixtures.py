@@ -96,17 +96,20 @@ class Fixtures:
 
     # li
 
-    def li(self) -> DataFrame:
+    def li_lines(self, side: str | None = None) -> DataFrame:
+        """Line items, all of them or those of one side."""
+        lines = self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate"
+        )
+        border = F.lit("2000-01-01").cast("timestamp_ntz")
+        if side is None:
+            return lines
+        return lines.where(F.col("l_shipdate") < border if side == "baseline" else F.col("l_shipdate") >= border)
+
+    def li(self, lines: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
         price, discounted = F.col("l_extendedprice"), F.col("l_extendedprice") * (1 - F.col("l_discount"))
-        return self.table("lineitem").select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            "l_shipdate",
-            F.when(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz"), "baseline")
-            .otherwise("poll")
-            .alias("side"),
+        return (self.li_lines() if lines is None else lines).select(
+            *keep,
             F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("cripto"),
             F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("broker"),
             price.alias("ask"),
@@ -137,11 +140,11 @@ class Fixtures:
         return normalize_quotes(rows, coin_dimension(self.spark), broker_dimension(self.spark))
 
     def li_side(self, side: str) -> DataFrame:
-        rows = newest(self.li().where(F.col("side") == side), ["l_partkey", "l_suppkey"], LI_ORDER)
-        return normalize_quotes(rows.select(*WIRE), self.li_coins(), self.li_brokers())
+        lines = newest(self.li_lines(side), ["l_partkey", "l_suppkey"], LI_ORDER)
+        return normalize_quotes(self.li(lines), self.li_coins(), self.li_brokers())
 
 
-LI_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "ask")
+LI_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
 EV_ORDER = ("ts", "event_id")
 
 

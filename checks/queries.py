@@ -113,7 +113,7 @@ def concat_quotes(t: Fixtures) -> DataFrame:
     return concat_by_name(
         [
             t.ev().select("cripto", "broker", "totalAsk", "time"),
-            t.li().select("broker", "cripto", "totalBid", F.col("l_linenumber").alias("line")),
+            t.li(keep=["l_linenumber"]).select("broker", "cripto", "totalBid", F.col("l_linenumber").alias("line")),
         ]
     )
 
@@ -131,7 +131,7 @@ def literal_dimensions(t: Fixtures) -> DataFrame:
 
 @query
 def rename_project(t: Fixtures) -> DataFrame:
-    renamed = rename_quotes(t.li().select(*WIRE))
+    renamed = rename_quotes(t.li())
     return renamed.select("cripto_name", "broker_name", "p_compra", "p_venta", "fecha_cotizacion")
 
 
@@ -147,12 +147,12 @@ def lookup_broker_ev(t: Fixtures) -> DataFrame:
 
 @query
 def lookup_coin_li(t: Fixtures) -> DataFrame:
-    return lookup_coin(rename_quotes(t.li().select(*WIRE)), t.li_coins()).select("cripto_id", "broker_name", "p_compra")
+    return lookup_coin(rename_quotes(t.li()), t.li_coins()).select("cripto_id", "broker_name", "p_compra")
 
 
 @query
 def lookup_broker_li(t: Fixtures) -> DataFrame:
-    renamed = rename_quotes(t.li().select(*WIRE))
+    renamed = rename_quotes(t.li())
     return lookup_broker(renamed, t.li_brokers()).select("cripto_name", "broker_id", "p_venta")
 
 
@@ -181,7 +181,7 @@ def normalize_ev(t: Fixtures) -> DataFrame:
 
 @query
 def normalize_li(t: Fixtures) -> DataFrame:
-    return normalize_quotes(t.li().select(*WIRE), t.li_coins(), t.li_brokers())
+    return normalize_quotes(t.li(), t.li_coins(), t.li_brokers())
 
 
 # --- staging and constraints ---
@@ -368,7 +368,7 @@ def alert_messages_li(t: Fixtures) -> DataFrame:
 
 @query
 def alert_messages_desk(t: Fixtures) -> DataFrame:
-    return alert_messages(alerts(_desk_history(t), _desk_rules(t)))
+    return alert_messages(alerts(_desk_history(t), _desk_rules(t), broadcast_rules=True))
 
 
 # --- the whole job ---
@@ -405,9 +405,8 @@ def stream_load(t: Fixtures) -> DataFrame:
     landing, warehouse = work_dir(t.spark, "landing"), Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
     checkpoint = work_dir(t.spark, "stream")
     quarter = F.date_trunc("quarter", "l_shipdate").cast("timestamp_ntz")
-    feed = t.li().withColumn("quarter", quarter)
-    picked = newest(feed, ["quarter", "l_partkey", "l_suppkey"], LI_ORDER)
-    polls = documents(picked, F.expr("quarter + INTERVAL '3' MONTH"))
+    picked = newest(t.li_lines().withColumn("quarter", quarter), ["quarter", "l_partkey", "l_suppkey"], LI_ORDER)
+    polls = documents(t.li(picked, keep=["quarter"]), F.expr("quarter + INTERVAL '3' MONTH"))
     border = F.lit(datetime(1999, 1, 1).isoformat()).cast("timestamp_ntz")
     for part in (F.col("poll_ts") < border, F.col("poll_ts") >= border):
         land_documents(polls.where(part), landing)
@@ -422,7 +421,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Fixtures(configure(spark), sf_dir)
     quotes = unpivot_quotes(documents(t.desk(), F.col("ts")))
     staged = normalize_quotes(quotes, coin_dimension(spark), broker_dimension(spark))
-    return alert_messages(alerts(as_quotes_table(staged), _desk_rules(t)))
+    return alert_messages(alerts(as_quotes_table(staged), _desk_rules(t), broadcast_rules=True))
 
 
 REGISTRY["documents_to_alerts"] = flagship

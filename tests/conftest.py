@@ -9,7 +9,8 @@ def spark(tmp_path_factory):
         "cambio-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.sql.codegen.wholeStage": "false",  # tiny data: compiling costs more than running
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

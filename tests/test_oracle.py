@@ -1,0 +1,33 @@
+"""Every registered query against its SQL, on the smallest driver tables."""
+
+import os
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from checks.compare import compare, connect
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_equals_its_oracle(spark, duck, name):
+    difference, rows = compare(spark, duck, name, SF_DIR)
+    assert difference is None
+    assert rows > 0 or name == "latest_price_one"  # at this scale no user belongs to its broker
+
+
+def test_entry(spark):
+    frame = entry(spark)
+    assert frame.columns == ["cripto_id", "broker_id", "recipient", "subject", "body"]
+    assert frame.count() > 0
