@@ -30,13 +30,13 @@ def broker_entries(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     ).select(*carry, "cripto", F.col("entry.key").alias("broker"), F.col("entry.value").alias("quote"))
 
 
-def decode_entries(documents: DataFrame, carry: Sequence[str] = (), extra_fields: Sequence[str] = ()) -> DataFrame:
-    """Every entry decoded: ``(*carry, cripto, broker, ask, totalAsk, bid, totalBid, time, *extra_fields, rejected)``.
+def decode_entries(documents: DataFrame, carry: Sequence[str] = (), fields: Sequence[str] = QUOTE_FIELDS) -> DataFrame:
+    """Every entry's fields, still as text: ``(*carry, cripto, broker, *fields, rejected)``.
 
-    A field a broker does not report is NULL; extra fields are kept as text. ``rejected`` holds the raw text of an entry
-    that is no object (``null`` for a JSON null), and is NULL for a quote.
+    A field a broker does not report is NULL. ``rejected`` holds the raw text of an entry that is no object (``null`` for a
+    JSON null), and is NULL for a quote. Numbers are not checked here: a bad price at a broker no one looks up, or in a
+    field no one keeps, must not fail a load.
     """
-    fields = [*QUOTE_FIELDS, *extra_fields]
     ddl = ", ".join(f"`{name}` string" for name in fields)
     quote = F.col("quote")
     decoded = broker_entries(documents, carry).select(
@@ -47,12 +47,7 @@ def decode_entries(documents: DataFrame, carry: Sequence[str] = (), extra_fields
         F.when(~is_object(quote), F.coalesce(quote, F.lit("null"))).alias("rejected"),
     )
     return decoded.select(
-        *carry,
-        "cripto",
-        "broker",
-        *[strict_double(F.col(f"q.{name}"), name).alias(name) for name in QUOTE_FIELDS],
-        *[F.col(f"q.`{name}`").alias(name) for name in extra_fields],
-        "rejected",
+        *carry, "cripto", "broker", *[F.col(f"q.`{name}`").alias(name) for name in fields], "rejected"
     )
 
 
@@ -60,19 +55,31 @@ def accepted_quotes(entries: DataFrame) -> DataFrame:
     return entries.where(F.col("rejected").isNull()).drop("rejected")
 
 
-def rejected_entries(entries: DataFrame) -> DataFrame:
-    names = [c for c in entries.columns if c not in QUOTE_FIELDS and c != "rejected"]
-    return entries.where(F.col("rejected").isNotNull()).select(*names, F.col("rejected").alias("quote"))
+def rejected_entries(entries: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    rejected = F.col("rejected")
+    return entries.where(rejected.isNotNull()).select(*carry, "cripto", "broker", rejected.alias("quote"))
 
 
 def unpivot_quotes(documents: DataFrame, carry: Sequence[str] = (), extra_fields: Sequence[str] = ()) -> DataFrame:
-    """Quote rows ``(*carry, cripto, broker, ask, totalAsk, bid, totalBid, time, *extra_fields)``."""
-    return accepted_quotes(decode_entries(documents, carry, extra_fields))
+    """Quote rows ``(*carry, cripto, broker, ask, totalAsk, bid, totalBid, time, *extra_fields)``.
+
+    The five known fields are numbers, and text that is none fails the query; extra fields are kept as text.
+    """
+    entries = decode_entries(documents, carry, [*QUOTE_FIELDS, *extra_fields])
+    return numbers(accepted_quotes(entries), QUOTE_FIELDS)
+
+
+def numbers(quotes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named text columns as doubles (:func:`strict_double`); columns that are no text stay as they are."""
+    texts = {name for name, kind in quotes.dtypes if kind == "string" and name in names}
+    return quotes.select(
+        *[strict_double(F.col(c), c).alias(c) if c in texts else F.col(c) for c in quotes.columns]
+    )
 
 
 def rejected_quotes(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Brokers whose value is not an object, ``(*carry, cripto, broker, quote)``; absent from :func:`unpivot_quotes`."""
-    return rejected_entries(decode_entries(documents, carry))
+    return rejected_entries(decode_entries(documents, carry), carry)
 
 
 def tag_source(quotes: DataFrame, coin: str) -> DataFrame:

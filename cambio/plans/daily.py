@@ -16,7 +16,6 @@ from cambio.operators.documents import (
     decode_entries,
     rejected_entries,
     split_by_status,
-    unpivot_quotes,
 )
 from cambio.operators.upsert import fits_broadcast, inspect_source
 from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
@@ -24,7 +23,7 @@ from cambio.plans.normalize import normalize_quotes
 from cambio.schemas import (
     BROKERS_TABLE,
     COINS_TABLE,
-    QUOTE_FIELDS,
+    LOADED_FIELDS,
     QUOTES_TABLE,
     RULE_BYTES,
     STG_BROKERS,
@@ -81,6 +80,15 @@ class Warehouse:
     def brokers(self) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{BROKERS_TABLE.name}", BROKERS_TABLE)
 
+    def register_views(self, prefix: str = "") -> None:
+        """Temporary views of the three tables' current versions, for SQL under the tables' own names.
+
+        A view keeps showing the version it was registered with. Spark sorts NULL last under DESC where the warehouse
+        sorts it first: write ``ORDER BY fecha_cotizacion DESC NULLS FIRST``.
+        """
+        for table in (self.quotes, self.coins, self.brokers):
+            table.read().createOrReplaceTempView(prefix + table.spec.name)
+
 
 def load_quotes(
     warehouse: Warehouse,
@@ -151,11 +159,11 @@ def decode_reporting(warehouse: Warehouse, answered: DataFrame, run: str, carry:
     filter skips that table's row groups without rejects by their statistics.
     """
     path = f"{warehouse.root}/decoded"
-    decoded = decode_entries(answered, ["poll_ts"])
+    decoded = decode_entries(answered, ["poll_ts"], LOADED_FIELDS)
     load(decoded, path, "replace")
     entries = warehouse.spark.read.schema(decoded.schema).parquet(path)
-    load(rejected_entries(entries), warehouse.report("rejected_quotes", run), "replace")
-    return accepted_quotes(entries).select(*carry, "cripto", "broker", *QUOTE_FIELDS)
+    load(rejected_entries(entries, ["poll_ts"]), warehouse.report("rejected_quotes", run), "replace")
+    return accepted_quotes(entries).select(*carry, "cripto", "broker", *LOADED_FIELDS)
 
 
 def run_daily_load(
@@ -183,7 +191,10 @@ def run_daily_load(
         report_failed_polls(warehouse, documents, run)
     if answered.select(F.lit(1)).isEmpty():
         raise EveryPollFailed("every poll of this run failed; nothing was loaded")
-    quotes = decode_reporting(warehouse, answered, run) if rejects else unpivot_quotes(answered)
+    if rejects:
+        quotes = decode_reporting(warehouse, answered, run)
+    else:
+        quotes = accepted_quotes(decode_entries(answered, fields=LOADED_FIELDS))
     load_quotes(warehouse, normalize_quotes(quotes, coins, brokers), run_ts)
     load_coins(warehouse, coins, run_ts)
     load_brokers(warehouse, brokers, run_ts)

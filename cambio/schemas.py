@@ -37,6 +37,9 @@ QUOTE_NAMES = {
     "time": "fecha_cotizacion",
 }
 
+#: The fields of a quote that end up in a table.
+LOADED_FIELDS = ("totalAsk", "totalBid", "time")
+
 NAME_BYTES = 100
 
 POLL_FIAT = "usd"

@@ -45,6 +45,9 @@ def shuffle_settings(shuffle_gb: float) -> dict[str, str]:
     }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, uniquely named folder on the storage every executor can reach (``spark.checkpoint.dir``).
 
@@ -54,6 +57,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-        shared = tempfile.mkdtemp(prefix="cambio-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="cambio-")
+        shared = _local_folders[application]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

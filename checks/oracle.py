@@ -266,6 +266,12 @@ ORACLE["daily_load_messages"] = f"""
 WITH {DESK_PICKED}, latest AS (SELECT * FROM loaded),
 rules AS (SELECT * FROM desk_rules UNION ALL SELECT 1, 1, 50000.0, 'Bitcoin', 'desk@example.org') {DESK_MESSAGES}"""
 
+ORACLE["warehouse_sql"] = f"""
+WITH {DESK_PICKED}
+SELECT cripto_name, broker_name, p_compra, fecha_cotizacion
+FROM loaded JOIN coins ON coins.cripto_id = loaded.cripto_id JOIN brokers ON brokers.broker_id = loaded.broker_id
+WHERE p_compra > 50000 AND fecha_cotizacion >= DATE '2024-01-15'"""
+
 ORACLE["stream_load"] = f"""
 WITH {LI},
 polls AS (

@@ -13,7 +13,14 @@ from pyspark.sql import types as T
 from cambio.functions.times import epoch_to_timestamp, load_time
 from cambio.operators.alerts import alert_messages, alerts
 from cambio.operators.constraints import violations
-from cambio.operators.documents import concat_by_name, rejected_quotes, split_by_status, unpivot_quotes
+from cambio.operators.documents import (
+    accepted_quotes,
+    concat_by_name,
+    decode_entries,
+    rejected_quotes,
+    split_by_status,
+    unpivot_quotes,
+)
 from cambio.operators.latest import latest_price, latest_prices
 from cambio.operators.quotes import (
     convert_time,
@@ -24,10 +31,11 @@ from cambio.operators.quotes import (
     rename_quotes,
 )
 from cambio.operators.upsert import fits_broadcast, inspect_source
-from cambio.plans.daily import Warehouse, load_quotes, run_daily_load
+from cambio.plans.daily import Warehouse, load_brokers, load_coins, load_quotes, run_daily_load
 from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
 from cambio.plans.normalize import normalize_quotes
 from cambio.schemas import (
+    LOADED_FIELDS,
     QUOTES_TABLE,
     RULE_SCHEMA,
     STG_BROKERS,
@@ -399,6 +407,26 @@ def daily_load_messages(t: Fixtures) -> DataFrame:
     return messages
 
 
+@query
+def warehouse_sql(t: Fixtures) -> DataFrame:
+    """SQL text over views of the three committed tables."""
+    warehouse, prefix = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS), f"v{uuid.uuid4().hex}_"
+    load_quotes(warehouse, t.desk_side("baseline"), BASELINE_TS)
+    load_quotes(warehouse, t.desk_side("poll"), RUN_TS)
+    load_coins(warehouse, coin_dimension(t.spark), RUN_TS)
+    load_brokers(warehouse, broker_dimension(t.spark), RUN_TS)
+    warehouse.register_views(prefix)
+    return t.spark.sql(
+        f"""
+        SELECT cripto_name, broker_name, p_compra, fecha_cotizacion
+        FROM {prefix}cotizaciones
+        JOIN {prefix}criptomonedas USING (cripto_id)
+        JOIN {prefix}brokers USING (broker_id)
+        WHERE p_compra > 50000 AND fecha_cotizacion >= DATE '2024-01-15'
+        """
+    )
+
+
 @query
 def stream_load(t: Fixtures) -> DataFrame:
     """Quarterly polls of the line-item feed, landed in two parts, loaded by two runs of the same stream."""
@@ -419,7 +447,7 @@ def stream_load(t: Fixtures) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to alert messages in one lazy plan: decode, normalize, newest price per pair, rules."""
     t = Fixtures(configure(spark), sf_dir)
-    quotes = unpivot_quotes(documents(t.desk(), F.col("ts")))
+    quotes = accepted_quotes(decode_entries(documents(t.desk(), F.col("ts")), fields=LOADED_FIELDS))
     staged = normalize_quotes(quotes, coin_dimension(spark), broker_dimension(spark))
     return alert_messages(alerts(as_quotes_table(staged), _desk_rules(t), broadcast_rules=True))
 

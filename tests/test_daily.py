@@ -91,6 +91,8 @@ def test_every_poll_failed(spark, tmp_path):
         ("not json", PySparkException),
         ('{"fiwind":{"totalBid":1}}', PySparkException),
         ('{"fiwind":{"totalAsk":NaN}}', PySparkException),
+        ('{"fiwind":{"totalAsk":1,"totalBid":"abc"}}', PySparkException),
+        ('{"fiwind":{"totalAsk":1,"time":1700000000000}}', PySparkException),
     ],
 )
 def test_bad_documents_change_nothing(spark, tmp_path, bad, error):
@@ -102,6 +104,17 @@ def test_bad_documents_change_nothing(spark, tmp_path, bad, error):
     assert state(w) == before
 
 
+@pytest.mark.parametrize("rejects", [True, False])
+def test_bad_numbers_nobody_keeps_do_not_fail_the_load(spark, tmp_path, rejects):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    text = '{"stranger":{"totalAsk":"abc","time":"x"},"fiwind":{"ask":"abc","totalAsk":"2.5","time":1700000000},"no":7}'
+    run_daily_load(w, documents(spark, D1, btc=text), D1, rejects=rejects)
+    assert state(w)["q"] == [(1, 2, 2.5, None, D1.date())]
+    if rejects:
+        report = spark.read.parquet(w.report("rejected_quotes", "20240101T090000000000"))
+        assert [tuple(r) for r in report.collect()] == [(D1, "btc", "no", "7")]
+
+
 def test_two_rows_for_a_pair_change_nothing(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path / "w"))
     twice = documents(spark, D1, btc=body(D1, fiwind=1.0)).union(documents(spark, D1, btc=body(D1, fiwind=2.0)))

@@ -1,6 +1,7 @@
 """Documents to quote rows: sources, failed-poll skip, decode, unpivot, tag, concatenation."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -174,3 +175,30 @@ def test_landed_rows(spark, tmp_path, rows, fmt):
     assert "PartitionFilters: [isnotnull(poll_ts" in pruned._jdf.queryExecution().toString()
     assert pruned.count() == 1
     assert stream_documents(spark, path, fmt).isStreaming
+
+
+def test_random_documents_equal_a_python_decode(spark, rows):
+    """Whole random documents, repeated keys, odd values and missing fields included, against the json module."""
+    r = random.Random(7)
+    names = ["a", "b", "ñandú", 'quo"te', "x.y", ""]
+
+    def number():
+        return r.choice([r.randint(-5, 10**9), round(r.uniform(-9, 1e6), 3), r.random() * 1e-7, 1e15, None])
+
+    def value():
+        if r.random() < 0.2:
+            return r.choice([5, None, "text", [1, 2], True])
+        return {f: number() for f in ("ask", "totalAsk", "bid", "totalBid", "time", "other") if r.random() < 0.8}
+
+    bodies = []
+    for _ in range(200):
+        entries = [f"{json.dumps(r.choice(names))}: {json.dumps(value())}" for _ in range(r.randint(0, 9))]
+        bodies.append("{" + ", ".join(entries) + "}")
+    expected = []
+    for number_of, body in enumerate(bodies):
+        for broker, quote in json.loads(body).items():
+            if isinstance(quote, dict):
+                fields = [quote.get(f) for f in ("ask", "totalAsk", "bid", "totalBid", "time")]
+                expected.append((f"c{number_of}", broker, *[None if v is None else float(v) for v in fields]))
+    frame = spark.createDataFrame([(POLL, f"c{i}", 200, body) for i, body in enumerate(bodies)], DOCUMENT_SCHEMA)
+    assert rows(unpivot_quotes(frame)) == sorted(expected, key=repr)
