@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--poll-ts", type=datetime.fromisoformat, required=True)
         else:
             command.add_argument("--checkpoint", required=True)
+            command.add_argument("--max-files", type=int, help="landed files per micro-batch; default: all in one")
     return top
 
 
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
         documents = documents_of_poll(read_documents(spark, args.landing), args.poll_ts)
         run_daily_load(warehouse, documents, rules=rules)
     else:
-        run_available(warehouse, stream_documents(spark, args.landing), args.checkpoint, rules=rules)
+        landed = stream_documents(spark, args.landing, max_files_per_trigger=args.max_files)
+        run_available(warehouse, landed, args.checkpoint, rules=rules)
 
 
 if __name__ == "__main__":

@@ -24,7 +24,7 @@ def entries_of(parsed: Column) -> Column:
 
 def last_entry_per_key(entries: Column) -> Column:
     """Resolve repeated JSON keys to their last value. Documents without repeats pass through untouched."""
-    keys = F.transform(entries, lambda e: e["key"])
+    keys = entries["key"]
     ordered = F.array_sort(
         F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value")))
     )

@@ -37,18 +37,14 @@ def decode_entries(documents: DataFrame, carry: Sequence[str] = (), fields: Sequ
     JSON null), and is NULL for a quote. Numbers are not checked here: a bad price at a broker no one looks up, or in a
     field no one keeps, must not fail a load.
     """
-    ddl = ", ".join(f"`{name}` string" for name in fields)
     quote = F.col("quote")
-    decoded = broker_entries(documents, carry).select(
+    return broker_entries(documents, carry).select(
         *carry,
         "cripto",
         "broker",
-        F.when(is_object(quote), F.from_json(quote, ddl)).alias("q"),
+        F.json_tuple(F.when(is_object(quote), quote), *fields).alias(*fields),
         F.when(~is_object(quote), F.coalesce(quote, F.lit("null"))).alias("rejected"),
     )
-    return decoded.select(
-        *carry, "cripto", "broker", *[F.col(f"q.`{name}`").alias(name) for name in fields], "rejected"
-    )
 
 
 def accepted_quotes(entries: DataFrame) -> DataFrame:

@@ -105,6 +105,16 @@ class SnapshotTable:
             fs.delete(self._hadoop_path(folder), True)
         return gone
 
+    def remove_orphans(self) -> list[str]:
+        """Delete data folders no version names, as failed loads leave them. Only while no load is running."""
+        named = {folder.split("/")[0] for v in self.versions() for folder in self._commit(v)["folders"].values()}
+        fs = self._file_system()
+        present = [status.getPath().getName() for status in fs.listStatus(self._hadoop_path("."))]
+        orphans = sorted(name for name in present if name.startswith("data-") and name not in named)
+        for folder in orphans:
+            fs.delete(self._hadoop_path(folder), True)
+        return orphans
+
     def _write(self, rows: DataFrame, folder: str, total: int) -> dict[str, str]:
         """Write the data folder; rows stay in the task they are in, sorted there. Returns part → folder."""
         path = f"{self.path}/{folder}"

@@ -90,6 +90,10 @@ def test_malformed_body_fails_the_job(spark, body):
         quotes(spark, '{"a":{"totalAsk":1}}', body)
 
 
+def test_repeated_field_last_wins(spark):
+    assert [q[3] for q in quotes(spark, '{"a":{"totalAsk":1,"x":0,"totalAsk":2}}')] == [2.0]
+
+
 def test_repeated_key_last_wins(spark):
     assert [q[3] for q in quotes(spark, '{"a":{"totalAsk":1},"a":{"totalAsk":2}}')] == [2.0]
     many = "{" + ",".join(f'"k{i % 7}":{{"totalAsk":{i}}}' for i in range(100)) + "}"
@@ -108,8 +112,9 @@ def test_non_numeric_price_fails_the_job(spark):
 
 
 def test_extra_fields_survive(spark):
-    frame = unpivot_quotes(documents(spark, '{"a":{"totalAsk":1,"spread":"x"}}'), extra_fields=["spread"])
-    assert frame.first().spread == "x"
+    body = '{"a":{"totalAsk":1,"spread":"x \\"y\\" ñ","deep":{"k":[1,2]}}}'
+    row = unpivot_quotes(documents(spark, body), extra_fields=["spread", "deep", "none"]).first()
+    assert (row.spread, row.deep, row.none) == ('x "y" ñ', '{"k":[1,2]}', None)
 
 
 def test_status_split(spark):

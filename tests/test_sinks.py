@@ -37,6 +37,12 @@ def test_staging_holds_exactly_the_last_load(spark, tmp_path, rows):
     assert replace_staging(staged(spark), STG_QUOTES, path).count() == 0
 
 
+def test_a_failed_load_is_logged_and_raised(spark, tmp_path, caplog):
+    with pytest.raises(PySparkException, match="lost"):
+        load(spark.range(1).select(F.raise_error(F.lit("lost"))), str(tmp_path / "t"))
+    assert "load into" in caplog.text and "failed" in caplog.text
+
+
 def test_load_modes(spark, tmp_path):
     path, one = str(tmp_path / "t"), spark.range(1)
     load(one, path, "fail")
@@ -156,6 +162,9 @@ def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
     with pytest.raises(PySparkException):
         table.commit(broken)
     assert table.version == 1 and table.read().first().p_compra == 1.0
+    assert len(list((tmp_path / "t").glob("data-*"))) == 2
+    assert len(table.remove_orphans()) == 1 and table.remove_orphans() == []
+    assert table.read().first().p_compra == 1.0
 
 
 def test_a_version_is_published_once(spark, tmp_path):
