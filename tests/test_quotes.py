@@ -111,3 +111,30 @@ def test_normalize(spark, rows):
         (3, 11, 3.0, None, datetime(2023, 11, 14, 22, 13, 21)),
     ]
     assert project_quotes(got).columns == got.columns
+
+
+def test_hot_coin_is_split_when_the_dimension_is_large(spark, tmp_path):
+    """Above the broadcast threshold the lookup shuffles, and adaptive execution splits the hot name's partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    name = F.when(F.rand(1) < 0.34, "coin_0").otherwise(F.concat(F.lit("coin_"), F.col("id").cast("string")))
+    spark.range(60000).repartition(8).select(name.alias("cripto_name"), "id").write.parquet(str(tmp_path / "q"))
+    spark.range(60000).selectExpr("cast(id as int) cripto_id", "concat('coin_', id) cripto_name").write.parquet(
+        str(tmp_path / "c")
+    )
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = lookup_coin(spark.read.parquet(str(tmp_path / "q")), spark.read.parquet(str(tmp_path / "c")))
+        assert len(found.collect()) == 60000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
