@@ -34,10 +34,12 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--warehouse", required=True)
         command.add_argument("--parts", type=int, default=64, help="parts of the quotes table, fixed by its first load")
         command.add_argument("--keep-versions", type=int)
+        command.add_argument("--publish", metavar="DATABASE", help="copy the tables into this database afterwards")
         command.add_argument("--shuffle-gb", type=float, help="largest expected shuffle; sizes its partitions")
         command.add_argument("--alert-to", help="recipient of the default alert rule")
         if name == "daily":
             command.add_argument("--poll-ts", type=datetime.fromisoformat, required=True)
+            command.add_argument("--run-ts", type=datetime.fromisoformat, help="load time; default: now, UTC")
         else:
             command.add_argument("--checkpoint", required=True)
             command.add_argument("--max-files", type=int, help="landed files per micro-batch; default: all in one")
@@ -58,10 +60,12 @@ def main(argv: list[str] | None = None) -> None:
     rules = default_rules(spark, args.alert_to) if args.alert_to else None
     if args.command == "daily":
         documents = documents_of_poll(read_documents(spark, args.landing), args.poll_ts)
-        run_daily_load(warehouse, documents, rules=rules)
+        run_daily_load(warehouse, documents, args.run_ts, rules=rules)
     else:
         landed = stream_documents(spark, args.landing, max_files_per_trigger=args.max_files)
         run_available(warehouse, landed, args.checkpoint, rules=rules)
+    if args.publish:
+        warehouse.publish(args.publish)
 
 
 if __name__ == "__main__":

@@ -34,6 +34,7 @@ from cambio.schemas import (
     coin_dimension,
 )
 from cambio.session import configure
+from cambio.sinks.catalog import load_table
 from cambio.sinks.load import load, replace_staging
 from cambio.sinks.snapshots import SnapshotTable
 
@@ -80,6 +81,11 @@ class Warehouse:
     def brokers(self) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{BROKERS_TABLE.name}", BROKERS_TABLE)
 
+    def publish(self, database: str) -> None:
+        """Replace the rows of the three catalog tables by the current versions, for readers that go by the catalog."""
+        for table in (self.quotes, self.coins, self.brokers):
+            load_table(table.read(), table.spec, database, if_exists="replace")
+
     def register_views(self, prefix: str = "") -> None:
         """Temporary views of the three tables' current versions, for SQL under the tables' own names.
 

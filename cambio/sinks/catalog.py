@@ -1,9 +1,10 @@
-"""Table definitions in the session catalog."""
+"""Table definitions in the session catalog, and loads into the tables by name."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from cambio.operators.constraints import enforce
 from cambio.schemas import TABLES, TableSpec
 
 
@@ -27,3 +28,16 @@ def define_tables(spark: SparkSession, database: str, buckets: int = 32, reset:
         if reset:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{spec.name}")
         spark.sql(create_statement(spec, database, buckets))
+
+
+def load_table(rows: DataFrame, spec: TableSpec, database: str, if_exists: str = "append") -> None:
+    """Load into a catalog table, constraints checked: ``append``, ``replace`` its rows, or ``fail`` where it exists."""
+    spark, name = rows.sparkSession, f"{database}.{spec.name}"
+    if if_exists not in ("fail", "replace", "append"):
+        raise KeyError(if_exists)
+    exists = spark.catalog.tableExists(name)
+    if exists and if_exists == "fail":
+        raise ValueError(f"table {name} exists")
+    if not exists:
+        spark.sql(create_statement(spec, database, buckets=32))
+    enforce(rows, spec).write.insertInto(name, overwrite=if_exists == "replace")

@@ -47,7 +47,7 @@ from cambio.schemas import (
     local_relation,
 )
 from cambio.session import configure, work_dir
-from cambio.sinks.catalog import define_tables
+from cambio.sinks.catalog import define_tables, load_table
 from cambio.sinks.load import append_staging, replace_staging
 from cambio.sources.landing import documents_of_poll, land_documents, read_documents, stream_documents
 from cambio.streaming.incremental import run_available
@@ -293,8 +293,8 @@ def table_layout(t: Fixtures) -> DataFrame:
         "criptomonedas": t.li_coins().select("*", loaded),
         "cotizaciones": as_quotes_table(poll),
     }
-    for name, frame in rows.items():
-        frame.write.insertInto(f"{database}.{name}")
+    for spec in TABLES:
+        load_table(rows[spec.name], spec, database)
     described = [
         (spec.name, position, column.col_name, column.data_type)
         for spec in TABLES

@@ -58,7 +58,14 @@ def test_poll_land_and_load(spark, tmp_path, rows):
     main(["stream", *options, "--checkpoint", str(tmp_path / "cp")])
     table = Warehouse(spark, root).quotes
     assert rows(table.read()) == [(1, 1, 50000.5, 1.0, date(2024, 1, 28))]
-    main(["daily", *options, "--poll-ts", "2024-01-28T09:00:00"])
+    spark.sql("CREATE DATABASE published")
+    main(["daily", *options, "--poll-ts", "2024-01-28T09:00:00", "--publish", "published"])
+    assert spark.sql(
+        "SELECT p_compra FROM published.cotizaciones WHERE cripto_id = 1 AND broker_id = 1 "
+        "ORDER BY fecha_cotizacion DESC NULLS FIRST LIMIT 1"
+    ).first() == (50000.5,)
+    assert (spark.table("published.criptomonedas").count(), spark.table("published.brokers").count()) == (3, 11)
+    spark.sql("DROP DATABASE published CASCADE")
     assert rows(table.read()) == [(1, 1, 50000.5, 1.0, date(2023, 11, 14))]
     main(["poll", "--base-url", url, "--landing", landing, "--coins", "btc"])
     assert read_documents(spark, landing).count() == 4

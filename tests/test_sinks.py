@@ -10,7 +10,7 @@ from cambio.operators.constraints import enforce, violations
 from cambio.operators.upsert import inspect_source
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
 from cambio.plans.daily import Warehouse, load_quotes, merge_staged_quotes
-from cambio.sinks.catalog import define_tables
+from cambio.sinks.catalog import define_tables, load_table
 from cambio.sinks.load import append_staging, jdbc_options, load, read_staging, replace_staging, truncate_staging
 from cambio.sinks.snapshots import SnapshotTable
 
@@ -213,3 +213,20 @@ def test_define_tables(spark):
     define_tables(spark, "quotes_db", reset=True)
     assert spark.table("quotes_db.stg_brokers").count() == 0
     spark.sql("DROP DATABASE quotes_db CASCADE")
+
+
+def test_load_catalog_tables(spark, tmp_path, rows):
+    spark.sql("CREATE DATABASE load_db")
+    row = staged(spark, (1, 1, 1.0, None, T1))
+    load_table(row, STG_QUOTES, "load_db", "fail")
+    with pytest.raises(ValueError, match="exists"):
+        load_table(row, STG_QUOTES, "load_db", "fail")
+    load_table(row, STG_QUOTES, "load_db")
+    assert spark.table("load_db.stg_cotizaciones").count() == 2
+    load_table(row, STG_QUOTES, "load_db", "replace")
+    assert rows(spark.table("load_db.stg_cotizaciones")) == [(1, 1, 1.0, None, T1)]
+    with pytest.raises(PySparkException, match="must not be NULL"):
+        load_table(staged(spark, (1, 1, None, None, T1)), STG_QUOTES, "load_db")
+    with pytest.raises(KeyError):
+        load_table(row, STG_QUOTES, "load_db", "merge")
+    spark.sql("DROP DATABASE load_db CASCADE")
