@@ -59,6 +59,7 @@ class Warehouse:
     keep_versions: int | None = None
 
     def committed(self, table: SnapshotTable, version: int) -> int:
+        log.info("%s is at version %d", table.spec.name, version)
         if self.keep_versions:
             table.expire(self.keep_versions)
         return version

@@ -114,7 +114,8 @@ def _merged(picked: str, insert_date: str) -> str:
 
 def _two_loads(picked: str) -> str:
     """The same when the baseline itself was loaded into an empty table: its rows carry the first load date."""
-    first = f"(SELECT * REPLACE (CASE WHEN side = 'baseline' THEN {BASELINE} ELSE fecha_cotizacion END AS fecha_cotizacion) FROM {picked})"
+    date = f"CASE WHEN side = 'baseline' THEN {BASELINE} ELSE fecha_cotizacion END"
+    first = f"(SELECT * REPLACE ({date} AS fecha_cotizacion) FROM {picked})"
     return _merged(first, RUN)
 
 

@@ -11,7 +11,7 @@ from cambio.operators.upsert import inspect_source
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
 from cambio.plans.daily import Warehouse, load_quotes, merge_staged_quotes
 from cambio.sinks.catalog import define_tables, load_table
-from cambio.sinks.load import append_staging, jdbc_options, load, read_staging, replace_staging, truncate_staging
+from cambio.sinks.load import append_staging, jdbc_options, load, replace_staging, truncate_staging
 from cambio.sinks.snapshots import SnapshotTable
 
 T1 = datetime(2024, 1, 28, 5)
@@ -137,7 +137,8 @@ def test_commit_of_some_parts_keeps_the_others(spark, tmp_path, rows):
 def test_an_initial_load_writes_few_files(spark, tmp_path):
     """Many staged tasks into many parts: the inserted rows are brought together first."""
     source = spark.range(0, 2000, 1, 16).selectExpr(
-        "cast(id as int) cripto_id", "1 broker_id", "1d p_compra", "1d p_venta", "timestamp_ntz'2024-01-01 00:00:00' fecha_cotizacion"
+        "cast(id as int) cripto_id", "1 broker_id", "1d p_compra", "1d p_venta",
+        "timestamp_ntz'2024-01-01 00:00:00' fecha_cotizacion",
     )
     w = Warehouse(spark, str(tmp_path / "w"), parts=8)
     source.write.parquet(str(tmp_path / "s"))
