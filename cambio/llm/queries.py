@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cambio.llm import langid, toxicity
 from cambio.llm.bpe import token_digests
-from cambio.llm.common import read_table
+from cambio.llm.common import id_remainder, read_table
 from cambio.llm.packing import pack_documents
 
 #: The vocabulary file of the queries; a parameter of the operators.
@@ -20,6 +22,26 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    documents = read_table(spark, sf_dir, "documents")
+    net = langid.learn(documents.where(id_remainder("doc_id", 5) != 0))
+    answers = langid.identify(documents, net)
+    return answers.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labelled documents that are not held out."""
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.learn(
+        documents.where(id_remainder("doc_id", 4) != 2),
+        labels.where(id_remainder("doc_id", 4) != 2),
+        calibration=id_remainder("doc_id", 4) == 3,
+    )
+    answers = toxicity.score_documents(documents, model)
+    return answers.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     return token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -27,6 +49,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
+    "op3_toxicity": op3_toxicity,
     "op8_bpe": op8_bpe,
 }
 
