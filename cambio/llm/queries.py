@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from cambio.llm import langid, toxicity
 from cambio.llm.bpe import token_digests
 from cambio.llm.common import id_remainder, read_table
+from cambio.llm.licenses import scan_licences
 from cambio.llm.packing import pack_documents
+from cambio.llm.warc import assemble, classify_pages, read_archives, write_archives
+from cambio.session import work_dir
 
 #: The vocabulary file of the queries; a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +45,30 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives, read back and assembled, a row per page."""
+    path = work_dir(spark, "archives")
+    write_archives(classify_pages(read_table(spark, sf_dir, "pages")), path)
+    captures = assemble(read_archives(spark, path, with_payload=False))
+    digest = F.coalesce("answer.payload_sha256", F.substring_index("answer.header_digest", ":", -1))
+    refers_to = F.regexp_extract("answer.refers_to", "^<urn:x-page:([0-9-]+):capture>$", 1)
+    return captures.select(
+        F.element_at(F.element_at("metadata", 1)["fields"], "page-id").alias("page_id").try_cast("bigint").alias("page_id"),
+        F.col("answer.payload_bytes").alias("payload_bytes"),
+        digest.alias("payload_digest"),
+        "record_type",
+        refers_to.try_cast("bigint").alias("refers_to"),
+    )
+
+
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence phrases, tags and labels of every document."""
+    found = scan_licences(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     return token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -51,7 +78,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
+    "op5_licences": op5_licences,
     "op8_bpe": op8_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS n FROM pages),
+        firsts AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN firsts ON p.digest = firsts.digest AND n >= 100
+    """,
+}
