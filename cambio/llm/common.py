@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +49,39 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
             size += len(text)
         if texts:
             yield batch.slice(first), texts[first:]
+
+
+#: Bits of an id sketch: 8 MB, whatever the number of ids.
+SKETCH_BITS = 26
+
+
+def id_sketch(ids: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size in which every id has its bit set; other ids have theirs set now and then.
+
+    It lets a scan drop most rows that a join would drop, before they are shuffled. At most 2 ** (SKETCH_BITS - 6) rows
+    reach the driver.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(1 << SKETCH_BITS))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    words = (
+        ids.select(place.alias("place"))
+        .groupBy(F.expr("place div 64").alias("word"))
+        .agg(F.bit_or(bit).alias("bits"))
+        .toArrow()
+    )
+    sketch = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
+    sketch[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return sketch
+
+
+def maybe_in(spark: SparkSession, sketch: np.ndarray, column: str) -> Column:
+    """Whether an id may be among those of the sketch; a null id is not."""
+    shared = spark.sparkContext.broadcast(sketch)
+
+    @F.pandas_udf("boolean")
+    def hit(place: pd.Series) -> pd.Series:
+        at = place.to_numpy().astype(np.uint64)
+        return pd.Series(((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool))
+
+    place = F.pmod(F.xxhash64(column), F.lit(1 << SKETCH_BITS))
+    return F.col(column).isNotNull() & hit(place)

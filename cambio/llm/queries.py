@@ -12,6 +12,7 @@ from cambio.llm import langid, toxicity
 from cambio.llm.bpe import token_digests
 from cambio.llm.common import id_remainder, read_table
 from cambio.llm.licenses import scan_licences
+from cambio.llm.minhash import near_duplicates
 from cambio.llm.packing import pack_documents
 from cambio.llm.warc import assemble, classify_pages, read_archives, write_archives
 from cambio.session import work_dir
@@ -69,6 +70,11 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     return token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_licences": op5_licences,
+    "op7_minhash": op7_minhash,
     "op8_bpe": op8_bpe,
 }
 
