@@ -23,6 +23,8 @@ from cambio.llm.common import text_chunks
 #: Labelled chunks per language that the network learns from, and characters of each.
 SAMPLE_PER_LANGUAGE = 500
 SAMPLE_CHARS = 600
+#: The sample is drawn in two steps, first within so many shares of each language, so that no task gets all of one.
+SHARES = 64
 WINDOW_BYTES = 256
 EMBEDDING = 8
 WIDTHS = (2, 3, 4)
@@ -192,21 +194,22 @@ def _predictor(net: Network) -> Predictor:
 def training_sample(rows: DataFrame) -> list[tuple[str, str]]:
     """At most SAMPLE_PER_LANGUAGE (language, chunk of text) of each language, those whose id has the smallest hash.
 
-    The limit per language is applied in each task before the shuffle, so a language that holds most rows sends no more
-    than another. Texts without a letter teach nothing.
+    The limit is applied in each task before the shuffle, then in each share of a language, then to the language, so a
+    language that holds most rows is no burden to one task. Texts without a letter teach nothing.
     """
     place = F.xxhash64("doc_id", F.lit("chunk"))
     begin = F.pmod(place, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return [
-        (row.lang, row.text)
-        for row in rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("doc_id", "lang", F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text"))
-        .withColumn("place", F.row_number().over(by_hash))
-        .where(F.col("place") <= SAMPLE_PER_LANGUAGE)
-        .select("lang", "text")
-        .collect()
-    ]
+    order = (F.xxhash64("doc_id"), "doc_id", "text")
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "doc_id",
+        "lang",
+        F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text"),
+        F.pmod(F.xxhash64("doc_id", F.lit("share")), F.lit(SHARES)).alias("share"),
+    )
+    for group in (["lang", "share"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        rows = rows.withColumn("place", place).where(F.col("place") <= SAMPLE_PER_LANGUAGE)
+    return [(row.lang, row.text) for row in rows.select("lang", "text").collect()]
 
 
 def learn(labelled: DataFrame) -> Network | None:

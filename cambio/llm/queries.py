@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cambio.llm import langid, toxicity
@@ -14,6 +14,7 @@ from cambio.llm.common import id_remainder, read_table
 from cambio.llm.licenses import scan_licences
 from cambio.llm.minhash import near_duplicates
 from cambio.llm.packing import pack_documents
+from cambio.llm.pii import KINDS, find_personal_data, span_texts
 from cambio.llm.warc import assemble, classify_pages, read_archives, write_archives
 from cambio.session import work_dir
 
@@ -70,6 +71,26 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document: counts, digests and spans."""
+    found = find_personal_data(read_table(spark, sf_dir, "documents"))
+    terms = F.transform("terms", lambda t: F.concat(t["kind"], F.lit(":"), t["start"], F.lit(":"), t["end"]))
+    every = F.concat(span_texts(KINDS), F.array_sort(terms, _by_kind_and_start))
+    return found.select(
+        "doc_id",
+        *[F.size(f"_{kind}").cast("bigint").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(F.array_join(span_texts(KINDS), ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join(every, ",").alias("spans"),
+    )
+
+
+def _by_kind_and_start(a: Column, b: Column) -> Column:
+    place = lambda t: F.split(t, ":")
+    one = F.struct(place(a)[0], place(a)[1].cast("int"))
+    other = F.struct(place(b)[0], place(b)[1].cast("int"))
+    return F.when(one < other, -1).when(one > other, 1).otherwise(0)
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -86,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_licences": op5_licences,
+    "op6_pii": op6_pii,
     "op7_minhash": op7_minhash,
     "op8_bpe": op8_bpe,
 }
