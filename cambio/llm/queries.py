@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cambio.llm import langid, toxicity
 from cambio.llm.bpe import token_digests
 from cambio.llm.common import id_remainder, read_table
+from cambio.llm.itq import near_duplicate_vectors
 from cambio.llm.licenses import scan_licences
 from cambio.llm.minhash import near_duplicates
 from cambio.llm.packing import pack_documents
@@ -101,6 +102,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every vector, and its number of links."""
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": op6_pii,
     "op7_minhash": op7_minhash,
     "op8_bpe": op8_bpe,
+    "op10_itq": op10_itq,
 }
 
 ORACLE_SQL: dict[str, str] = {
