@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cambio.llm import langid, toxicity
 from cambio.llm.bpe import token_digests
 from cambio.llm.common import id_remainder, read_table
+from cambio.llm.covertree import top_inner_products
 from cambio.llm.itq import near_duplicate_vectors
 from cambio.llm.licenses import scan_licences
 from cambio.llm.minhash import near_duplicates
@@ -102,6 +103,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every fiftieth vector among all others."""
+    return top_inner_products(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every vector, and its number of links."""
     return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": op6_pii,
     "op7_minhash": op7_minhash,
     "op8_bpe": op8_bpe,
+    "op9_covertree": op9_covertree,
     "op10_itq": op10_itq,
 }
 
@@ -128,4 +135,56 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN first <> page_id THEN first END AS refers_to
         FROM p LEFT JOIN firsts ON p.digest = firsts.digest AND n >= 100
     """,
+    "op7_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM words),
+        shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT doc_id AS id, doc_id AS least FROM sets
+            UNION
+            SELECT links.b, reach.least FROM reach JOIN links ON links.a = reach.id AND reach.least < links.b)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(least) AS component_id, doc_id = min(least) AS kept
+        FROM sets JOIN reach ON id = doc_id GROUP BY doc_id, len(s)
+    """,
+    "op9_covertree": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scores)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op10_itq": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach AS (
+            SELECT vec_id AS id, vec_id AS least FROM embeddings
+            UNION
+            SELECT links.b, reach.least FROM reach JOIN links ON links.a = reach.id AND reach.least < links.b),
+        least AS (SELECT id, min(least) AS component_id FROM reach GROUP BY id),
+        degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+        SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
+        FROM least LEFT JOIN degree USING (id)
+    """,
 }
