@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cambio.llm.common import text_chunks
+from cambio.llm.common import id_sketch, maybe_in, text_chunks
 
 WORD_BITS = 19
-PAIR_BITS = 21
+PAIR_BITS = 19
 #: Taken off a class's count of a word or a pair, and off the pooled count of a word.
 CLASS_DISCOUNT = 3.0
 POOLED_DISCOUNT = 0.75
@@ -84,7 +84,7 @@ def _buckets(word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarr
     shift = np.uint64(64 - WORD_BITS)
     return (
         (word >> shift).astype(np.int64),
-        (_mixed(before) >> shift).astype(np.int64),  # another table than the words': contexts
+        (before >> shift).astype(np.int64),
         (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64),
     )
 
@@ -95,44 +95,47 @@ def _distinct(bits: np.ndarray) -> np.ndarray:
     return -64 * np.log1p(-np.minimum(ones, 63.5) / 64)
 
 
-COUNT_SCHEMA = "kind int, bucket int, ordinary bigint, toxic bigint, bits bigint"
-WORD, CONTEXT, PAIR = 0, 1, 2
+COUNT_SCHEMA = "kind int, bucket int, ordinary bigint, toxic bigint, before bigint, after bigint"
+WORD, PAIR = 0, 1
 
 
 def count_expressions(labelled: DataFrame) -> DataFrame:
     """Counts (COUNT_SCHEMA) by bucket over all rows (text, toxic).
 
-    A word's bitmap is of the words before it, a context's of the words after it. Each task adds up its rows in arrays
-    before anything is shuffled.
+    A word's bitmaps are of the words before it and after it. Each task adds up its rows in arrays before anything is
+    shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = {WORD: 1 << WORD_BITS, CONTEXT: 1 << WORD_BITS, PAIR: 1 << PAIR_BITS}
+        sizes = {WORD: 1 << WORD_BITS, PAIR: 1 << PAIR_BITS}
         counts = {kind: np.zeros((2, n), np.int64) for kind, n in sizes.items()}
-        bits = {kind: np.zeros(n, np.uint64) for kind, n in sizes.items()}
+        bits = np.zeros((2, 1 << WORD_BITS), np.uint64)
         for batch, texts in text_chunks(batches):
             toxic = np.array(batch.column("toxic").to_pylist(), dtype=np.int64)
             text, word, before = words_and_pairs(texts)
             w, v, p = _buckets(word, before)
             one = np.uint64(1)
-            np.bitwise_or.at(bits[WORD], w, one << (before & np.uint64(63)))
-            np.bitwise_or.at(bits[CONTEXT], v, one << (word & np.uint64(63)))
-            for kind, bucket in ((WORD, w), (CONTEXT, v), (PAIR, p)):
+            np.bitwise_or.at(bits[0], w, one << (before & np.uint64(63)))
+            np.bitwise_or.at(bits[1], v, one << (word & np.uint64(63)))
+            for kind, bucket in ((WORD, w), (PAIR, p)):
                 held = np.unique(text << 32 | bucket)  # once per text, however often a text repeats it
                 label, bucket = toxic[held >> 32], held & 0xFFFFFFFF
                 for c in (0, 1):
                     counts[kind][c] += np.bincount(bucket[label == c], minlength=sizes[kind])
         for kind, (ordinary, tox) in counts.items():
             some = np.flatnonzero(ordinary + tox)
-            columns = [np.full(len(some), kind, np.int32), some.astype(np.int32), ordinary[some], tox[some]]
-            columns.append(bits[kind][some].view(np.int64))
+            maps = [m[some].view(np.int64) if kind == WORD else np.zeros(len(some), np.int64) for m in bits]
+            columns = [np.full(len(some), kind, np.int32), some.astype(np.int32), ordinary[some], tox[some], *maps]
             for begin in range(0, len(some), 100_000):
                 part = [pa.array(c[begin : begin + 100_000]) for c in columns]
                 yield pa.RecordBatch.from_arrays(part, names=[c.split(" ")[0] for c in COUNT_SCHEMA.split(", ")])
 
     counted = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, COUNT_SCHEMA)
     return counted.groupBy("kind", "bucket").agg(
-        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), F.bit_or("bits").alias("bits")
+        F.sum("ordinary").alias("ordinary"),
+        F.sum("toxic").alias("toxic"),
+        F.bit_or("before").alias("before"),
+        F.bit_or("after").alias("after"),
     )
 
 
@@ -141,8 +144,8 @@ class KneserNey:
     """What scoring looks up, by bucket; and the calibration. Rows 0 and 1 are the classes, row 2 both together."""
 
     unigram: np.ndarray  # 3 x words: P(w)
-    context: np.ndarray  # 3 x contexts: count of v
-    left: np.ndarray  # 3 x contexts: weight of the backoff, in observations
+    context: np.ndarray  # 3 x words: count of v
+    left: np.ndarray  # 3 x words: weight of the backoff, in observations
     pair: np.ndarray  # 3 x pairs: discounted count of (v, w)
     weights: np.ndarray  # of the features, the constant first
     centre: np.ndarray
@@ -150,19 +153,19 @@ class KneserNey:
 
 
 def build_model(counts: DataFrame) -> KneserNey:
-    """The models of both classes from the counts: at most 2 ** (WORD_BITS + 1) + 2 ** PAIR_BITS rows reach the driver."""
+    """The models of both classes from the counts: at most 2 ** WORD_BITS + 2 ** PAIR_BITS rows reach the driver."""
     found = counts.toArrow()
     kind, bucket = found["kind"].to_numpy(), found["bucket"].to_numpy()
     by_class = np.stack([found["ordinary"].to_numpy(), found["toxic"].to_numpy()]).astype(np.float64)
-    neighbours = _distinct(found["bits"].to_numpy().view(np.uint64))
+    neighbours = np.stack([_distinct(found[side].to_numpy().view(np.uint64)) for side in ("before", "after")])
 
     def table(size: int, of: int, values: np.ndarray) -> np.ndarray:
-        out = np.zeros((*values.shape[:-1], size))
-        out[..., bucket[kind == of]] = values[..., kind == of]
+        out = np.zeros((len(values), size))
+        out[:, bucket[kind == of]] = values[:, kind == of]
         return out
 
     words, pairs = 1 << WORD_BITS, 1 << PAIR_BITS
-    count, after = table(words, WORD, by_class), table(words, WORD, neighbours)
+    count, (after, kinds) = table(words, WORD, by_class), table(words, WORD, neighbours)
     pooled = count.sum(axis=0)
     unseen = (after + 1) / (after.sum() + words)  # every bucket has some mass: unknown words are possible
     direct = np.maximum(pooled - POOLED_DISCOUNT, 0)
@@ -170,8 +173,7 @@ def build_model(counts: DataFrame) -> KneserNey:
     direct = np.maximum(count - CLASS_DISCOUNT, 0)
     total = count.sum(axis=1, keepdims=True) + 1
     unigram = (direct + (total - direct.sum(axis=1, keepdims=True)) * shared) / total
-    context, kinds = table(words, CONTEXT, by_class), table(words, CONTEXT, neighbours)
-    context = np.concatenate([context, context.sum(axis=0, keepdims=True)])
+    context = np.concatenate([count, pooled[None]])
     discount = np.array([[CLASS_DISCOUNT], [CLASS_DISCOUNT], [POOLED_DISCOUNT]])
     left = STRENGTH + discount * np.minimum(kinds, context)
     count = table(pairs, PAIR, by_class)
@@ -254,7 +256,11 @@ def learn(documents: DataFrame, labels: DataFrame, calibration) -> KneserNey:
     )
     known = votes.where(F.col("toxic") == F.col("most")).select("doc_id", "toxic")
     texts = documents.select("doc_id", "text")
-    counted = texts.where(~calibration).join(known.where(~calibration), "doc_id")
+    counting = known.where(~calibration)
+    # only texts that have a label are shuffled: the sketch of the ids, of fixed size, drops most others in the scan.
+    # The plan is the same at every size, and its tasks hold many texts, so their sums are worth their shuffle.
+    maybe = maybe_in(documents.sparkSession, id_sketch(counting, "doc_id"), "doc_id")
+    counted = texts.where(~calibration).where(maybe).hint("merge").join(counting, "doc_id")
     model = build_model(count_expressions(counted))
     # a bounded sample, so its ids may be broadcast: the texts need no shuffle a second time
     sample = known.where(calibration).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
