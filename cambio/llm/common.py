@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cambio.session import work_dir
 
 #: Texts are handled in chunks of about so many characters, so that memory does not follow the batch size.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
