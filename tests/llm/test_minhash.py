@@ -1,0 +1,155 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cambio.llm import buckets, minhash
+from cambio.llm.components import components
+from cambio.llm.minhash import drop_near_duplicates, near_duplicates
+from cambio.llm.shingles import hash_functions, minima, shingle_sets
+from tests.llm.helpers import ODD_TEXTS, odd_documents
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    """{doc_id: (size, component)} by all pairs."""
+    sets = {i: shingles(t) for i, t in rows if i is not None}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    return {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+def answer(frame):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in frame.where("doc_id IS NOT NULL").collect()}
+
+
+def varied(base, r, changes):
+    words = base.split()
+    for _ in range(changes):
+        words[r.randrange(len(words))] = f"w{r.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_shingle_sets():
+    texts = ["", " \t\n", "a", "a b c d", "a b c d e", "A B c d e", "a b c d e a b c d e a", "b a", "x" * 5000, "é\x0bu\x0c1 2 3"]
+    got = shingle_sets(texts)
+    assert [len(s) for s in got] == [len(shingles(t)) for t in texts]
+    assert np.array_equal(got[4], got[5]) and not np.array_equal(got[2], got[7])
+    one = shingle_sets(["a b c d"])[0]
+    assert np.array_equal(one, got[3])
+
+
+def test_minima_estimate_similarity():
+    r = np.random.default_rng(0)
+    common, a, b = (np.unique(r.integers(0, 2**63, n).astype(np.uint64)) for n in (6000, 1000, 1000))
+    sets = [np.sort(np.concatenate([common, x])) for x in (a, b)]
+    low = minima(sets, hash_functions(512))
+    assert (low[0] == low[1]).mean() == pytest.approx(0.75, abs=0.07)
+
+
+@pytest.mark.parametrize("cell", [512, 3])
+def test_against_all_pairs(spark, monkeypatch, cell):
+    """Groups about the threshold, a chain, copies, and documents that share a passage; also with tiny cells."""
+    monkeypatch.setattr(buckets, "CELL_MEMBERS", cell)
+    r = random.Random(4)
+    base = " ".join(f"b{r.randrange(5000)}" for _ in range(120))
+    rows = [(i, varied(base, r, r.randint(0, 6))) for i in range(60)]
+    chain = base
+    for i in range(60, 90):
+        chain = varied(chain, r, 2)
+        rows.append((i, chain))
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows += [(i, passage + " " + " ".join(f"q{r.randrange(10**6)}" for _ in range(40))) for i in range(90, 120)]
+    rows += [(i, base) for i in range(120, 150)]
+    got = answer(near_duplicates(odd_documents(spark, [(i, t, "en") for i, t in rows])))
+    assert got == brute(rows)
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    frame = near_duplicates(docs)
+    assert frame.count() == len(ODD_TEXTS)
+    assert answer(frame) == brute([(i, t) for i, t, _ in ODD_TEXTS])
+    null_rows = frame.where("doc_id IS NULL").collect()
+    assert len(null_rows) == 2 and all(r.component_id is None and r.kept for r in null_rows)
+    assert near_duplicates(docs.where("false")).count() == 0
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 2, 3, 5, 6, 7, 8]
+    assert kept.where("doc_id IS NULL").count() == 2
+    assert drop_near_duplicates(docs.where("false")).count() == 0
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 14), st.integers(0, 14)), max_size=25))
+def test_components(spark, edges):
+    parent = {v: v for e in edges for v in e if e[0] != e[1]}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    assert {r.id: r.component for r in components(frame).collect()} == {v: root(v) for v in parent}
+
+
+def test_a_long_path(spark):
+    edges = spark.range(0, 300).selectExpr("id AS a", "id + 1 AS b")
+    got = components(edges)
+    assert got.count() == 301 and got.where("component <> 0").count() == 0
+
+
+def test_every_two_members_meet_in_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "CELL_MEMBERS", 4)
+    members = spark.range(0, 40).selectExpr("7 AS key", "id", "CASE WHEN id < 25 THEN 0 ELSE id END AS component")
+    dealt = buckets.cells(members).collect()
+    seen = {}
+    for r in dealt:
+        seen.setdefault((r.p, r.q), []).append(r)
+    met = {}
+    for cell in seen.values():
+        for a, b in itertools.combinations(cell, 2):
+            if a.component != b.component and (not a.again or a.main != b.main):
+                met[frozenset((a.id, b.id))] = met.get(frozenset((a.id, b.id)), 0) + 1
+    wanted = {frozenset((a, b)) for a in range(40) for b in range(25, 40) if a != b}
+    assert set(met) == wanted and max(met.values()) <= 2
+    within = buckets.cells_within(spark.range(0, 30).selectExpr("id % 2 AS component", "id")).collect()
+    pairs = {}
+    for r in within:
+        pairs.setdefault((r.component, r.p, r.q), []).append(r)
+    count = {}
+    for (_, p, q), cell in pairs.items():
+        for a, b in itertools.combinations(cell, 2):
+            if p == q or a.first != b.first:
+                count[frozenset((a.id, b.id))] = count.get(frozenset((a.id, b.id)), 0) + 1
+    assert count == {frozenset((a, b)): 1 for a in range(30) for b in range(a + 2, 30, 2)}
+
+
+def test_threshold_is_exact():
+    one = np.arange(75, dtype=np.int64)
+    assert minhash.alike(one, np.arange(100, dtype=np.int64)) and not minhash.alike(one, np.arange(101, dtype=np.int64))
