@@ -110,7 +110,8 @@ def postfix(expression: str) -> list[str]:
 def evaluate(expression: str) -> Choice:
     """The ways to comply with a licence expression. ``with`` attaches an exception to one licence."""
     stack: list[frozenset[frozenset[str]]] = []
-    for token in postfix(expression):
+    tokens = postfix(expression)
+    for token in tokens:
         if token not in OPERATORS:
             stack.append(frozenset([frozenset([token])]))
             continue
@@ -118,6 +119,8 @@ def evaluate(expression: str) -> Choice:
         if token == "or":
             stack.append(left | right)
         elif token == "and":
+            if len(left) * len(right) > MOST_WAYS:
+                return Choice(frozenset([frozenset(t for t in tokens if t not in OPERATORS)]))
             stack.append(_least(a | b for a in left for b in right))
         else:
             if len(left) != 1 or len(right) != 1 or len(next(iter(left))) != 1 or len(next(iter(right))) != 1:
@@ -127,21 +130,18 @@ def evaluate(expression: str) -> Choice:
     return Choice(_least(stack.pop()))
 
 
-#: Ways that are kept apart. An expression with more is read as one that needs all its licences, the strictest reading.
+#: Ways that are kept apart while an expression is evaluated. One with more is read as needing all its licences, the
+#: strictest reading; which licences it names is not affected.
 MOST_WAYS = 256
 
 
 def _least(ways) -> frozenset[frozenset[str]]:
     """Without ways that contain another way, which is easier to follow."""
     kept: list[frozenset[str]] = []
-    every: set[str] = set()
-    for n, way in enumerate(sorted(set(ways), key=lambda w: (len(w), sorted(w)))):
-        every |= way
-        if n >= MOST_WAYS:
-            continue
+    for way in sorted(set(ways), key=lambda w: (len(w), sorted(w))):
         if not any(k <= way for k in kept):
             kept.append(way)
-    return frozenset([frozenset(every)]) if len(kept) >= MOST_WAYS else frozenset(kept)
+    return frozenset(kept)
 
 
 def family(identifier: str) -> str:

@@ -39,6 +39,7 @@ COLLISION_MARGIN = 4.0
 CALIBRATION_ROWS = 20_000
 #: Words of the span whose difference of log-likelihoods is largest, a second view beside the whole text.
 SPAN_WORDS = 2
+FEATURES = 3
 THRESHOLD = 0.3
 
 _LETTER_CODES = np.zeros(256, np.uint64)
@@ -182,7 +183,7 @@ def build_model(counts: DataFrame) -> KneserNey:
     pair = np.maximum(count - discount - load - COLLISION_MARGIN * np.sqrt(load), 0)
     unigram = np.concatenate([unigram, shared[None]])
     tables = (t.astype(np.float32) for t in (unigram, context, left, pair))
-    return KneserNey(*tables, np.zeros(4), np.zeros(3), np.ones(3))
+    return KneserNey(*tables, np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
 
 
 def differences(model: KneserNey, word: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -200,8 +201,11 @@ def differences(model: KneserNey, word: np.ndarray, before: np.ndarray) -> np.nd
 
 
 def features(model: KneserNey, texts: list[str]) -> np.ndarray:
-    """Per text: difference of log-likelihoods by length, by its root, and of the most toxic span; 0 without words."""
-    out = np.zeros((len(texts), 3))
+    """Per text: difference of log-likelihoods by length, that of the most toxic span, and the logarithm of the length.
+
+    The last is there because the most toxic of many spans is larger by chance alone. All are 0 without words.
+    """
+    out = np.zeros((len(texts), FEATURES))
     text, word, before = words_and_pairs(texts)
     if not len(text):
         return out
@@ -210,12 +214,12 @@ def features(model: KneserNey, texts: list[str]) -> np.ndarray:
     sums = np.bincount(text, weights=diff, minlength=len(texts))
     some = n > 0
     out[some, 0] = sums[some] / n[some]
-    out[some, 1] = sums[some] / np.sqrt(n[some])
+    out[some, 2] = np.log1p(n[some])
     running = np.r_[0.0, np.cumsum(diff)]
     first = np.flatnonzero(np.r_[True, np.diff(text) > 0])
     begin = np.maximum(np.arange(1, len(diff) + 1) - SPAN_WORDS, np.repeat(first, np.diff(np.r_[first, len(diff)])))
     spans = running[1:] - running[begin]
-    out[text[first], 2] = np.maximum.reduceat(spans, first)
+    out[text[first], 1] = np.maximum.reduceat(spans, first)
     return out
 
 
@@ -226,7 +230,7 @@ def calibrate(model: KneserNey, x: np.ndarray, y: np.ndarray) -> None:
         return
     model.centre, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.c_[np.ones(len(y)), (x - model.centre) / model.scale]
-    beta, ridge = np.zeros(4), np.diag([1e-6, 1e-3, 1e-3, 1e-3]) * len(y)
+    beta, ridge = np.zeros(FEATURES + 1), np.diag([1e-6, *[1e-3] * FEATURES]) * len(y)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
         hessian = (z * (p * (1 - p))[:, None]).T @ z + ridge
@@ -266,19 +270,20 @@ def learn(documents: DataFrame, labels: DataFrame, calibration) -> KneserNey:
     sample = known.where(calibration).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     scored = texts.where(calibration).join(F.broadcast(sample), "doc_id")
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    names = [f"feature_{k}" for k in range(FEATURES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, chunk in text_chunks(batches):
             x = features(shared.value, chunk)
-            columns = [batch.column("toxic"), *[pa.array(x[:, k]) for k in range(3)]]
-            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "a", "b", "c"])
+            columns = [batch.column("toxic"), *[pa.array(x[:, k]) for k in range(FEATURES)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", *names])
 
     rows = scored.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
-        run, "toxic int, a double, b double, c double"
+        run, "toxic int, " + ", ".join(f"{name} double" for name in names)
     )
     found = rows.toArrow()
-    order = np.lexsort([found[k].to_numpy() for k in ("a", "b", "c", "toxic")])
-    x = np.stack([found[k].to_numpy() for k in ("a", "b", "c")], axis=1)[order]
+    order = np.lexsort([found[k].to_numpy() for k in (*names, "toxic")])
+    x = np.stack([found[k].to_numpy() for k in names], axis=1)[order]
     calibrate(model, x, found["toxic"].to_numpy()[order])
     return model
 

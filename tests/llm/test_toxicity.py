@@ -9,7 +9,11 @@ from cambio.llm.common import id_remainder
 from cambio.llm.queries import op3_toxicity
 from tests.llm.helpers import HAVE_TABLES, ODD_TEXTS, SF_DIR, odd_documents
 
-FOLD3 = id_remainder("doc_id", 4) == 3
+
+
+def fold3():
+    return id_remainder("doc_id", 4) == 3
+
 
 
 def corpus(spark, n=1200):
@@ -38,7 +42,7 @@ def test_words_and_pairs():
 
 def test_planted_words_are_learned(spark):
     docs, labels = corpus(spark)
-    model = toxicity.learn(docs.where("doc_id % 5 <> 0"), labels, FOLD3)
+    model = toxicity.learn(docs.where("doc_id % 5 <> 0"), labels, fold3())
     got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
     held = [i for i in got if i % 5 == 0]
     toxic = [got[i].score for i in held if i % 8 == 0]
@@ -53,7 +57,7 @@ def test_planted_words_are_learned(spark):
 
 def test_long_documents_are_normalised(spark):
     docs, labels = corpus(spark)
-    model = toxicity.learn(docs, labels, FOLD3)
+    model = toxicity.learn(docs, labels, fold3())
     clean = docs.where("doc_id % 8 = 1").agg(F.array_join(F.collect_list("text"), " ").alias("t")).first().t
     assert toxicity.scores(model, [clean, clean + " vile"])[0] < toxicity.THRESHOLD
 
@@ -71,11 +75,11 @@ def test_odd_documents(spark):
         [(3, 1, 1), (7, 1, 0), (7, 1, 0), (8, None, None), (None, 1, 1), (6, 1, 0), (6, 1, 1), (4, 1, 7)],
         "doc_id bigint, quality int, toxic int",
     )
-    model = toxicity.learn(docs, labels, FOLD3)
+    model = toxicity.learn(docs, labels, fold3())
     got = toxicity.score_documents(docs, model).collect()
     assert len(got) == len(ODD_TEXTS) and all(0 <= r.score <= 1 for r in got)
     assert all(r.predicted == int(r.score >= toxicity.THRESHOLD) for r in got)
-    empty = toxicity.learn(docs, labels.where("false"), FOLD3)
+    empty = toxicity.learn(docs, labels.where("false"), fold3())
     assert {r.predicted for r in toxicity.score_documents(docs, empty).collect()} == {0}
     assert toxicity.score_documents(docs.where("false"), empty).count() == 0
     assert toxicity.drop_toxic(docs, empty).count() == len(ODD_TEXTS)
