@@ -10,7 +10,7 @@ CELL_MEMBERS = 512
 
 
 def cells(members: DataFrame) -> DataFrame:
-    """(key, p, q, id, component, main) rows: the members of buckets with several components, dealt into cells.
+    """(key, p, q, id, component, first, again) rows: the members of buckets with several components, dealt into cells.
 
     Of each such bucket, the component with most members is one side and all others are the other; both sides are cut
     into blocks of about CELL_MEMBERS by a hash of the id. A cell holds two blocks, and every two members of different
@@ -53,9 +53,18 @@ def cells(members: DataFrame) -> DataFrame:
         """
     )
     dealt = rows.withColumn("cell", F.explode(meets))
-    # two members of one block of the small side meet in each of its cells: only the first need compare them
-    again = F.col("cell.q") != F.col("others")
-    return dealt.select("key", "cell.p", "cell.q", "id", "component", "main", again.alias("again"))
+    own = F.when(F.col("main"), F.col("others") + F.col("block")).otherwise(F.col("block"))
+    # two members of one block meet in each cell of that block: only the cell with the first block of the large side need
+    # compare them, the others compare members of the first block with members of the second
+    return dealt.select(
+        "key",
+        "cell.p",
+        "cell.q",
+        "id",
+        "component",
+        (own == F.col("cell.p")).alias("first"),
+        (F.col("cell.q") != F.col("others")).alias("again"),
+    )
 
 
 def cells_within(members: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def verify_cells(dealt: DataFrame, sets: DataFrame) -> DataFrame:
 
     def compare(cell: pa.Table) -> pa.Table:
         ids, component = cell["id"].to_numpy(), cell["component"].to_numpy()
-        main, again = cell["main"].to_numpy(), bool(cell["again"][0].as_py())
+        side, again = cell["first"].to_numpy(), bool(cell["again"][0].as_py())
         signatures = _signatures_of(cell["signature"])
         sets = _sets_of(cell["shingles"])
         sizes = np.array([len(s) for s in sets])
@@ -148,7 +148,7 @@ def verify_cells(dealt: DataFrame, sets: DataFrame) -> DataFrame:
                 100 * np.minimum(sizes[rest], sizes[i]) >= PERCENT * np.maximum(sizes[rest], sizes[i])
             )
             if again:
-                fits &= main[rest] != main[i]
+                fits &= side[rest] != side[i]
             near = np.flatnonzero(fits)
             if len(near):
                 near = near[(signatures[i + 1 + near] == signatures[i]).mean(axis=1) >= LEAST_AGREEMENT]
