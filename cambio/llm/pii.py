@@ -36,8 +36,6 @@ TERM = r"\p{L}{3,}"
 LEAST_CONTEXTS = 3
 GENERALISE = 0.5
 REMOVE = 0.8
-#: Hash buckets that prefilter the corpus's words: the table of occupied buckets is broadcast and cannot grow beyond this.
-TERM_BUCKETS = 1 << 18
 
 SPAN = "struct<start:int,end:int,value:string>"
 
@@ -183,20 +181,15 @@ def occurrences(contexts: DataFrame) -> DataFrame:
 def document_frequencies(documents: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, documents): in how many documents of the whole corpus each of the terms occurs.
 
-    A word is dropped in the scan unless its hash bucket holds one of the terms; the occupied buckets are broadcast, at
-    most TERM_BUCKETS small rows whatever the corpus. What passes is counted in each task before it is shuffled.
+    The corpus's words are counted by their 64-bit hash, in each task first, so the shuffle carries two numbers for each
+    word of a task. Joining the terms to the words before counting would make a row for every place of a common word.
     """
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(TERM_BUCKETS)).alias("bucket")
-    occupied = terms.select(bucket("term")).distinct()
     words = documents.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
+        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("word")
     )
-    counted = (
-        words.join(F.broadcast(occupied), bucket("term") == F.col("bucket"), "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("documents"))
-    )
-    return counted.join(terms.select("term").distinct(), "term", "left_semi")
+    counted = words.groupBy(F.xxhash64("word").alias("hash")).agg(F.count(F.lit(1)).alias("documents"))
+    wanted = terms.select("term", F.xxhash64("term").alias("hash")).distinct()
+    return wanted.join(counted, "hash").select("term", "documents")
 
 
 def revealing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
@@ -210,13 +203,20 @@ def revealing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("together")
     )
     entities = near.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("contexts"))
-    pairs = written(pairs.where(F.col("together") >= LEAST_CONTEXTS).join(entities, "entity"), "term-pairs")
-    counted = document_frequencies(documents, pairs.select("term"))
-    total = documents.agg(F.count(F.lit(1)).alias("n")).select(F.greatest("n", F.lit(2)).alias("n"))
-    n = F.lit(total.first()["n"]).cast("double")
-    information = F.log(n / F.least("contexts", n / 2))
-    mutual = F.log(F.col("together") * n / (F.greatest("documents", "together") * F.col("contexts")))
-    found = pairs.join(counted, "term").withColumn("reveals", F.least(mutual / information, F.lit(1.0)))
+    # a term is in as many documents at least as it is near entities in different texts: what cannot reach the threshold
+    # with that number cannot with the true one, and need not be counted in the corpus
+    seen = near.select("term", "text_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+    n = F.lit(max(documents.count(), 2)).cast("double")
+
+    def reveals(documents_with_term: Column) -> Column:
+        information = F.log(n / F.least("contexts", n / 2))
+        mutual = F.log(F.col("together") * n / (F.greatest(documents_with_term, "together") * F.col("contexts")))
+        return F.least(mutual / information, F.lit(1.0))
+
+    possible = pairs.where(F.col("together") >= LEAST_CONTEXTS).join(entities, "entity").join(seen, "term")
+    possible = written(possible.where(reveals(F.col("texts")) >= GENERALISE), "term-pairs")
+    counted = document_frequencies(documents, possible.select("term"))
+    found = possible.join(counted, "term").withColumn("reveals", reveals(F.col("documents")))
     return found.where(F.col("reveals") >= GENERALISE).select("entity", "term", "reveals")
 
 
@@ -287,6 +287,12 @@ def sanitise(documents: DataFrame) -> DataFrame:
     return clean.unionByName(masked.select(*columns))
 
 
+def _earlier_then_longer(a: Column, b: Column) -> Column:
+    first = (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["end"] > b["end"]))
+    last = (a["start"] > b["start"]) | ((a["start"] == b["start"]) & (a["end"] < b["end"]))
+    return F.when(first, -1).when(last, 1).otherwise(0)
+
+
 def _masked(terms: Column) -> Column:
     """The text with its spans replaced."""
 
@@ -298,7 +304,8 @@ def _masked(terms: Column) -> Column:
 
     of_term = replaced_by(lambda s: F.when(s["kind"] == "removed", F.lit("")).otherwise(F.lit("[TERM]")))
     spans = [F.transform(f"_{kind}", masks(kind)) for kind in KINDS] + [F.transform(_outside(terms), of_term)]
-    ordered = F.array_sort(F.concat(*spans))
+    # of spans that begin together the longest comes first, and names the mask
+    ordered = F.array_sort(F.concat(*spans), _earlier_then_longer)
 
     def merge(acc: Column, s: Column) -> Column:
         last = F.element_at(acc, -1)
