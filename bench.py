@@ -24,6 +24,7 @@ HEADLINE = (
     "merge_quotes_li",
     "merge_quotes_li_shuffled",
     "committed_quotes_li",
+    "committed_quotes_li_shuffled",
     "latest_price_per_pair",
     "latest_price_hot_pairs",
     "alerts_li",

@@ -6,7 +6,7 @@ import argparse
 from datetime import datetime
 
 from cambio.plans.daily import Warehouse, run_daily_load
-from cambio.schemas import default_rules
+from cambio.schemas import POLL_FIAT, POLL_VOLUME, default_rules
 from cambio.session import build_session, shuffle_settings
 from cambio.sinks.catalog import define_tables
 from cambio.sources.landing import documents_of_poll, read_documents, stream_documents
@@ -27,6 +27,8 @@ def parser() -> argparse.ArgumentParser:
     poll.add_argument("--base-url", required=True)
     poll.add_argument("--landing", required=True)
     poll.add_argument("--coins", default="btc,eth,dai")
+    poll.add_argument("--fiat", default=POLL_FIAT)
+    poll.add_argument("--volume", type=float, default=POLL_VOLUME)
 
     for name, text in (("daily", "load one landed poll"), ("stream", "load every poll landed since the last run")):
         command = commands.add_parser(name, help=text)
@@ -42,7 +44,6 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--run-ts", type=datetime.fromisoformat, help="load time; default: now, UTC")
         else:
             command.add_argument("--checkpoint", required=True)
-            command.add_argument("--max-files", type=int, help="landed files per micro-batch; default: all in one")
     return top
 
 
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
         define_tables(spark, args.database, args.buckets, args.reset)
         return
     if args.command == "poll":
-        poll_to_landing(spark, args.landing, args.base_url, coins=args.coins)
+        options = {"coins": args.coins, "fiat": args.fiat, "volume": str(args.volume)}
+        poll_to_landing(spark, args.landing, args.base_url, **options)
         return
     warehouse = Warehouse(spark, args.warehouse, args.parts, args.keep_versions)
     rules = default_rules(spark, args.alert_to) if args.alert_to else None
@@ -62,8 +64,7 @@ def main(argv: list[str] | None = None) -> None:
         documents = documents_of_poll(read_documents(spark, args.landing), args.poll_ts)
         run_daily_load(warehouse, documents, args.run_ts, rules=rules)
     else:
-        landed = stream_documents(spark, args.landing, max_files_per_trigger=args.max_files)
-        run_available(warehouse, landed, args.checkpoint, rules=rules)
+        run_available(warehouse, stream_documents(spark, args.landing), args.checkpoint, rules=rules)
     if args.publish:
         warehouse.publish(args.publish)
 

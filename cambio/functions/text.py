@@ -12,20 +12,32 @@ BODY = "El precio de compra actual de %s es %s. ¡Supera los $%s!"
 
 
 def price_text(price: Column) -> Column:
-    """Shortest decimal text of a price, never in scientific notation below 1e16: ``50000.01``, ``12000000.0``.
+    """Shortest decimal text of a price, never in scientific notation from 1e-6 to 1e16: ``50000.01``, ``0.00012``.
 
-    Plain Spark text switches to ``1.2E7`` at ten million; there the digits go through a decimal instead.
+    Plain Spark text switches to ``1.2E7`` at ten million and to ``1.2E-4`` below a thousandth; there the digits go through
+    a decimal instead.
     """
     plain = price.cast("string")
-    wide = F.regexp_replace(plain.try_cast("decimal(38,12)").cast("string"), r"(\.\d+?)0+$", "$1")
-    large = (F.abs(price) >= F.lit(1e7)) & (F.abs(price) < F.lit(1e16))
-    return F.when(large, wide).otherwise(plain)
+    size = F.abs(price)
+
+    def through(kind: str) -> Column:
+        return F.regexp_replace(plain.try_cast(kind).cast("string"), r"(\.\d+?)0+$", "$1")
+
+    large = (size >= F.lit(1e7)) & (size < F.lit(1e16))
+    small = (size >= F.lit(1e-6)) & (size < F.lit(1e-3))
+    return F.when(large, through("decimal(38,12)")).when(small, through("decimal(38,30)")).otherwise(plain)
 
 
 def threshold_text(threshold: Column) -> Column:
-    """Threshold with thousands separators, decimals only where it has some: ``50,000``, ``99.50``."""
-    whole = threshold == F.floor(threshold)
-    return F.when(whole, F.format_string("%,.0f", threshold)).otherwise(F.format_string("%,.2f", threshold))
+    """Threshold with thousands separators in its whole part, and all its decimals, two at least, where it has some.
+
+    ``50,000``, ``99.50``, ``1,234.00015``.
+    """
+    digits = price_text(threshold)
+    whole = F.regexp_replace(F.substring_index(digits, ".", 1), r"(?<=\d)(?=(?:\d{3})+$)", ",")
+    decimals = F.regexp_extract(digits, r"\.(\d+)$", 1)
+    shown = F.concat(whole, F.lit("."), F.rpad(decimals, F.greatest(F.length(decimals), F.lit(2)), F.lit("0")))
+    return F.when(threshold == F.floor(threshold), whole).otherwise(shown)
 
 
 def alert_subject(label: Column, threshold: Column) -> Column:

@@ -1,15 +1,24 @@
-"""Load constraints: NOT NULL and byte-length limits. Spark's file tables do not enforce the former."""
+"""Load constraints: NOT NULL and byte-length limits. Spark's file tables do not enforce the former.
+
+A number that is NaN is missing, as NULL.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cambio.schemas import TableSpec
 
 
+def _present(value: Column, kind: T.DataType) -> Column:
+    return F.nanvl(value, F.lit(None).cast(kind)) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+
+
 def _broken(spec: TableSpec) -> dict[str, Column]:
-    rules = {f"{name} is NULL": F.col(name).isNull() for name in spec.not_null}
+    kinds = {field.name: field.dataType for field in spec.schema.fields}
+    rules = {f"{name} is NULL": _present(F.col(name).cast(kinds[name]), kinds[name]).isNull() for name in spec.not_null}
     for name, limit in spec.max_bytes:
         rules[f"{name} longer than {limit} bytes"] = F.coalesce(F.octet_length(name) > limit, F.lit(False))
     return rules
@@ -23,7 +32,7 @@ def enforce(rows: DataFrame, spec: TableSpec) -> DataFrame:
     limits = dict(spec.max_bytes)
     columns = []
     for field in spec.schema.fields:
-        value = F.col(field.name).cast(field.dataType)
+        value = _present(F.col(field.name).cast(field.dataType), field.dataType)
         if field.name in limits:
             message = F.lit(f"{spec.name}.{field.name} is longer than {limits[field.name]} bytes")
             value = F.when(F.octet_length(value) > limits[field.name], F.raise_error(message)).otherwise(value)

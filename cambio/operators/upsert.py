@@ -63,7 +63,7 @@ def upsert(
     matched: Mapping[str, Column],
     inserted: Mapping[str, Column],
     broadcast_source: bool = False,
-    cluster_inserts: Column | None = None,
+    cluster: Column | None = None,
 ) -> DataFrame:
     """Target after the merge, in the target's columns and types.
 
@@ -76,8 +76,10 @@ def upsert(
     left join for the updates, not a full outer one, because adaptive execution can then split a target partition that a
     hot or NULL key has swollen; and the keys compared for the inserts are made distinct first, map-side.
 
-    ``cluster_inserts``, an expression over the target's columns, brings the inserted rows together before a write that
-    splits them by it; otherwise every task would write a sliver of every partition. The kept rows stay where they are.
+    ``cluster``, an expression over the target's columns, brings rows together before a write that splits them by it;
+    otherwise every task would write a sliver of every partition. With ``broadcast_source`` the kept rows stay where the
+    target has them and only the inserted rows are moved; in the shuffled plan the join has scattered all rows, so all
+    are moved. Adaptive execution splits a partition that one value has swollen.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     hint = F.broadcast if broadcast_source else (lambda frame: frame)
@@ -98,6 +100,7 @@ def upsert(
     present = target.select(*keys)  # Catalyst drops its NULL keys: they cannot match
     if broadcast_source:
         present = present.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+    # in the shuffled plan a semi join before the distinct would keep adaptive execution from splitting a hot target key
     present = present.distinct()
     # at most one row per source key is left in the broadcast case, so the same bound holds for it
     new = source.join(hint(present), list(keys), "left_anti").select(
@@ -106,9 +109,15 @@ def upsert(
             for c in target.columns
         ]
     )
-    if cluster_inserts is not None:
-        new = new.withColumn("_cluster", cluster_inserts).hint("rebalance", F.col("_cluster")).drop("_cluster")
-    return kept.unionByName(new)
+    if cluster is None:
+        return kept.unionByName(new)
+    if broadcast_source:
+        return kept.unionByName(_together(new, cluster))
+    return _together(kept.unionByName(new), cluster)
+
+
+def _together(rows: DataFrame, cluster: Column) -> DataFrame:
+    return rows.withColumn("_cluster", cluster).hint("rebalance", F.col("_cluster")).drop("_cluster")
 
 
 def _same(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Column:

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cambio.operators.alerts import alert_messages, alerts
+from cambio.operators.constraints import enforce
 from cambio.operators.documents import (
     accepted_quotes,
     decode_entries,
     rejected_entries,
     split_by_status,
 )
+from cambio.operators.latest import latest_price
 from cambio.operators.upsert import fits_broadcast, inspect_source
 from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
 from cambio.plans.normalize import normalize_quotes
@@ -25,7 +29,7 @@ from cambio.schemas import (
     COINS_TABLE,
     LOADED_FIELDS,
     QUOTES_TABLE,
-    RULE_BYTES,
+    RULES,
     STG_BROKERS,
     STG_COINS,
     STG_QUOTES,
@@ -34,7 +38,7 @@ from cambio.schemas import (
     coin_dimension,
 )
 from cambio.session import configure
-from cambio.sinks.catalog import load_table
+from cambio.sinks.catalog import DEFAULT_BUCKETS, load_table
 from cambio.sinks.load import load, replace_staging
 from cambio.sinks.snapshots import SnapshotTable
 
@@ -64,8 +68,15 @@ class Warehouse:
             table.expire(self.keep_versions)
         return version
 
-    def staging(self, spec: TableSpec) -> str:
-        return f"{self.root}/{spec.name}"
+    @contextmanager
+    def staging(self, name: str) -> Iterator[str]:
+        """A folder for one load's intermediate rows, gone after it: runs on one warehouse don't meet there."""
+        path = f"{self.root}/{name}/load-{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def report(self, name: str, run: str) -> str:
         return f"{self.root}/{name}/run={run}"
@@ -82,10 +93,19 @@ class Warehouse:
     def brokers(self) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{BROKERS_TABLE.name}", BROKERS_TABLE)
 
-    def publish(self, database: str) -> None:
-        """Replace the rows of the three catalog tables by the current versions, for readers that go by the catalog."""
+    def publish(self, database: str, buckets: int = DEFAULT_BUCKETS) -> None:
+        """Replace the rows of the three catalog tables by the current versions, for readers that go by the catalog.
+
+        A table that is not there yet is created with so many buckets.
+        """
         for table in (self.quotes, self.coins, self.brokers):
-            load_table(table.read(), table.spec, database, if_exists="replace")
+            load_table(table.read(), table.spec, database, if_exists="replace", buckets=buckets)
+
+    def latest_price(self, cripto_id: int, broker_id: int) -> DataFrame:
+        """Newest price of one pair in the committed quotes; reads the one part that the coin belongs to."""
+        table, coin = self.quotes, F.lit(cripto_id).cast("int").alias("cripto_id")
+        part = self.spark.range(1).select(coin).select(table.part_of()).first()[0]
+        return latest_price(table.read(parts=[part]), cripto_id, broker_id)
 
     def register_views(self, prefix: str = "") -> None:
         """Temporary views of the three tables' current versions, for SQL under the tables' own names.
@@ -97,28 +117,33 @@ class Warehouse:
             table.read().createOrReplaceTempView(prefix + table.spec.name)
 
 
-def load_quotes(
-    warehouse: Warehouse,
-    rows: DataFrame,
-    run_ts: datetime | None = None,
-    batch: tuple[str, int] | None = None,
-) -> int:
+def load_quotes(warehouse: Warehouse, rows: DataFrame, run_ts: datetime | None = None) -> int:
     """Stage normalized quotes, merge them, commit; returns the new version."""
-    staged = replace_staging(rows, STG_QUOTES, warehouse.staging(STG_QUOTES))
-    return merge_staged_quotes(warehouse, staged, STG_QUOTES, batch, run_ts=run_ts)
+    with warehouse.staging(STG_QUOTES.name) as path:
+        return merge_staged_quotes(warehouse, replace_staging(rows, STG_QUOTES, path), STG_QUOTES, run_ts=run_ts)
 
 
 def merge_staged_quotes(
-    warehouse: Warehouse, staged: DataFrame, spec: TableSpec, batch: tuple[str, int] | None = None, **options
+    warehouse: Warehouse,
+    staged: DataFrame,
+    spec: TableSpec,
+    batch: tuple[str, int] | None = None,
+    last_poll: datetime | None = None,
+    broadcast_source: bool | None = None,
+    **options,
 ) -> int:
-    """Merge staged quotes and commit. Only the table parts they fall into are read and rewritten."""
+    """Merge staged quotes and commit. Only the table parts they fall into are read and rewritten.
+
+    The source is broadcast if its counted rows are few, unless ``broadcast_source`` says so or not.
+    """
     table = warehouse.quotes
-    part = table.part_of()
+    base, part = table.version, table.part_of()
     facts = inspect_source(staged, QUOTE_KEYS, part)
-    small = fits_broadcast(facts.rows, spec.row_bytes)
-    target = table.read(parts=facts.parts)
-    merged = merge_quotes(target, staged, broadcast_source=small, cluster_inserts=part, **options)
-    return warehouse.committed(table, table.commit(merged, parts=facts.parts, batch=batch))
+    small = fits_broadcast(facts.rows, spec.row_bytes) if broadcast_source is None else broadcast_source
+    target = table.read(version=base, parts=facts.parts)
+    merged = merge_quotes(target, staged, broadcast_source=small, cluster=part, **options)
+    version = table.commit(merged, parts=facts.parts, batch=batch, base=base, last_poll=last_poll)
+    return warehouse.committed(table, version)
 
 
 def load_coins(
@@ -136,40 +161,63 @@ def load_brokers(
 
 
 def _load_dimension(table, warehouse, spec, rows, key, merge, run_ts, batch) -> int:
-    staged = replace_staging(rows.select(*spec.columns), spec, warehouse.staging(spec))
-    small = fits_broadcast(inspect_source(staged, [key]).rows, spec.row_bytes)
-    merged = merge(table.read(), staged, run_ts, broadcast_source=small)
-    return warehouse.committed(table, table.commit(merged, batch=batch))
+    with warehouse.staging(spec.name) as path:
+        staged = replace_staging(rows.select(*spec.columns), spec, path)
+        base, count = table.version, inspect_source(staged, [key]).rows
+        merged = merge(table.read(version=base), staged, run_ts, broadcast_source=fits_broadcast(count, spec.row_bytes))
+        parts = None if count else ()  # an empty source changes nothing
+        return warehouse.committed(table, table.commit(merged, parts=parts, batch=batch, base=base))
 
 
 def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
     """Check the rules against the committed quotes; the message rows are written, then returned as read back.
 
-    The rows of one run replace each other, so a repeated run delivers nothing twice.
+    Only the table parts that hold a rule's coin are read. Rules with texts beyond their limits fail, so the counted
+    number of rules bounds what is broadcast. The rows of one run replace each other, so a repeated run delivers nothing
+    twice.
     """
-    path = warehouse.report("alerts", run)
-    few = fits_broadcast(rules.count(), RULE_BYTES)
-    messages = alert_messages(alerts(warehouse.quotes.read(), rules, broadcast_rules=few))
+    path, table = warehouse.report("alerts", run), warehouse.quotes
+    base, checked = table.version, enforce(rules, RULES)
+    facts = checked.where(F.col("cripto_id").isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"), F.collect_set(table.part_of()).alias("parts")
+    ).first()
+    quotes = table.read(version=base, parts=facts.parts)
+    messages = alert_messages(alerts(quotes, checked, broadcast_rules=fits_broadcast(facts.rows, RULES.row_bytes)))
     load(messages, path, if_exists="replace")
     return warehouse.spark.read.schema(messages.schema).parquet(path)
 
 
+def poll_facts(documents: DataFrame) -> Row:
+    """In one job: how many polls were answered and how many failed, the first and the last answered poll."""
+    answered = F.col("status") == 200
+    poll = F.when(answered, F.col("poll_ts"))
+    return documents.agg(
+        F.count_if(answered).alias("answered"),
+        F.count_if(~F.col("status").eqNullSafe(200)).alias("failed"),
+        F.min(poll).alias("first_poll"),
+        F.max(poll).alias("last_poll"),
+    ).first()
+
+
 def report_failed_polls(warehouse: Warehouse, documents: DataFrame, run: str) -> None:
     _, failed = split_by_status(documents)
     load(failed.select("poll_ts", "cripto_name", "status"), warehouse.report("failed_polls", run), "replace")
 
 
-def decode_reporting(warehouse: Warehouse, answered: DataFrame, run: str, carry: Sequence[str] = ()) -> DataFrame:
-    """Quote rows of the answered documents; entries that are no quote are written to a report.
+def decode_reporting(
+    warehouse: Warehouse, answered: DataFrame, run: str, path: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Quote rows of the answered documents; entries that are no quote are written to a report, if there are any.
 
-    The documents are read and parsed once, into a columnar table that both the report and the load read. The report's
-    filter skips that table's row groups without rejects by their statistics.
+    The documents are read and parsed once, into a columnar table at ``path`` that the load reads; what has to be
+    reported is counted while it is written.
     """
-    path = f"{warehouse.root}/decoded"
     decoded = decode_entries(answered, ["poll_ts"], LOADED_FIELDS)
-    load(decoded, path, "replace")
+    seen = Observation()
+    load(decoded.observe(seen, F.count_if(F.col("rejected").isNotNull()).alias("rejected")), path, "replace")
     entries = warehouse.spark.read.schema(decoded.schema).parquet(path)
-    load(rejected_entries(entries, ["poll_ts"]), warehouse.report("rejected_quotes", run), "replace")
+    if seen.get["rejected"]:
+        load(rejected_entries(entries, ["poll_ts"]), warehouse.report("rejected_quotes", run), "replace")
     return accepted_quotes(entries).select(*carry, "cripto", "broker", *LOADED_FIELDS)
 
 
@@ -184,8 +232,8 @@ def run_daily_load(
 ) -> DataFrame | None:
     """One poll's documents through the whole chain; returns the alert rows when rules are given.
 
-    Every table commits on its own, facts first. ``rejects=False`` writes no reports of what was left out, and goes from
-    the documents to staging in one lazy plan.
+    Every table commits on its own, facts first. Failed polls and entries that are no quote are reported where there are
+    any. ``rejects=False`` writes no reports, and goes from the documents to staging in one lazy plan.
     """
     spark = configure(warehouse.spark)
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -194,15 +242,17 @@ def run_daily_load(
     brokers = broker_dimension(spark) if brokers is None else brokers
 
     answered, _ = split_by_status(documents)
-    if rejects:
+    facts = poll_facts(documents)
+    if rejects and facts.failed:
         report_failed_polls(warehouse, documents, run)
-    if answered.select(F.lit(1)).isEmpty():
+    if not facts.answered:
         raise EveryPollFailed("every poll of this run failed; nothing was loaded")
-    if rejects:
-        quotes = decode_reporting(warehouse, answered, run)
-    else:
-        quotes = accepted_quotes(decode_entries(answered, fields=LOADED_FIELDS))
-    load_quotes(warehouse, normalize_quotes(quotes, coins, brokers), run_ts)
+    with warehouse.staging("decoded") as path:
+        if rejects:
+            quotes = decode_reporting(warehouse, answered, run, path)
+        else:
+            quotes = accepted_quotes(decode_entries(answered, fields=LOADED_FIELDS))
+        load_quotes(warehouse, normalize_quotes(quotes, coins, brokers), run_ts)
     load_coins(warehouse, coins, run_ts)
     load_brokers(warehouse, brokers, run_ts)
     return raise_alerts(warehouse, rules, run) if rules is not None else None

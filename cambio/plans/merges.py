@@ -20,7 +20,7 @@ def merge_quotes(
     insert_date: str = "load",
     broadcast_source: bool = False,
     inserted_date: Column | None = None,
-    cluster_inserts: Column | None = None,
+    cluster: Column | None = None,
 ) -> DataFrame:
     """Current quotes after a load.
 
@@ -38,7 +38,7 @@ def merge_quotes(
         matched={**quote, "fecha_cotizacion": quote_date},
         inserted={**quote, "fecha_cotizacion": inserted_date},
         broadcast_source=broadcast_source,
-        cluster_inserts=cluster_inserts,
+        cluster=cluster,
     )
 
 

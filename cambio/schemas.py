@@ -45,11 +45,14 @@ NAME_BYTES = 100
 POLL_FIAT = "usd"
 POLL_VOLUME = 0.1
 
-API_COINS = (
-    "BTC DAI ETH USDT USDC BNB AAVE ADA AXS BAT CAKE DOGE DOT EOS LINK LTC MANA PAXG SAND SHIB SLP SOL TRX UNI XLM XRP "
-    "AVAX BCH BUSD CHZ FTM MATIC ALGO NUARS DOC USDP UXD"
-).split()
-API_FIATS = "ARS BRL PEN CLP COP MXN USD UYU VES".split()
+# fmt: off
+API_COINS = [
+    "BTC", "DAI", "ETH", "USDT", "USDC", "BNB", "AAVE", "ADA", "AXS", "BAT", "CAKE", "DOGE", "DOT", "EOS", "LINK", "LTC",
+    "MANA", "PAXG", "SAND", "SHIB", "SLP", "SOL", "TRX", "UNI", "XLM", "XRP", "AVAX", "BCH", "BUSD", "CHZ", "FTM", "MATIC",
+    "ALGO", "NUARS", "DOC", "USDP", "UXD",
+]
+# fmt: on
+API_FIATS = ["ARS", "BRL", "PEN", "CLP", "COP", "MXN", "USD", "UYU", "VES"]
 
 ALERT_COIN_ID = 1
 ALERT_BROKER_ID = 1
@@ -177,8 +180,8 @@ RULE_SCHEMA = T.StructType(
     ]
 )
 
-#: Assumed width of a rule when deciding on a broadcast: three numbers and two names.
-RULE_BYTES = 3 * 16 + 2 * (NAME_BYTES + 16)
+#: Rules are checked against this before any of them is broadcast, so that their counted number bounds their size.
+RULES = TableSpec("alert_rules", RULE_SCHEMA, max_bytes=(("label", NAME_BYTES), ("recipient", 320)))
 
 _ARROW = {
     T.IntegerType(): pa.int32(),

@@ -19,34 +19,6 @@ def load(rows: DataFrame, path: str, if_exists: str = "append", fmt: str = "parq
     _logged(lambda: rows.write.mode(_SAVE_MODES[if_exists]).format(fmt).save(path), path)
 
 
-def load_jdbc(
-    rows: DataFrame,
-    url: str,
-    table: str,
-    if_exists: str = "append",
-    batch_rows: int = 10_000,
-    connections: int = 16,
-    **options: str,
-) -> None:
-    """Write to a warehouse over JDBC, many rows per statement, at most ``connections`` tasks at a time.
-
-    ``replace`` truncates instead of dropping, so the declared schema and constraints stay.
-    """
-    writer = rows.write.format("jdbc").options(**jdbc_options(url, table, batch_rows, connections, **options))
-    _logged(lambda: writer.mode(_SAVE_MODES[if_exists]).save(), table)
-
-
-def jdbc_options(url: str, table: str, batch_rows: int, connections: int, **options: str) -> dict[str, str]:
-    return {
-        "url": url,
-        "dbtable": table,
-        "batchsize": str(batch_rows),
-        "numPartitions": str(connections),
-        "truncate": "true",
-        **options,
-    }
-
-
 def replace_staging(rows: DataFrame, spec: TableSpec, path: str) -> DataFrame:
     """Empty the staging table and load ``rows`` in one step; returns the staged table.
 

@@ -3,7 +3,8 @@
 A table folder holds data folders, each written once, and ``_commits/<version>.json``. A commit names the data folder of
 every part, so publishing it is one atomic file rename: readers see the old version or the new one, and a job that dies
 half-way leaves only an unnamed folder behind. Rows are split into parts by a hash of ``spec.distribute_by``; a merge
-that touches few parts rewrites only those. One writer per table at a time, as in a daily load.
+that touches few parts rewrites only those. A commit is based on the version its rows were computed from and publishes the
+next number; of two commits with the same base the second one fails, so no update is lost.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,33 +62,37 @@ class SnapshotTable:
     # writing
 
     def commit(
-        self, rows: DataFrame, parts: Sequence[int] | None = None, batch: tuple[str, int] | None = None
+        self,
+        rows: DataFrame,
+        parts: Sequence[int] | None = None,
+        batch: tuple[str, int] | None = None,
+        base: int | None = None,
+        last_poll: datetime | None = None,
     ) -> int:
         """Publish ``rows`` as the new content of ``parts`` (default: of the whole table); returns the new version.
 
-        ``rows`` may be computed from the current version: it is never overwritten. ``batch`` is a (stream, batch id)
-        remembered for :meth:`has_batch`.
+        ``rows`` may be computed from a version: none is ever overwritten. ``base`` is that version (default: the newest
+        now); if another commit was published since, this one fails. Without parts nothing is written, and the new
+        version holds what the old one held. ``batch`` is a (stream, batch id) remembered for :meth:`has_batch`,
+        ``last_poll`` the newest poll that was merged, remembered for :meth:`last_poll`.
         """
-        before = self._commit(self.version)
+        base = self.version if base is None else base
+        before = self._commit(base)
         total = before.get("parts", self._new_parts)
-        folder = f"data-{uuid.uuid4().hex}"
-        written = self._write(rows, folder, total)
-        replaced = range(total) if parts is None else parts
-        folders = {part: old for part, old in before["folders"].items() if int(part) not in set(replaced)}
-        folders.update(written)
-        streams = dict(before["streams"])
+        replaced = {str(part) for part in (range(total) if parts is None else parts)}
+        written = self._write(rows, f"data-{uuid.uuid4().hex}", total) if replaced else {}
+        folders = {part: old for part, old in before["folders"].items() if part not in replaced}
+        folders.update((part, new) for part, new in written.items() if part in replaced)
+        content = {"parts": total, "folders": folders, "streams": dict(before["streams"])}
+        content["last_poll"] = last_poll.isoformat() if last_poll else before.get("last_poll")
         if batch:
-            streams[batch[0]] = batch[1]
-        return self._publish(self.version + 1, {"parts": total, "folders": folders, "streams": streams})
+            content["streams"][batch[0]] = batch[1]
+        return self._publish(base + 1, content)
 
-    def compact(self) -> int:
-        """Rewrite the table into evenly sized files, rows with equal distribution columns together.
-
-        ``rebalance`` is a shuffle that adaptive execution splits where one value is hot and coalesces where files would
-        be small.
-        """
-        part = self.part_of().alias("_part")
-        return self.commit(self.read().select("*", part).hint("rebalance", F.col("_part")).drop("_part"))
+    def last_poll(self, version: int | None = None) -> datetime | None:
+        """The newest poll that a stream merged into the table."""
+        text = self._commit(self.version if version is None else version).get("last_poll")
+        return datetime.fromisoformat(text) if text else None
 
     def has_batch(self, stream: str, batch_id: int) -> bool:
         """Whether this batch of this stream was committed before (a stream may deliver a batch twice)."""
@@ -105,16 +111,6 @@ class SnapshotTable:
             fs.delete(self._hadoop_path(folder), True)
         return gone
 
-    def remove_orphans(self) -> list[str]:
-        """Delete data folders no version names, as failed loads leave them. Only while no load is running."""
-        named = {folder.split("/")[0] for v in self.versions() for folder in self._commit(v)["folders"].values()}
-        fs = self._file_system()
-        present = [status.getPath().getName() for status in fs.listStatus(self._hadoop_path("."))]
-        orphans = sorted(name for name in present if name.startswith("data-") and name not in named)
-        for folder in orphans:
-            fs.delete(self._hadoop_path(folder), True)
-        return orphans
-
     def _write(self, rows: DataFrame, folder: str, total: int) -> dict[str, str]:
         """Write the data folder; rows stay in the task they are in, sorted there. Returns part → folder."""
         path = f"{self.path}/{folder}"

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from cambio.schemas import DOCUMENT_SCHEMA
 
-#: Body files lie at ``<dir>/poll_ts=<time>/<coin>.json``; only answered polls leave one.
+#: Body files lie at ``<dir>/poll_ts=<time>/<coin>.json``, or below a folder ``<coin>.json``; only answered polls leave one.
 _FILE_SCHEMA = "value string, poll_ts timestamp_ntz"
-_COIN_OF_FILE = r"([^/]+)\.json$"
+_COIN_OF_FILE = r"([^/=]+)\.json(?:/|$)"
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -19,13 +19,9 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return _envelopes(spark.read.schema(DOCUMENT_SCHEMA).format(fmt).load(path))
 
 
-def stream_documents(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None
-) -> DataFrame:
-    reader = spark.readStream.schema(DOCUMENT_SCHEMA).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _envelopes(reader.load(path))
+def stream_documents(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Everything newly landed, in one micro-batch: a limit on files would cut polls in two and mix up their order."""
+    return _envelopes(spark.readStream.schema(DOCUMENT_SCHEMA).format(fmt).load(path))
 
 
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
@@ -33,11 +29,8 @@ def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     return _from_files(spark.read.schema(_FILE_SCHEMA).option("wholetext", True).format("text").load(path))
 
 
-def stream_document_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(_FILE_SCHEMA).option("wholetext", True).format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _from_files(reader.load(path))
+def stream_document_files(spark: SparkSession, path: str) -> DataFrame:
+    return _from_files(spark.readStream.schema(_FILE_SCHEMA).option("wholetext", True).format("text").load(path))
 
 
 def land_documents(documents: DataFrame, path: str, fmt: str = "parquet") -> None:

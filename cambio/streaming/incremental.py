@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from cambio.plans.daily import (
     load_brokers,
     load_coins,
     merge_staged_quotes,
+    poll_facts,
     raise_alerts,
     report_failed_polls,
 )
@@ -57,6 +60,10 @@ def collapse_polls(staged: DataFrame) -> DataFrame:
     return per_pair.select(*STG_QUOTES.columns, inserted_date.alias("inserted_date"))
 
 
+class OutOfOrderPoll(ValueError):
+    """A poll landed after a newer one was merged; merging it now would put old prices over new ones."""
+
+
 def load_batch(
     warehouse: Warehouse,
     documents: DataFrame,
@@ -67,8 +74,9 @@ def load_batch(
 ) -> None:
     """Load one micro-batch, equal to loading its polls one by one in poll order with ``run_ts = poll_ts``.
 
-    Each table remembers the batch, so a batch delivered twice is not merged twice. A poll whose documents all failed
-    loads nothing, as its own run would.
+    Each table remembers the batch, so a batch delivered twice is not merged twice; the name in ``batch`` has to be that
+    of the checkpoint, because batch ids start anew with every checkpoint. A poll whose documents all failed loads
+    nothing, as its own run would. A batch with a poll that is older than one already merged is refused whole.
     """
     spark = configure(warehouse.spark)
     coins = coin_dimension(spark) if coins is None else coins
@@ -76,21 +84,36 @@ def load_batch(
     run = f"{batch[0]}-{batch[1]:09d}"
 
     answered, _ = split_by_status(documents)
-    report_failed_polls(warehouse, documents, run)
-    last_poll = answered.agg(F.max("poll_ts")).first()[0]
-    if last_poll is None:
+    facts = poll_facts(documents)
+    if facts.failed:
+        report_failed_polls(warehouse, documents, run)
+    if not facts.answered:
         return
-    if not warehouse.quotes.has_batch(*batch):
-        quotes = decode_reporting(warehouse, answered, run, carry=["poll_ts"])
-        rows = normalize_quotes(quotes, coins, brokers, carry=["poll_ts"])
-        staged = replace_staging(rows, STG_POLLS, warehouse.staging(STG_POLLS))
-        require_unique_keys(staged, ["poll_ts", *QUOTE_KEYS])
-        collapsed = replace_staging(collapse_polls(staged), STG_COLLAPSED, warehouse.staging(STG_COLLAPSED))
-        merge_staged_quotes(warehouse, collapsed, STG_COLLAPSED, batch, inserted_date=F.col("inserted_date"))
+    quotes_table = warehouse.quotes
+    if not quotes_table.has_batch(*batch):
+        merged = quotes_table.last_poll()
+        if merged and facts.first_poll < merged:
+            raise OutOfOrderPoll(f"the poll of {facts.first_poll} landed after that of {merged} was merged")
+        names = ("decoded", STG_POLLS.name, STG_COLLAPSED.name)
+        with ExitStack() as folders:
+            decoded, polls, collapsed = (folders.enter_context(warehouse.staging(name)) for name in names)
+            quotes = decode_reporting(warehouse, answered, run, decoded, carry=["poll_ts"])
+            rows = normalize_quotes(quotes, coins, brokers, carry=["poll_ts"])
+            staged = replace_staging(rows, STG_POLLS, polls)
+            require_unique_keys(staged, ["poll_ts", *QUOTE_KEYS])
+            one_per_pair = replace_staging(collapse_polls(staged), STG_COLLAPSED, collapsed)
+            merge_staged_quotes(
+                warehouse,
+                one_per_pair,
+                STG_COLLAPSED,
+                batch,
+                facts.last_poll,
+                inserted_date=F.col("inserted_date"),
+            )
     if not warehouse.coins.has_batch(*batch):
-        load_coins(warehouse, coins, last_poll, batch)
+        load_coins(warehouse, coins, facts.last_poll, batch)
     if not warehouse.brokers.has_batch(*batch):
-        load_brokers(warehouse, brokers, last_poll, batch)
+        load_brokers(warehouse, brokers, facts.last_poll, batch)
     if rules is not None:
         raise_alerts(warehouse, rules, run)
 
@@ -99,19 +122,20 @@ def run_available(
     warehouse: Warehouse,
     documents: DataFrame,
     checkpoint: str,
-    name: str = "landing",
     coins: DataFrame | None = None,
     brokers: DataFrame | None = None,
     rules: DataFrame | None = None,
 ) -> int:
     """Load everything landed since the last run with this checkpoint, then stop; returns the batches processed.
 
-    Schedule it instead of the batch job. Polls have to land in poll order across runs.
+    Schedule it instead of the batch job. Polls have to land in poll order across runs. Batches are remembered under the
+    query id that the checkpoint keeps, so another checkpoint's batches are not taken for them.
     """
     done: list[int] = []
 
     def load_one(frame: DataFrame, batch_id: int) -> None:
-        load_batch(warehouse, frame, (name, batch_id), coins, brokers, rules)
+        query_id = frame.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_batch(warehouse, frame, (query_id, batch_id), coins, brokers, rules)
         done.append(batch_id)
 
     query = (

@@ -141,6 +141,11 @@ WITH {EV}
 SELECT date_trunc('day', ts)::TIMESTAMP AS poll_ts, cripto, prefix || broker AS broker, price AS "totalAsk",
        bid AS "totalBid", epoch(quoted) AS time
 FROM ev, (VALUES (''), ('mirror_')) p(prefix) WHERE event_type <> 'error'""",
+    "document_files": f"""
+WITH {EV}
+SELECT date_trunc('day', ts)::TIMESTAMP AS poll_ts, cripto, broker, price AS "totalAsk", bid AS "totalBid",
+       epoch(quoted) AS time
+FROM ev QUALIFY row_number() OVER (PARTITION BY date_trunc('day', ts), cripto, broker ORDER BY ts DESC, event_id DESC) = 1""",
     "concat_quotes": f"""
 WITH {EV}
 SELECT cripto, broker, price AS "totalAsk", epoch(quoted) AS time, NULL::DOUBLE AS "totalBid", NULL::INTEGER AS line
@@ -187,17 +192,24 @@ SELECT cripto_id, broker_id, p_compra, p_venta, fecha_cotizacion FROM ev_picked
     "staging_append": f"""
 WITH {EV}
 SELECT cripto_id, broker_id, p_compra, p_venta, fecha_cotizacion FROM ev_picked""",
+    "staging_truncate": f"""
+WITH {EV}
+SELECT cripto_id, broker_id, p_compra, p_venta, fecha_cotizacion FROM ev_picked WHERE side = 'poll'""",
+    "load_fail": f"""
+WITH {EV}
+SELECT cripto_id, broker_id, p_compra, p_venta, fecha_cotizacion FROM ev_picked WHERE side = 'baseline'""",
     "constraint_violations": """
 WITH ev AS (SELECT event_type, value FROM events JOIN customer ON user_id = c_custkey)
 SELECT 'stg_cotizaciones' AS table_name, 'cripto_id is NULL' AS violation, 0 AS n
 UNION ALL SELECT 'stg_cotizaciones', 'broker_id is NULL', count(*) FROM ev WHERE event_type = 'error'
-UNION ALL SELECT 'stg_cotizaciones', 'p_compra is NULL', count(*) FROM ev WHERE value < 5
+UNION ALL SELECT 'stg_cotizaciones', 'p_compra is NULL', count(*) FROM ev WHERE value < 5 OR event_type = 'view'
 UNION ALL SELECT 'stg_brokers', 'broker_id is NULL', count(*) FROM documents WHERE doc_id IS NULL
 UNION ALL SELECT 'stg_brokers', 'broker_name longer than 100 bytes', count(*) FROM documents WHERE strlen(text) > 100""",
     "merge_quotes_ev": f"WITH {EV} {_merged('ev_picked', RUN)}",
     "merge_quotes_li": f"WITH {LI} {_merged('li_picked', RUN)}",
     "merge_quotes_li_shuffled": f"WITH {LI} {_merged('li_picked', RUN)}",
     "committed_quotes_li": f"WITH {LI} {_two_loads('li_picked')}",
+    "committed_quotes_li_shuffled": f"WITH {LI} {_two_loads('li_picked')}",
     "merge_coins_part": f"""
 SELECT CAST(p_partkey AS INTEGER) AS cripto_id, p_name AS cripto_name, {BASELINE} AS fecha_carga
 FROM part WHERE p_size <= 10
@@ -212,23 +224,28 @@ UNION ALL SELECT CAST(s_suppkey AS INTEGER), 'venue ' || s_name, {RUN} FROM supp
     "table_layout": f"""
 WITH {EV},
 contract AS (SELECT * FROM (VALUES
-  ('stg_brokers', 1, 'broker_id', 'int'), ('stg_brokers', 2, 'broker_name', 'varchar(100)'),
-  ('stg_criptomonedas', 1, 'cripto_id', 'int'), ('stg_criptomonedas', 2, 'cripto_name', 'varchar(100)'),
-  ('stg_cotizaciones', 1, 'cripto_id', 'int'), ('stg_cotizaciones', 2, 'broker_id', 'int'),
-  ('stg_cotizaciones', 3, 'p_compra', 'double'), ('stg_cotizaciones', 4, 'p_venta', 'double'),
-  ('stg_cotizaciones', 5, 'fecha_cotizacion', 'timestamp_ntz'),
-  ('brokers', 1, 'broker_id', 'int'), ('brokers', 2, 'broker_name', 'varchar(100)'),
-  ('brokers', 3, 'fecha_carga', 'timestamp_ntz'),
-  ('criptomonedas', 1, 'cripto_id', 'int'), ('criptomonedas', 2, 'cripto_name', 'varchar(100)'),
-  ('criptomonedas', 3, 'fecha_carga', 'timestamp_ntz'),
-  ('cotizaciones', 1, 'cripto_id', 'int'), ('cotizaciones', 2, 'broker_id', 'int'),
-  ('cotizaciones', 3, 'p_compra', 'double'), ('cotizaciones', 4, 'p_venta', 'double'),
-  ('cotizaciones', 5, 'fecha_cotizacion', 'date')) v(table_name, position, column_name, data_type))
+  ('stg_brokers', 1, 'broker_id', 'int', 'yes'), ('stg_brokers', 2, 'broker_name', 'varchar(100)', 'no'),
+  ('stg_criptomonedas', 1, 'cripto_id', 'int', 'yes'), ('stg_criptomonedas', 2, 'cripto_name', 'varchar(100)', 'no'),
+  ('stg_cotizaciones', 1, 'cripto_id', 'int', 'yes'), ('stg_cotizaciones', 2, 'broker_id', 'int', 'yes'),
+  ('stg_cotizaciones', 3, 'p_compra', 'double', 'yes'), ('stg_cotizaciones', 4, 'p_venta', 'double', 'no'),
+  ('stg_cotizaciones', 5, 'fecha_cotizacion', 'timestamp_ntz', 'no'),
+  ('brokers', 1, 'broker_id', 'int', 'no'), ('brokers', 2, 'broker_name', 'varchar(100)', 'no'),
+  ('brokers', 3, 'fecha_carga', 'timestamp_ntz', 'no'),
+  ('criptomonedas', 1, 'cripto_id', 'int', 'no'), ('criptomonedas', 2, 'cripto_name', 'varchar(100)', 'no'),
+  ('criptomonedas', 3, 'fecha_carga', 'timestamp_ntz', 'no'),
+  ('cotizaciones', 1, 'cripto_id', 'int', 'no'), ('cotizaciones', 2, 'broker_id', 'int', 'no'),
+  ('cotizaciones', 3, 'p_compra', 'double', 'no'), ('cotizaciones', 4, 'p_venta', 'double', 'no'),
+  ('cotizaciones', 5, 'fecha_cotizacion', 'date', 'no')) v(table_name, position, column_name, data_type, not_null)),
+layout AS (SELECT * FROM (VALUES
+  ('stg_brokers', 'all', '', 'broker_id'), ('stg_criptomonedas', 'all', '', 'cripto_id'),
+  ('stg_cotizaciones', 'even', '', 'fecha_cotizacion'), ('brokers', 'all', '', 'broker_id'),
+  ('criptomonedas', 'all', '', 'cripto_id'),
+  ('cotizaciones', 'key', 'cripto_id,broker_id', 'fecha_cotizacion')) v(table_name, distribution, bucket_columns, sort_columns))
 SELECT CAST(position AS INTEGER) AS position, contract.* EXCLUDE (position), CASE
     WHEN table_name LIKE '%brokers' THEN (SELECT count(*) FROM customer WHERE c_acctbal >= 0)
     WHEN table_name LIKE '%criptomonedas' THEN (SELECT count(*) FROM part WHERE p_size <= 40)
-    ELSE (SELECT count(*) FROM ev_picked WHERE side = 'poll') END AS n_rows
-FROM contract""",
+    ELSE (SELECT count(*) FROM ev_picked WHERE side = 'poll') END AS n_rows, distribution, bucket_columns, sort_columns
+FROM contract JOIN layout USING (table_name)""",
     "latest_price_one": f"""
 WITH {DESK}
 SELECT p_compra FROM desk WHERE cripto_id = 1 AND broker_id = 1
@@ -250,28 +267,45 @@ WITH {LI}, rules AS (SELECT * FROM li_rules), latest AS (SELECT * FROM li_latest
 WITH {DESK}, rules AS (SELECT * FROM desk_rules), latest AS (SELECT * FROM desk_latest) {DESK_MESSAGES}""",
 }
 
-DESK_PICKED = f"""{DESK},
-desk_picked AS (
-  SELECT CAST(cripto_id AS INTEGER) AS cripto_id, CAST(broker_id AS INTEGER) AS broker_id, p_compra, p_venta,
-         quoted AS fecha_cotizacion, side
-  FROM desk QUALIFY row_number() OVER (PARTITION BY cripto_id, broker_id, side ORDER BY ts DESC, event_id DESC) = 1),
-loaded AS ({_two_loads("desk_picked")})
+ORACLE["alert_messages_small"] = f"""
+WITH {LI}, latest AS (
+  SELECT DISTINCT ON (cripto_id, broker_id) cripto_id, broker_id, floor(p_compra) / 1e8 AS p_compra
+  FROM li ORDER BY cripto_id, broker_id, CAST(fecha_cotizacion AS DATE) DESC, p_compra DESC)
+SELECT r.cripto_id, r.broker_id, recipient, 'Alerta: Precio de ' || label || ' superó los $0.00025' AS subject,
+       'El precio de compra actual de ' || label || ' es '
+         || regexp_replace(printf('%.8f', p_compra), '0+$', '') || '. ¡Supera los $0.00025!' AS body
+FROM li_rules r JOIN latest l ON l.cripto_id = r.cripto_id AND l.broker_id = r.broker_id
+WHERE p_compra > 0.00025"""
+
+LI_LOADED = f"""{LI},
+loaded AS ({_two_loads("li_picked")}),
+coins AS (SELECT CAST(p_partkey AS INTEGER) AS cripto_id, 'part_' || p_partkey AS cripto_name FROM part WHERE p_size <= 40),
+brokers AS (SELECT CAST(s_suppkey AS INTEGER) AS broker_id, s_name AS broker_name FROM supplier WHERE s_nationkey < 20)
 """
 
 ORACLE["daily_load"] = f"""
-WITH {DESK_PICKED}
+WITH {LI_LOADED}
 SELECT loaded.*, cripto_name, broker_name, {RUN} AS coin_loaded, {RUN} AS broker_loaded
 FROM loaded JOIN coins ON coins.cripto_id = loaded.cripto_id JOIN brokers ON brokers.broker_id = loaded.broker_id"""
 
 ORACLE["daily_load_messages"] = f"""
-WITH {DESK_PICKED}, latest AS (SELECT * FROM loaded),
-rules AS (SELECT * FROM desk_rules UNION ALL SELECT 1, 1, 50000.0, 'Bitcoin', 'desk@example.org') {DESK_MESSAGES}"""
+WITH {LI_LOADED}, latest AS (SELECT * FROM loaded), rules AS (SELECT * FROM li_rules) {DESK_MESSAGES}"""
+
+ORACLE["quiet_poll"] = f"""
+WITH {LI}
+SELECT cripto_id, broker_id, p_compra, p_venta, CAST({BASELINE} AS DATE) AS fecha_cotizacion
+FROM li_picked WHERE side = 'baseline'"""
+
+ORACLE["latest_price_committed"] = f"""
+WITH {LI_LOADED}
+SELECT p_compra FROM loaded WHERE (cripto_id, broker_id) = (
+  SELECT (cripto_id, broker_id) FROM li_picked WHERE side = 'poll' ORDER BY cripto_id, broker_id LIMIT 1)"""
 
 ORACLE["warehouse_sql"] = f"""
-WITH {DESK_PICKED}
+WITH {LI_LOADED}
 SELECT cripto_name, broker_name, p_compra, fecha_cotizacion
 FROM loaded JOIN coins ON coins.cripto_id = loaded.cripto_id JOIN brokers ON brokers.broker_id = loaded.broker_id
-WHERE p_compra > 50000 AND fecha_cotizacion >= DATE '2024-01-15'"""
+WHERE p_compra > 50000 AND fecha_cotizacion >= DATE '2000-06-15'"""
 
 ORACLE["stream_load"] = f"""
 WITH {LI},

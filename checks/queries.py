@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,14 @@ from cambio.operators.quotes import (
     rename_quotes,
 )
 from cambio.operators.upsert import fits_broadcast, inspect_source
-from cambio.plans.daily import Warehouse, load_brokers, load_coins, load_quotes, run_daily_load
+from cambio.plans.daily import (
+    Warehouse,
+    load_brokers,
+    load_coins,
+    load_quotes,
+    merge_staged_quotes,
+    run_daily_load,
+)
 from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
 from cambio.plans.normalize import normalize_quotes
 from cambio.schemas import (
@@ -43,16 +51,22 @@ from cambio.schemas import (
     TABLES,
     broker_dimension,
     coin_dimension,
-    default_rules,
     local_relation,
 )
 from cambio.session import configure, work_dir
-from cambio.sinks.catalog import define_tables, load_table
-from cambio.sinks.load import append_staging, replace_staging
-from cambio.sources.landing import documents_of_poll, land_documents, read_documents, stream_documents
+from cambio.sinks.catalog import define_tables, describe_layout, load_table
+from cambio.sinks.load import append_staging, load, replace_staging, truncate_staging
+from cambio.sources.landing import (
+    documents_of_poll,
+    land_documents,
+    read_document_files,
+    read_documents,
+    stream_documents,
+)
 from cambio.streaming.incremental import run_available
 from checks.fixtures import (
     BASELINE_TS,
+    EV_ORDER,
     LI_ORDER,
     RUN_TS,
     WIRE,
@@ -61,7 +75,7 @@ from checks.fixtures import (
     documents,
     event_documents,
     newest,
-    picked_events,
+    quote_json,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +130,22 @@ def landed_documents(t: Fixtures) -> DataFrame:
     return unpivot_quotes(answered, ["poll_ts"]).select("poll_ts", "cripto", "broker", "totalAsk", "totalBid", "time")
 
 
+@query
+def document_files(t: Fixtures) -> DataFrame:
+    """A JSON file per poll and coin, with every broker of the poll, written out and read as whole files."""
+    landing = work_dir(t.spark, "landing")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    polls = newest(t.ev().withColumn("poll_ts", day), ["poll_ts", "cripto", "broker"], EV_ORDER)
+    entry = F.concat(F.lit('"'), F.col("broker"), F.lit('":'), quote_json("totalAsk", "totalBid", "time"))
+    bodies = polls.groupBy("poll_ts", "cripto").agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
+    files = bodies.select(
+        "poll_ts", F.concat("cripto", F.lit(".json")).alias("file"), F.concat(F.lit("{"), "entries", F.lit("}")).alias("value")
+    )
+    files.write.partitionBy("poll_ts", "file").text(landing)
+    quotes = unpivot_quotes(read_document_files(t.spark, landing), ["poll_ts"])
+    return quotes.select("poll_ts", "cripto", "broker", "totalAsk", "totalBid", "time")
+
+
 @query
 def concat_quotes(t: Fixtures) -> DataFrame:
     return concat_by_name(
@@ -209,13 +239,34 @@ def staging_append(t: Fixtures) -> DataFrame:
     return append_staging(t.ev_side("poll"), STG_QUOTES, path)
 
 
+@query
+def staging_truncate(t: Fixtures) -> DataFrame:
+    """A load, emptied, then loaded anew by appending."""
+    path = work_dir(t.spark, "staging")
+    replace_staging(t.ev_side("baseline"), STG_QUOTES, path)
+    truncate_staging(t.spark, STG_QUOTES, path)
+    return append_staging(t.ev_side("poll"), STG_QUOTES, path)
+
+
+@query
+def load_fail(t: Fixtures) -> DataFrame:
+    """A load into a new table, and one that the mode ``fail`` refuses because the table exists."""
+    path = work_dir(t.spark, "table")
+    load(t.ev_side("baseline"), path, if_exists="fail")
+    try:
+        load(t.ev_side("poll"), path, if_exists="fail")
+    except AnalysisException:
+        return t.spark.read.schema(STG_QUOTES.schema).parquet(path)
+    raise AssertionError("a table that exists was loaded again")
+
+
 @query
 def constraint_violations(t: Fixtures) -> DataFrame:
-    """Quotes with missing prices, and document texts used as names: most break the length limit."""
+    """Quotes with missing prices, NULL or NaN, and document texts used as names: most break the length limit."""
     quotes = t.ev().select(
         F.lit(1).alias("cripto_id"),
         F.when(F.col("event_type") != "error", F.col("event_id")).cast("int").alias("broker_id"),
-        F.col("totalBid").alias("p_compra"),
+        F.when(F.col("event_type") == "view", F.lit(float("nan"))).otherwise(F.col("totalBid")).alias("p_compra"),
     )
     names = t.table("documents").select(F.col("doc_id").cast("int").alias("broker_id"), F.col("text").alias("broker_name"))
     return violations(quotes, STG_QUOTES).unionAll(violations(names, STG_BROKERS))
@@ -256,6 +307,16 @@ def committed_quotes_li(t: Fixtures) -> DataFrame:
     return warehouse.quotes.read()
 
 
+@query
+def committed_quotes_li_shuffled(t: Fixtures) -> DataFrame:
+    """The same through the plan for a source above the broadcast bound."""
+    warehouse = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
+    for side, run_ts in (("baseline", BASELINE_TS), ("poll", RUN_TS)):
+        staged = replace_staging(t.li_side(side), STG_QUOTES, work_dir(t.spark, "staging"))
+        merge_staged_quotes(warehouse, staged, STG_QUOTES, broadcast_source=False, run_ts=run_ts)
+    return warehouse.quotes.read()
+
+
 @query
 def merge_coins_part(t: Fixtures) -> DataFrame:
     part = t.table("part").withColumn("cripto_id", F.col("p_partkey").cast("int"))
@@ -295,17 +356,31 @@ def table_layout(t: Fixtures) -> DataFrame:
     }
     for spec in TABLES:
         load_table(rows[spec.name], spec, database)
-    described = [
-        (spec.name, position, column.col_name, column.data_type)
-        for spec in TABLES
-        for position, column in enumerate(spark.sql(f"DESCRIBE {database}.{spec.name}").collect(), 1)
-    ]
+    described = []
+    for spec in TABLES:
+        layout = describe_layout(spark, spec, database)
+        columns = spark.sql(f"SELECT * FROM {database}.{spec.name} LIMIT 0").columns
+        kinds = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {database}.{spec.name}").collect()}
+        required = layout["not_null"].split(",")
+        for position, column in enumerate(columns, 1):
+            described.append(
+                (
+                    spec.name,
+                    position,
+                    column,
+                    kinds[column],
+                    "yes" if column in required else "no",
+                    layout["distribution"],
+                    layout["bucket_columns"],
+                    layout["sort_columns"],
+                )
+            )
+    names = "column_name data_type not_null distribution bucket_columns sort_columns".split()
     schema = T.StructType(
         [
             T.StructField("table_name", T.StringType()),
             T.StructField("position", T.IntegerType()),
-            T.StructField("column_name", T.StringType()),
-            T.StructField("data_type", T.StringType()),
+            *[T.StructField(name, T.StringType()) for name in names],
         ]
     )
     counts = [
@@ -379,16 +454,25 @@ def alert_messages_desk(t: Fixtures) -> DataFrame:
     return alert_messages(alerts(_desk_history(t), _desk_rules(t), broadcast_rules=True))
 
 
+@query
+def alert_messages_small(t: Fixtures) -> DataFrame:
+    """Prices and thresholds far below one, as of coins that trade in millionths."""
+    rows = _li_history(t).withColumn("p_compra", F.floor("p_compra") / F.lit(1e8))
+    rules = _li_rules(t).withColumn("threshold", F.lit(0.00025))
+    return alert_messages(alerts(rows, rules))
+
+
 # --- the whole job ---
 
 
 def _daily(t: Fixtures) -> tuple[Warehouse, DataFrame]:
+    """Two daily runs over the line-item feed: one document per pair and side, a rule for every pair with a return."""
     warehouse, landing = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS), work_dir(t.spark, "landing")
-    feed, rules = t.desk(), default_rules(t.spark, RECIPIENT).unionAll(_desk_rules(t))
     for side, run_ts in (("baseline", BASELINE_TS), ("poll", RUN_TS)):
-        land_documents(documents(picked_events(feed, side), load_time(run_ts)), landing)
+        lines = newest(t.li_lines(side), ["l_partkey", "l_suppkey"], LI_ORDER)
+        land_documents(documents(t.li(lines), load_time(run_ts)), landing)
         poll = documents_of_poll(read_documents(t.spark, landing), run_ts)
-        messages = run_daily_load(warehouse, poll, run_ts, rules=rules)
+        messages = run_daily_load(warehouse, poll, run_ts, t.li_coins(), t.li_brokers(), _li_rules(t))
     return warehouse, messages
 
 
@@ -407,14 +491,34 @@ def daily_load_messages(t: Fixtures) -> DataFrame:
     return messages
 
 
+@query
+def quiet_poll(t: Fixtures) -> DataFrame:
+    """A load, then a poll whose quotes are all of unknown brokers; the committed quotes read back."""
+    warehouse = Warehouse(t.spark, work_dir(t.spark, "warehouse"))
+    load_quotes(warehouse, t.li_side("baseline"), BASELINE_TS)
+    strangers = t.li(t.li_lines("poll")).withColumn("broker", F.concat(F.lit("no "), F.col("broker")))
+    load_quotes(warehouse, normalize_quotes(strangers, t.li_coins(), t.li_brokers()), RUN_TS)
+    return warehouse.quotes.read()
+
+
+@query
+def latest_price_committed(t: Fixtures) -> DataFrame:
+    """The latest price of one pair, of the committed table; one part of it is read."""
+    warehouse = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
+    load_quotes(warehouse, t.li_side("baseline"), BASELINE_TS)
+    load_quotes(warehouse, t.li_side("poll"), RUN_TS)
+    pair = t.li_side("poll").orderBy("cripto_id", "broker_id").select("cripto_id", "broker_id").first()
+    return warehouse.latest_price(pair.cripto_id, pair.broker_id)
+
+
 @query
 def warehouse_sql(t: Fixtures) -> DataFrame:
     """SQL text over views of the three committed tables."""
     warehouse, prefix = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS), f"v{uuid.uuid4().hex}_"
-    load_quotes(warehouse, t.desk_side("baseline"), BASELINE_TS)
-    load_quotes(warehouse, t.desk_side("poll"), RUN_TS)
-    load_coins(warehouse, coin_dimension(t.spark), RUN_TS)
-    load_brokers(warehouse, broker_dimension(t.spark), RUN_TS)
+    load_quotes(warehouse, t.li_side("baseline"), BASELINE_TS)
+    load_quotes(warehouse, t.li_side("poll"), RUN_TS)
+    load_coins(warehouse, t.li_coins(), RUN_TS)
+    load_brokers(warehouse, t.li_brokers(), RUN_TS)
     warehouse.register_views(prefix)
     return t.spark.sql(
         f"""
@@ -422,7 +526,7 @@ def warehouse_sql(t: Fixtures) -> DataFrame:
         FROM {prefix}cotizaciones
         JOIN {prefix}criptomonedas USING (cripto_id)
         JOIN {prefix}brokers USING (broker_id)
-        WHERE p_compra > 50000 AND fecha_cotizacion >= DATE '2024-01-15'
+        WHERE p_compra > 50000 AND fecha_cotizacion >= DATE '2000-06-15'
         """
     )
 

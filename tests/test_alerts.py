@@ -92,13 +92,18 @@ def test_several_rules_for_one_pair(spark, rows, few):
 
 
 @pytest.mark.parametrize(
-    "price", [0.1, 1.005, 63251.4, 50000.0, 9999999.99, 1e7, 12000000.0, 12345678.9, 123456789.125, 1e15, 7.25e15, -2e7]
+    "price", [0.1, 1.005, 63251.4, 50000.0, 9999999.99, 1e7, 12000000.0, 12345678.9, 123456789.125, 1e15, 7.25e15, -2e7, 0.0005, 0.00012, 1e-4, 0.000999, -0.00025]
 )
 def test_price_text_equals_the_shortest_decimal(spark, price):
     frame = spark.createDataFrame([(price,)], "p double")
     assert frame.select(price_text(F.col("p"))).first()[0] == repr(price)
 
 
-@pytest.mark.parametrize("threshold, text", [(50000.0, "50,000"), (99.5, "99.50"), (1234567.0, "1,234,567")])
+@pytest.mark.parametrize("threshold, text", [(50000.0, "50,000"), (99.5, "99.50"), (1234567.0, "1,234,567"), (0.0015, "0.0015"), (0.00012, "0.00012"), (0.000001, "0.000001"), (1234567.125, "1,234,567.125"), (0.0, "0"), (-1500.5, "-1,500.50")])
 def test_threshold_text(spark, threshold, text):
     assert spark.createDataFrame([(threshold,)], "t double").select(threshold_text(F.col("t"))).first()[0] == text
+
+
+def test_prices_are_exact_down_to_a_millionth(spark):
+    frame = spark.createDataFrame([(1.5e-6,), (1e-6,), (2.25e-5,)], "p double")
+    assert [r[0] for r in frame.select(price_text(F.col("p"))).collect()] == ["0.0000015", "0.000001", "0.0000225"]

@@ -8,10 +8,10 @@ import pytest
 from pyspark.errors import PySparkException
 
 from cambio.operators.upsert import AmbiguousMerge
-from cambio.plans.daily import EveryPollFailed, Warehouse, run_daily_load
+from cambio.plans.daily import EveryPollFailed, Warehouse, load_quotes, raise_alerts, run_daily_load
 from cambio.schemas import BROKERS, COINS, DOCUMENT_SCHEMA, RULE_SCHEMA, default_rules, local_relation
 from cambio.sources.landing import land_documents, stream_documents
-from cambio.streaming.incremental import load_batch, run_available
+from cambio.streaming.incremental import OutOfOrderPoll, load_batch, run_available
 
 D1, D2, D3 = datetime(2024, 1, 1, 9), datetime(2024, 1, 2, 9), datetime(2024, 1, 3, 9)
 
@@ -181,3 +181,63 @@ def test_stream_poll_with_two_rows_for_a_pair_fails(spark, tmp_path):
     with pytest.raises(AmbiguousMerge):
         load_batch(w, twice, ("s", 0))
     assert w.quotes.version == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("quiet", ["{}", '{"stranger":{"totalAsk":1}}'])
+def test_a_quiet_poll_changes_no_quote(spark, tmp_path, parts, quiet):
+    w = Warehouse(spark, str(tmp_path / "w"), parts)
+    run_daily_load(w, documents(spark, D1, btc=body(D1, fiwind=1.0), eth=body(D1, fluyez=2.0)), D1)
+    before = state(w)["q"]
+    run_daily_load(w, documents(spark, D2, btc=quiet), D2)
+    assert state(w)["q"] == before
+    load_batch(w, documents(spark, D3, btc=quiet), ("s", 0))
+    assert state(w)["q"] == before and w.quotes.has_batch("s", 0)
+
+
+def test_a_new_checkpoint_is_a_new_stream(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    for n, (poll, name) in enumerate([(D1, "fiwind"), (D2, "fluyez")]):
+        landing = str(tmp_path / f"landing{n}")
+        land_documents(documents(spark, poll, btc=body(poll, **{name: 1.0})), landing)
+        assert run_available(w, stream_documents(spark, landing), str(tmp_path / f"cp{n}")) == 1
+    assert [r[1] for r in state(w)["q"]] == [10, 2] or [r[1] for r in state(w)["q"]] == [2, 10]
+
+
+def test_an_older_poll_is_refused(spark, tmp_path):
+    """Whichever lands first, the newer price stays."""
+    w = Warehouse(spark, str(tmp_path / "w"))
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "cp")
+    land_documents(documents(spark, D3, btc=body(D3, fiwind=300.0)), landing)
+    run_available(w, stream_documents(spark, landing), checkpoint)
+    before = state(w)
+    land_documents(documents(spark, D2, btc=body(D2, fiwind=200.0)), landing)
+    with pytest.raises(Exception, match="landed after"):
+        run_available(w, stream_documents(spark, landing), checkpoint)
+    with pytest.raises(OutOfOrderPoll):
+        load_batch(w, documents(spark, D2, btc=body(D2, fiwind=200.0)), ("other", 0))
+    assert state(w) == before
+
+
+def test_polls_landed_newest_first_load_in_poll_order(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    landing = str(tmp_path / "landing")
+    land_documents(documents(spark, D3, btc=body(D3, fiwind=300.0)), landing)
+    land_documents(documents(spark, D2, btc=body(D2, fiwind=200.0)), landing)
+    run_available(w, stream_documents(spark, landing), str(tmp_path / "cp"))
+    assert state(w)["q"] == [(1, 2, 300.0, 299.0, D3.date())]
+
+
+def test_alerts_and_latest_price_read_the_parts_of_their_coins(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"), parts=8)
+    rows = spark.range(0, 64).selectExpr(
+        "cast(id as int) cripto_id", "1 broker_id", "60000d p_compra", "1d p_venta",
+        "timestamp_ntz'2024-01-01 00:00:00' fecha_cotizacion",
+    )
+    load_quotes(w, rows, D1)
+    price = w.latest_price(1, 1)
+    assert [r.p_compra for r in price.collect()] == [60000.0]
+    assert len({f.split("_part=")[1].split("/")[0] for f in price.inputFiles()}) == 1
+    assert raise_alerts(w, default_rules(spark, "desk"), "r").count() == 1
+    with pytest.raises(PySparkException, match="longer than"):
+        raise_alerts(w, default_rules(spark, "d" * 400), "r2")

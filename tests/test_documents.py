@@ -159,7 +159,7 @@ def test_document_files(spark, tmp_path):
     ]
     assert sorted(tuple(r) for r in got) == expected
     assert documents_of_poll(frame, datetime(2024, 1, 29)).count() == 1
-    stream = stream_document_files(spark, str(tmp_path / "landing"), max_files_per_trigger=1)
+    stream = stream_document_files(spark, str(tmp_path / "landing"))
     seen = []
     stream.writeStream.foreachBatch(lambda b, _: seen.extend(r.cripto_name for r in b.collect())).option(
         "checkpointLocation", str(tmp_path / "cp")

@@ -10,8 +10,8 @@ from cambio.operators.constraints import enforce, violations
 from cambio.operators.upsert import inspect_source
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
 from cambio.plans.daily import Warehouse, load_quotes, merge_staged_quotes
-from cambio.sinks.catalog import define_tables, load_table
-from cambio.sinks.load import append_staging, jdbc_options, load, replace_staging, truncate_staging
+from cambio.sinks.catalog import define_tables, describe_layout, load_table
+from cambio.sinks.load import append_staging, load, replace_staging, truncate_staging
 from cambio.sinks.snapshots import SnapshotTable
 
 T1 = datetime(2024, 1, 28, 5)
@@ -56,17 +56,6 @@ def test_load_modes(spark, tmp_path):
         load(one, path, "merge")
 
 
-def test_jdbc_options():
-    assert jdbc_options("jdbc:x", "t", 500, 4, user="u") == {
-        "url": "jdbc:x",
-        "dbtable": "t",
-        "batchsize": "500",
-        "numPartitions": "4",
-        "truncate": "true",
-        "user": "u",
-    }
-
-
 @pytest.mark.parametrize("bad", [(None, 1, 1.0, None, T1), (1, None, 1.0, None, T1), (1, 1, None, 1.0, T1)])
 def test_null_fails_the_load(spark, tmp_path, bad):
     path = str(tmp_path / "s")
@@ -113,7 +102,7 @@ def test_snapshot_versions(spark, tmp_path, rows, parts):
     assert rows(table.read()) == sorted([(a, b, c + 1, d, e) for a, b, c, d, e in first], key=repr)
     reopened = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=99)
     assert reopened.parts == parts
-    assert reopened.compact() == 3
+    assert reopened.commit(reopened.read()) == 3
     assert rows(reopened.read()) == rows(table.read(version=2))
     assert table.expire(keep=1) == [1, 2] and table.versions() == [3]
     assert table.read().count() == 21
@@ -164,8 +153,6 @@ def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
         table.commit(broken)
     assert table.version == 1 and table.read().first().p_compra == 1.0
     assert len(list((tmp_path / "t").glob("data-*"))) == 2
-    assert len(table.remove_orphans()) == 1 and table.remove_orphans() == []
-    assert table.read().first().p_compra == 1.0
 
 
 def test_a_version_is_published_once(spark, tmp_path):
@@ -188,7 +175,6 @@ def test_batches_are_remembered(spark, tmp_path):
 def test_sorted_inside_a_file(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=2)
     table.commit(quotes(spark, *[(i % 5, 1, 0.0, None, date(2024, 1, 1 + (i * 7) % 28)) for i in range(100)]))
-    table.compact()
     seen = table.read().select(F.input_file_name().alias("f"), "fecha_cotizacion").collect()
     by_file = {}
     for r in seen:
@@ -231,3 +217,75 @@ def test_load_catalog_tables(spark, tmp_path, rows):
     with pytest.raises(KeyError):
         load_table(row, STG_QUOTES, "load_db", "merge")
     spark.sql("DROP DATABASE load_db CASCADE")
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_a_commit_names_only_its_parts(spark, tmp_path, rows, parts):
+    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts)
+    table.commit(quotes(spark, (1, 1, 1.0, None, DAY), (2, 1, 2.0, None, DAY)))
+    before = rows(table.read())
+    assert table.commit(quotes(spark), parts=(), batch=("s", 3)) == 2
+    assert rows(table.read()) == before and table.has_batch("s", 3)
+
+
+def test_of_two_commits_with_one_base_the_second_fails(spark, tmp_path, rows):
+    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
+    table.commit(quotes(spark, (1, 1, 1.0, None, DAY)))
+    base = table.version
+    mine = table.read(version=base).union(quotes(spark, (3, 1, 3.0, None, DAY)))
+    table.commit(table.read().union(quotes(spark, (2, 1, 2.0, None, DAY))))
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        table.commit(mine, base=base)
+    assert [r[0] for r in rows(table.read())] == [1, 2]
+
+
+def test_the_shuffled_merge_writes_few_files(spark, tmp_path):
+    def staged_rows(shift):
+        return spark.range(0, 3000, 1, 8).selectExpr(
+            f"cast(id + {shift} as int) cripto_id", "1 broker_id", "1d p_compra", "1d p_venta",
+            "timestamp_ntz'2024-01-01 00:00:00' fecha_cotizacion",
+        )
+
+    w = Warehouse(spark, str(tmp_path / "w"), parts=4)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        for n, shift in enumerate((0, 1000)):
+            staged_rows(shift).write.parquet(str(tmp_path / f"s{n}"))
+            merge_staged_quotes(w, spark.read.parquet(str(tmp_path / f"s{n}")), STG_QUOTES, broadcast_source=False)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    newest = max((tmp_path / "w" / "cotizaciones").glob("data-*"), key=lambda f: f.stat().st_mtime)
+    assert w.quotes.read().count() == 4000
+    assert len(list(newest.rglob("part-*.parquet"))) == 4
+
+
+def test_nan_is_missing(spark, rows):
+    nan = float("nan")
+    frame = staged(spark, (1, 1, nan, 1.0, T1))
+    with pytest.raises(PySparkException, match="p_compra must not be NULL"):
+        enforce(frame, STG_QUOTES).collect()
+    assert rows(violations(frame, STG_QUOTES))[2] == ("stg_cotizaciones", "p_compra is NULL", 1)
+    assert rows(enforce(staged(spark, (1, 1, 1.0, nan, T1)), STG_QUOTES)) == [(1, 1, 1.0, None, T1)]
+
+
+def test_catalog_loads_write_a_file_per_bucket(spark, tmp_path):
+    spark.sql("CREATE DATABASE bucket_db")
+    define_tables(spark, "bucket_db", buckets=4)
+    spark.range(0, 2000, 1, 16).selectExpr(
+        "cast(id as int) cripto_id", "cast(id % 7 as int) broker_id", "1d p_compra", "1d p_venta",
+        "date'2024-01-01' fecha_cotizacion",
+    ).write.parquet(str(tmp_path / "q"))
+    load_table(spark.read.parquet(str(tmp_path / "q")), QUOTES_TABLE, "bucket_db")
+    table = spark.table("bucket_db.cotizaciones")
+    assert table.count() == 2000
+    files = table.select(F.input_file_name().alias("f")).distinct().count()
+    assert files <= 8
+    layout = describe_layout(spark, STG_BROKERS, "bucket_db")
+    assert layout == {
+        "not_null": "broker_id",
+        "distribution": "all",
+        "bucket_columns": "",
+        "buckets": "0",
+        "sort_columns": "broker_id",
+    }
+    spark.sql("DROP DATABASE bucket_db CASCADE")
