@@ -22,11 +22,11 @@ from cambio.llm.common import written
 
 #: Rows of a block and queries of a bundle, about; more near one pivot are cut up by a hash.
 BLOCK_ROWS = 2048
-BUNDLE_QUERIES = 512
+BUNDLE_QUERIES = 4096
 #: Pivots: a bounded sample of vectors, those whose id has the smallest hash.
 MOST_PIVOTS = 256
 #: A node with at most so many points is a leaf; each level of a tree covers with half the radius of the one above.
-LEAF_POINTS = 48
+LEAF_POINTS = 64
 SHRINK = 0.5
 
 CELL_SCHEMA = "query_key bigint, query_id bigint, vec_id bigint, score bigint"
@@ -49,25 +49,30 @@ def cover_tree(x: np.ndarray) -> Node:
     the node's own; the first child keeps the node's centre. Points that no other point joins share one leaf.
     """
 
+    squares = (x * x).sum(axis=1)
+
     def build(points: np.ndarray, centre: np.ndarray) -> Node:
-        away = np.sqrt(((x[points] - centre) ** 2).sum(axis=1))
-        node = Node(centre, float(away.max()), points)
+        own = x[points]
+        node = Node(centre, float(np.sqrt(((own - centre) ** 2).sum(axis=1).max())), points)
         if len(points) <= LEAF_POINTS or node.radius == 0:
             return node
-        reach, alone = node.radius * SHRINK, []
-        rest, here = points, centre
-        while len(rest):
-            near = np.sqrt(((x[rest] - here) ** 2).sum(axis=1)) <= reach
-            if near.any():
-                if near.sum() == 1:
-                    alone.append(rest[near])
-                elif near.all() and len(rest) == len(points):
-                    return node  # the centre's child would be the node itself
-                else:
-                    node.children.append(build(rest[near], here))
-            rest = rest[~near]
-            if len(rest):
-                here = x[rest[0]]
+        reach, alone = (node.radius * SHRINK) ** 2, []
+        left, here, first = np.ones(len(points), bool), centre, None
+        while left.any():
+            # by one matrix product; which child takes a point on the border doesn't matter, its radius is measured
+            near = left & (squares[points] - 2 * (own @ here) + here @ here <= reach)
+            if first is not None:
+                near[first] = True  # the point itself, whatever the rounding
+            if near.all():
+                return node  # its only child would be the node itself
+            if near.sum() == 1:
+                alone.append(points[near])
+            elif near.any():
+                node.children.append(build(points[near], here))
+            left &= ~near
+            if left.any():
+                first = int(left.argmax())
+                here = own[first]
         if alone:
             loose = np.concatenate(alone)
             for part in np.array_split(loose, -(-len(loose) // LEAF_POINTS)):
@@ -126,6 +131,12 @@ class Search:
             scores = (self.qf[rows] @ self.xf[others].T).astype(np.int64)
         else:
             scores = self.q[rows] @ self.x[others].T
+        # most blocks hold nothing better than what is known: only queries with a candidate go on, with those candidates
+        better = scores >= self.worst[rows][:, None]
+        some = better.any(axis=1)
+        if not some.any():
+            return
+        rows, others, scores = rows[some], others[better.any(axis=0)], scores[some][:, better.any(axis=0)]
         ids = np.broadcast_to(self.ids[others], scores.shape)
         own = ids == self.query_ids[rows][:, None]
         scores = np.concatenate([self.scores[rows], np.where(own, np.iinfo(np.int64).min, scores)], axis=1)
@@ -267,23 +278,28 @@ def top_inner_products(
     spark = embeddings.sparkSession
     vectors = whole_vectors(embeddings, vec_id, vector, factor)
     vectors = written(vectors, "whole-vectors")
-    facts = vectors.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("values")).alias("dims")).first()
+    facts = vectors.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(is_query).alias("queries"), F.max(F.size("values")).alias("dims")
+    ).first()
     dims = max(facts["dims"] or 0, 1)
     count = int(min(max(facts["rows"] // BLOCK_ROWS, 1), MOST_PIVOTS))
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "values").limit(count).toArrow()
     pivots = _matrix(sample["values"], dims).astype(np.float64) if facts["rows"] else np.zeros((1, dims))
     near = written(dealt(vectors, pivots, dims), "dealt-vectors")
     blocks, block_facts = grouped(near.select("vec_id", "values", "pivot", "away"), BLOCK_ROWS, "block")
-    asked = near.where(is_query).withColumn("query_key", F.xxhash64("vec_id", "values"))
+    # fewer pivots for the queries: a block is sent, and its tree built, once for every bundle that it stays open to
+    few = pivots[: min(max(-(-facts["queries"] // BUNDLE_QUERIES), 1), len(pivots))]
+    asked = dealt(vectors.where(is_query), few, dims).withColumn("query_key", F.xxhash64("vec_id", "values"))
     queries, bundle_facts = grouped(asked, BUNDLE_QUERIES, "bundle")
     block_facts = block_facts.select(
-        "block", F.col("pivot").alias("block_pivot"), F.col("radius").alias("block_radius"), F.lit(1).alias("all")
+        "block", F.col("pivot").alias("block_pivot"), F.col("radius").alias("block_radius")
     )
     bundle_facts = bundle_facts.select(
-        "bundle", F.col("pivot").alias("bundle_pivot"), F.col("radius").alias("bundle_radius"), F.lit(1).alias("all")
+        "bundle", F.col("pivot").alias("bundle_pivot"), F.col("radius").alias("bundle_radius")
     )
     # the query set meets all rows in blocks: a row per bundle and block, not per query and vector
-    meet = bundle_facts.join(block_facts, "all").drop("all")
+    every_pivot = F.explode(F.sequence(F.lit(0), F.lit(len(few) - 1)))
+    meet = block_facts.withColumn("bundle_pivot", every_pivot).join(bundle_facts, "bundle_pivot")
     meet = written(meet.withColumn("best", _bound(pivots, spark, "bundle", "block")), "bundle-blocks")
     home = meet.groupBy("bundle").agg(F.max_by("block", F.struct("best", "block")).alias("block"))
     start = queries.withColumn("floor", F.lit(float("-inf")))
