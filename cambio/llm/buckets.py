@@ -39,9 +39,8 @@ def cells(members: DataFrame) -> DataFrame:
         blocks(F.col("main_members")).alias("mains"),
         blocks(F.col("members") - F.col("main_members")).alias("others"),
     )
-    rows = rows.withColumn(
-        "block", F.pmod(F.xxhash64("id", "key"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
-    )
+    number = F.when(F.col("main"), F.col("mains")).otherwise(F.col("others"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), number).cast("int"))
     meets = F.expr(
         """
         CASE WHEN main THEN transform(sequence(0, others - 1), r -> struct(r AS p, others + block AS q))

@@ -115,7 +115,7 @@ def classes_of(rows: DataFrame, dims: int) -> DataFrame:
                 raw.append(one.tobytes())
                 digests.append(np.frombuffer(hashlib.blake2b(raw[-1], digest_size=16).digest(), np.int64))
             hashes = np.array(digests, np.int64).reshape(-1, 2)
-            columns = [batch.column("vec_id"), pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(raw, pa.binary())]
+            columns = [batch.column("vec_id"), *(pa.array(hashes[:, k]) for k in (0, 1)), pa.array(raw, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "h1", "h2", "raw"])
 
     return rows.mapInArrow(run, "vec_id bigint, h1 bigint, h2 bigint, raw binary")
@@ -194,8 +194,9 @@ def near_duplicate_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector
     )
     able = rows.where(F.col("vec_id").isNotNull() & usable("vector"))
     facts = able.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("vector")).alias("dims")).first()
+    alone = [F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")]
     if not facts["rows"]:
-        return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select("vec_id", *alone, F.lit(True).alias("kept"))
     dims = facts["dims"]
     hashed = written(classes_of(able, dims), "vectors")
     classes = hashed.groupBy("h1", "h2").agg(
@@ -238,8 +239,6 @@ def near_duplicate_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector
     linked = hashed.select("vec_id", "h1", "h2").join(answer, ["h1", "h2"]).select(
         "vec_id", F.col("links").cast("bigint").alias("n_links"), F.col("component").alias("component_id")
     )
-    unable = rows.where(~(F.col("vec_id").isNotNull() & usable("vector"))).select(
-        "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")
-    )
+    unable = rows.where(~(F.col("vec_id").isNotNull() & usable("vector"))).select("vec_id", *alone)
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return linked.unionByName(unable).withColumn("kept", kept)

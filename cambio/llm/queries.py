@@ -56,8 +56,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = assemble(read_archives(spark, path, with_payload=False))
     digest = F.coalesce("answer.payload_sha256", F.substring_index("answer.header_digest", ":", -1))
     refers_to = F.regexp_extract("answer.refers_to", "^<urn:x-page:([0-9-]+):capture>$", 1)
+    page_id = F.element_at(F.element_at("metadata", 1)["fields"], "page-id")
     return captures.select(
-        F.element_at(F.element_at("metadata", 1)["fields"], "page-id").alias("page_id").try_cast("bigint").alias("page_id"),
+        page_id.try_cast("bigint").alias("page_id"),
         F.col("answer.payload_bytes").alias("payload_bytes"),
         digest.alias("payload_digest"),
         "record_type",

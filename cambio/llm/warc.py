@@ -215,9 +215,11 @@ def assemble(records: DataFrame) -> DataFrame:
     )
     parts = named_by_companion.unionByName(named_by_capture)
 
+    def by_id(a: Column, b: Column) -> Column:
+        return F.when(a.record_id < b.record_id, -1).when(a.record_id > b.record_id, 1).otherwise(0)
+
     def of(kind: str) -> Column:
-        found = F.collect_list(F.when(F.col("record_type") == kind, F.col("part")))
-        return F.array_sort(found, lambda a, b: F.when(a.record_id < b.record_id, -1).when(a.record_id > b.record_id, 1).otherwise(0))
+        return F.array_sort(F.collect_list(F.when(F.col("record_type") == kind, F.col("part"))), by_id)
 
     grouped = parts.groupBy("capture_id").agg(of("request").alias("requests"), of("metadata").alias("metadata"))
     nothing = F.array().cast(grouped.schema["requests"].dataType)
