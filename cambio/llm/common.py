@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cambio.session import work_dir
 
-#: Texts are handled in chunks of about so many characters, so that memory does not follow the batch size.
-CHUNK_CHARS = 1_000_000
+#: Texts are handled in chunks of about so many bytes, so that memory does not follow the batch size.
+CHUNK_BYTES = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,17 +39,24 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with their texts; a null text counts as empty, a long text is a slice of its own."""
+    """Slices of the batches with their texts; a null text counts as empty, a long text is a slice of its own.
+
+    Texts become Python strings a slice at a time.
+    """
     for batch in batches:
-        texts = [text or "" for text in batch.column(column).to_pylist()]
         first, size = 0, 0
-        for i, text in enumerate(texts):
-            if i > first and size + len(text) > CHUNK_CHARS:
-                yield batch.slice(first, i - first), texts[first:i]
+        for i, length in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist()):
+            if i > first and size + length > CHUNK_BYTES:
+                yield _slice(batch, column, first, i)
                 first, size = i, 0
-            size += len(text)
-        if texts:
-            yield batch.slice(first), texts[first:]
+            size += length
+        if batch.num_rows:
+            yield _slice(batch, column, first, batch.num_rows)
+
+
+def _slice(batch: pa.RecordBatch, column: str, first: int, end: int) -> tuple[pa.RecordBatch, list[str]]:
+    part = batch.slice(first, end - first)
+    return part, [text or "" for text in part.column(column).to_pylist()]
 
 
 #: Bits of an id sketch: 8 MB, whatever the number of ids.
@@ -61,10 +69,9 @@ def id_sketch(ids: DataFrame, column: str) -> np.ndarray:
     It lets a scan drop most rows that a join would drop, before they are shuffled. At most 2 ** (SKETCH_BITS - 6) rows
     reach the driver.
     """
-    place = F.pmod(F.xxhash64(column), F.lit(1 << SKETCH_BITS))
     bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
     words = (
-        ids.select(place.alias("place"))
+        ids.select(place_of(column).alias("place"))
         .groupBy(F.expr("place div 64").alias("word"))
         .agg(F.bit_or(bit).alias("bits"))
         .toArrow()
@@ -74,14 +81,22 @@ def id_sketch(ids: DataFrame, column: str) -> np.ndarray:
     return sketch
 
 
+def place_of(column: str) -> Column:
+    """The bit of an id in a sketch."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << SKETCH_BITS))
+
+
+def hits(sketch: np.ndarray, places: np.ndarray) -> np.ndarray:
+    at = places.astype(np.uint64)
+    return ((sketch[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def maybe_in(spark: SparkSession, sketch: np.ndarray, column: str) -> Column:
     """Whether an id may be among those of the sketch; a null id is not."""
     shared = spark.sparkContext.broadcast(sketch)
 
     @F.pandas_udf("boolean")
     def hit(place: pd.Series) -> pd.Series:
-        at = place.to_numpy().astype(np.uint64)
-        return pd.Series(((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool))
+        return pd.Series(hits(shared.value, place.to_numpy()))
 
-    place = F.pmod(F.xxhash64(column), F.lit(1 << SKETCH_BITS))
-    return F.col(column).isNotNull() & hit(place)
+    return F.col(column).isNotNull() & hit(place_of(column))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cambio.llm.buckets import cells
-from cambio.llm.common import id_sketch, maybe_in, text_chunks, written
+from cambio.llm.common import hits, id_sketch, maybe_in, place_of, text_chunks, written
 from cambio.llm.components import components
 from cambio.llm.shingles import hash_functions, minima, mixed, shingle_sets
 
@@ -77,11 +77,15 @@ def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
     The ids' sketch is applied in the scan, so no text is shuffled.
     """
-    sketch = id_sketch(ids, "id")
+    shared = documents.sparkSession.sparkContext.broadcast(id_sketch(ids, "id"))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(hits(shared.value, batch.column("place").to_numpy())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = hash_functions(BANDS * ROWS)
-        for batch, texts in text_chunks(batches):
+        for batch, texts in text_chunks(wanted(batches)):
             sets = shingle_sets(texts)
             some = [i for i, s in enumerate(sets) if len(s)]
             signatures = minima([sets[i] for i in some], functions).astype(np.uint8)
@@ -92,8 +96,8 @@ def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "signature", "shingles"])
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    return rows.where(maybe_in(documents.sparkSession, sketch, "id")).mapInArrow(run, SET_SCHEMA)
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text").where("id IS NOT NULL")
+    return rows.withColumn("place", place_of("id")).mapInArrow(run, SET_SCHEMA)
 
 
 def alike(one: np.ndarray, other: np.ndarray) -> bool:
