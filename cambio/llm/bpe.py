@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cambio.llm.common import text_chunks
+from cambio.llm.common import map_rows, text_chunks
 
 # Fixed value of the tokenizer format: how a text is cut into words before merging.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -232,4 +232,4 @@ def _map_texts(documents: DataFrame, tokenizer_path: str, text: str, columns: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *derived], names=names)
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id bigint, {columns}")
+    return map_rows(rows, run, f"doc_id bigint, {columns}")

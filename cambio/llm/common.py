@@ -38,6 +38,16 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Rows that Spark hands to Python at a time: texts are long, and a batch is held several times over.
+BATCH_ROWS = 2000
+
+
+def map_rows(frame: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` in batches of BATCH_ROWS. The batch size is a setting of the session, and stays set."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return frame.mapInArrow(run, schema)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with their texts; a null text counts as empty, a long text is a slice of its own.
 

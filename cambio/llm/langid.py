@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cambio.llm.common import text_chunks
+from cambio.llm.common import map_rows, text_chunks
 
 #: Labelled chunks per language that the network learns from, and characters of each.
 SAMPLE_PER_LANGUAGE = 500
@@ -232,9 +232,8 @@ def identify(documents: DataFrame, net: Network | None) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, lang_pred string, score double"
-    )
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return map_rows(rows, run, "doc_id bigint, lang_pred string, score double")
 
 
 def _answers(net: Network | None, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -258,4 +257,4 @@ def keep_identified(documents: DataFrame, net: Network | None, least: float) ->
             fits = [a != UNDETERMINED and s >= least for a, s in zip(labels, scores, strict=True)]
             yield batch.filter(pa.array(fits, pa.bool_()))
 
-    return documents.mapInArrow(run, T.StructType(documents.schema.fields))
+    return map_rows(documents, run, T.StructType(documents.schema.fields))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cambio.llm.common import text_chunks
+from cambio.llm.common import map_rows, text_chunks
 
 # The phrases that must be found, with their labels.
 BASE_PHRASES = {
@@ -233,4 +233,4 @@ def scan_licences(documents: DataFrame) -> DataFrame:
             columns = [pa.array([row[n] for row in rows], k) for n, k in zip(names[1:], kinds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCAN_SCHEMA)
+    return map_rows(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, SCAN_SCHEMA)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cambio.llm.buckets import cells
-from cambio.llm.common import hits, id_sketch, maybe_in, place_of, text_chunks, written
+from cambio.llm.common import hits, id_sketch, map_rows, maybe_in, place_of, text_chunks, written
 from cambio.llm.components import components
 from cambio.llm.shingles import hash_functions, minima, mixed, shingle_sets
 
@@ -69,7 +69,8 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, FINGERPRINT_SCHEMA)
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return map_rows(rows, run, FINGERPRINT_SCHEMA)
 
 
 def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["id", "signature", "shingles"])
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text").where("id IS NOT NULL")
-    return rows.withColumn("place", place_of("id")).mapInArrow(run, SET_SCHEMA)
+    return map_rows(rows.withColumn("place", place_of("id")), run, SET_SCHEMA)
 
 
 def alike(one: np.ndarray, other: np.ndarray) -> bool:
@@ -133,7 +134,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).take(linked)
 
     chosen = both.select("a", "b", "signature_a", "signature_b", "shingles_a", "shingles_b")
-    return chosen.mapInArrow(run, "a bigint, b bigint")
+    return map_rows(chosen, run, "a bigint, b bigint")
 
 
 def verify_cells(dealt: DataFrame, sets: DataFrame) -> DataFrame:

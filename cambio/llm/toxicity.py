@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cambio.llm.common import id_sketch, maybe_in, text_chunks
+from cambio.llm.common import id_sketch, map_rows, maybe_in, text_chunks
 
 WORD_BITS = 19
 PAIR_BITS = 19
@@ -131,7 +131,7 @@ def count_expressions(labelled: DataFrame) -> DataFrame:
                 part = [pa.array(c[begin : begin + 100_000]) for c in columns]
                 yield pa.RecordBatch.from_arrays(part, names=[c.split(" ")[0] for c in COUNT_SCHEMA.split(", ")])
 
-    counted = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, COUNT_SCHEMA)
+    counted = map_rows(labelled.select("text", F.col("toxic").cast("int").alias("toxic")), run, COUNT_SCHEMA)
     return counted.groupBy("kind", "bucket").agg(
         F.sum("ordinary").alias("ordinary"),
         F.sum("toxic").alias("toxic"),
@@ -278,9 +278,8 @@ def learn(documents: DataFrame, labels: DataFrame, calibration) -> KneserNey:
             columns = [batch.column("toxic"), *[pa.array(x[:, k]) for k in range(FEATURES)]]
             yield pa.RecordBatch.from_arrays(columns, names=["toxic", *names])
 
-    rows = scored.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
-        run, "toxic int, " + ", ".join(f"{name} double" for name in names)
-    )
+    schema = "toxic int, " + ", ".join(f"{name} double" for name in names)
+    rows = map_rows(scored.select(F.col("toxic").cast("int").alias("toxic"), "text"), run, schema)
     found = rows.toArrow()
     order = np.lexsort([found[k].to_numpy() for k in (*names, "toxic")])
     x = np.stack([found[k].to_numpy() for k in names], axis=1)[order]
@@ -302,9 +301,8 @@ def score_documents(documents: DataFrame, model: KneserNey) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, score double, predicted int"
-    )
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return map_rows(rows, run, "doc_id bigint, score double, predicted int")
 
 
 def drop_toxic(documents: DataFrame, model: KneserNey) -> DataFrame:
@@ -315,4 +313,4 @@ def drop_toxic(documents: DataFrame, model: KneserNey) -> DataFrame:
         for batch, texts in text_chunks(batches):
             yield batch.filter(pa.array(scores(shared.value, texts) < THRESHOLD))
 
-    return documents.mapInArrow(run, T.StructType(documents.schema.fields))
+    return map_rows(documents, run, T.StructType(documents.schema.fields))
