@@ -20,18 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cambio.llm.bpe import WORD_PATTERN, Vocabulary, load_vocabulary
-from cambio.llm.common import text_chunks
+from cambio.llm.common import map_rows, text_chunks
 
 SEQUENCE_TOKENS = 2048
 #: The id that ends every document.
 END_ID = 1
 #: Costs, in tokens of padding: a cut inside a document at a sentence's end, one inside a sentence, one more sequence.
 SENTENCE_CUT = 4
-HARD_CUT = 48
-PER_SEQUENCE = 256
+HARD_CUT = 8
+PER_SEQUENCE = 512
 #: A stretch without a sentence's end that is longer than this may be cut at every HARD_STEP-th token.
-LONG_SENTENCE = 512
-HARD_STEP = 32
+LONG_SENTENCE = 64
+HARD_STEP = 8
 #: Tokens that are planned together; the last sequences of a plan are planned again with what follows.
 PLAN_TOKENS = 1 << 18
 REPLANNED = 4
@@ -188,4 +188,4 @@ def pack_documents(documents: DataFrame, tokenizer_path: str) -> DataFrame:
         yield out(packer.flush(last=True))
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    return rows.mapInArrow(run, OUTPUT)
+    return map_rows(rows, run, OUTPUT)
