@@ -1,7 +1,7 @@
 """Headline timings: one JSON line on standard output.
 
-BENCH_SF_DIR picks the tables, BENCH_CPUS the local threads. Each query runs once to warm up and then three times; the
-median counts. A lazy query is timed to its last row (``noop`` sink); a query that writes tables includes those writes.
+BENCH_SF_DIR picks the tables, BENCH_CPUS the local threads. Each query runs once to warm up and then twice; the
+mean counts. A lazy query is timed to its last row (``noop`` sink); a query that writes tables includes those writes.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ HEADLINE = (
     "daily_load",
     "stream_load",
 )
-RUNS = 3
+RUNS = 2
 
 
 def main() -> None:
