@@ -6,35 +6,39 @@ P(w | v), which itself backs off to P(w), times the class's word ratio P_c(w) /
 know well thus gets nearly the same probability from both, and speaks for neither. A text's score comes from the
 difference of its log-likelihoods, normalised by length.
 
-Counts are of texts that hold the expression, so a text that repeats a word a thousand times counts as one, and are
-taken over *all* labelled training rows, in Spark. The model is a fixed number of hash buckets, so its size is
-bounded whatever the corpus: word buckets hold the counts by class and a small bitmap, from which the number of different
-neighbours is estimated by linear counting; pair buckets hold the counts by class, of which what collisions alone would
-give is taken off. The score is calibrated on at most CALIBRATION_ROWS labelled rows that were not counted.
+Counts are of texts that hold the expression, so a text that repeats a word a thousand times counts as one. They are
+exact, by the 64-bit hashes of word and word before, and grow with the corpus: Spark sums them up, and continuation counts
+are counts over the different pairs. What scoring looks up is a written table of keys and values. A pair is in it if a
+class's count exceeds the discount; of any other pair the shared part cancels out of the difference, which is then the
+word's value plus that of the word before. A table of up to BROADCAST_ENTRIES is broadcast; a larger one is joined to the
+different keys of each block of texts. Both give the same scores. They are calibrated on at most CALIBRATION_ROWS labelled
+rows that were not counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cambio.llm.common import id_sketch, map_rows, maybe_in, text_chunks
+from cambio.llm.common import id_sketch, map_rows, maybe_in, text_chunks, written
 
-WORD_BITS = 19
-PAIR_BITS = 19
+#: A larger table (16 bytes an entry) is not broadcast but joined.
+BROADCAST_ENTRIES = 4_000_000
+#: Rows of a block of texts are 2 to the power of this.
+BLOCK_BITS = 12
+#: Expressions that a task holds before it hands its sums on.
+HELD = 1_000_000
 #: Taken off a class's count of a word or a pair, and off the pooled count of a word.
 CLASS_DISCOUNT = 3.0
 POOLED_DISCOUNT = 0.75
 #: Weight of the backoff, in observations, beside the mass that discounting leaves to it.
 STRENGTH = 20.0
-#: Standard deviations by which a pair bucket has to exceed what collisions alone would give.
-COLLISION_MARGIN = 4.0
 #: Rows of the calibration, those whose id has the smallest hash.
 CALIBRATION_ROWS = 20_000
 #: Words of the span whose difference of log-likelihoods is largest, a second view beside the whole text.
@@ -78,126 +82,244 @@ def words_and_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return text, word, before
 
 
-def _buckets(word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of the word, of the word before, of the pair."""
-    with np.errstate(over="ignore"):
-        pair = _mixed(before * np.uint64(31) + word)
-    shift = np.uint64(64 - WORD_BITS)
-    return (
-        (word >> shift).astype(np.int64),
-        (before >> shift).astype(np.int64),
-        (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64),
-    )
+def _context_key(before: np.ndarray) -> np.ndarray:
+    return _mixed(before ^ np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def _distinct(bits: np.ndarray) -> np.ndarray:
-    """Linear counting: the number of different values hashed into a 64-bit map."""
-    ones = np.bitwise_count(bits).astype(np.float64)
-    return -64 * np.log1p(-np.minimum(ones, 63.5) / 64)
+def _pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(_mixed(before * np.uint64(31) + word) + before)
 
 
-COUNT_SCHEMA = "kind int, bucket int, ordinary bigint, toxic bigint, before bigint, after bigint"
+COUNT_SCHEMA = "kind int, before bigint, word bigint, ordinary bigint, toxic bigint"
 WORD, PAIR = 0, 1
 
 
+def _starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where another value begins in sorted columns."""
+    differ = np.zeros(len(columns[0]), bool)
+    differ[:1] = True
+    for c in columns:
+        differ[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(differ)
+
+
+def _summed(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """(kind, before, word, ordinary, toxic), each expression once."""
+    order = np.lexsort(rows[:3][::-1])
+    rows = [c[order] for c in rows]
+    first = _starts(rows[:3])
+    return [c[first] for c in rows[:3]] + [np.add.reduceat(c, first) if len(first) else c for c in rows[3:]]
+
+
+def _expressions(texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
+    """The words and pairs of some texts with their counts, each once per text, however often the text repeats it."""
+    text, word, before = words_and_pairs(texts)
+    parts = []
+    for kind, left in ((WORD, np.zeros_like(word)), (PAIR, before)):
+        order = np.lexsort((word, left, text))
+        keys = [text[order], left[order], word[order]]
+        held, left_held, word_held = (c[_starts(keys)] for c in keys)
+        label = toxic[held]
+        parts.append([np.full(len(held), kind, np.int32), left_held, word_held, 1 - label, label])
+    return _summed([np.concatenate(c) for c in zip(*parts, strict=True)])
+
+
 def count_expressions(labelled: DataFrame) -> DataFrame:
-    """Counts (COUNT_SCHEMA) by bucket over all rows (text, toxic).
+    """Counts (COUNT_SCHEMA) of every word (``before`` 0) and pair over all rows (text, toxic).
 
-    A word's bitmaps are of the words before it and after it. Each task adds up its rows in arrays before anything is
-    shuffled.
+    Each task adds up what it holds before anything is shuffled.
     """
+    names = [c.split(" ")[0] for c in COUNT_SCHEMA.split(", ")]
+
+    def handed(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = [c.view(np.int64) if c.dtype == np.uint64 else c for c in rows]
+        for begin in range(0, len(rows[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[begin : begin + 100_000]) for c in rows], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = {WORD: 1 << WORD_BITS, PAIR: 1 << PAIR_BITS}
-        counts = {kind: np.zeros((2, n), np.int64) for kind, n in sizes.items()}
-        bits = np.zeros((2, 1 << WORD_BITS), np.uint64)
+        parts: list[list[np.ndarray]] = []
+        size = 0
         for batch, texts in text_chunks(batches):
-            toxic = np.array(batch.column("toxic").to_pylist(), dtype=np.int64)
-            text, word, before = words_and_pairs(texts)
-            w, v, p = _buckets(word, before)
-            one = np.uint64(1)
-            np.bitwise_or.at(bits[0], w, one << (before & np.uint64(63)))
-            np.bitwise_or.at(bits[1], v, one << (word & np.uint64(63)))
-            for kind, bucket in ((WORD, w), (PAIR, p)):
-                held = np.unique(text << 32 | bucket)  # once per text, however often a text repeats it
-                label, bucket = toxic[held >> 32], held & 0xFFFFFFFF
-                for c in (0, 1):
-                    counts[kind][c] += np.bincount(bucket[label == c], minlength=sizes[kind])
-        for kind, (ordinary, tox) in counts.items():
-            some = np.flatnonzero(ordinary + tox)
-            maps = [m[some].view(np.int64) if kind == WORD else np.zeros(len(some), np.int64) for m in bits]
-            columns = [np.full(len(some), kind, np.int32), some.astype(np.int32), ordinary[some], tox[some], *maps]
-            for begin in range(0, len(some), 100_000):
-                part = [pa.array(c[begin : begin + 100_000]) for c in columns]
-                yield pa.RecordBatch.from_arrays(part, names=[c.split(" ")[0] for c in COUNT_SCHEMA.split(", ")])
+            parts.append(_expressions(texts, np.array(batch.column("toxic").to_pylist(), dtype=np.int64)))
+            size += len(parts[-1][0])
+            if size > HELD:
+                parts = [_summed([np.concatenate(c) for c in zip(*parts, strict=True)])]
+                size = len(parts[0][0])
+                if size > HELD // 2:
+                    yield from handed(parts[0])
+                    parts, size = [], 0
+        if parts:
+            yield from handed(_summed([np.concatenate(c) for c in zip(*parts, strict=True)]))
 
     counted = map_rows(labelled.select("text", F.col("toxic").cast("int").alias("toxic")), run, COUNT_SCHEMA)
-    return counted.groupBy("kind", "bucket").agg(
-        F.sum("ordinary").alias("ordinary"),
-        F.sum("toxic").alias("toxic"),
-        F.bit_or("before").alias("before"),
-        F.bit_or("after").alias("after"),
+    sums = [F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")]
+    return counted.groupBy("kind", "before", "word").agg(*sums)
+
+
+def word_counts(counts: DataFrame) -> DataFrame:
+    """(word, ordinary, toxic, after, kinds): ``after`` is how many different words it follows, ``kinds`` how many follow it.
+
+    The start of a text is the word 0, which every text with words holds and has one pair with.
+    """
+    pairs = counts.where(F.col("kind") == PAIR)
+    nothing, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    names = ["word", "ordinary", "toxic", "after", "kinds"]
+
+    def rows(frame: DataFrame, *columns: Column | str) -> DataFrame:
+        return frame.select(*columns).toDF(*names)
+
+    at_start = [F.when(F.col("before") == 0, F.col(c)).otherwise(nothing) for c in ("ordinary", "toxic")]
+    every = (
+        rows(counts.where(F.col("kind") == WORD), "word", "ordinary", "toxic", nothing, nothing)
+        .unionByName(rows(pairs, "word", nothing, nothing, one, nothing))
+        .unionByName(rows(pairs, "before", *at_start, nothing, one))
     )
+    return every.groupBy("word").agg(*[F.sum(c).alias(c) for c in names[1:]])
 
 
 @dataclass
 class KneserNey:
-    """What scoring looks up, by bucket; and the calibration. Rows 0 and 1 are the classes, row 2 both together."""
+    """What scoring looks up, by key; and the calibration.
 
-    unigram: np.ndarray  # 3 x words: P(w)
-    context: np.ndarray  # 3 x words: count of v
-    left: np.ndarray  # 3 x words: weight of the backoff, in observations
-    pair: np.ndarray  # 3 x pairs: discounted count of (v, w)
+    A word's key leads to log P_toxic(w) / P_ordinary(w), its key as a context to the same of the weight of the backoff,
+    a pair's key to log P_toxic(w | v) / P_ordinary(w | v). ``keys`` and ``values`` are empty if the table is too large.
+    """
+
+    table: DataFrame | None  # (key, value); not sent to the tasks
+    entries: int
+    keys: np.ndarray  # sorted
+    values: np.ndarray
+    unknown: float  # of a word without a key
     weights: np.ndarray  # of the features, the constant first
     centre: np.ndarray
     scale: np.ndarray
 
+    def find(self, keys: np.ndarray, otherwise: float) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), otherwise)
+        some, where = np.unique(keys, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        return np.where(self.keys[at] == some, self.values[at], otherwise)[where]
 
-def build_model(counts: DataFrame) -> KneserNey:
-    """The models of both classes from the counts: at most 2 ** WORD_BITS + 2 ** PAIR_BITS rows reach the driver."""
-    found = counts.toArrow()
-    kind, bucket = found["kind"].to_numpy(), found["bucket"].to_numpy()
-    by_class = np.stack([found["ordinary"].to_numpy(), found["toxic"].to_numpy()]).astype(np.float64)
-    neighbours = np.stack([_distinct(found[side].to_numpy().view(np.uint64)) for side in ("before", "after")])
-
-    def table(size: int, of: int, values: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(values), size))
-        out[:, bucket[kind == of]] = values[:, kind == of]
-        return out
+    def holding(self, keys: np.ndarray, values: np.ndarray) -> KneserNey:
+        """The model with these entries instead of its table."""
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys)
+        return replace(self, table=None, keys=keys[order], values=values[order])
 
-    words, pairs = 1 << WORD_BITS, 1 << PAIR_BITS
-    count, (after, kinds) = table(words, WORD, by_class), table(words, WORD, neighbours)
-    pooled = count.sum(axis=0)
-    unseen = (after + 1) / (after.sum() + words)  # every bucket has some mass: unknown words are possible
-    direct = np.maximum(pooled - POOLED_DISCOUNT, 0)
-    shared = (direct + (pooled.sum() - direct.sum() + 1) * unseen) / (pooled.sum() + 1)
-    direct = np.maximum(count - CLASS_DISCOUNT, 0)
-    total = count.sum(axis=1, keepdims=True) + 1
-    unigram = (direct + (total - direct.sum(axis=1, keepdims=True)) * shared) / total
-    context = np.concatenate([count, pooled[None]])
-    discount = np.array([[CLASS_DISCOUNT], [CLASS_DISCOUNT], [POOLED_DISCOUNT]])
-    left = STRENGTH + discount * np.minimum(kinds, context)
-    count = table(pairs, PAIR, by_class)
-    count = np.concatenate([count, count.sum(axis=0, keepdims=True)])
-    load = count.mean(axis=1, keepdims=True)
-    pair = np.maximum(count - discount - load - COLLISION_MARGIN * np.sqrt(load), 0)
-    unigram = np.concatenate([unigram, shared[None]])
-    tables = (t.astype(np.float32) for t in (unigram, context, left, pair))
-    return KneserNey(*tables, np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
+
+def build_model(counts: DataFrame) -> KneserNey:
+    """The models of both classes from the counts. One row of totals reaches the driver, and a table that is small."""
+    counts = written(counts, "toxicity-counts")
+    words = written(word_counts(counts), "toxicity-words")
+    over = lambda c, discount: F.greatest(c - F.lit(discount), F.lit(0.0))
+    ordinary, toxic = F.col("ordinary"), F.col("toxic")
+    totals = words.where("word <> 0").agg(
+        *[
+            F.coalesce(F.sum(c), F.lit(0)).cast("double")
+            for c in (
+                ordinary, toxic, over(ordinary, CLASS_DISCOUNT), over(toxic, CLASS_DISCOUNT),
+                over(ordinary + toxic, POOLED_DISCOUNT), F.col("after"), F.lit(1),
+            )
+        ]
+    ).first()
+    total, direct = (totals[0] + 1, totals[1] + 1), (totals[2], totals[3])
+    pooled, pooled_direct, places = totals[0] + totals[1], totals[4], totals[5] + totals[6] + 1
+    unknown = float(np.log(1 - direct[1] / total[1]) - np.log(1 - direct[0] / total[0]))
+    unseen = (F.col("after") + 1) / F.lit(places)  # beside the known words one has some mass: unknown words are possible
+    shared = (over(ordinary + toxic, POOLED_DISCOUNT) + F.lit(pooled - pooled_direct + 1) * unseen) / F.lit(pooled + 1)
+    words = words.withColumn("p2", shared).withColumn("c2", ordinary + toxic)
+    for k, count in ((0, ordinary), (1, toxic)):
+        mass = over(count, CLASS_DISCOUNT) + F.lit(total[k] - direct[k]) * F.col("p2")
+        words = words.withColumn(f"p{k}", mass / F.lit(total[k])).withColumn(f"c{k}", count)
+    for k, discount in ((0, CLASS_DISCOUNT), (1, CLASS_DISCOUNT), (2, POOLED_DISCOUNT)):
+        words = words.withColumn(f"left{k}", F.lit(STRENGTH) + F.lit(discount) * F.least("kinds", f"c{k}"))
+    backoff = [F.col(f"left{k}") / (F.col(f"c{k}") + F.col(f"left{k}")) for k in (0, 1)]
+    known = words.where((F.col("word") != 0) & (F.greatest("c0", "c1") > CLASS_DISCOUNT))
+    single = known.select(
+        F.lit(WORD).alias("kind"), F.lit(0).cast("bigint").alias("before"), "word", F.log(F.col("p1") / F.col("p0"))
+    )
+    contexts = words.select(F.lit(2), "word", F.lit(0).cast("bigint"), F.log(backoff[1] / backoff[0]))
+    of_word = words.select("word", "p0", "p1", "p2")
+    of_context = words.select(F.col("word").alias("before"), *[f"{c}{k}" for k in range(3) for c in ("c", "left")])
+    pairs = counts.where((F.col("kind") == PAIR) & (F.greatest(ordinary, toxic) > CLASS_DISCOUNT))
+    pairs = pairs.join(of_word, "word").join(of_context, "before")
+
+    def given(k: int, count: Column, discount: float, then: Column) -> Column:
+        left = F.col(f"left{k}")
+        return (over(count, discount) + left * then) / (F.col(f"c{k}") + left)
+
+    both = given(2, ordinary + toxic, POOLED_DISCOUNT, F.col("p2"))
+    by_class = [given(k, c, CLASS_DISCOUNT, both * F.col(f"p{k}") / F.col("p2")) for k, c in ((0, ordinary), (1, toxic))]
+    double = pairs.select("kind", "before", "word", F.log(by_class[1] / by_class[0]))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, before, word = (batch.column(k).to_numpy() for k in range(3))
+            before, word = before.view(np.uint64), word.view(np.uint64)
+            key = np.where(kind == WORD, word, np.where(kind == PAIR, _pair_key(before, word), _context_key(before)))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(3)], names=["key", "value"])
+
+    entries = single.union(contexts).union(double)
+    table = written(map_rows(entries, keyed, "key bigint, value double"), "toxicity-model")
+    n = table.count()
+    none = np.empty(0, np.uint64), np.empty(0)
+    model = KneserNey(table, n, *none, unknown, np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
+    if n <= BROADCAST_ENTRIES:
+        found = table.toArrow()
+        model = model.holding(found["key"].to_numpy(), found["value"].to_numpy())
+        model.table = table
+    return model
 
 
 def differences(model: KneserNey, word: np.ndarray, before: np.ndarray) -> np.ndarray:
     """log P_toxic(w | v) - log P_ordinary(w | v) of every word."""
-    w, v, p = _buckets(word, before)
+    alone = model.find(word, model.unknown) + model.find(_context_key(before), 0.0)
+    pair = model.find(_pair_key(before, word), np.nan)
+    return np.where(np.isnan(pair), alone, pair)
 
-    def given(k: int, backoff: np.ndarray) -> np.ndarray:
-        seen = np.minimum(model.pair[k][p], model.context[k][v])
-        return (seen + model.left[k][v] * backoff) / (model.context[k][v] + model.left[k][v])
 
-    single = model.unigram[2][w]
-    shared = given(2, single)
-    toxic, ordinary = (np.log(given(k, shared * (model.unigram[k][w] / single))) for k in (1, 0))
-    return (toxic - ordinary).astype(np.float64)
+def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
+    """``answer(model, batch, texts)`` of all rows, which have a text.
+
+    A model that was not broadcast is joined to the different keys of each block of rows, and each block is answered with
+    the entries that it needs. The blocks are written first, so that both sides mean the same rows.
+    """
+    context = rows.sparkSession.sparkContext
+    if len(model.keys) == model.entries:
+        shared = context.broadcast(replace(model, table=None))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, texts in text_chunks(batches):
+                yield answer(shared.value, batch, texts)
+
+        return map_rows(rows, run, schema)
+    columns, bare = rows.columns, replace(model, table=None)
+    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    blocks = written(rows.withColumn("_block", block), "toxicity-blocks")
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = batch.column("_block").to_numpy()
+            for n in np.unique(number):
+                keys = np.empty(0, np.uint64)
+                for _, texts in text_chunks([batch.filter(pa.array(number == n))]):
+                    _, word, before = words_and_pairs(texts)
+                    keys = np.unique(np.concatenate([keys, word, _context_key(before), _pair_key(before, word)]))
+                for k in range(0, len(keys), 100_000):
+                    part = keys[k : k + 100_000].view(np.int64)
+                    same = pa.array(np.full(len(part), n, np.int64))
+                    yield pa.RecordBatch.from_arrays([same, pa.array(part)], names=["_block", "key"])
+
+    def run_block(texts: pa.Table, entries: pa.Table) -> pa.Table:
+        own = bare.holding(entries["key"].to_numpy(), entries["value"].to_numpy())
+        chunks = text_chunks(texts.select(columns).combine_chunks().to_batches())
+        return pa.Table.from_batches([answer(own, batch, part) for batch, part in chunks])
+
+    keys = map_rows(blocks.select("_block", "text"), wanted, "_block bigint, key bigint").distinct()
+    entries = keys.join(model.table, "key").select("_block", "key", "value")
+    return blocks.groupBy("_block").cogroup(entries.groupBy("_block")).applyInArrow(run_block, schema)
 
 
 def features(model: KneserNey, texts: list[str]) -> np.ndarray:
@@ -269,17 +391,15 @@ def learn(documents: DataFrame, labels: DataFrame, calibration) -> KneserNey:
     # a bounded sample, so its ids may be broadcast: the texts need no shuffle a second time
     sample = known.where(calibration).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     scored = texts.where(calibration).join(F.broadcast(sample), "doc_id")
-    shared = documents.sparkSession.sparkContext.broadcast(model)
     names = [f"feature_{k}" for k in range(FEATURES)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, chunk in text_chunks(batches):
-            x = features(shared.value, chunk)
-            columns = [batch.column("toxic"), *[pa.array(x[:, k]) for k in range(FEATURES)]]
-            yield pa.RecordBatch.from_arrays(columns, names=["toxic", *names])
+    def answer(model: KneserNey, batch: pa.RecordBatch, chunk: list[str]) -> pa.RecordBatch:
+        x = features(model, chunk)
+        columns = [batch.column("toxic"), *[pa.array(x[:, k]) for k in range(FEATURES)]]
+        return pa.RecordBatch.from_arrays(columns, names=["toxic", *names])
 
     schema = "toxic int, " + ", ".join(f"{name} double" for name in names)
-    rows = map_rows(scored.select(F.col("toxic").cast("int").alias("toxic"), "text"), run, schema)
+    rows = answered(scored.select(F.col("toxic").cast("int").alias("toxic"), "text"), model, answer, schema)
     found = rows.toArrow()
     order = np.lexsort([found[k].to_numpy() for k in (*names, "toxic")])
     x = np.stack([found[k].to_numpy() for k in names], axis=1)[order]
@@ -291,26 +411,22 @@ def score_documents(documents: DataFrame, model: KneserNey) -> DataFrame:
     """(doc_id, score, predicted) of every whole text.
 
     A null, empty or wordless text has the score of a text without evidence. Repeated rows are answered repeatedly, a null
-    id stays null, other columns are not read. Narrow: no shuffle.
+    id stays null, other columns are not read. Narrow with a model that was broadcast.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches):
-            s = scores(shared.value, texts)
-            columns = [batch.column("doc_id"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
+    def answer(model: KneserNey, batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        s = scores(model, texts)
+        columns = [batch.column("doc_id"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_rows(rows, run, "doc_id bigint, score double, predicted int")
+    return answered(rows, model, answer, "doc_id bigint, score double, predicted int")
 
 
 def drop_toxic(documents: DataFrame, model: KneserNey) -> DataFrame:
-    """The documents, all columns, that score below the threshold. Rows are judged where they lie."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    """The documents, all columns, that score below the threshold."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches):
-            yield batch.filter(pa.array(scores(shared.value, texts) < THRESHOLD))
+    def answer(model: KneserNey, batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        return batch.filter(pa.array(scores(model, texts) < THRESHOLD))
 
-    return map_rows(documents, run, T.StructType(documents.schema.fields))
+    return answered(documents, model, answer, T.StructType(documents.schema.fields))

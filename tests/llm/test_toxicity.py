@@ -69,6 +69,36 @@ def test_counts_are_of_texts(spark):
     assert words == {(0, 2), (1, 1)}
 
 
+def test_counts_are_exact(spark):
+    """More different expressions than any fixed table would hold apart, and a word with very many neighbours."""
+    n = 3000
+    letters = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    rows = [(" ".join(f"hub {letters(200 * i + j)}" for j in range(200)), i % 2) for i in range(n // 10)] + [("hub last", 1)]
+    counts = toxicity.count_expressions(spark.createDataFrame(rows, "text string, toxic int")).cache()
+    assert counts.where("kind = 0").count() == 200 * (n // 10) + 2
+    assert counts.where("kind = 1").count() == 400 * (n // 10) - n // 10 + 2
+    hub = int(toxicity.words_and_pairs(["hub"])[1].view(np.int64)[0])
+    words = toxicity.word_counts(counts).where(F.col("word").isin(hub, 0)).orderBy(F.col("word") != 0).collect()
+    assert (words[0].ordinary, words[0].toxic, words[0].after, words[0].kinds) == (150, 151, 0, 1)
+    assert (words[1].ordinary, words[1].toxic, words[1].kinds) == (150, 151, 200 * (n // 10) + 1)
+    assert words[1].after == 199 * (n // 10) + 1  # every word but the last of each text, and the start
+
+
+def test_joined_model_scores_as_the_broadcast_one(spark, monkeypatch):
+    docs, labels = corpus(spark, 600)
+    docs = docs.unionByName(odd_documents(spark))
+    small = toxicity.learn(docs, labels, fold3())
+    monkeypatch.setattr(toxicity, "BROADCAST_ENTRIES", 0)
+    monkeypatch.setattr(toxicity, "BLOCK_BITS", 5)
+    large = toxicity.learn(docs, labels, fold3())
+    assert len(small.keys) == small.entries == large.entries > 0 and len(large.keys) == 0
+    assert np.allclose(small.weights, large.weights)
+    both = [sorted(map(tuple, toxicity.score_documents(docs, m).collect()), key=repr) for m in (small, large)]
+    assert [r[0] for r in both[0]] == [r[0] for r in both[1]]
+    assert np.allclose([r[1] for r in both[0]], [r[1] for r in both[1]])
+    assert toxicity.drop_toxic(docs, small).count() == toxicity.drop_toxic(docs, large).count()
+
+
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame(
