@@ -12,7 +12,7 @@ are counts over the different pairs. What scoring looks up is a written table of
 class's count exceeds the discount; of any other pair the shared part cancels out of the difference, which is then the
 word's value plus that of the word before. A table of up to BROADCAST_ENTRIES is broadcast; a larger one is joined to the
 different keys of each block of texts. Both give the same scores. They are calibrated on at most CALIBRATION_ROWS labelled
-rows that were not counted.
+rows, which are the only ones that are not counted.
 """
 
 from __future__ import annotations
@@ -371,8 +371,8 @@ def scores(model: KneserNey, texts: list[str]) -> np.ndarray:
 def learn(documents: DataFrame, labels: DataFrame, calibration) -> KneserNey:
     """Models and calibration from documents joined with their labels.
 
-    ``calibration`` is a condition on ``doc_id``: its rows calibrate, the other labelled rows are counted. Rows whose
-    label is neither 0 nor 1 are no training rows, nor are ids that are labelled both ways. The model exists without
+    ``calibration`` is a condition on ``doc_id``: at most CALIBRATION_ROWS of its labelled rows calibrate. Every other
+    labelled row is counted, those of the condition that were not chosen included. Rows whose label is neither 0 nor 1 are no training rows, nor are ids that are labelled both ways. The model exists without
     labels too: then every text scores low.
     """
     votes = (
@@ -382,14 +382,16 @@ def learn(documents: DataFrame, labels: DataFrame, calibration) -> KneserNey:
     )
     known = votes.where(F.col("toxic") == F.col("most")).select("doc_id", "toxic")
     texts = documents.select("doc_id", "text")
-    counting = known.where(~calibration)
+    # a bounded sample, so its ids may be broadcast: the texts need no shuffle a second time
+    sample = written(
+        known.where(calibration).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS), "calibration"
+    )
+    counting = known.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
     # only texts that have a label are shuffled: the sketch of the ids, of fixed size, drops most others in the scan.
     # The plan is the same at every size, and its tasks hold many texts, so their sums are worth their shuffle.
     maybe = maybe_in(documents.sparkSession, id_sketch(counting, "doc_id"), "doc_id")
-    counted = texts.where(~calibration).where(maybe).hint("merge").join(counting, "doc_id")
+    counted = texts.where(maybe).hint("merge").join(counting, "doc_id")
     model = build_model(count_expressions(counted))
-    # a bounded sample, so its ids may be broadcast: the texts need no shuffle a second time
-    sample = known.where(calibration).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     scored = texts.where(calibration).join(F.broadcast(sample), "doc_id")
     names = [f"feature_{k}" for k in range(FEATURES)]
 

@@ -99,6 +99,19 @@ def test_joined_model_scores_as_the_broadcast_one(spark, monkeypatch):
     assert toxicity.drop_toxic(docs, small).count() == toxicity.drop_toxic(docs, large).count()
 
 
+def test_all_but_the_chosen_rows_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 40)
+    docs, labels = corpus(spark)
+    seen = []
+    count = toxicity.count_expressions
+    monkeypatch.setattr(toxicity, "count_expressions", lambda rows: seen.append(rows.select("doc_id").collect()) or count(rows))
+    toxicity.learn(docs, labels, fold3())
+    fold = {r.doc_id for r in docs.where(fold3()).select("doc_id").collect()}
+    counted = [r.doc_id for r in seen[0]]
+    left = set(range(1200)) - set(counted)
+    assert len(counted) == 1160 and len(left) == 40 and left < fold
+
+
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame(
