@@ -1,10 +1,12 @@
 """Personal data: patterns, and terms that reveal whom the patterns protect. DataFrame functions only.
 
-Entities are the addresses and numbers that the patterns find. A term that stands near an entity in several different
-contexts may give the entity away even where the entity itself is masked. How much it reveals is estimated from the
-corpus: the pointwise mutual information of term and entity, as a share of the entity's information content. A term that
-only ever occurs with one entity reveals all of it (share 1), a common word nothing. Terms above GENERALISE are replaced
-by a general word, terms above REMOVE are taken out.
+Entities are the addresses and numbers that the patterns find. A term that stands in the same documents as an entity,
+wherever in them, may give the entity away even where the entity itself is masked. How much it reveals is estimated from
+the corpus: the pointwise mutual information of term and entity, as a share of the entity's information content. A term
+that only ever occurs with one entity reveals all of it (share 1), a common word nothing. All counts are of different
+texts. Whether they meet more often than by chance is tested, so an entity of one document has revealing terms too where
+the corpus is large enough to tell. Every place of a term above GENERALISE, in each document of the entity, is replaced by
+a general word, of terms above REMOVE taken out.
 """
 
 from __future__ import annotations
@@ -28,12 +30,10 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 KINDS = tuple(PATTERNS)
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
-#: Characters before and after an entity in which terms are looked for, and words of each side that count.
-CONTEXT_CHARS = 80
-CONTEXT_WORDS = 6
 TERM = r"\p{L}{3,}"
-#: Different contexts in which a term and an entity must meet before their co-occurrence says anything.
-LEAST_CONTEXTS = 3
+#: A term and an entity have to meet so much more often than by chance: the exponent of the Chernoff bound on the
+#: probability of so many meetings, which is then 0.05 at most.
+LEAST_EVIDENCE = 3.0
 GENERALISE = 0.5
 REMOVE = 0.8
 
@@ -123,59 +123,46 @@ def _has_spans() -> Column:
     return F.greatest(*[F.size(f"_{kind}") for kind in KINDS]) > 0
 
 
+def term_words(text: Column) -> Column:
+    """The different terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
 def entity_contexts(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, spans by kind, contexts) of every document.
+    """(doc_id, text_key, spans by kind, entities, words, text) of every document.
 
-    ``contexts`` holds, for each span, the entity and the text before and after it; ``text_key`` is null without spans.
+    The last three are the different entities and terms of the text, and the text; they and ``text_key`` are null without
+    spans.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = with_base_spans(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")))
 
-    def context(kind: str):
+    def entity(kind: str):
         def make(span: Column) -> Column:
-            first = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
             value = F.lower(span["value"]) if kind == "email" else _digits(span["value"])
-            return F.struct(
-                F.concat(F.lit(f"{kind}:"), span["value"] if kind == "ip" else value).alias("entity"),
-                first.alias("left_start"),
-                F.substring(F.col("text"), first + 1, span["start"] - first).alias("left"),
-                span["end"].alias("right_start"),
-                F.substring(F.col("text"), span["end"] + 1, F.lit(CONTEXT_CHARS)).alias("right"),
-            )
+            return F.concat(F.lit(f"{kind}:"), span["value"] if kind == "ip" else value)
 
         return make
 
-    contexts = F.concat(*[F.transform(f"_{kind}", context(kind)) for kind in KINDS])
-    key = F.when(_has_spans(), F.md5(F.col("text").cast("binary")))
-    return rows.select("doc_id", key.alias("text_key"), *[f"_{kind}" for kind in KINDS], contexts.alias("contexts"))
+    entities = F.array_distinct(F.concat(*[F.transform(f"_{kind}", entity(kind)) for kind in KINDS]))
+    extra = {
+        "text_key": F.xxhash64("text"),
+        "entities": entities,
+        "words": term_words(F.col("text")),
+        "text": F.col("text"),
+    }
+    some = {name: F.when(_has_spans(), value).alias(name) for name, value in extra.items()}
+    return rows.select("doc_id", some.pop("text_key"), *[f"_{kind}" for kind in KINDS], *some.values())
 
 
 def occurrences(contexts: DataFrame) -> DataFrame:
-    """(text_key, entity, context, term, start, end): the words near each entity, each text once."""
-    rows = contexts.where("text_key IS NOT NULL").select("text_key", F.explode("contexts").alias("c")).select(
-        "text_key", "c.*"
-    )
-    rows = rows.withColumn("context", F.xxhash64("left", "right")).distinct()
-    for side in ("left", "right"):
-        matches, pieces = located(F.lower(side), TERM)
-        found = placed(matches, pieces)
-        near = F.slice(found, F.greatest(F.size(found) - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS)
-        rows = rows.withColumn(f"{side}_terms", near if side == "left" else F.slice(found, 1, CONTEXT_WORDS))
-
-    def moved(side: str) -> Column:
-        return F.transform(
-            f"{side}_terms",
-            lambda t: F.struct(
-                t["value"].alias("term"),
-                (t["start"] + F.col(f"{side}_start")).alias("start"),
-                (t["end"] + F.col(f"{side}_start")).alias("end"),
-            ),
-        )
-
-    terms = F.explode(F.concat(moved("left"), moved("right")))
-    return rows.select("text_key", "entity", "context", terms.alias("t")).select(
-        "text_key", "entity", "context", "t.term", "t.start", "t.end"
-    )
+    """(text_key, entity, term): a row for each entity and one for each term of a text, the other null; each text once."""
+    some = contexts.where("text_key IS NOT NULL").groupBy("text_key")
+    some = some.agg(F.first("entities").alias("entities"), F.first("words").alias("words"))
+    null = F.lit(None).cast("string")
+    entities = some.select("text_key", F.explode("entities").alias("entity"), null.alias("term"))
+    terms = some.select("text_key", null.alias("entity"), F.explode("words").alias("term"))
+    return entities.unionByName(terms)
 
 
 def document_frequencies(documents: DataFrame, terms: DataFrame) -> DataFrame:
@@ -184,54 +171,97 @@ def document_frequencies(documents: DataFrame, terms: DataFrame) -> DataFrame:
     The corpus's words are counted by their 64-bit hash, in each task first, so the shuffle carries two numbers for each
     word of a task. Joining the terms to the words before counting would make a row for every place of a common word.
     """
-    words = documents.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("word")
-    )
+    words = documents.select(F.explode(term_words(F.col("text"))).alias("word"))
     counted = words.groupBy(F.xxhash64("word").alias("hash")).agg(F.count(F.lit(1)).alias("documents"))
     wanted = terms.select("term", F.xxhash64("term").alias("hash")).distinct()
     return wanted.join(counted, "hash").select("term", "documents")
 
 
-def revealing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
-    """(entity, term, reveals): the terms whose disclosure reaches GENERALISE.
+def revealing_pairs(documents: DataFrame, near: DataFrame) -> DataFrame:
+    """(text_key, entity, term, reveals): the terms whose disclosure reaches GENERALISE, in each text with both.
 
-    With c counting different contexts and n all documents: information of an entity is log(n / c(e)), the mutual
-    information of term and entity log(c(t, e) n / (c(t) c(e))), c(t) being documents with the term. Copies of a context
-    count once; a hot entity is summed up in each task first.
+    With c counting different texts and n all of them: information of an entity is log(n / c(e)), the mutual information of
+    term and entity log(c(t, e) n / (c(t) c(e))). By chance they would meet in m = c(t) c(e) / n texts; that they do in
+    c(t, e) has to be unlikely, see LEAST_EVIDENCE. A share of one half needs c(t) <= sqrt(n c(e)), so commoner terms are
+    dropped before terms and entities of a text are paired. What is in one text only meets once: such pairs, which are
+    most, are judged where they lie, and only the others are counted.
     """
-    pairs = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("together")
-    )
-    entities = near.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("contexts"))
-    # a term is in as many documents at least as it is near entities in different texts: what cannot reach the threshold
-    # with that number cannot with the true one, and need not be counted in the corpus
-    seen = near.select("term", "text_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-    n = F.lit(max(documents.count(), 2)).cast("double")
-
-    def reveals(documents_with_term: Column) -> Column:
-        information = F.log(n / F.least("contexts", n / 2))
-        mutual = F.log(F.col("together") * n / (F.greatest(documents_with_term, "together") * F.col("contexts")))
-        return F.least(mutual / information, F.lit(1.0))
-
-    possible = pairs.where(F.col("together") >= LEAST_CONTEXTS).join(entities, "entity").join(seen, "term")
-    possible = written(possible.where(reveals(F.col("texts")) >= GENERALISE), "term-pairs")
-    counted = document_frequencies(documents, possible.select("term"))
-    found = possible.join(counted, "term").withColumn("reveals", reveals(F.col("documents")))
-    return found.where(F.col("reveals") >= GENERALISE).select("entity", "term", "reveals")
-
-
-def term_spans(near: DataFrame, revealing: DataFrame) -> DataFrame:
-    """(text_key, terms): per text, the spans (start, end, kind) of its revealing terms, kind generalised or removed."""
+    texts = documents.where("text IS NOT NULL").select("text")
+    n = float(max(texts.select(F.xxhash64("text")).distinct().count(), 2))
+    in_texts = near.where("entity IS NOT NULL").select("text_key", "entity")
+    entities = in_texts.groupBy("entity").agg(F.count(F.lit(1)).cast("double").alias("of_entity"))
+    entities = written(entities, "entity-counts")
+    terms = near.where("term IS NOT NULL").select("text_key", "term")
+    counted = document_frequencies(texts.distinct(), terms.select("term"))
+    counted = counted.select("term", F.col("documents").cast("double").alias("of_term"))
+    most = entities.agg(F.max("of_entity")).first()[0] or 1.0
+
+    def rare(of_entity: Column) -> Column:
+        # a little more than the bound, which rounding must not move below a share of GENERALISE
+        return F.log("of_term") <= F.log(F.lit(n)) * (1 - GENERALISE) + F.log(of_entity) * GENERALISE + 1e-9
+
+    counted = written(counted.where(rare(F.lit(most))), "term-counts")
+    pairs = terms.join(counted, "term").join(in_texts.join(entities, "entity"), "text_key").where(rare(F.col("of_entity")))
+
+    def judged(frame: DataFrame) -> DataFrame:
+        together, by_chance = F.col("together"), F.col("of_term") * F.col("of_entity") / n
+        information = F.log(F.lit(n) / F.least("of_entity", F.lit(n / 2)))
+        evidence = together * F.log(together / by_chance) - together + by_chance
+        reveals = F.least(F.log(together / by_chance) / information, F.lit(1.0))
+        frame = frame.where((together > by_chance) & (evidence >= LEAST_EVIDENCE)).withColumn("reveals", reveals)
+        return frame.where(F.col("reveals") >= GENERALISE)
+
+    once = (F.col("of_entity") == 1) | (F.col("of_term") == 1)
+    columns = ["text_key", "entity", "term", "reveals"]
+    single = judged(pairs.where(once).withColumn("together", F.lit(1.0))).select(columns)
+    several = pairs.where(~once)
+    counts = several.groupBy("entity", "term", "of_entity", "of_term").agg(F.count(F.lit(1)).cast("double").alias("together"))
+    found = judged(counts).select("entity", "term", "reveals")
+    return single.unionByName(several.select("text_key", "entity", "term").join(found, ["entity", "term"]).select(columns))
+
+
+def revealing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
+    """(entity, term, reveals): the terms whose disclosure reaches GENERALISE."""
+    return revealing_pairs(documents, near).select("entity", "term", "reveals").distinct()
+
+
+TERM_SPANS = "array<struct<start:int,end:int,kind:string>>"
+
+
+def revealing_of_texts(pairs: DataFrame) -> DataFrame:
+    """(text_key, revealing): per text its terms that reveal one of its entities, with kind generalised or removed."""
     kind = F.when(F.max("reveals") >= REMOVE, F.lit("removed")).otherwise(F.lit("generalised"))
     return (
-        near.join(revealing, ["entity", "term"])
-        .groupBy("text_key", "start", "end")
+        pairs.groupBy("text_key", "term")
         .agg(kind.alias("kind"))
         .groupBy("text_key")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("terms"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("revealing"))
     )
 
 
+def term_spans(text: Column, revealing: Column) -> Column:
+    """TERM_SPANS of every place of the revealing terms in a text; none if there are no such terms."""
+    matches, pieces = located(text, TERM)
+    nothing = F.array().cast(TERM_SPANS)
+    empty = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
+
+    def placing(found: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            value = F.get(found["matches"], i)
+            start = acc["at"] + F.length(F.get(found["pieces"], i))
+            end = start + F.length(value)
+            kind = F.try_element_at(found["revealing"], F.lower(value))
+            span = F.struct(start.alias("start"), end.alias("end"), kind.alias("kind"))
+            out = F.when(kind.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], span))
+            return F.struct(end.alias("at"), out.alias("out"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(found["matches"]) - 1), empty, step, lambda acc: acc["out"])
+
+    # matched once, however many steps there are
+    once = F.array(F.struct(matches.alias("matches"), pieces.alias("pieces"), revealing.alias("revealing")))
+    return F.when(F.size(revealing) > 0, F.get(F.transform(once, placing), F.lit(0))).otherwise(nothing)
+
+
 def find_personal_data(documents: DataFrame) -> DataFrame:
     """(doc_id, _email, _ip, _card, _phone, terms) of every document.
 
@@ -239,13 +269,14 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     read; an empty table gives no rows. Terms inside a base span are left out: that span covers them.
     """
     contexts = written(entity_contexts(documents), "contexts")
-    near = written(occurrences(contexts), "near-terms")
-    found = term_spans(near, revealing_terms(documents, near))
+    near = written(occurrences(contexts), "text-terms")
+    found = revealing_of_texts(revealing_pairs(documents, near))
     columns = ["doc_id", *[f"_{kind}" for kind in KINDS]]
-    nothing = F.array().cast(found.schema["terms"].dataType)
+    nothing = F.array().cast(TERM_SPANS)
     without = contexts.where("text_key IS NULL").select(*columns, nothing.alias("terms"))
     with_some = contexts.where("text_key IS NOT NULL").join(found, "text_key", "left")
-    return without.unionByName(with_some.select(*columns, _outside(F.coalesce("terms", nothing)).alias("terms")))
+    terms = _outside(term_spans(F.col("text"), F.col("revealing")))
+    return without.unionByName(with_some.select(*columns, terms.alias("terms")))
 
 
 def _outside(terms: Column) -> Column:
@@ -272,16 +303,15 @@ def sanitise(documents: DataFrame) -> DataFrame:
     """
     columns = documents.columns
     contexts = written(entity_contexts(documents), "contexts")
-    near = written(occurrences(contexts), "near-terms")
-    found = written(term_spans(near, revealing_terms(documents, near)), "term-spans")
-    nothing = F.array().cast(found.schema["terms"].dataType)
+    near = written(occurrences(contexts), "text-terms")
+    found = written(revealing_of_texts(revealing_pairs(documents, near)), "revealing")
     rows = with_base_spans(documents)
     clean = rows.where(~_has_spans()).select(*columns)
-    key = F.md5(F.col("text").cast("binary"))
-    dirty = rows.where(_has_spans()).withColumn("_text_key", key)
-    found = found.select(F.col("text_key").alias("_text_key"), F.col("terms").alias("_terms"))
+    dirty = rows.where(_has_spans()).withColumn("_text_key", F.xxhash64("text"))
+    found = found.select(F.col("text_key").alias("_text_key"), F.col("revealing").alias("_revealing"))
     dirty = dirty.join(found, "_text_key", "left")
-    masked = dirty.withColumn("text", _masked(F.coalesce("_terms", nothing)))
+    dirty = dirty.withColumn("_terms", term_spans(F.col("text"), F.col("_revealing")))
+    masked = dirty.withColumn("text", _masked(F.col("_terms")))
     if "n_chars" in columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return clean.unionByName(masked.select(*columns))

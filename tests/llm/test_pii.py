@@ -110,6 +110,26 @@ def test_copies_of_a_context_count_once(spark):
     assert revealing_terms(docs, near).count() == 0
 
 
+def test_terms_far_from_the_entity_and_of_one_document(spark):
+    """A name far from the address, one in a single document, and a footer that does not change."""
+    filler = " ".join(f"{a}{b}zzz" for a in "abcdefgh" for b in "abcde")  # the same 40 words in every text
+    word = lambda i: f"{chr(97 + i // 26)}{chr(97 + i % 26)}yy"
+    rows = [(i, f"Quill {word(i)} {filler} quill {filler} to bob@corp.org", "en") for i in range(12)]
+    rows += [(100, f"dear Rumpel {filler} 10.1.2.3 {filler} yours RUMPEL", "en")]
+    rows += [(200 + i, f"{word(100 + i)} {filler}", "en") for i in range(400)] + [(900 + i, f"{filler}", "en") for i in range(50)]
+    docs = odd_documents(spark, rows)
+    near = occurrences(entity_contexts(docs))
+    found = {(r.entity, r.term): r.reveals for r in revealing_terms(docs, near).collect()}
+    assert found[("email:bob@corp.org", "quill")] == pytest.approx(1.0)
+    assert found[("ip:10.1.2.3", "rumpel")] == pytest.approx(1.0)
+    assert not any(term.endswith("zzz") for _, term in found)
+    texts = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert all("quill" not in texts[i].lower() and "[EMAIL]" in texts[i] for i in range(12))
+    assert "rumpel" not in texts[100].lower() and texts[100].count(filler) == 2 and texts[200] == rows[13][1]
+    spans = {r.doc_id: r.terms for r in find_personal_data(docs).collect()}
+    assert [rows[12][1][s.start : s.end] for s in spans[100] if s.kind == "removed"][-1] == "RUMPEL"
+
+
 def test_span_positions_of_terms(spark):
     docs = disclosing(spark)
     texts = {r.doc_id: r.text for r in docs.collect()}
