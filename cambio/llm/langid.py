@@ -118,7 +118,7 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> Network | None:
     net = new_network(languages, rng)
     x, y = [], []
     for language, text in sorted(samples):
-        for window in windows_of(text.encode())[:2]:
+        for window in windows_of(text.encode()):
             x.append(window)
             y.append(languages.index(language))
     x, y = np.array(x), np.array(y)

@@ -86,3 +86,14 @@ def test_held_out_accuracy(spark):
     assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
     held = got.where("held_out").join(languages, "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held) > 0
+
+
+def test_training_reads_every_window_of_a_chunk(monkeypatch):
+    seen = []
+    count = langid.gradients
+    monkeypatch.setattr(langid, "gradients", lambda net, x, y: seen.append(x) or count(net, x, y))
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    chunk = "я" * 599 + "ж"  # 1,200 bytes, five windows
+    langid.train([("ru", chunk), ("en", "a" * 600)])
+    windows = {row.tobytes() for x in seen for row in x}
+    assert {w.tobytes() for w in langid.windows_of(chunk.encode())} <= windows
