@@ -31,10 +31,10 @@ def id_remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
+def written(frame: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """The frame written as Parquet to the shared folder and read again: cuts the lineage, survives lost executors."""
     path = work_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

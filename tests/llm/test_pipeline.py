@@ -18,7 +18,7 @@ needs_tables = pytest.mark.skipif(not HAVE_TABLES, reason="no driver tables")
 
 
 def test_everything_is_registered():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 

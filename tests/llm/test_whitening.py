@@ -1,0 +1,160 @@
+"""Whitening and its eigensolver, against numpy's own decomposition and whole numbers of Python."""
+
+import math
+
+import numpy as np
+import pytest
+
+from cambio.llm import feast, whitening
+from cambio.llm.feast import eigenvalues_above, leading_pairs, positive_pivots
+from cambio.llm.queries import op11_feast
+from cambio.llm.whitening import fit, whiten
+from tests.llm.helpers import HAVE_TABLES, SF_DIR
+from tests.llm.test_vectors import ODD_VECTORS, usable, vectors
+
+
+def symmetric(rng, eigenvalues):
+    q, _ = np.linalg.qr(rng.standard_normal((len(eigenvalues), len(eigenvalues))))
+    m = (q * eigenvalues) @ q.T
+    return (m + m.T) / 2
+
+
+def test_inertia():
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        a = rng.integers(-3, 4, (int(rng.integers(1, 12)),) * 2).astype(float)
+        a += a.T
+        values = np.linalg.eigvalsh(a)
+        assert (values > 1e-9).sum() <= positive_pivots(a) <= (values > -1e-9).sum()
+    assert positive_pivots(np.array([[0.0, 1.0], [1.0, 0.0]])) == 1
+    assert positive_pivots(np.zeros((4, 4))) == 0
+    assert eigenvalues_above(np.diag([1.0, 2.0, 3.0]), 1.5) == 2
+
+
+SPECTRA = {
+    "spread": lambda rng: rng.random(64) * 10,
+    "thirty equal ones": lambda rng: np.r_[np.full(30, 5.0), rng.random(34)],
+    "all equal": lambda rng: np.full(10, 3.0),
+    "a zero": lambda rng: np.r_[1e-30, 1.0, 1e6],
+    "one": lambda rng: np.array([2.0]),
+    "low rank, two close": lambda rng: np.r_[np.zeros(35), 1, 2, 3, 4, 4 + 1e-10],
+    "twelve decades": lambda rng: 10.0 ** rng.uniform(-6, 6, 64),
+    "three groups": lambda rng: np.repeat([3.0, 2.0, 1.0], 10) + np.arange(30) * 1e-13,
+}
+
+
+@pytest.mark.parametrize("name", SPECTRA)
+def test_leading_pairs(name):
+    rng = np.random.default_rng(3)
+    m = symmetric(rng, SPECTRA[name](rng))
+    values, components = leading_pairs(m, 16)
+    true = np.sort(np.linalg.eigvalsh(m))[::-1]
+    wanted = min(16, int((true > true[0] * 1e-14).sum()))
+    assert len(values) == wanted
+    assert np.abs(values - true[:wanted]).max() <= 1e-13 * true[0]
+    assert np.abs(components.T @ components - np.eye(wanted)).max() < 1e-13
+    assert np.abs(m @ components - components * values).max() <= 1e-11 * true[0]
+
+
+def test_nothing_to_find():
+    assert len(leading_pairs(np.zeros((5, 5)), 16)[0]) == 0
+    assert len(leading_pairs(np.zeros((0, 0)), 16)[0]) == 0
+    assert len(leading_pairs(-np.eye(3), 16)[0]) == 0
+
+
+def test_a_missed_pair_is_an_error(monkeypatch):
+    """A projection that loses a direction is found out by the inertia count."""
+    m, rng = np.diag([5.0, 4.0, 3.0, *[0.1] * 57]), np.random.default_rng(0)
+    real = feast.projected
+
+    def losing(matrix, block, low, high):
+        out = real(matrix, block, low, high) + 1e-7 * rng.standard_normal(block.shape)
+        out[1] = 0
+        return out
+
+    monkeypatch.setattr(feast, "projected", losing)
+    assert np.allclose(leading_pairs(m, 3)[0], [5, 4, 3])  # a block as wide as the matrix finds it after all
+    monkeypatch.setattr(feast, "ATTEMPTS", 2)
+    with pytest.raises(RuntimeError):
+        leading_pairs(m, 3)
+
+
+def brute(rows, k=16):
+    """{(vec_id, component): (n, deviation, |whitened|, explained)} with Python's whole numbers and numpy's eigh."""
+    kept = [(i, v) for i, v in rows if usable(v)]
+    dims = max((len(v) for _, v in kept), default=0)
+    whole = [(i, tuple(math.floor(64 * c) + 1_000_000 for c in [*v, *[0.0] * (dims - len(v))])) for i, v in kept]
+    different = sorted({x for _, x in whole})
+    n, sums = len(different), [sum(c) for c in zip(*different, strict=True)]
+    apart = np.array([[(n * c - s) / n for c, s in zip(x, sums, strict=True)] for x in different])
+    v = apart.T @ apart / n
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    found = {}
+    for i, x in whole:
+        centred = np.array([(n * c - s) / n for c, s in zip(x, sums, strict=True)])
+        deviation = sum((n * c - s) ** 2 for c, s in zip(x, sums, strict=True))
+        for j in range(len(values)):
+            if values[j] > 1e-12 * values[0]:
+                found.setdefault((i, j + 1), []).append(
+                    (n, deviation, abs(centred @ vectors[:, j]) / math.sqrt(values[j]), values[j] / np.trace(v))
+                )
+    return found
+
+
+def check(rows, found):
+    wanted = brute(rows)
+    assert len(found) == sum(map(len, wanted.values()))
+    for r in found:
+        options = wanted[(r.vec_id, r.component)]
+        assert any(
+            (r.n, int(r.deviation)) == (n, d) and abs(abs(r.whitened) - w) < 1e-7 and abs(r.explained - e) < 1e-10
+            for n, d, w, e in options
+        )
+        assert r.identity_error < 1e-9
+
+
+def test_odd_vectors(spark):
+    rng = np.random.default_rng(2)
+    rows = ODD_VECTORS + [(100 + i, rng.standard_normal(3).tolist()) for i in range(30)]
+    found = whiten(vectors(spark, rows)).collect()
+    check(rows, found)
+    assert sum(r.vec_id is None for r in found) == 3 and sum(r.vec_id == 8 for r in found) == 6
+    assert not {1, 2, 3, 4} & {r.vec_id for r in found}
+
+
+def test_copies_count_once_in_the_fit(spark):
+    rng = np.random.default_rng(4)
+    some = [(i, rng.standard_normal(20).tolist()) for i in range(60)]
+    hot = [(1000 + i, some[0][1]) for i in range(300)]
+    one, other = fit(vectors(spark, some)), fit(vectors(spark, some + hot))
+    assert one.n == other.n == 60 and one.sums == other.sums
+    assert np.allclose(one.values, other.values, rtol=1e-12)
+    found = whiten(vectors(spark, some + hot)).where("component = 1").collect()
+    assert len({r.whitened for r in found if r.vec_id >= 1000 or r.vec_id == 0}) == 1 and len(found) == 360
+    check(some, whiten(vectors(spark, some)).collect())
+
+
+def test_nothing_to_whiten(spark):
+    assert whiten(vectors(spark, ODD_VECTORS).where("false")).count() == 0
+    assert whiten(vectors(spark, [(1, None), (2, [])])).count() == 0
+    assert whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).count() == 0
+
+
+def test_deviations_beyond_64_bits(spark):
+    rows = [(i, [float(10**8 * i), float(i % 3), 1e300 if i == 7 else 0.0]) for i in range(40)]
+    model = fit(vectors(spark, rows))
+    assert not model.exact
+    found = {r.vec_id: int(r.deviation) for r in whiten(vectors(spark, rows)).where("component = 1").collect()}
+    edge = int(whitening.EDGE)
+    whole = [(i, [min(math.floor(64 * c), edge) + 1_000_000 for c in v]) for i, v in rows]
+    sums = [sum(c) for c in zip(*(x for _, x in whole), strict=True)]
+    assert found == {i: sum((40 * c - s) ** 2 for c, s in zip(x, sums, strict=True)) for i, x in whole}
+
+
+@pytest.mark.skipif(not HAVE_TABLES, reason="no driver tables")
+def test_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    frame = op11_feast(spark, SF_DIR)
+    assert dict(frame.dtypes)["deviation"] == dict(frame.dtypes)["n"] == "bigint"
+    check(rows, frame.collect())
