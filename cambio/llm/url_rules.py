@@ -173,7 +173,7 @@ def judge_urls(
     judged = written(judged, "urls")
     mined = mine(judged.where("rule IS NOT NULL").select("tokens", "verdict"), least_support, least_confidence)
     open_urls = judged.where("rule IS NULL").drop("verdict")
-    answers = best_rules(open_urls.select("tokens").distinct(), mined)
+    answers = written(best_rules(open_urls.select("tokens").distinct(), mined), "url-answers")
     columns = ["page_id", "host", "path", "rule", "verdict", "mined", "confidence"]
     decided = judged.where("rule IS NOT NULL").withColumns(
         {"mined": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")}

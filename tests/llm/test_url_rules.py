@@ -172,7 +172,7 @@ def test_native(spark, tmp_path):
     finally:
         url_rules.written = real
     plans.append(answer._jdf.queryExecution().executedPlan().toString())
-    assert len(plans) == 4 and not any(re.search("Python|Arrow|Pandas", plan) for plan in plans)
+    assert len(plans) == 5 and not any(re.search("Python|Arrow|Pandas", plan) for plan in plans)
 
 
 @pytest.mark.parametrize("verdict", [BLOCK, ALLOW])
