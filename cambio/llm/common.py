@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +38,14 @@ def written(frame: DataFrame, purpose: str, compression: str | None = None) -> D
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def unused(name: str, columns: Collection[str]) -> str:
+    """The name, with underscores after it until no column is called like that."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Rows that Spark hands to Python at a time: texts are long, and a batch is held several times over.
 BATCH_ROWS = 2000
 

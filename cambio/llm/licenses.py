@@ -2,14 +2,15 @@
 
 The automaton runs over a text's words, lower-cased and joined by single blanks, so line breaks and punctuation inside a
 notice don't matter. Where it meets an identifier tag, the expression after the tag is read from the raw text, brought
-into postfix order by a shunting-yard parser (WITH binds before AND, AND before OR), and evaluated.
+into postfix order by a shunting-yard parser (WITH binds before AND, AND before OR), and evaluated: what it allows is
+simplified, and whether a set of accepted licences is enough can be asked of it.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Collection, Iterator
+from dataclasses import dataclass, field
 
 import ahocorasick
 import pyarrow as pa
@@ -64,9 +65,51 @@ def words_of(text: str) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Choice:
-    """What an expression allows: ways to comply, each a set of licences that must all be followed."""
+    """What an expression allows, written out in a fixed order, and the licences that it names."""
 
-    ways: frozenset[frozenset[str]]
+    text: str
+    names: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Formula:
+    """A licence (no kind), or the alternatives (or) or joint requirements (and) of ``parts``, by their text."""
+
+    text: str
+    kind: str = ""
+    parts: dict[str, Formula] = field(default_factory=dict)
+
+
+@dataclass
+class Growing:
+    """A formula whose parts are still being collected, so that a chain of one operator costs one step a part."""
+
+    kind: str
+    parts: dict[str, Formula]
+
+    def closed(self) -> Formula:
+        """Without repeated parts, and without parts that hold another part: ``x or (x and y)`` is ``x``."""
+        kept = {text: f for text, f in self.parts.items() if not any(inner in self.parts for inner in f.parts)}
+        if len(kept) == 1:
+            return next(iter(kept.values()))
+        written = [text if not f.kind else f"({text})" for text, f in sorted(kept.items())]
+        return Formula(f" {self.kind} ".join(written), self.kind, kept)
+
+
+def _closed(node: Formula | Growing) -> Formula:
+    return node.closed() if isinstance(node, Growing) else node
+
+
+def _joined(kind: str, left: Formula | Growing, right: Formula | Growing) -> Growing:
+    def growing(node: Formula | Growing) -> Growing:
+        if isinstance(node, Growing) and node.kind == kind:
+            return node
+        whole = _closed(node)
+        return Growing(kind, dict(whole.parts) if whole.kind == kind else {whole.text: whole})
+
+    small, large = sorted((growing(left), growing(right)), key=lambda g: len(g.parts))
+    large.parts.update(small.parts)
+    return large
 
 
 class BadExpression(ValueError):
@@ -77,16 +120,18 @@ def postfix(expression: str) -> list[str]:
     """Shunting-yard: identifiers and operators in postfix order. Reads up to the first token that can't follow."""
     output: list[str] = []
     waiting: list[str] = []
-    operand_next = True
+    operand_next, depth = True, 0
     for token in EXPRESSION_TOKEN.findall(expression):
         word = token.lower()
         if token == "(":
             if not operand_next:
                 break
             waiting.append(token)
+            depth += 1
         elif token == ")":
-            if operand_next or "(" not in waiting:
+            if operand_next or not depth:
                 break
+            depth -= 1
             while waiting[-1] != "(":
                 output.append(waiting.pop())
             waiting.pop()
@@ -102,46 +147,49 @@ def postfix(expression: str) -> list[str]:
                 break  # running text or a comment's end after the expression
             output.append(word)
             operand_next = False
-    if operand_next or "(" in waiting:
+    if operand_next or depth:
         raise BadExpression(expression)
     return output + waiting[::-1]
 
 
 def evaluate(expression: str) -> Choice:
-    """The ways to comply with a licence expression. ``with`` attaches an exception to one licence."""
-    stack: list[frozenset[frozenset[str]]] = []
-    tokens = postfix(expression)
-    for token in tokens:
+    """What a licence expression allows. ``with`` attaches an exception to one licence.
+
+    The effort grows with the length of the expression, however many ways to comply it has; none are enumerated.
+    """
+    stack: list[Formula | Growing] = []
+    names: list[str] = []
+    for token in postfix(expression):
         if token not in OPERATORS:
-            stack.append(frozenset([frozenset([token])]))
+            stack.append(Formula(token))
+            names.append(token)
             continue
         right, left = stack.pop(), stack.pop()
-        if token == "or":
-            stack.append(left | right)
-        elif token == "and":
-            if len(left) * len(right) > MOST_WAYS:
-                return Choice(frozenset([frozenset(t for t in tokens if t not in OPERATORS)]))
-            stack.append(_least(a | b for a in left for b in right))
-        else:
-            if len(left) != 1 or len(right) != 1 or len(next(iter(left))) != 1 or len(next(iter(right))) != 1:
+        if token == "with":
+            licence, exception = _closed(left), _closed(right)
+            if licence.kind or exception.kind or " " in licence.text or " " in exception.text:
                 raise BadExpression(expression)
-            (licence,), (exception,) = next(iter(left)), next(iter(right))
-            stack.append(frozenset([frozenset([f"{licence} with {exception}"])]))
-    return Choice(_least(stack.pop()))
-
-
-#: Ways that are kept apart while an expression is evaluated. One with more is read as needing all its licences, the
-#: strictest reading; which licences it names is not affected.
-MOST_WAYS = 256
+            names.pop()  # the exception came last
+            stack.append(Formula(f"{licence.text} with {exception.text}"))
+        else:
+            stack.append(_joined(token, left, right))
+    return Choice(_closed(stack.pop()).text, tuple(dict.fromkeys(names)))
 
 
-def _least(ways) -> frozenset[frozenset[str]]:
-    """Without ways that contain another way, which is easier to follow."""
-    kept: list[frozenset[str]] = []
-    for way in sorted(set(ways), key=lambda w: (len(w), sorted(w))):
-        if not any(k <= way for k in kept):
-            kept.append(way)
-    return frozenset(kept)
+def complies(expression: str, accepted: Collection[str]) -> bool:
+    """Whether following the accepted licences (lower case, a licence with an exception as ``x with y``) is enough."""
+    stack: list[tuple[str, bool]] = []
+    for token in postfix(expression):
+        if token not in OPERATORS:
+            stack.append((token, token in accepted))
+            continue
+        (right, second), (left, first) = stack.pop(), stack.pop()
+        if token == "with":
+            name = f"{left} with {right}"
+            stack.append((name, name in accepted))
+        else:
+            stack.append(("", first or second if token == "or" else first and second))
+    return stack.pop()[1]
 
 
 def family(identifier: str) -> str:
@@ -181,7 +229,7 @@ class Scanner:
             else:
                 more.add(NOTICE_PHRASES[phrase])
         choices = self.tags(text) if tagged else []
-        named = {family(x) for choice in choices for way in choice.ways for x in way}
+        named = {family(name) for choice in choices for name in choice.names}
         miss = (1 - TAG_WEIGHT) if choices else 1.0
         miss *= (1 - BASE_WEIGHT) ** len(base) * (1 - NOTICE_WEIGHT) ** len(more)
         starts = [p for p, _ in places]
@@ -193,9 +241,7 @@ class Scanner:
             "base_labels": ",".join(sorted(base)),
             "labels": ",".join(sorted(base | more | named)),
             "score": 1 - miss if choices or base or more else 0.0,
-            "expressions": [
-                " or ".join(sorted(" and ".join(sorted(way)) for way in choice.ways)) for choice in choices
-            ],
+            "expressions": [choice.text for choice in choices],
         }
 
     @staticmethod
@@ -217,9 +263,9 @@ SCAN_SCHEMA = (
 
 
 def scan_licences(documents: DataFrame) -> DataFrame:
-    """SCAN_SCHEMA for every whole text; ``expressions`` are the tags' ways to comply, written out.
+    """SCAN_SCHEMA for every whole text; ``expressions`` are the tags' expressions, simplified and in a fixed order.
 
-    A null or empty text has no words, no labels and score 0. Overlapping places all count. A tag without a valid
+    ``labels`` has every licence that an expression names, whether or not another way to comply does without it. A null or empty text has no words, no labels and score 0. Overlapping places all count. A tag without a valid
     expression adds nothing. Repeated rows are answered repeatedly, a null id stays null, other columns are not read.
     Narrow: no shuffle.
     """

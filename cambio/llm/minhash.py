@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,7 +30,10 @@ PERCENT = 75
 #: Of the 8-bit signature, the share that has to agree before sets are compared; the threshold less five deviations.
 LEAST_AGREEMENT = 0.55
 
-FINGERPRINT_SCHEMA = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>"
+#: Classes whose smallest id several rows have take a number from here on in its place.
+FIRST_STAND_IN = 1 << 62
+
+FINGERPRINT_SCHEMA = "doc_id bigint, text_key bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>"
 SET_SCHEMA = "id bigint, signature binary, shingles array<bigint>"
 
 
@@ -44,8 +47,16 @@ def band_keys(lows: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def set_hash(one: np.ndarray) -> list[int]:
+    """128 bits that name a set, as two numbers."""
+    return np.frombuffer(hashlib.blake2b(one.tobytes(), digest_size=16).digest(), np.int64).tolist()
+
+
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """FINGERPRINT_SCHEMA of every document: set size, 128-bit hash of the set, band keys. Null where a set is empty."""
+    """FINGERPRINT_SCHEMA of every document: hash of the text, set size, 128-bit hash of the set, band keys.
+
+    The last three are null where a set is empty.
+    """
     names = [c.split(" ")[0] for c in FINGERPRINT_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,11 +68,11 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             h1, h2 = list(bands), list(bands)
             keys = band_keys(minima([sets[i] for i in some], functions))
             for i, row in zip(some, keys, strict=True):
-                digest = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
-                h1[i], h2[i] = np.frombuffer(digest, np.int64).tolist()
+                h1[i], h2[i] = set_hash(sets[i])
                 bands[i] = row
             columns = [
                 batch.column("doc_id"),
+                batch.column("text_key"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(h1, pa.int64()),
                 pa.array(h2, pa.int64()),
@@ -69,16 +80,31 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", _text_key().alias("text_key"))
     return map_rows(rows, run, FINGERPRINT_SCHEMA)
 
 
-def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """SET_SCHEMA of the documents with the given ids (column ``id``), and of a few others.
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def with_class_id(rows: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Rows (doc_id, h1, h2) with ``id``, and ``shared`` where it is a stand-in: of ids (doc_id) that ``repeats`` holds.
+
+    Other ids belong to one row, so they name its set. A repeated one may have several sets, and its hash names the set.
+    """
+    stand_in = F.lit(FIRST_STAND_IN) + F.shiftrightunsigned(F.xxhash64("h1", "h2"), 2)
+    marked = rows.join(repeats.select("doc_id", F.lit(True).alias("shared")), "doc_id", "left")
+    return marked.withColumn("id", F.when(F.col("shared"), stand_in).otherwise(F.col("doc_id")))
+
 
-    The ids' sketch is applied in the scan, so no text is shuffled.
+def full_sets(documents: DataFrame, ids: DataFrame, repeats: DataFrame) -> DataFrame:
+    """SET_SCHEMA of the documents with the given ids (column ``doc_id``), and of a few others.
+
+    The ids' sketch is applied in the scan, so no text is shuffled, and only sets of repeated ids are.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(id_sketch(ids, "id"))
+    shared = documents.sparkSession.sparkContext.broadcast(id_sketch(ids, "doc_id"))
+    names = ["doc_id", "h1", "h2", "signature", "shingles"]
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,15 +116,21 @@ def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
             sets = shingle_sets(texts)
             some = [i for i, s in enumerate(sets) if len(s)]
             signatures = minima([sets[i] for i in some], functions).astype(np.uint8)
+            hashes = np.array([set_hash(sets[i]) for i in some], np.int64).reshape(-1, 2)
             columns = [
-                batch.column("id").take(pa.array(some, pa.int64())),
+                batch.column("doc_id").take(pa.array(some, pa.int64())),
+                *(pa.array(hashes[:, k]) for k in (0, 1)),
                 pa.array([s.tobytes() for s in signatures], pa.binary()),
                 pa.array([sets[i].view(np.int64) for i in some], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "signature", "shingles"])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text").where("id IS NOT NULL")
-    return map_rows(rows.withColumn("place", place_of("id")), run, SET_SCHEMA)
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    schema = "doc_id bigint, h1 bigint, h2 bigint, signature binary, shingles array<bigint>"
+    sets = with_class_id(map_rows(rows.withColumn("place", place_of("doc_id")), run, schema), repeats)
+    columns = ["id", "signature", "shingles"]
+    again = sets.where("shared").select(*columns).dropDuplicates(["id"])
+    return sets.where("shared IS NULL").select(*columns).unionByName(again)
 
 
 def alike(one: np.ndarray, other: np.ndarray) -> bool:
@@ -164,35 +196,65 @@ def verify_cells(dealt: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.join(sets, "id").groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document.
+def grouped(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component, stays) of every document.
 
-    A null, empty or wordless text has an empty set and is linked with nothing; a text with fewer words than a shingle
-    has its whole sequence as one. The component is the smallest doc_id that links lead to, its own included. Repeated
-    rows are answered repeatedly. A row without an id is linked with nothing: its component is null, and it is kept.
+    ``component`` is the smallest doc_id of its group, null without words or id. ``stays`` marks the text that the group
+    keeps, by doc_id and text_key: the first of the class with that id.
     """
     prints = written(fingerprints(documents), "fingerprints")
     some = prints.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    repeats = written(some.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     # copies collapse here, in each task first
-    classes = written(
-        some.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes"
-    )
-    bands = classes.select("id", F.explode("bands").alias("key"))
+    first = F.min(F.struct("doc_id", "text_key")).alias("first")
+    classes = some.groupBy("h1", "h2").agg(first, F.first("bands").alias("bands")).withColumn("doc_id", F.col("first.doc_id"))
+    classes = written(with_class_id(classes, repeats).drop("shared"), "classes")
+    bands = classes.select("id", "doc_id", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(bands.join(buckets, "key"), "members")
-    sets = written(full_sets(documents, members.select("id").distinct()), "sets")
-    first = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    groups = written(components(verify(first, sets)), "components")
+    sets = written(full_sets(documents, members.select("doc_id").distinct(), repeats), "sets")
+    members = members.drop("doc_id")
+    pairs = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    groups = written(components(verify(pairs, sets)), "components")
     # a bucket of two is settled by its one comparison
     left = members.where("n > 2").join(groups, "id", "left")
     left = left.select("key", "id", F.coalesce("component", "id").alias("component"))
     more = written(verify_cells(cells(left), sets), "more-links")
     if not more.isEmpty():
         groups = components(groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(more))
-    answer = classes.select("h1", "h2", "id").join(groups, "id", "left")
-    answer = answer.select("h1", "h2", F.coalesce("component", "id").alias("component"))
-    component = F.coalesce("component", "doc_id")
+    answer = classes.select("h1", "h2", "first", "id").join(groups, "id", "left")
+    answer = answer.withColumn("component", F.coalesce("component", "id"))
+    # a stand-in is larger than any id, but the id that it stands for may be the smallest of its group
+    place = F.struct(F.col("first.doc_id").alias("doc_id"), "h1", "h2")
+    lowest = answer.where(F.col("id") >= FIRST_STAND_IN).groupBy("component").agg(F.min(place).alias("lowest"))
+    answer = answer.join(written(lowest, "lowest"), "component", "left")
+    named = F.coalesce(F.col("component") < F.col("lowest.doc_id"), F.lit(True))
+    answer = answer.select(
+        "h1",
+        "h2",
+        "first",
+        F.when(named, F.col("component") == F.col("id")).otherwise(place == F.col("lowest")).alias("root"),
+        F.when(named, F.col("component")).otherwise(F.col("lowest.doc_id")).alias("component"),
+    )
     return prints.join(answer, ["h1", "h2"], "left").select(
+        "doc_id",
+        "text_key",
+        "n_shingles",
+        "component",
+        (F.col("root") & (F.struct("doc_id", "text_key") == F.col("first"))).alias("stays"),
+    )
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document.
+
+    A null, empty or wordless text has an empty set and is linked with nothing; a text with fewer words than a shingle
+    has its whole sequence as one. The component is the smallest doc_id that links lead to, its own included. Repeated
+    rows are answered repeatedly; rows that share an id but not the text are documents of their own. A row without an id is
+    linked with nothing: its component is null, and it is kept. Other columns are not read; an empty table gives no rows.
+    """
+    component = F.coalesce("component", "doc_id")
+    return grouped(documents).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -201,29 +263,25 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """The documents, all columns, one of each group: the one with the smallest id, of rows that repeat an id the first.
+    """The documents, all columns, one row of each group: one with the smallest id, of rows that repeat it the first.
 
-    Only rows whose id may have to go are shuffled; the others pass the scan.
+    Rows without an id or without words (null and empty texts) belong to no group and stay. Rows that share an id and differ
+    in text are judged each by its text. Columns may be called anything; an empty table stays empty. Only rows whose id may
+    have to go are shuffled; the others pass the scan.
     """
-    spark = documents.sparkSession
-    found = written(near_duplicates(documents).select("doc_id", "kept"), "near-duplicates")
-    doomed = (
-        found.where("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.min("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-        .where("NOT _kept OR _rows > 1")
-    )
-    doomed = written(doomed, "doomed")
-    maybe = maybe_in(spark, id_sketch(doomed, "_id"), "doc_id")
-    columns = documents.columns
-    marked = documents.withColumn("_maybe", maybe)
-    untouched = marked.where("NOT _maybe").select(*columns)
-    judged = marked.where("_maybe").join(doomed, F.col("doc_id").cast("bigint") == F.col("_id"), "left")
-    one = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in columns if c != "doc_id"])
-    survivors = (
-        judged.where("_kept IS NULL OR _kept")
-        .withColumn("_place", F.row_number().over(one))
-        .where("_place = 1")
-        .select(*columns)
+    found = grouped(documents).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    judged = found.groupBy("doc_id", "text_key").agg(F.min("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    doomed = written(judged.where("NOT stays OR n > 1").select("doc_id", "text_key", "stays"), "doomed")
+    maybe = maybe_in(documents.sparkSession, id_sketch(doomed, "doc_id"), "doc_id")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    rows = documents.select(
+        F.struct(*columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), _text_key().alias("text_key")
     )
-    return untouched.unionByName(survivors)
+    marked = rows.withColumn("maybe", maybe)
+    untouched = marked.where("NOT maybe").select("row.*")
+    left = marked.where("maybe").join(doomed, ["doc_id", "text_key"], "left").where("stays IS NULL OR stays")
+    # rows that repeat id and text differ at most in their other columns
+    repeats = Window.partitionBy("doc_id", "text_key", "stays").orderBy(*[F.col(f"row.`{c}`") for c in documents.columns])
+    alone = left.where("stays IS NULL").select("row.*")
+    firsts = left.where("stays").withColumn("place", F.row_number().over(repeats)).where("place = 1").select("row.*")
+    return untouched.unionByName(alone).unionByName(firsts)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cambio.llm.common import id_sketch, map_rows, maybe_in, text_chunks, written
+from cambio.llm.common import id_sketch, map_rows, maybe_in, text_chunks, unused, written
 
 #: A larger table (16 bytes an entry) is not broadcast but joined.
 BROADCAST_ENTRIES = 4_000_000
@@ -295,13 +295,13 @@ def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
                 yield answer(shared.value, batch, texts)
 
         return map_rows(rows, run, schema)
-    columns, bare = rows.columns, replace(model, table=None)
-    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
-    blocks = written(rows.withColumn("_block", block), "toxicity-blocks")
+    columns, bare, block = rows.columns, replace(model, table=None), unused("block", [*rows.columns, "key", "value"])
+    number = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    blocks = written(rows.withColumn(block, number), "toxicity-blocks")
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number = batch.column("_block").to_numpy()
+            number = batch.column(block).to_numpy()
             for n in np.unique(number):
                 keys = np.empty(0, np.uint64)
                 for _, texts in text_chunks([batch.filter(pa.array(number == n))]):
@@ -310,16 +310,16 @@ def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
                 for k in range(0, len(keys), 100_000):
                     part = keys[k : k + 100_000].view(np.int64)
                     same = pa.array(np.full(len(part), n, np.int64))
-                    yield pa.RecordBatch.from_arrays([same, pa.array(part)], names=["_block", "key"])
+                    yield pa.RecordBatch.from_arrays([same, pa.array(part)], names=[block, "key"])
 
     def run_block(texts: pa.Table, entries: pa.Table) -> pa.Table:
         own = bare.holding(entries["key"].to_numpy(), entries["value"].to_numpy())
         chunks = text_chunks(texts.select(columns).combine_chunks().to_batches())
         return pa.Table.from_batches([answer(own, batch, part) for batch, part in chunks])
 
-    keys = map_rows(blocks.select("_block", "text"), wanted, "_block bigint, key bigint").distinct()
-    entries = keys.join(model.table, "key").select("_block", "key", "value")
-    return blocks.groupBy("_block").cogroup(entries.groupBy("_block")).applyInArrow(run_block, schema)
+    keys = map_rows(blocks.select(block, "text"), wanted, f"{block} bigint, key bigint").distinct()
+    entries = keys.join(model.table, "key").select(block, "key", "value")
+    return blocks.groupBy(block).cogroup(entries.groupBy(block)).applyInArrow(run_block, schema)
 
 
 def features(model: KneserNey, texts: list[str]) -> np.ndarray:
@@ -426,7 +426,11 @@ def score_documents(documents: DataFrame, model: KneserNey) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, model: KneserNey) -> DataFrame:
-    """The documents, all columns, that score below the threshold."""
+    """The documents, all columns, that score below the threshold.
+
+    Rows are judged where they lie, so repeated rows and null ids need no care, and columns may be called anything; a null,
+    empty or wordless text is judged as in :func:`score_documents`. An empty table stays empty.
+    """
 
     def answer(model: KneserNey, batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
         return batch.filter(pa.array(scores(model, texts) < THRESHOLD))

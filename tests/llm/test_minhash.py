@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 import re
 
 import numpy as np
@@ -7,6 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from cambio.llm import buckets, minhash
 from cambio.llm.components import components
 from cambio.llm.minhash import drop_near_duplicates, near_duplicates
@@ -100,6 +103,48 @@ def test_odd_documents(spark):
     assert drop_near_duplicates(docs.where("false")).count() == 0
 
 
+def groups_by_text(rows):
+    """Linked rows as sets of places, every row a document of its own whatever its id."""
+    found = brute([(place, text) for place, (_, text) in enumerate(rows)])
+    out = {}
+    for place, (_, component) in found.items():
+        out.setdefault(component, []).append(place)
+    return list(out.values())
+
+
+def test_repeated_ids(spark):
+    """No clean text is lost, and one row of each group stays, however ids repeat."""
+    r = random.Random(8)
+    text = lambda: " ".join(f"w{r.randrange(4000)}" for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (7, varied(c, r, 1)), (2, varied(e, r, 1)), (9, e), (9, varied(e, r, 1))]
+    rows += [(2, text()) for _ in range(40)] + [(5, ""), (5, ""), (5, None), (4, varied(d, r, 1)), (4, text())]
+    docs = odd_documents(spark, [(i, t, "en") for i, t in rows])
+    kept = Counter((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect())
+    groups = groups_by_text(rows)
+    assert kept.total() == len(groups)
+    for group in groups:
+        assert sum(kept[rows[place]] > 0 for place in {rows[p]: p for p in group}.values()) == 1
+        least = min(rows[p][0] for p in group)
+        assert any(kept[rows[p]] for p in group if rows[p][0] == least)
+    components = {}
+    for r in near_duplicates(docs).collect():
+        components.setdefault(r.doc_id, []).append(r.component_id)
+    wanted = {}
+    for group in groups:
+        for p in group:
+            wanted.setdefault(rows[p][0], []).append(min(rows[q][0] for q in group))
+    assert {i: sorted(c) for i, c in components.items()} == {i: sorted(c) for i, c in wanted.items()}
+
+
+def test_clashing_names(spark):
+    docs = odd_documents(spark, [(1, "one two three four five six", "en"), (2, "one two three four five six", "en"), (3, "else", "de")])
+    docs = docs.withColumns({c: F.concat(F.lit(c), "lang") for c in ("maybe", "row", "stays", "place", "n", "component", "a.b")})
+    out = drop_near_duplicates(docs.withColumn("text_key", F.lit("t")))
+    assert out.columns == [*docs.columns] and sorted(r.doc_id for r in out.collect()) == [1, 3]
+    assert {r.maybe for r in out.collect()} == {"maybeen", "maybede"} and {r.text_key for r in out.collect()} == {"t"}
+
+
 @settings(max_examples=12, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 14), st.integers(0, 14)), max_size=25))
 def test_components(spark, edges):
