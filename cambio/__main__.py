@@ -35,7 +35,6 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--landing", required=True)
         command.add_argument("--warehouse", required=True)
         command.add_argument("--parts", type=int, default=64, help="parts of the quotes table, fixed by its first load")
-        command.add_argument("--keep-versions", type=int)
         command.add_argument("--publish", metavar="DATABASE", help="copy the tables into this database afterwards")
         command.add_argument("--shuffle-gb", type=float, help="largest expected shuffle; sizes its partitions")
         command.add_argument("--alert-to", help="recipient of the default alert rule")
@@ -58,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         options = {"coins": args.coins, "fiat": args.fiat, "volume": str(args.volume)}
         poll_to_landing(spark, args.landing, args.base_url, **options)
         return
-    warehouse = Warehouse(spark, args.warehouse, args.parts, args.keep_versions)
+    warehouse = Warehouse(spark, args.warehouse, args.parts)
     rules = default_rules(spark, args.alert_to) if args.alert_to else None
     if args.command == "daily":
         documents = documents_of_poll(read_documents(spark, args.landing), args.poll_ts)

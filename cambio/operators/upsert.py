@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,33 +21,20 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@dataclass(frozen=True)
-class SourceFacts:
-    """What a merge needs to know about its source: the row count, and the table parts the rows fall into."""
-
-    rows: int
-    parts: tuple[int, ...]
-
-
-def inspect_source(source: DataFrame, keys: Sequence[str], part: Column | None = None) -> SourceFacts:
-    """Count the source, check that no key repeats, and find the parts it touches, in one job over the key columns.
-
-    One row reaches the driver; its list of parts is bounded by the number of parts the table has.
-    """
+def count_source(source: DataFrame, keys: Sequence[str]) -> int:
+    """Count the source and check that no key repeats, in one job over the key columns; one row reaches the driver."""
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     facts = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("most"),
-        F.collect_set(F.lit(0) if part is None else part).alias("parts"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most")
     ).first()
     if facts.most > 1:
         example = duplicate_keys(source, keys).first().asDict()
         raise AmbiguousMerge(f"the merge source has several rows for one key, such as {example}")
-    return SourceFacts(facts.rows, tuple(sorted(facts.parts)))
+    return facts.rows
 
 
 def require_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    inspect_source(source, keys)
+    count_source(source, keys)
 
 
 def fits_broadcast(rows: int | None, row_bytes: int) -> bool:
@@ -64,6 +50,8 @@ def upsert(
     inserted: Mapping[str, Column],
     broadcast_source: bool = False,
     cluster: Column | None = None,
+    ordered_by: str | None = None,
+    combined: Mapping[str, Callable[[Column, Column], Column]] | None = None,
 ) -> DataFrame:
     """Target after the merge, in the target's columns and types.
 
@@ -71,6 +59,10 @@ def upsert(
     value (matched) or becomes NULL (inserted). Keys compare with ``=``: NULL keys never match. The source must have one
     row per key (:func:`require_unique_keys`); the target may hold duplicates, each of which is updated.
 
+    ``ordered_by`` names a column that both sides have: a match whose source row is older than the target row by it changes
+    nothing, so sources may come in any order. What has to change all the same is in ``combined``: per column a function of
+    the target's value and the new one.
+
     With ``broadcast_source`` the target is neither shuffled nor sorted: matches are found by a broadcast left join, and
     the keys already present by a broadcast semi join. Otherwise both sides are shuffled on the keys. That plan uses a
     left join for the updates, not a full outer one, because adaptive execution can then split a target partition that a
@@ -89,13 +81,19 @@ def upsert(
         F.lit(True).alias("_matched"),
         *[expr.cast(types[c]).alias(f"_new_{c}") for c, expr in matched.items()],
     )
+    combined = combined or {}
     # an explicit match flag decides, never the value: a NULL in the source has to overwrite
-    kept = target.join(hint(updates), _same(target, updates, keys), "left").select(
-        *[
-            (F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(target[c]) if c in matched else target[c]).alias(c)
-            for c in target.columns
-        ]
-    )
+    replaces = F.col("_matched")
+    if ordered_by:
+        replaces &= ~F.coalesce(target[ordered_by] > F.col(f"_new_{ordered_by}"), F.lit(False))
+
+    def after(c: str) -> Column:
+        if c in combined:
+            return F.when(F.col("_matched"), combined[c](target[c], F.col(f"_new_{c}"))).otherwise(target[c])
+        return F.when(replaces, F.col(f"_new_{c}")).otherwise(target[c]) if c in matched else target[c]
+
+    joined = target.join(hint(updates), _same(target, updates, keys), "left")
+    kept = joined.select(*[after(c).alias(c) for c in target.columns])
 
     present = target.select(*keys)  # Catalyst drops its NULL keys: they cannot match
     if broadcast_source:

@@ -9,9 +9,10 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cambio.functions.times import load_time
 from cambio.operators.alerts import alert_messages, alerts
 from cambio.operators.constraints import enforce
 from cambio.operators.documents import (
@@ -21,13 +22,14 @@ from cambio.operators.documents import (
     split_by_status,
 )
 from cambio.operators.latest import latest_price
-from cambio.operators.upsert import fits_broadcast, inspect_source
-from cambio.plans.merges import QUOTE_KEYS, merge_brokers, merge_coins, merge_quotes
+from cambio.operators.upsert import count_source, fits_broadcast
+from cambio.plans.merges import QUOTE_KEYS, current_quotes, merge_brokers, merge_coins, merge_polls
 from cambio.plans.normalize import normalize_quotes
 from cambio.schemas import (
     BROKERS_TABLE,
     COINS_TABLE,
     LOADED_FIELDS,
+    QUOTES_STATE,
     QUOTES_TABLE,
     RULES,
     STG_BROKERS,
@@ -40,7 +42,7 @@ from cambio.schemas import (
 from cambio.session import configure
 from cambio.sinks.catalog import DEFAULT_BUCKETS, load_table
 from cambio.sinks.load import load, replace_staging
-from cambio.sinks.snapshots import SnapshotTable
+from cambio.sinks.snapshots import CommittedTable
 
 log = logging.getLogger(__name__)
 
@@ -51,22 +53,11 @@ class EveryPollFailed(RuntimeError):
 
 @dataclass
 class Warehouse:
-    """Where the tables lie.
-
-    ``parts`` splits the fact table, see :class:`SnapshotTable`; ``keep_versions`` limits the versions a load leaves
-    behind (default: all stay readable).
-    """
+    """Where the tables lie. ``parts`` splits the fact table, see :class:`CommittedTable`."""
 
     spark: SparkSession
     root: str
     parts: int = 1
-    keep_versions: int | None = None
-
-    def committed(self, table: SnapshotTable, version: int) -> int:
-        log.info("%s is at version %d", table.spec.name, version)
-        if self.keep_versions:
-            table.expire(self.keep_versions)
-        return version
 
     @contextmanager
     def staging(self, name: str) -> Iterator[str]:
@@ -82,19 +73,20 @@ class Warehouse:
         return f"{self.root}/{name}/run={run}"
 
     @property
-    def quotes(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{QUOTES_TABLE.name}", QUOTES_TABLE, self.parts)
+    def quotes(self) -> CommittedTable:
+        path = f"{self.root}/{QUOTES_TABLE.name}"
+        return CommittedTable(self.spark, path, QUOTES_TABLE, self.parts, QUOTES_STATE, current_quotes)
 
     @property
-    def coins(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{COINS_TABLE.name}", COINS_TABLE)
+    def coins(self) -> CommittedTable:
+        return CommittedTable(self.spark, f"{self.root}/{COINS_TABLE.name}", COINS_TABLE)
 
     @property
-    def brokers(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{BROKERS_TABLE.name}", BROKERS_TABLE)
+    def brokers(self) -> CommittedTable:
+        return CommittedTable(self.spark, f"{self.root}/{BROKERS_TABLE.name}", BROKERS_TABLE)
 
     def publish(self, database: str, buckets: int = DEFAULT_BUCKETS) -> None:
-        """Replace the rows of the three catalog tables by the current versions, for readers that go by the catalog.
+        """Replace the rows of the three catalog tables by the committed ones, for readers that go by the catalog.
 
         A table that is not there yet is created with so many buckets.
         """
@@ -103,14 +95,12 @@ class Warehouse:
 
     def latest_price(self, cripto_id: int, broker_id: int) -> DataFrame:
         """Newest price of one pair in the committed quotes; reads the one part that the coin belongs to."""
-        table, coin = self.quotes, F.lit(cripto_id).cast("int").alias("cripto_id")
-        part = self.spark.range(1).select(coin).select(table.part_of()).first()[0]
-        return latest_price(table.read(parts=[part]), cripto_id, broker_id)
+        return latest_price(self.quotes.part_of_key(F.lit(cripto_id).cast("int")), cripto_id, broker_id)
 
     def register_views(self, prefix: str = "") -> None:
-        """Temporary views of the three tables' current versions, for SQL under the tables' own names.
+        """Temporary views of the three tables as last committed, for SQL under the tables' own names.
 
-        A view keeps showing the version it was registered with. Spark sorts NULL last under DESC where the warehouse
+        Register them again after a load. Spark sorts NULL last under DESC where the warehouse
         sorts it first: write ``ORDER BY fecha_cotizacion DESC NULLS FIRST``.
         """
         for table in (self.quotes, self.coins, self.brokers):
@@ -120,30 +110,32 @@ class Warehouse:
 def load_quotes(warehouse: Warehouse, rows: DataFrame, run_ts: datetime | None = None) -> int:
     """Stage normalized quotes, merge them, commit; returns the new version."""
     with warehouse.staging(STG_QUOTES.name) as path:
-        return merge_staged_quotes(warehouse, replace_staging(rows, STG_QUOTES, path), STG_QUOTES, run_ts=run_ts)
+        return merge_staged_quotes(warehouse, replace_staging(rows, STG_QUOTES, path), run_ts)
 
 
 def merge_staged_quotes(
+    warehouse: Warehouse, staged: DataFrame, run_ts: datetime | None = None, broadcast_source: bool | None = None
+) -> int:
+    """Merge staged quotes, which have one load time, and commit; returns the new version."""
+    polls = staged.withColumns({"_poll": load_time(run_ts), "_again": F.lit(False)})
+    return merge_staged_polls(warehouse, polls, broadcast_source=broadcast_source)
+
+
+def merge_staged_polls(
     warehouse: Warehouse,
-    staged: DataFrame,
-    spec: TableSpec,
+    polls: DataFrame,
     batch: tuple[str, int] | None = None,
-    last_poll: datetime | None = None,
     broadcast_source: bool | None = None,
-    **options,
 ) -> int:
-    """Merge staged quotes and commit. Only the table parts they fall into are read and rewritten.
+    """Merge staged rows (``QUOTES_STATE``) and commit. Only the table parts they fall into are read and rewritten.
 
     The source is broadcast if its counted rows are few, unless ``broadcast_source`` says so or not.
     """
     table = warehouse.quotes
-    base, part = table.version, table.part_of()
-    facts = inspect_source(staged, QUOTE_KEYS, part)
-    small = fits_broadcast(facts.rows, spec.row_bytes) if broadcast_source is None else broadcast_source
-    target = table.read(version=base, parts=facts.parts)
-    merged = merge_quotes(target, staged, broadcast_source=small, cluster=part, **options)
-    version = table.commit(merged, parts=facts.parts, batch=batch, base=base, last_poll=last_poll)
-    return warehouse.committed(table, version)
+    base, rows = table.version, count_source(polls, QUOTE_KEYS)
+    small = fits_broadcast(rows, QUOTES_STATE.row_bytes) if broadcast_source is None else broadcast_source
+    merged = merge_polls(table.touched_by(polls), polls, broadcast_source=small, cluster=table.part_of())
+    return table.commit(merged if rows else None, batch, base)
 
 
 def load_coins(
@@ -163,10 +155,9 @@ def load_brokers(
 def _load_dimension(table, warehouse, spec, rows, key, merge, run_ts, batch) -> int:
     with warehouse.staging(spec.name) as path:
         staged = replace_staging(rows.select(*spec.columns), spec, path)
-        base, count = table.version, inspect_source(staged, [key]).rows
-        merged = merge(table.read(version=base), staged, run_ts, broadcast_source=fits_broadcast(count, spec.row_bytes))
-        parts = None if count else ()  # an empty source changes nothing
-        return warehouse.committed(table, table.commit(merged, parts=parts, batch=batch, base=base))
+        base, count = table.version, count_source(staged, [key])
+        merged = merge(table.read(), staged, run_ts, broadcast_source=fits_broadcast(count, spec.row_bytes))
+        return table.commit(merged if count else None, batch, base)  # an empty source changes nothing
 
 
 def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
@@ -176,27 +167,31 @@ def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
     number of rules bounds what is broadcast. The rows of one run replace each other, so a repeated run delivers nothing
     twice.
     """
-    path, table = warehouse.report("alerts", run), warehouse.quotes
-    base, checked = table.version, enforce(rules, RULES)
-    facts = checked.where(F.col("cripto_id").isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"), F.collect_set(table.part_of()).alias("parts")
-    ).first()
-    quotes = table.read(version=base, parts=facts.parts)
-    messages = alert_messages(alerts(quotes, checked, broadcast_rules=fits_broadcast(facts.rows, RULES.row_bytes)))
+    path, checked = warehouse.report("alerts", run), enforce(rules, RULES)
+    quotes = current_quotes(warehouse.quotes.touched_by(checked.where(F.col("cripto_id").isNotNull())))
+    small = fits_broadcast(checked.count(), RULES.row_bytes)
+    messages = alert_messages(alerts(quotes, checked, broadcast_rules=small))
     load(messages, path, if_exists="replace")
     return warehouse.spark.read.schema(messages.schema).parquet(path)
 
 
-def poll_facts(documents: DataFrame) -> Row:
-    """In one job: how many polls were answered and how many failed, the first and the last answered poll."""
+def poll_facts() -> list[Column]:
+    """``answered`` and ``failed``: whether there were such polls; ``last_poll``: the newest answered one."""
     answered = F.col("status") == 200
-    poll = F.when(answered, F.col("poll_ts"))
-    return documents.agg(
-        F.count_if(answered).alias("answered"),
-        F.count_if(~F.col("status").eqNullSafe(200)).alias("failed"),
-        F.min(poll).alias("first_poll"),
-        F.max(poll).alias("last_poll"),
-    ).first()
+    return [
+        F.max(F.coalesce(answered, F.lit(False))).alias("answered"),
+        F.max(~F.col("status").eqNullSafe(200)).alias("failed"),
+        F.max(F.when(answered, F.col("poll_ts"))).alias("last_poll"),
+    ]
+
+
+def observed_polls(documents: DataFrame) -> tuple[DataFrame, Observation]:
+    """The documents, and the :func:`poll_facts` that are seen when :func:`decode_reporting` reads them.
+
+    Only for that: adaptive execution may drop a join's empty side, and what was to be observed there with it.
+    """
+    seen = Observation()
+    return documents.observe(seen, *poll_facts()), seen
 
 
 def report_failed_polls(warehouse: Warehouse, documents: DataFrame, run: str) -> None:
@@ -233,7 +228,8 @@ def run_daily_load(
     """One poll's documents through the whole chain; returns the alert rows when rules are given.
 
     Every table commits on its own, facts first. Failed polls and entries that are no quote are reported where there are
-    any. ``rejects=False`` writes no reports, and goes from the documents to staging in one lazy plan.
+    any; whether there are is seen while the documents are decoded, which reads them once. ``rejects=False`` writes no
+    reports, and goes from the documents to staging in one lazy plan.
     """
     spark = configure(warehouse.spark)
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -241,17 +237,18 @@ def run_daily_load(
     coins = coin_dimension(spark) if coins is None else coins
     brokers = broker_dimension(spark) if brokers is None else brokers
 
-    answered, _ = split_by_status(documents)
-    facts = poll_facts(documents)
-    if rejects and facts.failed:
-        report_failed_polls(warehouse, documents, run)
-    if not facts.answered:
-        raise EveryPollFailed("every poll of this run failed; nothing was loaded")
     with warehouse.staging("decoded") as path:
         if rejects:
-            quotes = decode_reporting(warehouse, answered, run, path)
+            observed, seen = observed_polls(documents)
+            quotes = decode_reporting(warehouse, split_by_status(observed)[0], run, path)
+            facts = seen.get
         else:
-            quotes = accepted_quotes(decode_entries(answered, fields=LOADED_FIELDS))
+            quotes = accepted_quotes(decode_entries(split_by_status(documents)[0], fields=LOADED_FIELDS))
+            facts = documents.agg(*poll_facts()).first()
+        if rejects and facts["failed"]:
+            report_failed_polls(warehouse, documents, run)
+        if not facts["answered"]:
+            raise EveryPollFailed("every poll of this run failed; nothing was loaded")
         load_quotes(warehouse, normalize_quotes(quotes, coins, brokers), run_ts)
     load_coins(warehouse, coins, run_ts)
     load_brokers(warehouse, brokers, run_ts)

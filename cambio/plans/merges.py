@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cambio.functions.times import load_date, load_time
 from cambio.operators.upsert import upsert
+from cambio.schemas import QUOTES_STATE, QUOTES_TABLE
 
 QUOTE_KEYS = ("cripto_id", "broker_id")
 
@@ -42,6 +43,33 @@ def merge_quotes(
     )
 
 
+def merge_polls(
+    target: DataFrame, polls: DataFrame, broadcast_source: bool = False, cluster: Column | None = None
+) -> DataFrame:
+    """Stored quotes (``QUOTES_STATE``) after polls, a row per pair, that may be older than what was merged before.
+
+    Of a pair's polls the newest gives prices and date, whichever comes last; of equal ones the one that is merged last.
+    """
+    row = {c: F.col(c) for c in QUOTES_STATE.columns} | {"fecha_cotizacion": F.col("fecha_cotizacion").cast("date")}
+    return upsert(
+        target,
+        polls,
+        QUOTE_KEYS,
+        matched=row,
+        inserted=row,
+        broadcast_source=broadcast_source,
+        cluster=cluster,
+        ordered_by="_poll",
+        combined={"_again": lambda old, new: F.lit(True)},
+    )
+
+
+def current_quotes(stored: DataFrame) -> DataFrame:
+    """What the quotes table shows: a pair that was merged once has its load date, one merged again the quote's own."""
+    date = F.when(F.col("_again"), F.col("fecha_cotizacion")).otherwise(F.col("_poll").cast("date"))
+    return stored.withColumn("fecha_cotizacion", date).select(*QUOTES_TABLE.columns)
+
+
 def merge_dimension(
     target: DataFrame,
     staged: DataFrame,

@@ -168,6 +168,15 @@ QUOTES_TABLE = TableSpec(
     sort_by=("fecha_cotizacion",),
 )
 
+#: The quotes as they are stored: ``fecha_cotizacion`` is the quote's own date, ``_poll`` the newest poll merged into the
+#: pair, and ``_again`` whether it was merged more than once. What the table shows follows from these, in any order of polls.
+QUOTES_STATE = TableSpec(
+    QUOTES_TABLE.name,
+    T.StructType([*QUOTES_TABLE.schema.fields, T.StructField("_poll", T.TimestampNTZType()), T.StructField("_again", T.BooleanType())]),
+    distribute_by=QUOTES_TABLE.distribute_by,
+    sort_by=QUOTES_TABLE.sort_by,
+)
+
 TABLES = (STG_BROKERS, STG_COINS, STG_QUOTES, BROKERS_TABLE, COINS_TABLE, QUOTES_TABLE)
 
 RULE_SCHEMA = T.StructType(

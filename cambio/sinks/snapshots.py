@@ -1,53 +1,72 @@
-"""Final tables as committed snapshots on plain file storage.
+"""Final tables: partitioned Parquet tables of Spark, with commits that count as a whole or not at all.
 
-A table folder holds data folders, each written once, and ``_commits/<version>.json``. A commit names the data folder of
-every part, so publishing it is one atomic file rename: readers see the old version or the new one, and a job that dies
-half-way leaves only an unnamed folder behind. Rows are split into parts by a hash of ``spec.distribute_by``; a merge
-that touches few parts rewrites only those. A commit is based on the version its rows were computed from and publishes the
-next number; of two commits with the same base the second one fails, so no update is lost.
+The rows of a table lie below ``data``, partitioned by ``_part``, a hash of ``spec.distribute_by``. A load writes the parts
+that it changes to a folder of its own. Renaming its commit file is the commit: of two loads that started from the same
+version the second one fails there. Then Spark replaces those partitions by dynamic partition overwrite; the others are not
+touched. A job that dies before the rename changes nothing. One that dies after it has committed: readers take the changed
+parts from its folder, and the next load moves them before it commits itself.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
-from datetime import datetime
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cambio.schemas import TableSpec
 
+PART = "_part"
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, parts: int = 1):
-        """``parts`` is fixed by the first commit; later openings take it from there."""
+
+class CommittedTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        spec: TableSpec,
+        parts: int = 1,
+        stored_as: TableSpec | None = None,
+        view: Callable[[DataFrame], DataFrame] | None = None,
+    ):
+        """``parts`` is fixed by the first commit. ``view`` makes the rows of ``spec`` of those that are stored."""
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.stored_as, self._view = stored_as or spec, view or (lambda rows: rows)
         self._new_parts = parts if spec.distribute_by else 1
 
     # reading
 
+    def read(self) -> DataFrame:
+        """The table as last committed. It is overwritten in place: a reader that outlasts a load has to read again."""
+        return self._view(self.stored())
+
+    def stored(self) -> DataFrame:
+        """The rows in the columns they are stored in."""
+        return self._all_parts().select(*self.stored_as.columns)
+
+    def touched_by(self, keys: DataFrame) -> DataFrame:
+        """Stored rows of the parts that rows with the distribution columns fall into.
+
+        The different parts, as many as the table has at most, are broadcast, and prune the scan while it runs.
+        """
+        # the condition always holds; dynamic pruning is only planned for a side that a filter may have made small
+        parts = keys.select(self.part_of().alias(PART)).distinct().where(F.col(PART) >= 0)
+        return self._all_parts().join(F.broadcast(parts), PART, "left_semi").select(*self.stored_as.columns)
+
+    def part_of_key(self, *values: Column) -> DataFrame:
+        """The rows of the one part that a literal distribution key belongs to: its folder alone is listed and read."""
+        part = F.pmod(F.hash(*values), F.lit(self.parts)) if self.parts > 1 else F.lit(0)
+        return self._view(self._all_parts().where(F.col(PART) == part).select(*self.stored_as.columns))
+
     @property
     def version(self) -> int:
-        """Newest committed version, 0 before the first commit."""
-        return max(self.versions(), default=0)
-
-    def versions(self) -> list[int]:
-        folder = self._hadoop_path("_commits")
-        fs = self._file_system()
-        if not fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        return sorted(int(name.removesuffix(".json")) for name in names if name[:1].isdigit())
-
-    def read(self, version: int | None = None, parts: Iterable[int] | None = None) -> DataFrame:
-        """The table as of a version (default: newest), optionally only some parts. The version is resolved once."""
-        folders = self._commit(self.version if version is None else version)["folders"]
-        wanted = [folder for part, folder in folders.items() if parts is None or int(part) in set(parts)]
-        if not wanted:
-            return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(*[f"{self.path}/{folder}" for folder in wanted])
+        """Number of commits so far."""
+        folder, fs = self._hadoop_path("_commits"), self._file_system()
+        names = [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+        return max((int(name.removesuffix(".json")) for name in names if name[:1].isdigit()), default=0)
 
     @property
     def parts(self) -> int:
@@ -55,101 +74,93 @@ class SnapshotTable:
 
     def part_of(self) -> Column:
         """The part a row belongs to; an expression over the distribution columns."""
-        if self.parts == 1:
-            return F.lit(0)
-        return F.pmod(F.hash(*self.spec.distribute_by), F.lit(self.parts))
+        total = self.parts
+        return F.lit(0) if total == 1 else F.pmod(F.hash(*self.spec.distribute_by), F.lit(total))
+
+    def has_batch(self, stream: str, batch_id: int) -> bool:
+        """Whether this batch of this stream was committed before (a stream may deliver a batch twice)."""
+        return self._commit(self.version)["streams"].get(stream, -1) >= batch_id
 
     # writing
 
-    def commit(
-        self,
-        rows: DataFrame,
-        parts: Sequence[int] | None = None,
-        batch: tuple[str, int] | None = None,
-        base: int | None = None,
-        last_poll: datetime | None = None,
-    ) -> int:
-        """Publish ``rows`` as the new content of ``parts`` (default: of the whole table); returns the new version.
-
-        ``rows`` may be computed from a version: none is ever overwritten. ``base`` is that version (default: the newest
-        now); if another commit was published since, this one fails. Without parts nothing is written, and the new
-        version holds what the old one held. ``batch`` is a (stream, batch id) remembered for :meth:`has_batch`,
-        ``last_poll`` the newest poll that was merged, remembered for :meth:`last_poll`.
+    def commit(self, rows: DataFrame | None, batch: tuple[str, int] | None = None, base: int | None = None) -> int:
+        """Replace the parts that the stored ``rows`` belong to; returns the new version. Without rows nothing is replaced.
+
+        ``rows`` have to be all rows of their parts, and may be computed from the table. ``base`` is the version that they
+        were computed from (default: the newest now). ``batch`` is a (stream, batch id) remembered for :meth:`has_batch`.
         """
+        self._settle()
         base = self.version if base is None else base
         before = self._commit(base)
-        total = before.get("parts", self._new_parts)
-        replaced = {str(part) for part in (range(total) if parts is None else parts)}
-        written = self._write(rows, f"data-{uuid.uuid4().hex}", total) if replaced else {}
-        folders = {part: old for part, old in before["folders"].items() if part not in replaced}
-        folders.update((part, new) for part, new in written.items() if part in replaced)
-        content = {"parts": total, "folders": folders, "streams": dict(before["streams"])}
-        content["last_poll"] = last_poll.isoformat() if last_poll else before.get("last_poll")
-        if batch:
-            content["streams"][batch[0]] = batch[1]
-        return self._publish(base + 1, content)
-
-    def last_poll(self, version: int | None = None) -> datetime | None:
-        """The newest poll that a stream merged into the table."""
-        text = self._commit(self.version if version is None else version).get("last_poll")
-        return datetime.fromisoformat(text) if text else None
-
-    def has_batch(self, stream: str, batch_id: int) -> bool:
-        """Whether this batch of this stream was committed before (a stream may deliver a batch twice)."""
-        return self._commit(self.version)["streams"].get(stream, -1) >= batch_id
-
-    def expire(self, keep: int) -> list[int]:
-        """Forget all but the newest ``keep`` versions and delete the data folders no kept version names."""
-        versions = self.versions()
-        gone, kept = versions[:-keep], versions[-keep:]
-        live = {folder for v in kept for folder in self._commit(v)["folders"].values()}
-        dead = {folder for v in gone for folder in self._commit(v)["folders"].values()} - live
-        fs = self._file_system()
-        for version in gone:
-            fs.delete(self._hadoop_path(f"_commits/{version:012d}.json"), False)
-        for folder in dead:
-            fs.delete(self._hadoop_path(folder), True)
-        return gone
-
-    def _write(self, rows: DataFrame, folder: str, total: int) -> dict[str, str]:
-        """Write the data folder; rows stay in the task they are in, sorted there. Returns part → folder."""
-        path = f"{self.path}/{folder}"
-        if total == 1:
-            rows.sortWithinPartitions(*self.spec.sort_by).write.mode("errorifexists").parquet(path)
-            return {"0": folder}
-        part = F.pmod(F.hash(*self.spec.distribute_by), F.lit(total)).alias("_part")
-        sorted_rows = rows.select("*", part).sortWithinPartitions("_part", *self.spec.sort_by)
-        sorted_rows.write.mode("errorifexists").partitionBy("_part").parquet(path)
-        names = [status.getPath().getName() for status in self._file_system().listStatus(self._hadoop_path(folder))]
-        return {name.split("=")[1]: f"{folder}/{name}" for name in names if name.startswith("_part=")}
-
-    # commit files
+        total, folder = before.get("parts", self._new_parts), None
+        if rows is not None:
+            folder = f"_new-{uuid.uuid4().hex}"
+            part = F.lit(0) if total == 1 else F.pmod(F.hash(*self.spec.distribute_by), F.lit(total))
+            self._ordered(rows.withColumn(PART, part)).partitionBy(PART).parquet(f"{self.path}/{folder}")
+        streams = {**before["streams"], **({batch[0]: batch[1]} if batch else {})}
+        self._publish(base + 1, {"parts": total, "streams": streams, "pending": folder})
+        self._settle()
+        return base + 1
+
+    def _settle(self) -> None:
+        """Move the parts of the last commit to their place. Doing so twice, or after half of it, gives the same."""
+        pending = self._pending()
+        if pending:
+            rows = self._below(pending)
+            self._ordered(rows, mode="overwrite", partitionOverwriteMode="dynamic").partitionBy(PART).parquet(
+                f"{self.path}/data"
+            )
+            self._file_system().delete(self._hadoop_path(pending), True)
+
+    def _ordered(self, rows: DataFrame, mode: str = "errorifexists", **options: str):
+        """A writer of rows that stay in their task and are sorted there."""
+        return rows.sortWithinPartitions(PART, *self.stored_as.sort_by).write.mode(mode).options(**options)
+
+    # files
+
+    def _all_parts(self) -> DataFrame:
+        pending = self._pending()
+        if not pending:
+            return self._below("data")
+        changed = [int(name.split("=")[1]) for name in self._names(pending) if name.startswith(f"{PART}=")]
+        return self._below("data").where(~F.col(PART).isin(changed)).unionByName(self._below(pending))
+
+    def _below(self, folder: str) -> DataFrame:
+        schema = T.StructType([*self.stored_as.schema.fields, T.StructField(PART, T.IntegerType())])
+        if not any(name.startswith(f"{PART}=") for name in self._names(folder)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+
+    def _pending(self) -> str | None:
+        """The folder of the last commit, as long as its parts have not all been moved."""
+        folder = self._commit(self.version).get("pending")
+        return folder if folder and self._file_system().exists(self._hadoop_path(folder)) else None
+
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._file_system(), self._hadoop_path(folder)
+        return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
 
     def _commit(self, version: int) -> dict:
         if version == 0:
-            return {"folders": {}, "streams": {}}
+            return {"streams": {}}
         stream = self._file_system().open(self._hadoop_path(f"_commits/{version:012d}.json"))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def _publish(self, version: int, content: dict) -> int:
+    def _publish(self, version: int, content: dict) -> None:
         draft = self._hadoop_path(f"_commits/_draft-{uuid.uuid4().hex}")
         out = self._file_system().create(draft, False)
         out.write(bytearray(json.dumps(content).encode()))
         out.close()
         jvm = self.spark._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self._hadoop_conf())
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self.spark._jsc.hadoopConfiguration())
         no_overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         context.rename(draft, self._hadoop_path(f"_commits/{version:012d}.json"), no_overwrite)
-        return version
-
-    def _hadoop_conf(self):
-        return self.spark._jsc.hadoopConfiguration()
 
     def _hadoop_path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
     def _file_system(self):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self._hadoop_conf())
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())

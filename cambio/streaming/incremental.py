@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import ExitStack
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,14 +13,14 @@ from cambio.plans.daily import (
     decode_reporting,
     load_brokers,
     load_coins,
-    merge_staged_quotes,
-    poll_facts,
+    merge_staged_polls,
+    observed_polls,
     raise_alerts,
     report_failed_polls,
 )
 from cambio.plans.merges import QUOTE_KEYS
 from cambio.plans.normalize import normalize_quotes
-from cambio.schemas import STG_QUOTES, TableSpec, broker_dimension, coin_dimension
+from cambio.schemas import QUOTES_STATE, STG_QUOTES, TableSpec, broker_dimension, coin_dimension
 from cambio.session import configure
 from cambio.sinks.load import replace_staging
 
@@ -37,31 +35,22 @@ STG_POLLS = TableSpec(
 #: The same after its polls are collapsed.
 STG_COLLAPSED = TableSpec(
     "stg_cotizaciones_collapsed",
-    T.StructType([*STG_QUOTES.schema.fields, T.StructField("inserted_date", T.DateType())]),
+    T.StructType([*STG_QUOTES.schema.fields, *QUOTES_STATE.schema.fields[-2:]]),
     not_null=STG_QUOTES.not_null,
     sort_by=STG_QUOTES.sort_by,
 )
 
 
 def collapse_polls(staged: DataFrame) -> DataFrame:
-    """Several polls of staged quotes to the one row per pair that merging them in order would end with.
+    """Several polls of staged quotes to one row per pair: what is merged of them, in whatever order they came.
 
-    The newest poll gives the prices. ``inserted_date`` is the date to use if the pair is new to the table: a pair seen
-    in one poll only is inserted under that poll's load date; a pair seen again is inserted by the first poll and matched
-    by the later ones, so it ends with the quote's own date. The aggregation buffers are fixed-width numbers, so it runs
-    as a hash aggregation with partial results per task, whatever share of the rows one pair holds.
+    The newest poll gives the prices. The aggregation buffers are fixed-width numbers, so it runs as a hash aggregation
+    with partial results per task, whatever share of the rows one pair holds.
     """
-    newest = {c: F.max_by(c, "poll_ts").alias(c) for c in ("p_compra", "p_venta", "fecha_cotizacion")}
-    per_pair = staged.groupBy(*QUOTE_KEYS).agg(
-        *newest.values(), F.min("poll_ts").alias("_first"), F.max("poll_ts").alias("_last")
-    )
-    seen_again = F.col("_first") < F.col("_last")
-    inserted_date = F.when(seen_again, F.col("fecha_cotizacion").cast("date")).otherwise(F.col("_last").cast("date"))
-    return per_pair.select(*STG_QUOTES.columns, inserted_date.alias("inserted_date"))
-
-
-class OutOfOrderPoll(ValueError):
-    """A poll landed after a newer one was merged; merging it now would put old prices over new ones."""
+    newest = [F.max_by(c, "poll_ts").alias(c) for c in ("p_compra", "p_venta", "fecha_cotizacion")]
+    again = (F.min("poll_ts") < F.max("poll_ts")).alias("_again")
+    per_pair = staged.groupBy(*QUOTE_KEYS).agg(*newest, F.max("poll_ts").alias("_poll"), again)
+    return per_pair.select(*STG_COLLAPSED.columns)
 
 
 def load_batch(
@@ -74,46 +63,37 @@ def load_batch(
 ) -> None:
     """Load one micro-batch, equal to loading its polls one by one in poll order with ``run_ts = poll_ts``.
 
-    Each table remembers the batch, so a batch delivered twice is not merged twice; the name in ``batch`` has to be that
-    of the checkpoint, because batch ids start anew with every checkpoint. A poll whose documents all failed loads
-    nothing, as its own run would. A batch with a poll that is older than one already merged is refused whole.
+    Polls may be older than ones merged before: every pair keeps its newest poll, so any order gives the same table. Each
+    table remembers the batch, so a batch delivered twice is not merged twice; the name in ``batch`` has to be that of the
+    checkpoint, because batch ids start anew with every checkpoint. A poll whose documents all failed loads nothing, as its
+    own run would.
     """
     spark = configure(warehouse.spark)
     coins = coin_dimension(spark) if coins is None else coins
     brokers = broker_dimension(spark) if brokers is None else brokers
     run = f"{batch[0]}-{batch[1]:09d}"
 
-    answered, _ = split_by_status(documents)
-    facts = poll_facts(documents)
-    if facts.failed:
-        report_failed_polls(warehouse, documents, run)
-    if not facts.answered:
-        return
-    quotes_table = warehouse.quotes
-    if not quotes_table.has_batch(*batch):
-        merged = quotes_table.last_poll()
-        if merged and facts.first_poll < merged:
-            raise OutOfOrderPoll(f"the poll of {facts.first_poll} landed after that of {merged} was merged")
-        names = ("decoded", STG_POLLS.name, STG_COLLAPSED.name)
-        with ExitStack() as folders:
-            decoded, polls, collapsed = (folders.enter_context(warehouse.staging(name)) for name in names)
-            quotes = decode_reporting(warehouse, answered, run, decoded, carry=["poll_ts"])
-            rows = normalize_quotes(quotes, coins, brokers, carry=["poll_ts"])
-            staged = replace_staging(rows, STG_POLLS, polls)
-            require_unique_keys(staged, ["poll_ts", *QUOTE_KEYS])
-            one_per_pair = replace_staging(collapse_polls(staged), STG_COLLAPSED, collapsed)
-            merge_staged_quotes(
-                warehouse,
-                one_per_pair,
-                STG_COLLAPSED,
-                batch,
-                facts.last_poll,
-                inserted_date=F.col("inserted_date"),
-            )
+    observed, seen = observed_polls(documents)
+    answered, _ = split_by_status(observed)
+    with warehouse.staging("decoded") as decoded:
+        quotes = decode_reporting(warehouse, answered, run, decoded, carry=["poll_ts"])
+        facts = seen.get
+        if facts["failed"]:
+            report_failed_polls(warehouse, documents, run)
+        if not facts["answered"]:
+            return
+        if not warehouse.quotes.has_batch(*batch):
+            with warehouse.staging(STG_POLLS.name) as polls, warehouse.staging(STG_COLLAPSED.name) as collapsed:
+                rows = normalize_quotes(quotes, coins, brokers, carry=["poll_ts"])
+                staged = replace_staging(rows, STG_POLLS, polls)
+                require_unique_keys(staged, ["poll_ts", *QUOTE_KEYS])
+                one_per_pair = replace_staging(collapse_polls(staged), STG_COLLAPSED, collapsed)
+                merge_staged_polls(warehouse, one_per_pair, batch)
+    newest = facts["last_poll"]
     if not warehouse.coins.has_batch(*batch):
-        load_coins(warehouse, coins, facts.last_poll, batch)
+        load_coins(warehouse, coins, newest, batch)
     if not warehouse.brokers.has_batch(*batch):
-        load_brokers(warehouse, brokers, facts.last_poll, batch)
+        load_brokers(warehouse, brokers, newest, batch)
     if rules is not None:
         raise_alerts(warehouse, rules, run)
 
@@ -128,8 +108,8 @@ def run_available(
 ) -> int:
     """Load everything landed since the last run with this checkpoint, then stop; returns the batches processed.
 
-    Schedule it instead of the batch job. Polls have to land in poll order across runs. Batches are remembered under the
-    query id that the checkpoint keeps, so another checkpoint's batches are not taken for them.
+    Schedule it instead of the batch job. Polls may land late, in any order. Batches are remembered under the query id that
+    the checkpoint keeps, so another checkpoint's batches are not taken for them.
     """
     done: list[int] = []
 

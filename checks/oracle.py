@@ -325,3 +325,6 @@ latest AS (
   SELECT cripto_id, broker_id, p_compra FROM desk
   QUALIFY row_number() OVER (PARTITION BY cripto_id, broker_id
     ORDER BY CAST(quoted AS DATE) DESC, p_compra DESC) = 1) {DESK_MESSAGES}"""
+
+# late polls change the order of the work, not the table
+ORACLE["stream_load_late"] = ORACLE["stream_load"]

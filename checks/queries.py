@@ -31,7 +31,7 @@ from cambio.operators.quotes import (
     project_quotes,
     rename_quotes,
 )
-from cambio.operators.upsert import fits_broadcast, inspect_source
+from cambio.operators.upsert import count_source, fits_broadcast
 from cambio.plans.daily import (
     Warehouse,
     load_brokers,
@@ -277,7 +277,7 @@ def constraint_violations(t: Fixtures) -> DataFrame:
 
 def _staged(t: Fixtures, rows: DataFrame) -> tuple[DataFrame, bool]:
     staged = replace_staging(rows, STG_QUOTES, work_dir(t.spark, "staging"))
-    return staged, fits_broadcast(inspect_source(staged, QUOTE_KEYS).rows, STG_QUOTES.row_bytes)
+    return staged, fits_broadcast(count_source(staged, QUOTE_KEYS), STG_QUOTES.row_bytes)
 
 
 @query
@@ -313,7 +313,7 @@ def committed_quotes_li_shuffled(t: Fixtures) -> DataFrame:
     warehouse = Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
     for side, run_ts in (("baseline", BASELINE_TS), ("poll", RUN_TS)):
         staged = replace_staging(t.li_side(side), STG_QUOTES, work_dir(t.spark, "staging"))
-        merge_staged_quotes(warehouse, staged, STG_QUOTES, broadcast_source=False, run_ts=run_ts)
+        merge_staged_quotes(warehouse, staged, run_ts, broadcast_source=False)
     return warehouse.quotes.read()
 
 
@@ -531,8 +531,7 @@ def warehouse_sql(t: Fixtures) -> DataFrame:
     )
 
 
-@query
-def stream_load(t: Fixtures) -> DataFrame:
+def _streamed(t: Fixtures, newest_first: bool) -> DataFrame:
     """Quarterly polls of the line-item feed, landed in two parts, loaded by two runs of the same stream."""
     landing, warehouse = work_dir(t.spark, "landing"), Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
     checkpoint = work_dir(t.spark, "stream")
@@ -540,7 +539,8 @@ def stream_load(t: Fixtures) -> DataFrame:
     picked = newest(t.li_lines().withColumn("quarter", quarter), ["quarter", "l_partkey", "l_suppkey"], LI_ORDER)
     polls = documents(t.li(picked, keep=["quarter"]), F.expr("quarter + INTERVAL '3' MONTH"))
     border = F.lit(datetime(1999, 1, 1).isoformat()).cast("timestamp_ntz")
-    for part in (F.col("poll_ts") < border, F.col("poll_ts") >= border):
+    parts = [F.col("poll_ts") < border, F.col("poll_ts") >= border]
+    for part in parts[::-1] if newest_first else parts:
         land_documents(polls.where(part), landing)
         run_available(
             warehouse, stream_documents(t.spark, landing), checkpoint, coins=t.li_coins(), brokers=t.li_brokers()
@@ -548,6 +548,18 @@ def stream_load(t: Fixtures) -> DataFrame:
     return warehouse.quotes.read()
 
 
+@query
+def stream_load(t: Fixtures) -> DataFrame:
+    """Polls that land in poll order."""
+    return _streamed(t, newest_first=False)
+
+
+@query
+def stream_load_late(t: Fixtures) -> DataFrame:
+    """The older half of the polls lands after the newer one was merged; the table is the one that poll order gives."""
+    return _streamed(t, newest_first=True)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to alert messages in one lazy plan: decode, normalize, newest price per pair, rules."""
     t = Fixtures(configure(spark), sf_dir)

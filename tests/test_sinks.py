@@ -7,12 +7,11 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from cambio.operators.constraints import enforce, violations
-from cambio.operators.upsert import inspect_source
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
-from cambio.plans.daily import Warehouse, load_quotes, merge_staged_quotes
+from cambio.plans.daily import Warehouse, merge_staged_quotes
 from cambio.sinks.catalog import define_tables, describe_layout, load_table
 from cambio.sinks.load import append_staging, load, replace_staging, truncate_staging
-from cambio.sinks.snapshots import SnapshotTable
+from cambio.sinks.snapshots import CommittedTable
 
 T1 = datetime(2024, 1, 28, 5)
 DAY = date(2024, 1, 1)
@@ -89,38 +88,79 @@ def test_violations_are_counted(spark, rows):
 
 
 @pytest.mark.parametrize("parts", [1, 4])
-def test_snapshot_versions(spark, tmp_path, rows, parts):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts)
-    assert table.version == 0 and table.read().count() == 0
+def test_commits(spark, tmp_path, rows, parts):
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts)
+    assert table.version == 0 and table.read().count() == 0 and table.read().columns == QUOTES_TABLE.columns
     first = [(i, 1, float(i), None, DAY) for i in range(20)] + [(None, 3, 1.0, None, DAY)]
     assert table.commit(quotes(spark, *first)) == 1
-    held = table.read()
-    # the new content is computed from the version it replaces
+    assert rows(table.read()) == sorted(first, key=repr)
+    # the new content is computed from what it replaces
     assert table.commit(table.read().withColumn("p_compra", F.col("p_compra") + 1)) == 2
-    assert rows(held) == sorted(first, key=repr)
-    assert rows(table.read(version=1)) == sorted(first, key=repr)
     assert rows(table.read()) == sorted([(a, b, c + 1, d, e) for a, b, c, d, e in first], key=repr)
-    reopened = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=99)
+    reopened = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=99)
     assert reopened.parts == parts
     assert reopened.commit(reopened.read()) == 3
-    assert rows(reopened.read()) == rows(table.read(version=2))
-    assert table.expire(keep=1) == [1, 2] and table.versions() == [3]
-    assert table.read().count() == 21
+    assert rows(reopened.read()) == rows(table.read()) and table.read().count() == 21
+    assert not list((tmp_path / "t").glob("_new-*"))
 
 
-def test_commit_of_some_parts_keeps_the_others(spark, tmp_path, rows):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=8)
+def files_of(folder):
+    return {path: path.stat().st_mtime_ns for path in folder.rglob("part-*.parquet")}
+
+
+def test_a_load_leaves_the_files_of_other_parts_alone(spark, tmp_path):
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=8)
     table.commit(quotes(spark, *[(i, 1, 0.0, None, DAY) for i in range(40)]))
-    touched = inspect_source(quotes(spark, (5, 1, 1.0, None, DAY)), ["cripto_id"], table.part_of()).parts
-    assert len(touched) == 1
-    part = table.read(parts=touched)
-    assert 0 < part.count() < 40
-    table.commit(part.withColumn("p_compra", F.lit(7.0)), parts=touched)
-    changed = {r.cripto_id for r in table.read().where("p_compra = 7").collect()}
-    assert changed == {r.cripto_id for r in part.collect()} and 5 in changed
-    assert table.read().count() == 40
-    table.expire(keep=1)
+    before = files_of(tmp_path / "t")
+    part = table.touched_by(quotes(spark, (5, 1, 1.0, None, DAY)))
+    kept = {r.cripto_id for r in part.collect()}
+    assert 5 in kept and len(kept) < 40
+    table.commit(part.withColumn("p_compra", F.lit(7.0)))
+    assert {r.cripto_id for r in table.read().where("p_compra = 7").collect()} == kept
     assert table.read().count() == 40
+    after = files_of(tmp_path / "t")
+    gone = {path.parent.name for path in before.keys() - after.keys()}
+    assert len(gone) == 1 and all(after[path] == before[path] for path in before.keys() & after.keys())
+
+
+def test_a_merge_reads_only_the_parts_it_touches(spark, tmp_path):
+    """The scan is pruned while it runs: files of other parts are not opened, not even damaged ones."""
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=8)
+    table.commit(quotes(spark, *[(i, 1, 0.0, None, DAY) for i in range(40)]))
+    poll = quotes(spark, (5, 1, 1.0, None, DAY), (5, 2, 1.0, None, DAY))
+    frame = table.touched_by(poll)
+    own = {r.f.split("/")[-1] for r in frame.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert 0 < len(own) < len(files_of(tmp_path / "t"))
+    for path in files_of(tmp_path / "t"):
+        if path.name not in own:
+            path.write_bytes(b"damaged")
+            path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    assert 5 in {r.cripto_id for r in table.touched_by(poll).collect()}
+    assert "dynamicpruning" in frame._jdf.queryExecution().executedPlan().toString()
+    assert [r.cripto_id for r in table.part_of_key(F.lit(5)).where("cripto_id = 5").collect()] == [5]
+    with pytest.raises(PySparkException):
+        table.read().collect()
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("moved", ["nothing", "some"])
+def test_a_load_that_died_after_its_commit(spark, tmp_path, rows, monkeypatch, parts, moved):
+    """It counts: readers see it whole, and the next load moves its parts."""
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts)
+    table.commit(quotes(spark, *[(i, 1, 0.0, None, DAY) for i in range(20)]))
+    new = quotes(spark, *[(i, 1, 1.0, None, DAY) for i in range(30)])
+    with monkeypatch.context() as patch:
+        patch.setattr(CommittedTable, "_settle", lambda self: None)
+        assert table.commit(new) == 2
+    if moved == "some":  # the move died half-way
+        folder = next((tmp_path / "t" / "data").glob("_part=*"))
+        for path in files_of(folder):
+            path.unlink()
+    assert rows(table.read()) == rows(new) and table.version == 2 and list((tmp_path / "t").glob("_new-*"))
+    touched = table.touched_by(quotes(spark, (25, 1, 0.0, None, DAY)))
+    assert touched.where("cripto_id = 25").first().p_compra == 1.0
+    assert table.commit(None, batch=("s", 1)) == 3
+    assert rows(table.read()) == rows(new) and not list((tmp_path / "t").glob("_new-*"))
 
 
 def test_an_initial_load_writes_few_files(spark, tmp_path):
@@ -131,40 +171,30 @@ def test_an_initial_load_writes_few_files(spark, tmp_path):
     )
     w = Warehouse(spark, str(tmp_path / "w"), parts=8)
     source.write.parquet(str(tmp_path / "s"))
-    merge_staged_quotes(w, spark.read.parquet(str(tmp_path / "s")), STG_QUOTES)
+    merge_staged_quotes(w, spark.read.parquet(str(tmp_path / "s")))
     files = list((tmp_path / "w").rglob("part-*.parquet"))
     assert w.quotes.read().count() == 2000 and len(files) == 8
 
 
-def test_kept_versions(spark, tmp_path):
-    w = Warehouse(spark, str(tmp_path / "w"), keep_versions=2)
-    for day in range(4):
-        load_quotes(w, staged(spark, (1, 1, float(day), None, T1)), T1)
-    assert w.quotes.versions() == [3, 4]
-    assert len(list((tmp_path / "w" / "cotizaciones").glob("data-*"))) == 2
-    assert [w.quotes.read(version=v).first().p_compra for v in (3, 4)] == [2.0, 3.0]
-
-
 def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
     table.commit(quotes(spark, (1, 1, 1.0, None, DAY)))
     broken = table.read().withColumn("p_compra", F.raise_error(F.lit("lost")).cast("double"))
     with pytest.raises(PySparkException):
         table.commit(broken)
     assert table.version == 1 and table.read().first().p_compra == 1.0
-    assert len(list((tmp_path / "t").glob("data-*"))) == 2
 
 
 def test_a_version_is_published_once(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
     table.commit(quotes(spark, (1, 1, 1.0, None, DAY)))
     with pytest.raises(Exception, match="FileAlreadyExists"):
-        table._publish(1, {"folders": {}, "streams": {}, "parts": 1})
+        table._publish(1, {"streams": {}, "parts": 1, "pending": None})
     assert table.read().count() == 1
 
 
 def test_batches_are_remembered(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
     row = quotes(spark, (1, 1, 1.0, None, DAY))
     assert not table.has_batch("s", 0)
     table.commit(row, batch=("s", 0))
@@ -173,7 +203,7 @@ def test_batches_are_remembered(spark, tmp_path):
 
 
 def test_sorted_inside_a_file(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=2)
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts=2)
     table.commit(quotes(spark, *[(i % 5, 1, 0.0, None, date(2024, 1, 1 + (i * 7) % 28)) for i in range(100)]))
     seen = table.read().select(F.input_file_name().alias("f"), "fecha_cotizacion").collect()
     by_file = {}
@@ -220,19 +250,19 @@ def test_load_catalog_tables(spark, tmp_path, rows):
 
 
 @pytest.mark.parametrize("parts", [1, 4])
-def test_a_commit_names_only_its_parts(spark, tmp_path, rows, parts):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts)
+def test_a_commit_without_rows_changes_none(spark, tmp_path, rows, parts):
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE, parts)
     table.commit(quotes(spark, (1, 1, 1.0, None, DAY), (2, 1, 2.0, None, DAY)))
     before = rows(table.read())
-    assert table.commit(quotes(spark), parts=(), batch=("s", 3)) == 2
+    assert table.commit(None, batch=("s", 3)) == 2
     assert rows(table.read()) == before and table.has_batch("s", 3)
 
 
 def test_of_two_commits_with_one_base_the_second_fails(spark, tmp_path, rows):
-    table = SnapshotTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
+    table = CommittedTable(spark, str(tmp_path / "t"), QUOTES_TABLE)
     table.commit(quotes(spark, (1, 1, 1.0, None, DAY)))
     base = table.version
-    mine = table.read(version=base).union(quotes(spark, (3, 1, 3.0, None, DAY)))
+    mine = quotes(spark, (1, 1, 1.0, None, DAY), (3, 1, 3.0, None, DAY))
     table.commit(table.read().union(quotes(spark, (2, 1, 2.0, None, DAY))))
     with pytest.raises(Exception, match="FileAlreadyExists"):
         table.commit(mine, base=base)
@@ -251,12 +281,11 @@ def test_the_shuffled_merge_writes_few_files(spark, tmp_path):
     try:
         for n, shift in enumerate((0, 1000)):
             staged_rows(shift).write.parquet(str(tmp_path / f"s{n}"))
-            merge_staged_quotes(w, spark.read.parquet(str(tmp_path / f"s{n}")), STG_QUOTES, broadcast_source=False)
+            merge_staged_quotes(w, spark.read.parquet(str(tmp_path / f"s{n}")), broadcast_source=False)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "2")
-    newest = max((tmp_path / "w" / "cotizaciones").glob("data-*"), key=lambda f: f.stat().st_mtime)
     assert w.quotes.read().count() == 4000
-    assert len(list(newest.rglob("part-*.parquet"))) == 4
+    assert len(files_of(tmp_path / "w" / "cotizaciones")) == 4
 
 
 def test_nan_is_missing(spark, rows):

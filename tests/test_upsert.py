@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from cambio.operators import upsert as upsert_module
 from cambio.operators.upsert import AmbiguousMerge, fits_broadcast, require_unique_keys
-from cambio.plans.merges import merge_brokers, merge_coins, merge_quotes
-from cambio.schemas import COINS_TABLE, QUOTES_TABLE, STG_COINS, STG_QUOTES
+from cambio.plans.merges import current_quotes, merge_brokers, merge_coins, merge_polls, merge_quotes
+from cambio.schemas import COINS_TABLE, QUOTES_STATE, QUOTES_TABLE, STG_COINS, STG_QUOTES
 
 RUN = datetime(2024, 2, 1, 10, 30)
 T1, T2 = datetime(2024, 1, 28, 5), datetime(2024, 1, 29, 23, 59)
@@ -155,3 +155,32 @@ def test_hot_target_key_is_split(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def polled(spark, *data):
+    return spark.createDataFrame(list(data), QUOTES_STATE.schema)
+
+
+@both_plans
+def test_merge_of_late_polls(spark, rows, broadcast):
+    """By pair: newer, older, equal, only in the target, new; NULL keys never match."""
+    d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
+    target = polled(
+        spark, (1, 1, 1.0, 1.0, d1, T1, False), (1, 2, 2.0, 2.0, d1, T2, False), (1, 3, 3.0, 3.0, d1, T1, True),
+        (1, 4, 4.0, 4.0, d1, T1, False), (None, 1, 5.0, 5.0, d1, T1, False),
+    )
+    source = polled(
+        spark, (1, 1, 9.0, None, None, T2, False), (1, 2, 9.0, 9.0, d2, T1, False), (1, 3, 9.0, 9.0, d2, T1, False),
+        (2, 1, 9.0, 9.0, d2, T2, True),
+    )
+    merged = merge_polls(target, source, broadcast_source=broadcast)
+    assert merged.dtypes == target.dtypes
+    assert rows(merged) == sorted(
+        [
+            (1, 1, 9.0, None, None, T2, True), (1, 2, 2.0, 2.0, d1, T2, True), (1, 3, 9.0, 9.0, d2, T1, True),
+            (1, 4, 4.0, 4.0, d1, T1, False), (None, 1, 5.0, 5.0, d1, T1, False), (2, 1, 9.0, 9.0, d2, T2, True),
+        ],
+        key=repr,
+    )
+    shown = {r.broker_id: r.fecha_cotizacion for r in current_quotes(merged).where("cripto_id = 1").collect()}
+    assert shown == {1: None, 2: d1, 3: d2, 4: T1.date()}
