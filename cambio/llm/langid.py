@@ -23,7 +23,7 @@ from cambio.llm.common import map_rows, text_chunks
 #: Labelled chunks per language that the network learns from, and characters of each.
 SAMPLE_PER_LANGUAGE = 500
 SAMPLE_CHARS = 600
-#: The sample is drawn in two steps, first within so many shares of each language, so that no task gets all of one.
+#: Tasks hand their part of the sample on to so many shares, and these theirs to the language.
 SHARES = 64
 WINDOW_BYTES = 256
 EMBEDDING = 8
@@ -194,8 +194,9 @@ def _predictor(net: Network) -> Predictor:
 def training_sample(rows: DataFrame) -> list[tuple[str, str]]:
     """At most SAMPLE_PER_LANGUAGE (language, chunk of text) of each language, those whose id has the smallest hash.
 
-    The limit is applied in each task before the shuffle, then in each share of a language, then to the language, so a
-    language that holds most rows is no burden to one task. Texts without a letter teach nothing.
+    The limit is applied to what a task holds of each language, before anything is shuffled, then to each share of the
+    tasks, then to the language: what is shuffled does not grow with the texts of a task, and no task gets more than
+    SAMPLE_PER_LANGUAGE rows from each share. Texts without a letter teach nothing.
     """
     place = F.xxhash64("doc_id", F.lit("chunk"))
     begin = F.pmod(place, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
@@ -204,9 +205,9 @@ def training_sample(rows: DataFrame) -> list[tuple[str, str]]:
         "doc_id",
         "lang",
         F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text"),
-        F.pmod(F.xxhash64("doc_id", F.lit("share")), F.lit(SHARES)).alias("share"),
-    )
-    for group in (["lang", "share"], ["lang"]):
+        F.spark_partition_id().alias("task"),
+    ).withColumn("share", F.col("task") % SHARES)
+    for group in (["lang", "share", "task"], ["lang", "share"], ["lang"]):
         place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         rows = rows.withColumn("place", place).where(F.col("place") <= SAMPLE_PER_LANGUAGE)
     return [(row.lang, row.text) for row in rows.select("lang", "text").collect()]

@@ -58,7 +58,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(classify_pages(read_table(spark, sf_dir, "pages")), path)
     captures = assemble(read_archives(spark, path, with_payload=False))
     digest = F.coalesce("answer.payload_sha256", F.substring_index("answer.header_digest", ":", -1))
-    refers_to = F.regexp_extract("answer.refers_to", "^<urn:x-page:([0-9-]+):capture>$", 1)
+    refers_to = F.regexp_extract("answer.refers_to", "^<urn:x-page:([0-9-]+):[0-9a-f]+:capture>$", 1)
     page_id = F.element_at(F.element_at("metadata", 1)["fields"], "page-id")
     return captures.select(
         page_id.try_cast("bigint").alias("page_id"),

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cambio.llm.common import id_sketch, maybe_in, written
+
 #: Smaller payloads are always stored, whether or not they repeat.
 LEAST_SHARED_BYTES = 100
 #: Pages per archive file, so that a reader's memory is bounded by a file.
@@ -30,8 +32,8 @@ def classify_pages(pages: DataFrame) -> DataFrame:
 
     Of equal payloads of at least LEAST_SHARED_BYTES the one with the smallest page_id is stored; rows that repeat that
     id are stored as often. A null html is the empty payload; a null id is larger than any other. The smallest ids are
-    found over digests only, pre-aggregated in each task; only digests that repeat are joined back, and adaptive
-    execution splits a digest that many pages share.
+    found over digests only, pre-aggregated in each task. Pages whose digest is not in the sketch of those that repeat
+    pass the scan; the others are joined, and adaptive execution splits a digest that many pages share.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -48,8 +50,13 @@ def classify_pages(pages: DataFrame) -> DataFrame:
         .where((F.col("copies") > 1) & F.col("first").isNotNull())
         .select("digest", "first")
     )
+    shared = written(shared, "shared-digests")
+    columns = [*rows.columns, "first"]
+    marked = rows.withColumn("maybe", maybe_in(pages.sparkSession, id_sketch(shared, "digest"), "digest"))
+    alone = marked.where("NOT maybe").withColumn("first", F.lit(None).cast("bigint")).select(*columns)
     stored = F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(shared, "digest", "left").withColumn("first", F.when(~stored, F.col("first")))
+    several = marked.where("maybe").join(shared, "digest", "left")
+    return alone.unionByName(several.withColumn("first", F.when(~stored, F.col("first"))).select(*columns))
 
 
 def _record(kind: str, record_id: Column, headers: list[tuple[str, Column]], block: Column) -> Column:
@@ -61,11 +68,14 @@ def _record(kind: str, record_id: Column, headers: list[tuple[str, Column]], blo
 
 
 def archive_text(page_id: str = "page_id", first: str = "first") -> Column:
-    """The request, response or revisit, and metadata records of a classified page, without the final line breaks."""
+    """The request, response or revisit, and metadata records of a classified page, without the final line breaks.
+
+    Records are named by page and payload; a page without an id takes its name from the column ``no_id``.
+    """
 
     def name(page: str, part: str) -> Column:
-        page_text = F.coalesce(F.col(page).cast("string"), F.lit("none"))
-        return F.concat(F.lit("<urn:x-page:"), page_text, F.lit(f":{part}>"))
+        page_text = F.coalesce(F.col(page).cast("string"), F.col("no_id"))
+        return F.concat(F.lit("<urn:x-page:"), page_text, F.lit(":"), F.substring("digest", 1, 16), F.lit(f":{part}>"))
 
     # no line break or other control character may get into a header
     url = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "[\\x00-\\x20\\x7F]", "%20")
@@ -102,7 +112,9 @@ def archive_text(page_id: str = "page_id", first: str = "first") -> Column:
 def write_archives(classified: DataFrame, path: str) -> None:
     """Archive files of classified pages, compressed, at most PAGES_PER_FILE pages in each."""
     (
-        classified.select(archive_text().alias("value"))
+        # drawn once for each row, and named only by rows without an id, which nothing refers to
+        classified.withColumn("no_id", F.concat(F.lit("none-"), F.expr("uuid()")))
+        .select(archive_text().alias("value"))
         .write.option("lineSep", BREAK + BREAK)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", PAGES_PER_FILE)
@@ -196,12 +208,13 @@ def assemble(records: DataFrame) -> DataFrame:
 
     Requests and metadata find their capture by ``WARC-Concurrent-To`` on either side. A capture without companions has
     empty arrays, a companion without a capture makes no row, and captures that repeat an id are rows of their own with
-    the same companions. Companions are grouped by capture before the join, so the join multiplies nothing.
+    the same companions. Companions are grouped by capture before the join, equal ones count once, in each task first: so
+    the join multiplies nothing, and copies of a record add nothing.
     """
     primary = records.where(F.col("record_type").isin(*PRIMARY_TYPES))
     companion = records.where(F.col("record_type").isin("request", "metadata")).select(
         "record_type",
-        F.struct("record_id", "target_uri", "payload_bytes", "fields").alias("part"),
+        F.struct("record_id", "target_uri", "payload_bytes", F.map_entries("fields").alias("fields")).alias("part"),
         F.col("record_id").alias("own_id"),
         "concurrent_to",
     )
@@ -219,7 +232,9 @@ def assemble(records: DataFrame) -> DataFrame:
         return F.when(a.record_id < b.record_id, -1).when(a.record_id > b.record_id, 1).otherwise(0)
 
     def of(kind: str) -> Column:
-        return F.array_sort(F.collect_list(F.when(F.col("record_type") == kind, F.col("part"))), by_id)
+        found = F.array_sort(F.collect_set(F.when(F.col("record_type") == kind, F.col("part"))), by_id)
+        whole = lambda part: part.withField("fields", F.map_from_entries(part["fields"]))
+        return F.transform(found, whole)
 
     grouped = parts.groupBy("capture_id").agg(of("request").alias("requests"), of("metadata").alias("metadata"))
     nothing = F.array().cast(grouped.schema["requests"].dataType)

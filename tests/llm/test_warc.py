@@ -2,6 +2,7 @@ import gzip
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from cambio.llm.queries import ORACLE_SQL, op4_warc
 from cambio.llm.warc import REVISIT_PROFILE, assemble, classify_pages, parse_records, read_archives, write_archives
@@ -39,7 +40,7 @@ def test_round_trip(spark, tmp_path):
     assert first.record_type == "response" and bytes(first.answer.payload).decode() == BIG
     for page in ("3", ""):
         assert by_page[page].record_type == "revisit"
-        assert by_page[page].answer.refers_to == "<urn:x-page:1:capture>"
+        assert by_page[page].answer.refers_to == first.capture_id
         assert by_page[page].answer.payload_bytes == 100 and by_page[page].answer.payload is None
     assert {by_page[p].record_type for p in "24567"} == {"response"}
     assert bytes(by_page["4"].answer.payload).decode() == rows[3][2]
@@ -55,6 +56,24 @@ def test_repeated_rows_and_empty_table(spark, tmp_path):
     assert captures(spark, tmp_path / "e", []).count() == 0
 
 
+def test_many_pages_without_an_id_and_many_copies(spark, tmp_path):
+    """Every capture has its own companions, or those of its copies: nothing is multiplied."""
+    pages_of = spark.range(0, 20_000).selectExpr(
+        "CASE WHEN id < 10000 THEN NULL WHEN id < 15000 THEN 7 ELSE id END AS page_id",
+        "'http://u/' AS url",
+        "CASE WHEN id % 2 = 0 THEN 'short' ELSE repeat('same ', 40) END AS html",
+    )
+    path = str(tmp_path / "many")
+    write_archives(classify_pages(pages_of), path)
+    found = assemble(read_archives(spark, path, with_payload=False))
+    sums = found.groupBy("record_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("requests")).alias("most"), F.min(F.size("metadata")).alias("least")
+    )
+    counts = {r.record_type: (r.n, r.most, r.least) for r in sums.collect()}
+    assert counts == {"response": (10_000 + 2_500, 1, 1), "revisit": (5_000 + 2_500, 1, 1)}
+    assert found.where("requests[0].record_id LIKE '%none-%'").select("capture_id").distinct().count() == 10_000
+
+
 def record(kind, record_id, *headers, block=b""):
     lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", *headers, f"Content-Length: {len(block)}"]
     return ("WARC/1.0\r\n" + "\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
