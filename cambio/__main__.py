@@ -10,7 +10,7 @@ from cambio.schemas import POLL_FIAT, POLL_VOLUME, default_rules
 from cambio.session import build_session, shuffle_settings
 from cambio.sinks.catalog import define_tables
 from cambio.sources.landing import documents_of_poll, read_documents, stream_documents
-from cambio.sources.poll_api import poll_to_landing
+from cambio.sources.poll_api import poll_to_landing, stream_polls
 from cambio.streaming.incremental import run_available
 
 
@@ -29,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
     poll.add_argument("--coins", default="btc,eth,dai")
     poll.add_argument("--fiat", default=POLL_FIAT)
     poll.add_argument("--volume", type=float, default=POLL_VOLUME)
+    poll.add_argument("--every", type=int, metavar="SECONDS", help="keep polling; --landing then is for this stream alone")
+    poll.add_argument("--checkpoint", help="of the stream, with --every")
 
     for name, text in (("daily", "load one landed poll"), ("stream", "load every poll landed since the last run")):
         command = commands.add_parser(name, help=text)
@@ -55,7 +57,12 @@ def main(argv: list[str] | None = None) -> None:
         return
     if args.command == "poll":
         options = {"coins": args.coins, "fiat": args.fiat, "volume": str(args.volume)}
-        poll_to_landing(spark, args.landing, args.base_url, **options)
+        if args.every:
+            if not args.checkpoint:
+                raise SystemExit("--every needs --checkpoint")
+            stream_polls(spark, args.landing, args.checkpoint, args.base_url, args.every, **options).awaitTermination()
+        else:
+            poll_to_landing(spark, args.landing, args.base_url, **options)
         return
     warehouse = Warehouse(spark, args.warehouse, args.parts)
     rules = default_rules(spark, args.alert_to) if args.alert_to else None

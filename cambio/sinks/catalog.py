@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +14,19 @@ from cambio.schemas import TABLES, TableSpec
 DEFAULT_BUCKETS = 32
 
 
-def bucket_columns(spec: TableSpec) -> list[str]:
-    """The columns whose hash is a row's bucket: every integer key of the table, the distribution column first.
+def bucket_columns(spec: TableSpec, by: Sequence[str] | None = None) -> list[str]:
+    """The columns whose hash is a row's bucket: ``by``, else every integer key, the distribution column first.
 
-    Bucketing by the coin alone would put a coin that holds a third of all rows into one bucket, that is, into one task
-    of every bucketed read.
+    Bucketing by the coin alone puts a coin that holds a third of all rows into one bucket, that is, into one task of every
+    bucketed read. On the other hand Spark reads a single bucket for a lookup only if the buckets go by one column.
     """
+    if by:
+        return list(by) if spec.distribute_by else []
     keys = [f.name for f in spec.schema.fields if f.dataType.simpleString() == "int"]
     return [*spec.distribute_by, *[k for k in keys if k not in spec.distribute_by]] if spec.distribute_by else []
 
 
-def create_statement(spec: TableSpec, database: str, buckets: int) -> str:
+def create_statement(spec: TableSpec, database: str, buckets: int, by: Sequence[str] | None = None) -> str:
     """DDL of one table. Distribution becomes bucketing, the sort key the order inside a bucket.
 
     What Spark's file tables have no clause for is kept in the table's properties: the required columns (Spark forgets NOT
@@ -32,7 +36,7 @@ def create_statement(spec: TableSpec, database: str, buckets: int) -> str:
     text = f"CREATE TABLE IF NOT EXISTS {database}.{spec.name} ({spec.ddl_columns()}) USING parquet"
     kept = {"not_null": ",".join(spec.not_null)}
     if spec.distribute_by:
-        columns = ", ".join(bucket_columns(spec))
+        columns = ", ".join(bucket_columns(spec, by))
         text += f" CLUSTERED BY ({columns}) SORTED BY ({', '.join(spec.sort_by)}) INTO {buckets} BUCKETS"
         kept["distribution"] = "key"
     else:
@@ -41,12 +45,21 @@ def create_statement(spec: TableSpec, database: str, buckets: int) -> str:
     return f"{text} TBLPROPERTIES ({', '.join(f"'{name}' = '{value}'" for name, value in kept.items())})"
 
 
-def define_tables(spark: SparkSession, database: str, buckets: int = DEFAULT_BUCKETS, reset: bool = False) -> None:
-    """Create the six tables where missing; ``reset`` drops them first, and with them their rows."""
+def define_tables(
+    spark: SparkSession,
+    database: str,
+    buckets: int = DEFAULT_BUCKETS,
+    reset: bool = False,
+    by: Sequence[str] | None = None,
+) -> None:
+    """Create the six tables where missing; ``reset`` drops them first, and with them their rows.
+
+    ``by`` are the bucket columns of the distributed table, see :func:`bucket_columns`.
+    """
     for spec in TABLES:
         if reset:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{spec.name}")
-        spark.sql(create_statement(spec, database, buckets))
+        spark.sql(create_statement(spec, database, buckets, by))
 
 
 def describe_layout(spark: SparkSession, spec: TableSpec, database: str) -> dict[str, str]:
@@ -84,8 +97,8 @@ def load_table(
         spark.sql(create_statement(spec, database, buckets))
     checked = enforce(rows, spec)
     if spec.distribute_by:
-        number = int(describe_layout(spark, spec, database)["buckets"])
-        bucket = F.pmod(F.hash(*bucket_columns(spec)), F.lit(number))
+        layout = describe_layout(spark, spec, database)
+        bucket = F.pmod(F.hash(*layout["bucket_columns"].split(",")), F.lit(int(layout["buckets"])))
         checked = checked.withColumn("_bucket", bucket).hint("rebalance", F.col("_bucket")).drop("_bucket")
     else:
         checked = checked.hint("rebalance").sortWithinPartitions(*spec.sort_by)

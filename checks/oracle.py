@@ -326,5 +326,10 @@ latest AS (
   QUALIFY row_number() OVER (PARTITION BY cripto_id, broker_id
     ORDER BY CAST(quoted AS DATE) DESC, p_compra DESC) = 1) {DESK_MESSAGES}"""
 
+ORACLE["latest_price_bucketed"] = ORACLE["latest_price_per_pair"]
+ORACLE["latest_price_one_bucket"] = f"""
+WITH {LI}
+SELECT p_compra FROM li_latest ORDER BY cripto_id, broker_id LIMIT 1"""
+
 # late polls change the order of the work, not the table
 ORACLE["stream_load_late"] = ORACLE["stream_load"]

@@ -82,6 +82,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 PARTS = 4
+BROKERS_PER_FILE = 1000
 RECIPIENT = "desk@example.org"
 
 
@@ -132,16 +133,21 @@ def landed_documents(t: Fixtures) -> DataFrame:
 
 @query
 def document_files(t: Fixtures) -> DataFrame:
-    """A JSON file per poll and coin, with every broker of the poll, written out and read as whole files."""
+    """A JSON file per poll, coin and thousand brokers, written out and read as whole files."""
     landing = work_dir(t.spark, "landing")
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
     polls = newest(t.ev().withColumn("poll_ts", day), ["poll_ts", "cripto", "broker"], EV_ORDER)
     entry = F.concat(F.lit('"'), F.col("broker"), F.lit('":'), quote_json("totalAsk", "totalBid", "time"))
-    bodies = polls.groupBy("poll_ts", "cripto").agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
+    # a file holds a bounded number of brokers, so files grow in number and not in size
+    share = F.floor(F.substring_index("broker", "_", -1).cast("bigint") / BROKERS_PER_FILE).alias("share")
+    bodies = polls.groupBy("poll_ts", "cripto", share).agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
     files = bodies.select(
-        "poll_ts", F.concat("cripto", F.lit(".json")).alias("file"), F.concat(F.lit("{"), "entries", F.lit("}")).alias("value")
+        "poll_ts",
+        F.concat("cripto", F.lit(".json")).alias("file"),
+        "share",
+        F.concat(F.lit("{"), "entries", F.lit("}")).alias("value"),
     )
-    files.write.partitionBy("poll_ts", "file").text(landing)
+    files.write.partitionBy("poll_ts", "file", "share").text(landing)
     quotes = unpivot_quotes(read_document_files(t.spark, landing), ["poll_ts"])
     return quotes.select("poll_ts", "cripto", "broker", "totalAsk", "totalBid", "time")
 
@@ -434,6 +440,29 @@ def latest_price_per_pair(t: Fixtures) -> DataFrame:
     return latest_prices(_li_history(t)).select("cripto_id", "broker_id", "p_compra", "fecha_cotizacion")
 
 
+def _bucketed_history(t: Fixtures) -> DataFrame:
+    """All quotes of the line-item feed in a catalog table with buckets by coin."""
+    spark, database = t.spark, f"cambio_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, 'catalog')}'")
+    define_tables(spark, database, buckets=PARTS, by=QUOTES_TABLE.distribute_by)
+    load_table(_li_history(t), QUOTES_TABLE, database)
+    return spark.table(f"{database}.{QUOTES_TABLE.name}")
+
+
+@query
+def latest_price_bucketed(t: Fixtures) -> DataFrame:
+    """The newest row of every pair of a bucketed table: ranked where it lies, without a shuffle."""
+    return latest_prices(_bucketed_history(t)).select("cripto_id", "broker_id", "p_compra", "fecha_cotizacion")
+
+
+@query
+def latest_price_one_bucket(t: Fixtures) -> DataFrame:
+    """The newest price of one pair of a bucketed table: one bucket is read."""
+    history = _bucketed_history(t)
+    pair = history.orderBy("cripto_id", "broker_id").select("cripto_id", "broker_id").first()
+    return latest_price(history, pair.cripto_id, pair.broker_id)
+
+
 @query
 def latest_price_hot_pairs(t: Fixtures) -> DataFrame:
     return latest_prices(_desk_history(t)).select("cripto_id", "broker_id", "p_compra", "fecha_cotizacion")

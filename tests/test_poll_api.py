@@ -1,6 +1,7 @@
 """The polling source, on file URLs (no server), and the command line."""
 
 import io
+import time
 import urllib.error
 from datetime import date, datetime
 
@@ -9,8 +10,9 @@ import pytest
 from cambio.__main__ import main
 from cambio.plans.daily import Warehouse
 from cambio.schemas import API_COINS, API_FIATS
-from cambio.sources.landing import read_documents
-from cambio.sources.poll_api import QuotePollReader, fetch, poll_to_landing
+from cambio.sources.landing import read_documents, stream_documents
+from cambio.sources.poll_api import QuotePollReader, QuotePollStreamReader, fetch, poll_to_landing, stream_polls
+from cambio.streaming.incremental import run_available
 
 BODY = '{"binancep2p":{"totalAsk":50000.5,"totalBid":1,"time":1700000000}}'
 
@@ -69,3 +71,38 @@ def test_poll_land_and_load(spark, tmp_path, rows):
     assert rows(table.read()) == [(1, 1, 50000.5, 1.0, date(2023, 11, 14))]
     main(["poll", "--base-url", url, "--landing", landing, "--coins", "btc"])
     assert read_documents(spark, landing).count() == 4
+
+
+def test_a_micro_batch_polls_once(monkeypatch):
+    reader = QuotePollStreamReader({"base_url": "x", "interval": "60"})
+    assert reader.latestOffset()["interval"] - reader.initialOffset()["interval"] == 1
+    day = 1706400000 // 60
+    polls = reader.partitions({"interval": day}, {"interval": day + 60})
+    assert [p.poll_ts for p in polls] == [datetime(2024, 1, 28, 1)] * 3 and len({p.coin for p in polls}) == 3
+    assert reader.partitions({"interval": day}, {"interval": day}) == []
+
+
+def test_a_stream_of_polls_lands_each_once(spark, tmp_path, rows):
+    """Restarts go on where they stopped; a batch that is run again after a failure adds nothing."""
+    url = service(tmp_path / "api", btc=BODY, eth="{}", dai="{}")
+    landing, checkpoint = str(tmp_path / "landing"), tmp_path / "cp"
+
+    def run():
+        stream_polls(spark, landing, str(checkpoint), url, interval=1, once=True).awaitTermination()
+        return rows(read_documents(spark, landing).select("poll_ts", "cripto_name"))
+
+    first = run()
+    assert len(first) == 3 and len({r[0] for r in first}) == 1
+    time.sleep(1.1)
+    second = run()
+    assert len(second) == 6 and len({r[0] for r in second}) == 2
+    newest = max((checkpoint / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    newest.unlink()  # as if the driver had died before it noted that the batch was done
+    (checkpoint / "commits" / f".{newest.name}.crc").unlink(missing_ok=True)
+    time.sleep(1.1)
+    assert run() == second
+    third = run()
+    assert set(second) < set(third) and len(third) == len(set(third)) == 9
+    w = Warehouse(spark, str(tmp_path / "w"))
+    assert run_available(w, stream_documents(spark, landing), str(tmp_path / "load")) == 1
+    assert [r.p_compra for r in w.quotes.read().collect()] == [50000.5]

@@ -1,12 +1,14 @@
 """Staging, load modes, constraints, snapshots and table definitions."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from cambio.operators.constraints import enforce, violations
+from cambio.operators.latest import latest_price, latest_prices
 from cambio.schemas import QUOTES_TABLE, STG_BROKERS, STG_COINS, STG_QUOTES, TABLES, broker_dimension
 from cambio.plans.daily import Warehouse, merge_staged_quotes
 from cambio.sinks.catalog import define_tables, describe_layout, load_table
@@ -138,7 +140,7 @@ def test_a_merge_reads_only_the_parts_it_touches(spark, tmp_path):
     assert 5 in {r.cripto_id for r in table.touched_by(poll).collect()}
     assert "dynamicpruning" in frame._jdf.queryExecution().executedPlan().toString()
     assert [r.cripto_id for r in table.part_of_key(F.lit(5)).where("cripto_id = 5").collect()] == [5]
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="not a Parquet file"):
         table.read().collect()
 
 
@@ -318,3 +320,35 @@ def test_catalog_loads_write_a_file_per_bucket(spark, tmp_path):
         "sort_columns": "broker_id",
     }
     spark.sql("DROP DATABASE bucket_db CASCADE")
+
+
+def test_latest_prices_of_a_bucketed_table(spark, tmp_path):
+    """Buckets by coin: the newest row of every pair without a shuffle, and one bucket read for one coin."""
+    spark.sql("CREATE DATABASE coin_db")
+    define_tables(spark, "coin_db", buckets=4, by=("cripto_id",))
+    spark.range(0, 2000, 1, 4).selectExpr(
+        "cast(id % 50 as int) cripto_id", "cast(id % 7 as int) broker_id", "cast(id as double) p_compra", "1d p_venta",
+        "date'2024-01-01' + cast(id % 90 as int) fecha_cotizacion",
+    ).write.parquet(str(tmp_path / "q"))
+    rows = spark.read.parquet(str(tmp_path / "q"))
+    load_table(rows, QUOTES_TABLE, "coin_db")
+    assert describe_layout(spark, QUOTES_TABLE, "coin_db")["bucket_columns"] == "cripto_id"
+    table = spark.table("coin_db.cotizaciones")
+    newest = latest_prices(table)
+    assert sorted(newest.collect()) == sorted(latest_prices(rows).collect()) and newest.count() == 350
+    assert "Exchange" not in newest._jdf.queryExecution().executedPlan().toString()
+    wanted = latest_price(rows, 7, 0).collect()
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # so that the plan tells
+    try:
+        one = latest_price(table, 7, 0)
+        assert one.collect() == wanted and "SelectedBucketsCount: 1 out of 4" in one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    own = {r.f.split("/")[-1] for r in table.where("cripto_id = 7").select(F.input_file_name().alias("f")).distinct().collect()}
+    folder = next(iter(table.inputFiles())).removeprefix("file:").rsplit("/", 1)[0]
+    for path in Path(folder).glob("part-*.parquet"):
+        if path.name not in own:
+            path.write_bytes(b"damaged")
+            path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    assert latest_price(table, 7, 0).collect() == wanted
+    spark.sql("DROP DATABASE coin_db CASCADE")
