@@ -4,15 +4,17 @@ A class's counts of words and pairs are discounted and back off to what both cla
 count, discounted and backed off to how many different words w was seen after. For pairs it is the pooled pair model
 P(w | v), which itself backs off to P(w), times the class's word ratio P_c(w) / P(w). An expression that a class does not
 know well thus gets nearly the same probability from both, and speaks for neither. A text's score comes from the
-difference of its log-likelihoods, normalised by length.
+difference of its log-likelihoods, normalised by length: the largest that any WINDOW consecutive words have, a shorter
+text's own. Over a whole long text the few words that make it toxic would be lost among the others.
 
 Counts are of texts that hold the expression, so a text that repeats a word a thousand times counts as one. They are
 exact, by the 64-bit hashes of word and word before, and grow with the corpus: Spark sums them up, and continuation counts
-are counts over the different pairs. What scoring looks up is a written table of keys and values. A pair is in it if a
+are counts over the different pairs. The discount is that of DISCOUNTS under which the words of both classes, each left
+out of the counts in turn, are likeliest. What scoring looks up is a written table of keys and values. A pair is in it if a
 class's count exceeds the discount; of any other pair the shared part cancels out of the difference, which is then the
 word's value plus that of the word before. A table of up to BROADCAST_ENTRIES is broadcast; a larger one is joined to the
-different keys of each block of texts. Both give the same scores. They are calibrated on at most CALIBRATION_ROWS labelled
-rows, which are the only ones that are not counted.
+different keys of each block of texts, which are cut by bytes. Both give the same scores. They are calibrated on at most
+CALIBRATION_ROWS labelled rows, which are the only ones that are not counted.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,20 +33,22 @@ from cambio.llm.common import id_sketch, map_rows, maybe_in, text_chunks, unused
 
 #: A larger table (16 bytes an entry) is not broadcast but joined.
 BROADCAST_ENTRIES = 4_000_000
-#: Rows of a block of texts are 2 to the power of this.
-BLOCK_BITS = 12
+#: Bytes of the texts of a block that is joined with its entries; a longer text is a block of its own.
+BLOCK_BYTES = 16_000_000
 #: Expressions that a task holds before it hands its sums on.
 HELD = 1_000_000
-#: Taken off a class's count of a word or a pair, and off the pooled count of a word.
-CLASS_DISCOUNT = 3.0
+#: What may be taken off a class's count of a word or a pair. Where the shared model explains most counts, as it does with
+#: few toxic texts, more than one observation has to go: a word that one toxic text happens to hold is no evidence.
+DISCOUNTS = (0.5, 0.75, 1.0, 1.5, 2.0, 2.5, 3.0)
+#: Taken off the pooled count of a word or a pair.
 POOLED_DISCOUNT = 0.75
 #: Weight of the backoff, in observations, beside the mass that discounting leaves to it.
 STRENGTH = 20.0
 #: Rows of the calibration, those whose id has the smallest hash.
 CALIBRATION_ROWS = 20_000
-#: Words of the span whose difference of log-likelihoods is largest, a second view beside the whole text.
-SPAN_WORDS = 2
-FEATURES = 3
+#: Consecutive words over which the difference of log-likelihoods is normalised.
+WINDOW = 4
+FEATURES = 2
 THRESHOLD = 0.3
 
 _LETTER_CODES = np.zeros(256, np.uint64)
@@ -191,6 +196,7 @@ class KneserNey:
     keys: np.ndarray  # sorted
     values: np.ndarray
     unknown: float  # of a word without a key
+    discount: float
     weights: np.ndarray  # of the features, the constant first
     centre: np.ndarray
     scale: np.ndarray
@@ -209,18 +215,45 @@ class KneserNey:
         return replace(self, table=None, keys=keys[order], values=values[order])
 
 
+def _over(count: Column, discount: float) -> Column:
+    return F.greatest(count - F.lit(discount), F.lit(0.0))
+
+
+def likeliest_discount(words: DataFrame) -> float:
+    """That of DISCOUNTS under which the words of the texts, each left out in turn, are likeliest; the least at a tie.
+
+    Words are as :func:`word_counts` gives them. What the discount takes off a class goes to the shared counts, which are
+    taken without the word that is left out too. Two rows reach the driver.
+    """
+    words, classes = words.where("word <> 0"), [F.col("ordinary"), F.col("toxic")]
+    sums = [F.sum(c) for c in classes] + [F.sum(_over(c, d)) for c in classes for d in DISCOUNTS]
+    totals = [value or 0 for value in words.agg(*sums).first()]
+    if not totals[0] + totals[1]:
+        return DISCOUNTS[0]
+    shared = (classes[0] + classes[1] - F.lit(0.5)) / F.lit(float(totals[0] + totals[1]))
+    gains = []
+    for i, d in enumerate(DISCOUNTS):
+        gain = F.lit(0.0)
+        for k, c in enumerate(classes):
+            left = float(totals[k] - totals[2 + k * len(DISCOUNTS) + i])
+            likely = _over(c - F.lit(1), d) + F.lit(left) * shared
+            gain = gain + F.when(c > 0, c * F.log(likely)).otherwise(F.lit(0.0))
+        gains.append(F.sum(gain))
+    return DISCOUNTS[int(np.argmax(list(words.agg(*gains).first())))]
+
+
 def build_model(counts: DataFrame) -> KneserNey:
-    """The models of both classes from the counts. One row of totals reaches the driver, and a table that is small."""
+    """The models of both classes from the counts. Three rows of totals reach the driver, and a table that is small."""
     counts = written(counts, "toxicity-counts")
     words = written(word_counts(counts), "toxicity-words")
-    over = lambda c, discount: F.greatest(c - F.lit(discount), F.lit(0.0))
+    discount = likeliest_discount(words)
     ordinary, toxic = F.col("ordinary"), F.col("toxic")
     totals = words.where("word <> 0").agg(
         *[
             F.coalesce(F.sum(c), F.lit(0)).cast("double")
             for c in (
-                ordinary, toxic, over(ordinary, CLASS_DISCOUNT), over(toxic, CLASS_DISCOUNT),
-                over(ordinary + toxic, POOLED_DISCOUNT), F.col("after"), F.lit(1),
+                ordinary, toxic, _over(ordinary, discount), _over(toxic, discount),
+                _over(ordinary + toxic, POOLED_DISCOUNT), F.col("after"), F.lit(1),
             )
         ]
     ).first()
@@ -228,30 +261,30 @@ def build_model(counts: DataFrame) -> KneserNey:
     pooled, pooled_direct, places = totals[0] + totals[1], totals[4], totals[5] + totals[6] + 1
     unknown = float(np.log(1 - direct[1] / total[1]) - np.log(1 - direct[0] / total[0]))
     unseen = (F.col("after") + 1) / F.lit(places)  # beside the known words one has some mass: unknown words are possible
-    shared = (over(ordinary + toxic, POOLED_DISCOUNT) + F.lit(pooled - pooled_direct + 1) * unseen) / F.lit(pooled + 1)
+    shared = (_over(ordinary + toxic, POOLED_DISCOUNT) + F.lit(pooled - pooled_direct + 1) * unseen) / F.lit(pooled + 1)
     words = words.withColumn("p2", shared).withColumn("c2", ordinary + toxic)
     for k, count in ((0, ordinary), (1, toxic)):
-        mass = over(count, CLASS_DISCOUNT) + F.lit(total[k] - direct[k]) * F.col("p2")
+        mass = _over(count, discount) + F.lit(total[k] - direct[k]) * F.col("p2")
         words = words.withColumn(f"p{k}", mass / F.lit(total[k])).withColumn(f"c{k}", count)
-    for k, discount in ((0, CLASS_DISCOUNT), (1, CLASS_DISCOUNT), (2, POOLED_DISCOUNT)):
-        words = words.withColumn(f"left{k}", F.lit(STRENGTH) + F.lit(discount) * F.least("kinds", f"c{k}"))
+    for k, less in ((0, discount), (1, discount), (2, POOLED_DISCOUNT)):
+        words = words.withColumn(f"left{k}", F.lit(STRENGTH) + F.lit(less) * F.least("kinds", f"c{k}"))
     backoff = [F.col(f"left{k}") / (F.col(f"c{k}") + F.col(f"left{k}")) for k in (0, 1)]
-    known = words.where((F.col("word") != 0) & (F.greatest("c0", "c1") > CLASS_DISCOUNT))
+    known = words.where((F.col("word") != 0) & (F.greatest("c0", "c1") > discount))
     single = known.select(
         F.lit(WORD).alias("kind"), F.lit(0).cast("bigint").alias("before"), "word", F.log(F.col("p1") / F.col("p0"))
     )
     contexts = words.select(F.lit(2), "word", F.lit(0).cast("bigint"), F.log(backoff[1] / backoff[0]))
     of_word = words.select("word", "p0", "p1", "p2")
     of_context = words.select(F.col("word").alias("before"), *[f"{c}{k}" for k in range(3) for c in ("c", "left")])
-    pairs = counts.where((F.col("kind") == PAIR) & (F.greatest(ordinary, toxic) > CLASS_DISCOUNT))
+    pairs = counts.where((F.col("kind") == PAIR) & (F.greatest(ordinary, toxic) > discount))
     pairs = pairs.join(of_word, "word").join(of_context, "before")
 
-    def given(k: int, count: Column, discount: float, then: Column) -> Column:
+    def given(k: int, count: Column, less: float, then: Column) -> Column:
         left = F.col(f"left{k}")
-        return (over(count, discount) + left * then) / (F.col(f"c{k}") + left)
+        return (_over(count, less) + left * then) / (F.col(f"c{k}") + left)
 
     both = given(2, ordinary + toxic, POOLED_DISCOUNT, F.col("p2"))
-    by_class = [given(k, c, CLASS_DISCOUNT, both * F.col(f"p{k}") / F.col("p2")) for k, c in ((0, ordinary), (1, toxic))]
+    by_class = [given(k, c, discount, both * F.col(f"p{k}") / F.col("p2")) for k, c in ((0, ordinary), (1, toxic))]
     double = pairs.select("kind", "before", "word", F.log(by_class[1] / by_class[0]))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +298,7 @@ def build_model(counts: DataFrame) -> KneserNey:
     table = written(map_rows(entries, keyed, "key bigint, value double"), "toxicity-model")
     n = table.count()
     none = np.empty(0, np.uint64), np.empty(0)
-    model = KneserNey(table, n, *none, unknown, np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
+    model = KneserNey(table, n, *none, unknown, discount, np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
     if n <= BROADCAST_ENTRIES:
         found = table.toArrow()
         model = model.holding(found["key"].to_numpy(), found["value"].to_numpy())
@@ -280,6 +313,28 @@ def differences(model: KneserNey, word: np.ndarray, before: np.ndarray) -> np.nd
     return np.where(np.isnan(pair), alone, pair)
 
 
+def in_blocks(rows: DataFrame, block: str) -> DataFrame:
+    """The rows with the number of their block: at most BLOCK_BYTES of the texts of one task, a row at least."""
+    first = F.shiftright(F.monotonically_increasing_id(), 33)
+    last = T.StructType([*rows.schema.fields, T.StructField(block, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size = 0, 0
+        for batch in batches:
+            numbers = []
+            for length in pc.binary_length(batch.column("text")).fill_null(0).to_pylist():
+                if size and size + length > BLOCK_BYTES:
+                    number, size = number + 1, 0
+                size += length + 1
+                numbers.append(number)
+            task = batch.column(block)
+            yield batch.set_column(
+                batch.num_columns - 1, block, pc.add(pc.multiply(task, pa.scalar(1 << 33)), pa.array(numbers, pa.int64()))
+            )
+
+    return map_rows(rows.withColumn(block, first), run, last)
+
+
 def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
     """``answer(model, batch, texts)`` of all rows, which have a text.
 
@@ -296,8 +351,7 @@ def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
 
         return map_rows(rows, run, schema)
     columns, bare, block = rows.columns, replace(model, table=None), unused("block", [*rows.columns, "key", "value"])
-    number = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
-    blocks = written(rows.withColumn(block, number), "toxicity-blocks")
+    blocks = written(in_blocks(rows, block), "toxicity-blocks")
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,32 +377,31 @@ def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
 
 
 def features(model: KneserNey, texts: list[str]) -> np.ndarray:
-    """Per text: difference of log-likelihoods by length, that of the most toxic span, and the logarithm of the length.
+    """Per text: the largest difference of log-likelihoods by length of its windows, and the logarithm of their number.
 
-    The last is there because the most toxic of many spans is larger by chance alone. All are 0 without words.
+    A text of fewer than WINDOW words is one window. The second is there because the largest of many is larger by chance
+    alone. Both are 0 without words.
     """
     out = np.zeros((len(texts), FEATURES))
     text, word, before = words_and_pairs(texts)
     if not len(text):
         return out
-    diff = differences(model, word, before)
-    n = np.bincount(text, minlength=len(texts))
-    sums = np.bincount(text, weights=diff, minlength=len(texts))
-    some = n > 0
-    out[some, 0] = sums[some] / n[some]
-    out[some, 2] = np.log1p(n[some])
-    running = np.r_[0.0, np.cumsum(diff)]
+    running = np.r_[0.0, np.cumsum(differences(model, word, before))]
     first = np.flatnonzero(np.r_[True, np.diff(text) > 0])
-    begin = np.maximum(np.arange(1, len(diff) + 1) - SPAN_WORDS, np.repeat(first, np.diff(np.r_[first, len(diff)])))
-    spans = running[1:] - running[begin]
-    out[text[first], 1] = np.maximum.reduceat(spans, first)
+    n = np.diff(np.r_[first, len(text)])
+    size = np.minimum(n, WINDOW)
+    end = np.arange(1, len(text) + 1)
+    begin = end - np.repeat(size, n)
+    mean = (running[end] - running[np.maximum(begin, 0)]) / np.repeat(size, n)
+    out[text[first], 0] = np.maximum.reduceat(np.where(begin >= np.repeat(first, n), mean, -np.inf), first)
+    out[text[first], 1] = np.log(n - size + 1)
     return out
 
 
 def calibrate(model: KneserNey, x: np.ndarray, y: np.ndarray) -> None:
     """Logistic regression of the label on the features, by Newton steps with a little shrinkage."""
     if len(y) == 0:
-        model.weights = np.array([-4.0, 1.0, 0, 0])
+        model.weights = np.array([-4.0, 1.0, 0.0])
         return
     model.centre, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.c_[np.ones(len(y)), (x - model.centre) / model.scale]

@@ -1,4 +1,7 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -84,12 +87,94 @@ def test_counts_are_exact(spark):
     assert words[1].after == 199 * (n // 10) + 1  # every word but the last of each text, and the start
 
 
+def brute_force(rows, discount, texts):
+    """The normalised differences and window counts of some texts, from the formulas and dictionaries."""
+    words = lambda text: re.findall(r"[^\W\d_]+", text.lower())
+    seen = {"w": Counter(), "p": Counter()}
+    for text, toxic in rows:
+        w = words(text)
+        seen["w"].update((x, toxic) for x in set(w))
+        seen["p"].update((x, toxic) for x in set(zip(["", *w], w, strict=False)))
+    types, pairs = {x for x, _ in seen["w"]}, {x for x, _ in seen["p"]}
+    texts_with = {k: sum(1 for t, label in rows if label == k and words(t)) for k in (0, 1)}
+    count = {k: {x: seen["w"][x, k] for x in types} | {"": texts_with[k]} for k in (0, 1)}
+    count[2] = {x: count[0][x] + count[1][x] for x in count[0]}
+    kinds, after = Counter(v for v, _ in pairs), Counter(x for _, x in pairs)
+    off, total = {0: discount, 1: discount, 2: toxicity.POOLED_DISCOUNT}, {}
+    less = lambda c, k: max(c - off[k], 0)
+    for k in range(3):
+        total[k] = sum(count[k][x] for x in types) + 1
+    mass = {k: total[k] - sum(less(count[k][x], k) for x in types) for k in range(3)}
+    places = len(pairs) + len(types) + 1
+
+    def word(x, k):
+        shared = (less(count[2].get(x, 0), 2) + mass[2] * (after[x] + 1) / places) / total[2]
+        return shared if k == 2 else (less(count[k].get(x, 0), k) + mass[k] * shared) / total[k]
+
+    def left(v, k):
+        return toxicity.STRENGTH + off[k] * min(kinds[v], count[k].get(v, 0))
+
+    def pair(v, x, k):
+        c = seen["p"][(v, x), 0] + seen["p"][(v, x), 1] if k == 2 else seen["p"][(v, x), k]
+        then = word(x, 2) if k == 2 else pair(v, x, 2) * word(x, k) / word(x, 2)
+        return (less(c, k) + left(v, k) * then) / (count[k].get(v, 0) + left(v, k))
+
+    def difference(v, x):
+        return math.log(pair(v, x, 1) / pair(v, x, 0))
+
+    out = []
+    for text in texts:
+        w = words(text)
+        d = [difference(v, x) for v, x in zip(["", *w], w, strict=False)]
+        n = min(len(d), toxicity.WINDOW)
+        means = [sum(d[i : i + n]) / n for i in range(len(d) - n + 1)] if d else [0.0]
+        out.append((max(means), math.log(len(means))))
+    return out
+
+
+@pytest.mark.parametrize("discount", [0.75, 2.0])
+def test_against_brute_force(spark, monkeypatch, discount):
+    r = random.Random(11)
+    vocabulary = [a + b for a in "klmn" for b in "aeiou"]
+    rows = [(" ".join(r.choice(vocabulary[: 8 + 4 * (i % 4)]) for _ in range(r.randint(0, 25))), int(i % 3 == 0)) for i in range(90)]
+    monkeypatch.setattr(toxicity, "likeliest_discount", lambda words: discount)
+    model = toxicity.build_model(toxicity.count_expressions(spark.createDataFrame(rows, "text string, toxic int")))
+    texts = [text for text, _ in rows[:40]] + ["", "ka", "unknown", "ka unknown li ka ka", "!", "ka li mo"]
+    assert np.allclose(toxicity.features(model, texts), brute_force(rows, discount, texts), atol=1e-9)
+
+
+def test_discount_is_the_likeliest(spark):
+    r = random.Random(2)
+    names = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    rows = [(" ".join(r.choice(names[:: 1 + i % 2]) for _ in range(12)), i % 2) for i in range(60)]
+    words = toxicity.word_counts(toxicity.count_expressions(spark.createDataFrame(rows, "text string, toxic int")))
+    counts = [(w.ordinary, w.toxic) for w in words.collect() if w.word]
+    total = [sum(c[k] for c in counts) for k in (0, 1)]
+
+    def likelihood(d):
+        left = [sum(min(c[k], d) for c in counts) for k in (0, 1)]
+        of = lambda c, k: max(c[k] - 1 - d, 0) + left[k] * (sum(c) - 0.5) / sum(total)
+        return sum(c[k] * math.log(of(c, k)) for c in counts for k in (0, 1) if c[k])
+
+    assert toxicity.likeliest_discount(words) == max(toxicity.DISCOUNTS, key=likelihood)
+    assert toxicity.likeliest_discount(words.where("false")) == toxicity.DISCOUNTS[0]
+
+
+def test_blocks_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 1000)
+    rows = [(i, "x" * (5000 if i == 7 else 90)) for i in range(200)] + [(None, None)] * 30
+    blocks = toxicity.in_blocks(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2), "block")
+    held = blocks.groupBy("block").agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("size"), F.count("*").alias("n")).collect()
+    assert sum(b.n for b in held) == 230 and all(b.size <= 1000 or b.n == 1 for b in held)
+    assert len(held) < 30
+
+
 def test_joined_model_scores_as_the_broadcast_one(spark, monkeypatch):
     docs, labels = corpus(spark, 600)
     docs = docs.unionByName(odd_documents(spark))
     small = toxicity.learn(docs, labels, fold3())
     monkeypatch.setattr(toxicity, "BROADCAST_ENTRIES", 0)
-    monkeypatch.setattr(toxicity, "BLOCK_BITS", 5)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 5000)
     large = toxicity.learn(docs, labels, fold3())
     assert len(small.keys) == small.entries == large.entries > 0 and len(large.keys) == 0
     assert np.allclose(small.weights, large.weights)
