@@ -353,25 +353,36 @@ def answered(rows: DataFrame, model: KneserNey, answer, schema) -> DataFrame:
     columns, bare, block = rows.columns, replace(model, table=None), unused("block", [*rows.columns, "key", "value"])
     blocks = written(in_blocks(rows, block), "toxicity-blocks")
 
+    def handed(number: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys = np.unique(np.concatenate(held)).view(np.int64)
+        for k in range(0, len(keys), 100_000):
+            part = keys[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), number)), pa.array(part)], names=[block, "key"])
+
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a block's rows follow each other, so its keys are made different here and not by a shuffle. Those of a block that
+        # two tasks read may come twice, which finds the same values.
+        current, held = -1, []
         for batch in batches:
             number = batch.column(block).to_numpy()
-            for n in np.unique(number):
-                keys = np.empty(0, np.uint64)
+            _, first = np.unique(number, return_index=True)
+            for n in number[np.sort(first)].tolist():
+                if n != current and held:
+                    yield from handed(current, held)
+                    held = []
+                current = n
                 for _, texts in text_chunks([batch.filter(pa.array(number == n))]):
                     _, word, before = words_and_pairs(texts)
-                    keys = np.unique(np.concatenate([keys, word, _context_key(before), _pair_key(before, word)]))
-                for k in range(0, len(keys), 100_000):
-                    part = keys[k : k + 100_000].view(np.int64)
-                    same = pa.array(np.full(len(part), n, np.int64))
-                    yield pa.RecordBatch.from_arrays([same, pa.array(part)], names=[block, "key"])
+                    held.append(np.unique(np.concatenate([word, _context_key(before), _pair_key(before, word)])))
+        if held:
+            yield from handed(current, held)
 
     def run_block(texts: pa.Table, entries: pa.Table) -> pa.Table:
         own = bare.holding(entries["key"].to_numpy(), entries["value"].to_numpy())
         chunks = text_chunks(texts.select(columns).combine_chunks().to_batches())
         return pa.Table.from_batches([answer(own, batch, part) for batch, part in chunks])
 
-    keys = map_rows(blocks.select(block, "text"), wanted, f"{block} bigint, key bigint").distinct()
+    keys = map_rows(blocks.select(block, "text"), wanted, f"{block} bigint, key bigint")
     entries = keys.join(model.table, "key").select(block, "key", "value")
     return blocks.groupBy(block).cogroup(entries.groupBy(block)).applyInArrow(run_block, schema)
 
