@@ -8,7 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cambio.functions.json_quotes import entries_of, is_object, last_entry_per_key, parsed_body, strict_double
+from cambio.functions.json_quotes import (
+    entries_of,
+    is_object,
+    is_plain,
+    last_entry_per_key,
+    parsed_body,
+    plain_entries,
+    plain_number,
+    strict_double,
+)
 from cambio.schemas import QUOTE_FIELDS
 
 
@@ -23,11 +32,26 @@ def broker_entries(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame
 
     A narrow step: it needs no shuffle, and an empty object gives no rows.
     """
-    parsed = documents.select(*carry, F.col("cripto_name").alias("cripto"), parsed_body(F.col("body")).alias("parsed"))
-    entries = parsed.select(*carry, "cripto", entries_of(F.col("parsed")).alias("entries"))
-    return entries.select(
-        *carry, "cripto", F.explode(last_entry_per_key(F.col("entries"))).alias("entry")
-    ).select(*carry, "cripto", F.col("entry.key").alias("broker"), F.col("entry.value").alias("quote"))
+    return _marked_entries(documents, carry).drop("_plain")
+
+
+def _marked_entries(documents: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """:func:`broker_entries`, and whether the document is plain: only the others go through the JSON parser."""
+    plain, body = F.col("_plain"), F.col("body")
+    marked = documents.select(*carry, F.col("cripto_name").alias("cripto"), "body", is_plain(body).alias("_plain"))
+    parsed = marked.select(
+        *carry,
+        "cripto",
+        "_plain",
+        F.when(plain, plain_entries(body)).alias("_entries"),
+        F.when(~plain, parsed_body(body)).alias("parsed"),
+    )
+    entries = F.when(plain, F.col("_entries")).otherwise(entries_of(F.col("parsed"))).alias("entries")
+    return (
+        parsed.select(*carry, "cripto", "_plain", entries)
+        .select(*carry, "cripto", "_plain", F.explode(last_entry_per_key(F.col("entries"))).alias("entry"))
+        .select(*carry, "cripto", F.col("entry.key").alias("broker"), F.col("entry.value").alias("quote"), "_plain")
+    )
 
 
 def decode_entries(documents: DataFrame, carry: Sequence[str] = (), fields: Sequence[str] = QUOTE_FIELDS) -> DataFrame:
@@ -38,12 +62,22 @@ def decode_entries(documents: DataFrame, carry: Sequence[str] = (), fields: Sequ
     field no one keeps, must not fail a load.
     """
     quote = F.col("quote")
-    return broker_entries(documents, carry).select(
-        *carry,
-        "cripto",
-        "broker",
-        F.json_tuple(F.when(is_object(quote), quote), *fields).alias(*fields),
-        F.when(~is_object(quote), F.coalesce(quote, F.lit("null"))).alias("rejected"),
+    # the text of other fields may be kept, so it has to be the parser's
+    plain = F.col("_plain") if set(fields) <= set(QUOTE_FIELDS) else F.lit(False)
+    texts = [f"_text_{i}" for i in range(len(fields))]
+    return (
+        _marked_entries(documents, carry)
+        .select("*", F.json_tuple(F.when(is_object(quote) & ~plain, quote), *fields).alias(*texts))
+        .select(
+            *carry,
+            "cripto",
+            "broker",
+            *[
+                F.when(plain, plain_number(quote, name)).otherwise(F.col(text)).alias(name)
+                for name, text in zip(fields, texts)
+            ],
+            F.when(~is_object(quote), F.coalesce(quote, F.lit("null"))).alias("rejected"),
+        )
     )
 
 

@@ -565,7 +565,7 @@ def _streamed(t: Fixtures, newest_first: bool) -> DataFrame:
     landing, warehouse = work_dir(t.spark, "landing"), Warehouse(t.spark, work_dir(t.spark, "warehouse"), PARTS)
     checkpoint = work_dir(t.spark, "stream")
     quarter = F.date_trunc("quarter", "l_shipdate").cast("timestamp_ntz")
-    picked = newest(t.li_lines().withColumn("quarter", quarter), ["quarter", "l_partkey", "l_suppkey"], LI_ORDER)
+    picked = newest(t.li_lines().withColumn("quarter", quarter), ["l_partkey", "l_suppkey", "quarter"], LI_ORDER)
     polls = documents(t.li(picked, keep=["quarter"]), F.expr("quarter + INTERVAL '3' MONTH"))
     border = F.lit(datetime(1999, 1, 1).isoformat()).cast("timestamp_ntz")
     parts = [F.col("poll_ts") < border, F.col("poll_ts") >= border]
