@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+#: Shuffle partitions per value of ``cluster``, so that a table of few parts is still written, and read again, by many tasks.
+SPREAD = 8
+
+
 class AmbiguousMerge(ValueError):
     """Two source rows carry the same key, so a target row could be updated twice."""
 
@@ -71,7 +75,8 @@ def upsert(
     ``cluster``, an expression over the target's columns, brings rows together before a write that splits them by it;
     otherwise every task would write a sliver of every partition. With ``broadcast_source`` the kept rows stay where the
     target has them and only the inserted rows are moved; in the shuffled plan the join has scattered all rows, so all
-    are moved. Adaptive execution splits a partition that one value has swollen.
+    are moved. A value's rows go to :data:`SPREAD` partitions by their keys; adaptive execution joins the small ones and
+    splits one that is swollen.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     hint = F.broadcast if broadcast_source else (lambda frame: frame)
@@ -110,12 +115,13 @@ def upsert(
     if cluster is None:
         return kept.unionByName(new)
     if broadcast_source:
-        return kept.unionByName(_together(new, cluster))
-    return _together(kept.unionByName(new), cluster)
+        return kept.unionByName(_together(new, cluster, keys))
+    return _together(kept.unionByName(new), cluster, keys)
 
 
-def _together(rows: DataFrame, cluster: Column) -> DataFrame:
-    return rows.withColumn("_cluster", cluster).hint("rebalance", F.col("_cluster")).drop("_cluster")
+def _together(rows: DataFrame, cluster: Column, keys: Sequence[str]) -> DataFrame:
+    spread = rows.withColumns({"_cluster": cluster, "_spread": F.pmod(F.xxhash64(*keys), F.lit(SPREAD))})
+    return spread.hint("rebalance", F.col("_cluster"), F.col("_spread")).drop("_cluster", "_spread")
 
 
 def _same(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Column:

@@ -128,7 +128,9 @@ class CommittedTable:
     def _below(self, folder: str) -> DataFrame:
         schema = T.StructType([*self.stored_as.schema.fields, T.StructField(PART, T.IntegerType())])
         if not any(name.startswith(f"{PART}=") for name in self._names(folder)):
-            return self.spark.createDataFrame([], schema)
+            # a relation that the optimizer knows to be empty: the first merge then needs no join
+            nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+            return self.spark.range(1).select(*nothing).where(F.lit(False))
         return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
 
     def _pending(self) -> str | None:

@@ -11,6 +11,9 @@ from cambio.schemas import DOCUMENT_SCHEMA
 
 #: Body files lie at ``<dir>/poll_ts=<time>/<coin>.json``, or below a folder ``<coin>.json``; only answered polls leave one.
 _FILE_SCHEMA = "value string, poll_ts timestamp_ntz"
+#: Rows of a landed file. Spark packs files, not rows, into tasks, so a reader needs more files than cores to keep them busy.
+FILE_ROWS = 100_000
+
 _COIN_OF_FILE = r"([^/=]+)\.json(?:/|$)"
 
 
@@ -36,10 +39,11 @@ def stream_document_files(spark: SparkSession, path: str) -> DataFrame:
 def land_documents(documents: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append envelope rows to the landing folder, one sub-folder per poll so that readers can prune by poll.
 
-    ``rebalance`` brings a poll's rows together into files of even size; adaptive execution splits a poll that is large.
+    ``rebalance`` brings a poll's rows together; adaptive execution splits a poll that is large. Decoding costs far more
+    than reading, so files are kept small enough to be shared out evenly.
     """
     rows = documents.select(*DOCUMENT_SCHEMA.fieldNames()).hint("rebalance", F.col("poll_ts"))
-    rows.write.mode("append").partitionBy("poll_ts").format(fmt).save(path)
+    rows.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).partitionBy("poll_ts").format(fmt).save(path)
 
 
 def documents_of_poll(documents: DataFrame, poll_ts: datetime) -> DataFrame:

@@ -88,3 +88,38 @@ def test_plain_documents_read_as_the_parser_reads_them(spark, monkeypatch):
 def test_malformed_documents_still_fail(spark, body):
     with pytest.raises(PySparkException, match="malformed quote document"):
         decoded(landed(spark, [body]))
+
+
+def test_a_large_poll_lands_in_files_that_can_be_shared_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_ROWS", 10)
+    landing.land_documents(landed(spark, PLAIN * 20), str(tmp_path))
+    assert len(list(tmp_path.glob("poll_ts=*/*.parquet"))) >= 10
+    assert landing.read_documents(spark, str(tmp_path)).count() == 100
+
+
+def staged(spark, pairs):
+    return spark.createDataFrame([(c, b, 10.0 * c, 9.0, POLL) for c, b in pairs], STG_QUOTES.schema)
+
+
+def test_first_merge_joins_nothing(spark, tmp_path):
+    table = Warehouse(spark, str(tmp_path)).quotes
+    polls = staged(spark, [(1, 1), (2, 1)]).withColumns({"_poll": F.lit(POLL).cast("timestamp_ntz"), "_again": F.lit(False)})
+    merged = merge_polls(table.stored(), polls.select(*QUOTES_STATE.columns), cluster=table.part_of())
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    assert merged.count() == 2
+
+
+def test_one_part_is_written_by_many_tasks(spark):
+    stored = spark.range(4000).select(F.lit(1).alias("cripto_id"), F.col("id").cast("int").alias("broker_id"))
+    stored = stored.selectExpr("*", "1.0D p_compra", "1.0D p_venta", "DATE '2024-01-01' fecha_cotizacion")
+    stored = stored.selectExpr("*", "TIMESTAMP_NTZ '2024-01-01 00:00:00' _poll", "false _again")
+    merged = merge_polls(stored, stored, cluster=F.lit(0))
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(adaptive, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        busy = merged.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset(adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert busy > 3
