@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from cambio.functions.times import load_time
 from cambio.operators.alerts import alert_messages, alerts
-from cambio.operators.constraints import enforce
 from cambio.operators.documents import (
     accepted_quotes,
     decode_entries,
@@ -163,15 +162,17 @@ def _load_dimension(table, warehouse, spec, rows, key, merge, run_ts, batch) ->
 def raise_alerts(warehouse: Warehouse, rules: DataFrame, run: str) -> DataFrame:
     """Check the rules against the committed quotes; the message rows are written, then returned as read back.
 
-    Only the table parts that hold a rule's coin are read. Rules with texts beyond their limits fail, so the counted
-    number of rules bounds what is broadcast. The rows of one run replace each other, so a repeated run delivers nothing
-    twice.
+    The rules are computed once, into staging. Only the table parts that hold a rule's coin are read. Rules with texts
+    beyond their limits fail, so the counted number of rules bounds what is broadcast. The rows of one run replace each
+    other, so a repeated run delivers nothing twice.
     """
-    path, checked = warehouse.report("alerts", run), enforce(rules, RULES)
-    quotes = current_quotes(warehouse.quotes.touched_by(checked.where(F.col("cripto_id").isNotNull())))
-    small = fits_broadcast(checked.count(), RULES.row_bytes)
-    messages = alert_messages(alerts(quotes, checked, broadcast_rules=small))
-    load(messages, path, if_exists="replace")
+    path = warehouse.report("alerts", run)
+    with warehouse.staging(RULES.name) as folder:
+        checked = replace_staging(rules, RULES, folder)
+        quotes = current_quotes(warehouse.quotes.touched_by(checked.where(F.col("cripto_id").isNotNull())))
+        small = fits_broadcast(checked.count(), RULES.row_bytes)
+        messages = alert_messages(alerts(quotes, checked, broadcast_rules=small))
+        load(messages, path, if_exists="replace")
     return warehouse.spark.read.schema(messages.schema).parquet(path)
 
 

@@ -123,3 +123,19 @@ def test_one_part_is_written_by_many_tasks(spark):
         spark.conf.unset(adaptive)
         spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert busy > 3
+
+
+def test_rules_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def count(_):
+        seen.add(1)
+        return True
+
+    warehouse = Warehouse(spark, str(tmp_path), 2)
+    load_quotes(warehouse, staged(spark, [(1, 1), (2, 1)]), POLL)
+    rules = spark.createDataFrame([(i, 1, 15.0, "Bitcoin", "desk") for i in (1, 2, 3)], RULE_SCHEMA)
+    messages = raise_alerts(warehouse, rules.where(count("cripto_id")), "r")
+    assert [r.cripto_id for r in messages.collect()] == [2]
+    assert seen.value == 3
